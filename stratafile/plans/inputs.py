@@ -26,7 +26,9 @@ def landed(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], Data
 
 
 def base(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    zoneless = [f.name for f in df.schema.fields if f.dataType.typeName() == "timestamp_ntz"]
+    return df.withColumns({name: F.col(name).cast("timestamp") for name in zoneless})
 
 
 def fact(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -40,7 +40,8 @@ QUERIES: dict[str, Query] = {}
 # Thresholds lowered so that the small test tables reach them.
 OFFLOAD_BYTES = 8192
 QUOTA_LIMIT = 1
-TTL_SECONDS = 86_400
+TTL_SECONDS = 864_000
+MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
 
 def query(name: str) -> Callable[[Query], Query]:
@@ -909,14 +910,19 @@ def rejected_commands(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _landing(spark: SparkSession, df: DataFrame, order: str, files: int = 4) -> tuple[str, str]:
-    """Write ``df`` as JSON files in ``order`` under a fresh folder; returns its landing and work paths."""
+    """Land ``df`` as JSON files that arrive one after the other in ``order``; returns landing and work paths."""
     root = f"{shared_folder(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
-    df.repartitionByRange(files, order).sortWithinPartitions(order).write.json(root + "/landing")
+    low, high = df.agg(F.min(order), F.max(order)).first()
+    step = (high - low) // files + 1
+    for start in range(low, high + 1, step):
+        arrived = df.where((F.col(order) >= start) & (F.col(order) < start + step))
+        arrived.coalesce(1).write.mode("append").option("timestampFormat", MICROS).json(root + "/landing")
     return root + "/landing", root
 
 
 def _json_stream(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).json(path)
+    reader = spark.readStream.schema(schema).option("timestampFormat", MICROS)
+    return reader.option("maxFilesPerTrigger", 1).json(path)
 
 
 def _drain_to_parquet(df: DataFrame, root: str, mode: str = "append") -> DataFrame:
@@ -966,7 +972,7 @@ def stream_ttl_dedup(spark: SparkSession, sf: str) -> DataFrame:
 @query("stream_commands")
 def stream_commands(spark: SparkSession, sf: str) -> DataFrame:
     """The message loop: records per route and validation errors, read back as counts."""
-    landing, root = _landing(spark, I.command_messages(spark, sf), "seq")
+    landing, root = _landing(spark, I.command_messages(spark, sf), "seq", 2)
     stream = _json_stream(spark, landing, "seq bigint, ts timestamp, value string")
 
     def handled(df: DataFrame, cfg: DriveConfig) -> DataFrame:

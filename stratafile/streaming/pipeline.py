@@ -65,17 +65,14 @@ def route_messages(df: DataFrame, cfg: DriveConfig, value: str = "value") -> Dat
 
 
 def handle_messages(
-    df: DataFrame, cfg: DriveConfig, handlers: dict[str, Handler], keep: tuple[str, ...] = ()
+    routed: DataFrame, cfg: DriveConfig, handlers: dict[str, Handler], keep: tuple[str, ...] = ()
 ) -> dict[str, DataFrame]:
     """Run the registered handler (DataFrame to DataFrame) of each route on its valid messages.
 
-    Returns one output per route plus ``errors`` (validation failures).
+    ``routed`` comes from ``route_messages``. Returns one output per route plus ``errors`` (validation failures).
     """
-    routed = route_messages(df, cfg)
-    outputs = {
-        name: handler(routed.where((F.col("route") == name) & F.col("error_field").isNull()), cfg)
-        for name, handler in handlers.items()
-    }
+    valid = routed.where(F.col("error_field").isNull())
+    outputs = {name: handler(valid.where(F.col("route") == name), cfg) for name, handler in handlers.items()}
     outputs["errors"] = validation_errors(routed, cfg, "error_field", keep=keep)
     return outputs
 
@@ -86,15 +83,15 @@ def command_stream(
 ) -> StreamingQuery:
     """Message loop: route, validate, handle and write records and errors of each micro-batch.
 
-    The batch is persisted while its branches run, because every branch reads the same parsed messages.
+    The routed batch is persisted while its branches run, so parsing and routing happen once per message.
     """
 
     def on_batch(df: DataFrame, batch_id: int) -> None:
-        df = df.persist()
+        routed = route_messages(df, cfg).persist()
         try:
-            write_batch(handle_messages(df, cfg, handlers, keep), base, batch_id)
+            write_batch(handle_messages(routed, cfg, handlers, keep), base, batch_id)
         finally:
-            df.unpersist()
+            routed.unpersist()
 
     query = (
         stream.writeStream.foreachBatch(on_batch)

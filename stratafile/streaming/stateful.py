@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -12,6 +14,9 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from stratafile.operators.metrics import QUOTA_SECONDS, USER_QUOTA
 
+# State processors travel by value, so that workers need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def dedup_within_ttl(stream: DataFrame, nonce: str = "nonce", ts: str = "ts", ttl: str = "24 hours") -> DataFrame:
     """Drop repeats of a nonce that arrive within the TTL; Spark forgets a nonce once the watermark passes it."""
@@ -46,10 +51,7 @@ class TtlMemory(StatefulProcessor):
 
 
 def ttl_dedup_stream(stream: DataFrame, key: str, ts: str, order: str, ttl_seconds: int) -> DataFrame:
-    """Accepted records of a stream whose files arrive in time order.
-
-    Rows are first reduced to one per (key, instant), so repeats at one instant cost nothing in Python.
-    """
+    """Accepted records of a stream whose files arrive in time order."""
     rows = stream.select(
         F.col(key).alias("key"), F.unix_micros(ts).alias("at"), F.col(order).cast("bigint").alias("seq")
     )
