@@ -33,10 +33,21 @@ class JsonRecord:
         return self._keys
 
 
+def compute_once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns that later filters and projections read but never recompute.
+
+    A filter on an ordinary column is pushed below the projection that makes it, and then repeats the column's
+    expression once per use; for a JSON parse that means many parses per row. ``inline`` over a one-element array keeps
+    the expression in its own step of the same stage.
+    """
+    row = F.struct(*[value.alias(name) for name, value in columns.items()])
+    return df.select("*", F.inline(F.array(row)))
+
+
 def parse_json_records(df: DataFrame, json_col: str, schema: str, prefix: str = "_r") -> tuple[DataFrame, JsonRecord]:
     """Add ``<prefix>_raw`` and ``<prefix>_keys``; a text that is no JSON object has null keys."""
     raw, keys = f"{prefix}_raw", f"{prefix}_keys"
-    parsed = df.withColumn(keys, F.json_object_keys(json_col)).withColumn(raw, F.from_json(json_col, schema))
+    parsed = compute_once(df, **{keys: F.json_object_keys(json_col), raw: F.from_json(json_col, schema)})
     return parsed, JsonRecord(F.col(raw), F.col(keys))
 
 

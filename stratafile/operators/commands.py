@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratafile.functions import mime as M
-from stratafile.functions.scalars import blank_to_null, deterministic_id
+from stratafile.functions.scalars import deterministic_id
 
 # Operation names (both spellings), required payload fields and enumerations.
 OPERATION_NAMES = {
@@ -56,17 +56,19 @@ def canonical_operation(operation: Column) -> Column:
 
 def command_error(kind: Column) -> Column:
     """First reason a command is invalid: unknown operation, missing payload field, value outside its enumeration."""
-    rules = [F.when(kind.isNull(), F.lit("operation"))]
-    for name, fields in REQUIRED_PAYLOAD.items():
-        for field in fields:
-            missing = (kind == name) & blank_to_null(F.col(f"payload.{field}")).isNull()
-            rules.append(F.when(missing, F.lit(field)))
-    sharing = kind.isin("create_permission", "update_permission")
-    rules.append(F.when(sharing & ~F.col("payload.role").isin(ROLES), F.lit("role")))
-    rules.append(
-        F.when((kind == "create_permission") & ~F.col("payload.type").isin(PERMISSION_TYPES), F.lit("type"))
+    required_fields = F.create_map(
+        *[item for name, fields in REQUIRED_PAYLOAD.items() for item in (F.lit(name), F.array(*map(F.lit, fields)))]
+    )
+    names = sorted({field for fields in REQUIRED_PAYLOAD.values() for field in fields})
+    payload = F.create_map(*[item for name in names for item in (F.lit(name), F.col(f"payload.{name}"))])
+    missing = F.filter(
+        F.try_element_at(required_fields, kind), lambda field: F.coalesce(payload[field], F.lit("")) == ""
+    )
+    bad_role = kind.isin("create_permission", "update_permission") & ~F.col("payload.role").isin(ROLES)
+    bad_type = (kind == "create_permission") & ~F.col("payload.type").isin(PERMISSION_TYPES)
+    return F.when(kind.isNull(), F.lit("operation")).otherwise(
+        F.coalesce(F.get(missing, F.lit(0)), F.when(bad_role, F.lit("role")), F.when(bad_type, F.lit("type")))
     )
-    return F.coalesce(*rules)
 
 
 def check_commands(commands: DataFrame) -> DataFrame:

@@ -20,7 +20,8 @@ def landed(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], Data
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _LANDED:
         path = f"{shared_folder(spark).rstrip('/')}/landed-{uuid.uuid4().hex}/{name}"
-        build().write.parquet(path)
+        # A feed lands many files; the small test tables are single files, which only one task could read.
+        build().repartition(spark.sparkContext.defaultParallelism).write.parquet(path)
         _LANDED[key] = path
     return spark.read.parquet(_LANDED[key])
 
@@ -148,8 +149,10 @@ def raw_file_json() -> Column:
 def raw_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``doc_id, file_id, connection_id, customer_id, raw_json``."""
 
+    facts_table = landed(spark, sf_dir, "files", lambda: fact(spark, sf_dir, "files").drop("text"))
+
     def build() -> DataFrame:
-        return fact(spark, sf_dir, "files").select(
+        return facts_table.select(
             "doc_id", F.col("id").alias("file_id"), "connection_id", "customer_id", raw_file_json().alias("raw_json")
         )
 
@@ -245,7 +248,8 @@ def _webhook_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         _pair("method", _text(F.lit("metadata.integration.webhook.notify"))),
         _pair("params", _object(_pair("header", _object(_pair("parameters", parameters))), _pair("payload", payload))),
     )
-    return fact(spark, sf_dir, "webhooks").select(
+    rows = landed(spark, sf_dir, "webhooks", lambda: fact(spark, sf_dir, "webhooks"))
+    return rows.select(
         "seq", "ts", F.when(c("as_jsonrpc"), rpc).otherwise(root).alias("value")
     )
 
@@ -310,7 +314,8 @@ def _command_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         _pair("action", _text(F.when(c("wrong_action"), F.lit("sing")).otherwise(verb))),
         *shared,
     )
-    return fact(spark, sf_dir, "commands").select(
+    rows = landed(spark, sf_dir, "commands", lambda: fact(spark, sf_dir, "commands"))
+    return rows.select(
         "seq", "ts", F.when(c("as_jsonrpc"), rpc).otherwise(legacy).alias("value")
     )
 
@@ -400,7 +405,7 @@ def state_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fact(spark, sf_dir, "state")
 
 
-def write_commands(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _write_commands(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write commands with their payload as a struct."""
     payload = F.struct(
         "file_id", "name", "description", "mime_type", "parent_folder_id", "new_parent_folder_id",
@@ -428,3 +433,7 @@ def raw_permissions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landed(spark, sf_dir, "raw_comments", lambda: _raw_comments(spark, sf_dir))
+
+
+def write_commands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return landed(spark, sf_dir, "write_commands", lambda: _write_commands(spark, sf_dir))
