@@ -44,8 +44,11 @@ def ttl_dedup(
     """
     ttl = F.lit(ttl_seconds * 1_000_000)
     rows = df.select(F.col(key).alias("_key"), F.unix_micros(ts).alias("_at"), F.col(order).alias("_seq"))
-    groups = rows.groupBy("_key").agg(
-        F.count("*").alias("_n"), F.min(F.struct("_at", "_seq")).alias("_first"), F.max("_at").alias("_last")
+    # One row per key, read by all three routes.
+    groups = checkpointed(
+        rows.groupBy("_key").agg(
+            F.count("*").alias("_n"), F.min(F.struct("_at", "_seq")).alias("_first"), F.max("_at").alias("_last")
+        )
     )
     spans = (F.col("_last") - F.col("_first._at")) >= ttl
     single = groups.where(~spans).select("_key", "_first.*")

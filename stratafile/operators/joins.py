@@ -1,7 +1,8 @@
 """Equi-joins by key lookup.
 
-No join forces a broadcast: Spark broadcasts a side only below its size threshold and otherwise sorts and merges,
-where adaptive execution splits a hot key of the large side. Dimension sides hold one row per key.
+No join forces a broadcast: Spark broadcasts a side only below its size threshold and otherwise sorts and merges.
+Dimension sides hold one row per key. For a dimension too large to broadcast, ``hot_keys`` names the keys that own a
+large share of the rows and ``lookup_join`` spreads those keys, and only those, over many tasks.
 """
 
 from __future__ import annotations
@@ -13,9 +14,45 @@ from stratafile.functions.scalars import blank_to_null
 from stratafile.operators.messages import UNRESOLVED_IDS
 
 
-def with_connection(messages: DataFrame, connections: DataFrame, on: str = "connection_id") -> DataFrame:
+def hot_keys(df: DataFrame, key: str, share: float = 0.02, fraction: float = 0.01) -> list[str]:
+    """Keys that own at least ``share`` of a sample; at most ``1 / share`` of them exist, so the list stays short.
+
+    The list only steers how work is spread. A key missing from it, or one too many, changes no result.
+    """
+    counts = df.sample(fraction, seed=7).groupBy(key).agg(F.count("*").alias("n"))
+    sampled = counts.agg(F.sum("n")).first()[0] or 0
+    rows = counts.where((F.col("n") >= sampled * share) & F.col(key).isNotNull()).limit(int(1 / share)).collect()
+    return sorted(row[key] for row in rows)
+
+
+def lookup_join(
+    facts: DataFrame, dimension: DataFrame, key: str, hot: list[str] | None = None, spread: str | None = None,
+    salts: int = 64,
+) -> DataFrame:
+    """Left join with a dimension of one row per key.
+
+    Rows of the ``hot`` keys get a salt from a hash of their ``spread`` column; the dimension rows of those few keys are
+    repeated once per salt. Every other key joins as usual.
+    """
+    if not hot or spread is None:
+        return facts.join(dimension, key, "left")
+    is_hot = F.col(key).isin(hot)
+    zero = F.lit(0)
+    salted = facts.withColumn(
+        "_salt", F.when(is_hot, F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int")).otherwise(zero)
+    )
+    repeated = dimension.withColumn(
+        "_salt", F.explode(F.when(is_hot, F.sequence(zero, F.lit(salts - 1))).otherwise(F.array(zero)))
+    )
+    return salted.join(repeated, [key, "_salt"], "left").drop("_salt")
+
+
+def with_connection(
+    messages: DataFrame, connections: DataFrame, on: str = "connection_id", hot: list[str] | None = None,
+    spread: str | None = None,
+) -> DataFrame:
     """Message with its connection row; a message without one keeps nulls."""
-    return messages.join(connections, on, "left")
+    return lookup_join(messages, connections, on, hot, spread)
 
 
 def merge_init_metadata(df: DataFrame) -> DataFrame:
@@ -96,11 +133,13 @@ def resolve_connections(webhooks: DataFrame, connections: DataFrame) -> DataFram
     )
 
 
-def changes_after_cursor(changes: DataFrame, cursors: DataFrame, start: int = 0) -> DataFrame:
+def changes_after_cursor(
+    changes: DataFrame, cursors: DataFrame, start: int = 0, hot: list[str] | None = None, spread: str | None = None
+) -> DataFrame:
     """Changes at or after the stored cursor of their connection; without a cursor from ``start`` on."""
-    return changes.join(cursors.select("connection_id", F.col("cursor").alias("_cursor")), "connection_id", "left").where(
-        F.col("page_no") >= F.coalesce(F.col("_cursor"), F.lit(start))
-    ).drop("_cursor")
+    stored = cursors.select("connection_id", F.col("cursor").alias("_cursor"))
+    joined = lookup_join(changes, stored, "connection_id", hot, spread)
+    return joined.where(F.col("page_no") >= F.coalesce(F.col("_cursor"), F.lit(start))).drop("_cursor")
 
 
 def live_files(catalog: DataFrame, latest_changes: DataFrame, file_id: str = "id") -> DataFrame:

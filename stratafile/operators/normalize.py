@@ -341,20 +341,16 @@ def reply_counts(messages: DataFrame) -> DataFrame:
     )
 
 
-def assemble_replies(messages: DataFrame, separator: str = "\n") -> DataFrame:
-    """Replies of each comment as one array in turn order.
+def assemble_replies(messages: DataFrame, chunk: int = 1000) -> DataFrame:
+    """Replies of each comment as arrays in turn order, at most ``chunk`` replies each.
 
-    A comment thread is one record of the provider (all replies arrive inside the comment object), so the array is as
-    large as that record and no larger.
+    A thread with more replies gives several rows, numbered by ``chunk``, so no group grows with the thread.
     """
-    ordered = F.sort_array(F.collect_list(F.when(F.col("turn") > 0, F.struct("turn", "author", "content"))))
+    replies = messages.where(F.col("turn") > 0)
+    ordered = F.sort_array(F.collect_list(F.struct("turn", "author", "content")))
     return (
-        messages.groupBy("comment_id")
-        .agg(
-            F.max(F.when(F.col("turn") == 0, F.col("content"))).alias("content"),
-            F.max(F.when(F.col("turn") == 0, F.col("author"))).alias("author"),
-            ordered.alias("replies"),
-        )
+        replies.groupBy("comment_id", F.floor((F.col("turn") - 1) / F.lit(chunk)).cast("bigint").alias("chunk"))
+        .agg(ordered.alias("replies"))
         .withColumn("reply_count", F.size("replies"))
     )
 

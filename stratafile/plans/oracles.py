@@ -259,9 +259,11 @@ SELECT comment_id, count(*) FILTER (WHERE turn > 0) AS reply_count, CAST(sum(CAS
   arg_max(author, turn) FILTER (WHERE turn > 0) AS last_reply_author FROM comments GROUP BY 1""")
 
 sql("A12_assembled_replies", ["comments"], """
-SELECT comment_id, max(CASE WHEN turn = 0 THEN author END) AS author,
-  coalesce(string_agg(author || ':' || md5(content), ';' ORDER BY turn) FILTER (WHERE turn > 0), '') AS replies,
-  count(*) FILTER (WHERE turn > 0) AS reply_count FROM comments GROUP BY 1""")
+SELECT comment_id, (turn - 1) // 3 AS chunk, string_agg(author || ':' || md5(content), ';' ORDER BY turn) AS replies, count(*) AS reply_count
+FROM comments WHERE turn > 0 GROUP BY 1, 2""")
+
+sql("P15_reply_rows", ["comments"], """
+SELECT comment_id, turn - 1 AS reply_no, author, md5(content) AS content_md5 FROM comments WHERE turn > 0""")
 
 sql("S02_change_feed", ["changes"], """
 SELECT connection_id, page_no, row_number() OVER (PARTITION BY connection_id, page_no ORDER BY seq) - 1 AS seq, file_id, removed,

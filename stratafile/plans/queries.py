@@ -338,7 +338,7 @@ def permissions(spark: SparkSession, sf: str) -> DataFrame:
 @query("Q05_permission_counts")
 def permission_counts(spark: SparkSession, sf: str) -> DataFrame:
     files = R.good_files(I.raw_files(spark, sf), CFG).select(F.col("id").alias("file_id"))
-    return A.permission_counts(R.permissions(I.raw_permissions(spark, sf), files, CFG))
+    return R.permission_counts(I.raw_permissions(spark, sf), files, CFG)
 
 
 @query("S06_embedded_permissions")
@@ -376,9 +376,15 @@ def reply_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("A12_assembled_replies")
 def assembled_replies(spark: SparkSession, sf: str) -> DataFrame:
-    rows = P.assemble_replies(I.fact(spark, sf, "comments"))
+    rows = P.assemble_replies(I.fact(spark, sf, "comments"), chunk=3)
     text = F.array_join(F.transform("replies", lambda r: F.concat(r["author"], F.lit(":"), F.md5(r["content"]))), ";")
-    return rows.select("comment_id", "author", text.alias("replies"), big(F.col("reply_count")).alias("reply_count"))
+    return rows.select("comment_id", "chunk", text.alias("replies"), big(F.col("reply_count")).alias("reply_count"))
+
+
+@query("P15_reply_rows")
+def reply_rows(spark: SparkSession, sf: str) -> DataFrame:
+    rows = P.comment_reply_rows(I.fact(spark, sf, "comments"))
+    return rows.select("comment_id", "reply_no", "author", F.md5("content").alias("content_md5"))
 
 
 # --- change feed -----------------------------------------------------------------------------------------------
@@ -496,7 +502,8 @@ def _flat_sync(rows: DataFrame, *keep: str) -> DataFrame:
 @query("Q12_incremental")
 def incremental(spark: SparkSession, sf: str) -> DataFrame:
     sizes = B.content_refs(I.content(spark, sf)).select("file_id", "size_bytes")
-    rows = R.incremental_sync(_feed(spark, sf), I.connections(spark, sf), _cursors(spark, sf), CFG, sizes)
+    hot = J.hot_keys(I.change_rows(spark, sf), "connection_id", share=0.2, fraction=0.2)
+    rows = R.incremental_sync(_feed(spark, sf), I.connections(spark, sf), _cursors(spark, sf), CFG, sizes, hot=hot)
     return _flat_sync(rows, "page_no", "seq")
 
 

@@ -12,6 +12,7 @@ from stratafile.operators import envelope as E
 from stratafile.operators import filters as X
 from stratafile.operators import joins as J
 from stratafile.operators import messages as MSG
+from stratafile.operators import metrics as A
 from stratafile.operators import normalize as P
 from stratafile.operators import state as ST
 from stratafile.operators import windows as W
@@ -32,8 +33,8 @@ def list_pages(files: DataFrame, page_size: int = S.DEFAULT_PAGE_SIZE) -> DataFr
     return files.join(pages, ["connection_id", "id"])
 
 
-def with_spaces(files: DataFrame, connections: DataFrame) -> DataFrame:
-    return J.with_connection(files, connections.select("connection_id", "snowball_id"))
+def with_spaces(files: DataFrame, connections: DataFrame, hot: list[str] | None = None) -> DataFrame:
+    return J.with_connection(files, connections.select("connection_id", "snowball_id"), hot=hot, spread="id")
 
 
 def fetch_files(
@@ -43,10 +44,11 @@ def fetch_files(
     *conditions: Column | None,
     page_size: int = S.DEFAULT_PAGE_SIZE,
     include_trashed: bool = False,
+    hot: list[str] | None = None,
 ) -> DataFrame:
     """Envelopes of a paged listing. Connections without a space are errors (``missing_space``) and emit nothing."""
     files = X.apply_filters(good_files(raw_files, cfg), X.not_trashed(include_trashed), *conditions)
-    ready = with_spaces(files, connections).where(X.has_space())
+    ready = with_spaces(files, connections, hot).where(X.has_space())
     paged = list_pages(ready, page_size)
     batches = paged.withColumn(
         "batch_id", S.deterministic_id(F.lit("fetch"), F.col("connection_id"), F.col("page_no"))
@@ -92,6 +94,13 @@ def permissions(raw_permissions: DataFrame, files: DataFrame, cfg: DriveConfig)
     return J.children_of(good, files)
 
 
+def permission_counts(raw_permissions: DataFrame, files: DataFrame, cfg: DriveConfig) -> DataFrame:
+    """Permission counts of existing files; counted before the join, so a file with very many permissions joins as one
+    row."""
+    good, _ = P.split_bad_rows(P.normalize_permissions(raw_permissions, cfg))
+    return J.children_of(A.permission_counts(good), files)
+
+
 def revisions(raw_revisions: DataFrame, files: DataFrame, cfg: DriveConfig, keep: tuple[str, ...] = ()) -> DataFrame:
     good, _ = P.split_bad_rows(P.normalize_revisions(raw_revisions, cfg, keep=keep))
     return J.children_of(good, files)
@@ -118,18 +127,14 @@ def capabilities(spark: SparkSession) -> DataFrame:
 # --- sync ------------------------------------------------------------------------------------------------------
 
 
-def _settings(rows: DataFrame, connections: DataFrame) -> DataFrame:
-    return J.with_connection(
-        rows,
-        connections.select(
-            "connection_id", F.col("settings.sync_files").alias("_files"), F.col("settings.sync_folders").alias("_folders")
-        ),
+def _selected(rows: DataFrame, connections: DataFrame, hot: list[str] | None, *carry: str) -> DataFrame:
+    """Rows the connection's settings want, with further columns of the connection."""
+    settings = connections.select(
+        "connection_id", *carry, F.col("settings.sync_files").alias("_files"), F.col("settings.sync_folders").alias("_folders")
     )
-
-
-def _selected(rows: DataFrame, connections: DataFrame) -> DataFrame:
     wanted = X.wanted_type(F.col("type") == "folder", F.col("_files"), F.col("_folders"))
-    return _settings(rows, connections).where(wanted).drop("_files", "_folders")
+    joined = J.with_connection(rows, settings, hot=hot, spread="id")
+    return joined.where(wanted).drop("_files", "_folders")
 
 
 def _with_export_size(rows: DataFrame, content_sizes: DataFrame | None) -> DataFrame:
@@ -145,12 +150,16 @@ def _with_export_size(rows: DataFrame, content_sizes: DataFrame | None) -> DataF
 
 
 def full_sync(
-    raw_files: DataFrame, connections: DataFrame, cfg: DriveConfig, content_sizes: DataFrame | None = None
+    raw_files: DataFrame,
+    connections: DataFrame,
+    cfg: DriveConfig,
+    content_sizes: DataFrame | None = None,
+    hot: list[str] | None = None,
 ) -> DataFrame:
     """All wanted files that are not trashed."""
     light, _ = P.split_bad_rows(P.light_normalize_files(raw_files, keep=("connection_id", "customer_id")))
     live = X.apply_filters(light, X.not_trashed())
-    return E.sync_envelopes(_with_export_size(_selected(live, connections), content_sizes), cfg, "full_sync")
+    return E.sync_envelopes(_with_export_size(_selected(live, connections, hot), content_sizes), cfg, "full_sync")
 
 
 def incremental_sync(
@@ -160,14 +169,14 @@ def incremental_sync(
     cfg: DriveConfig,
     content_sizes: DataFrame | None = None,
     keep: tuple[str, ...] = ("page_no", "seq"),
+    hot: list[str] | None = None,
 ) -> DataFrame:
-    """Changed files after each connection's cursor, all pages, in (page, position) order."""
-    live = J.changes_after_cursor(feed, cursors).where(X.not_removed() & X.has_file("file"))
-    customers = connections.select("connection_id", "customer_id")
+    """Changed files after each connection's cursor, over all pages; ``hot`` names connections to spread."""
+    live = J.changes_after_cursor(feed.where(X.not_removed()), cursors, hot=hot, spread="seq").where(X.has_file("file"))
     light, _ = P.split_bad_rows(
         P.light_normalize_files(live, raw_json="file", keep=("connection_id", "change_type", *keep))
     )
-    rows = J.with_connection(_selected(light, connections), customers)
+    rows = _selected(light, connections, hot, "customer_id")
     return E.sync_envelopes(_with_export_size(rows, content_sizes), cfg, "incremental", "change_type", keep=keep)
 
 
@@ -251,7 +260,8 @@ def webhook_records(page_rows: DataFrame, cfg: DriveConfig, keep: tuple[str, ...
 
 def webhook_changes(webhooks: DataFrame, connections: DataFrame, feed: DataFrame, cfg: DriveConfig) -> DataFrame:
     requests = page_requests(webhook_outcomes(webhooks, connections))
-    return webhook_records(webhook_page_rows(requests, feed, cfg), cfg)
+    carried = feed.where(X.not_removed() & F.col("file").isNotNull())
+    return webhook_records(webhook_page_rows(requests, carried, cfg), cfg)
 
 
 # --- lifecycle -------------------------------------------------------------------------------------------------
