@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratafile.functions import mime as M
+from stratafile.functions.presence import compute_once
 from stratafile.functions.scalars import deterministic_id
 
 # Operation names (both spellings), required payload fields and enumerations.
@@ -73,9 +74,8 @@ def command_error(kind: Column) -> Column:
 
 def check_commands(commands: DataFrame) -> DataFrame:
     """Add ``kind`` and ``error``. Input ``command_id, seq, operation, payload`` (struct of text fields)."""
-    return commands.withColumn("kind", canonical_operation(F.col("operation"))).withColumn(
-        "error", command_error(F.col("kind"))
-    )
+    known = compute_once(commands, kind=canonical_operation(F.col("operation")))
+    return compute_once(known, error=command_error(F.col("kind")))
 
 
 def _last(kinds: list[str], value: Column) -> Column:

@@ -116,17 +116,48 @@ def request_cost(requests: DataFrame, manifest: DataFrame) -> DataFrame:
     )
 
 
+def dead_letter_alerts(errors: DataFrame, limit: int | None = None) -> DataFrame:
+    """Providers and error codes with more terminal errors than the goal allows."""
+    limit = ALERT_LIMITS["dead_letters"] if limit is None else limit
+    return (
+        errors.where(F.col("error_type") == "terminal")
+        .groupBy("provider", "error_code")
+        .agg(F.count("*").alias("dead_letters"))
+        .where(F.col("dead_letters") >= limit)
+    )
+
+
+def consumer_lag(messages: DataFrame, committed: DataFrame, limit: int | None = None) -> DataFrame:
+    """Messages behind the committed position per partition of the log.
+
+    Input ``partition, offset`` and ``partition, committed`` (next offset to read; none means nothing was read).
+    """
+    limit = ALERT_LIMITS["consumer_lag"] if limit is None else limit
+    newest = messages.groupBy("partition").agg(F.max("offset").alias("newest"), F.min("offset").alias("oldest"))
+    lag = F.col("newest") + 1 - F.coalesce(F.col("committed"), F.col("oldest"))
+    return newest.join(committed, "partition", "left").select(
+        "partition", lag.alias("lag"), (lag >= limit).alias("lag_high")
+    )
+
+
 def quota_windows(
-    calls: DataFrame, by: str, limit: int = USER_QUOTA, seconds: int = QUOTA_SECONDS, alert_share: float | None = None
+    calls: DataFrame,
+    by: list[str],
+    limit: int = USER_QUOTA,
+    seconds: int = QUOTA_SECONDS,
+    alert_share: float | None = None,
 ) -> DataFrame:
-    """Tumbling windows whose calls exceed the quota (or, with a share, come near it)."""
+    """Tumbling windows whose calls exceed the quota (or, with a share, come near it).
+
+    ``by`` names the user columns; an empty list is the project's own quota, counted over partial sums.
+    """
     share = 1.0 if alert_share is None else alert_share
     return (
-        calls.groupBy(by, F.window("ts", f"{seconds} seconds"))
+        calls.groupBy(*by, F.window("ts", f"{seconds} seconds"))
         .agg(F.count("*").alias("calls"))
         .where(F.col("calls") > F.lit(limit) * F.lit(share))
         .select(
-            by,
+            *by,
             F.unix_seconds("window.start").alias("window_start"),
             "calls",
             F.round(F.col("calls") / F.lit(limit), 6).alias("quota_share"),

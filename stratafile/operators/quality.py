@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from stratafile.config import DriveConfig
 from stratafile.functions import scalars as S
+from stratafile.operators.messages import customer_id_of
 
 ERROR_COLUMNS = [
     "provider", "connection_id", "customer_id", "error_type", "error_code", "error_category", "error_message",
@@ -77,17 +78,15 @@ def api_errors(calls: DataFrame, cfg: DriveConfig, keep: tuple[str, ...] = ()) -
 
 
 def validation_errors(df: DataFrame, cfg: DriveConfig, error_field: str, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Error rows of parsed messages that failed validation."""
-    from stratafile.operators.messages import connection_id_of, customer_id_of
-
+    """Error rows of routed messages that failed validation."""
     return error_records(
         df,
         cfg,
         F.when(F.col(error_field).isNotNull(), F.lit("ValidationError")),
         F.concat(F.lit("Invalid or missing field: "), F.col(error_field)),
-        connection_id_of(),
+        F.col("connection_id"),
         customer_id=customer_id_of(),
-        source_message_id=F.coalesce(S.blank_to_null(F.col("msg.message_id")), F.col("msg.id")),
+        source_message_id=F.col("message_id"),
         details=F.to_json(F.struct(F.col(error_field).alias("field"))),
         keep=keep,
     )

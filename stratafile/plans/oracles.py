@@ -415,11 +415,11 @@ sql("X17_validate_lifecycle", ["commands"], MSG + "SELECT message_id, init_error
 sql("T01_routes", ["commands"], MSG + """
 SELECT message_id, route, conn_out AS connection_id, provider_out AS provider, error_field FROM m4""")
 sql("A01_worker_counters", ["commands"], MSG + """, o AS (
-  SELECT coalesce(route, 'none') AS route, CASE WHEN route IS NULL OR route = 'skipped' THEN 'skipped' WHEN error_field IS NOT NULL THEN 'terminal' ELSE 'ok' END AS outcome FROM m4)
+  SELECT seq, coalesce(route, 'none') AS route, CASE WHEN route IS NULL OR route = 'skipped' THEN 'skipped' WHEN error_field IS NOT NULL THEN 'terminal' ELSE 'ok' END AS outcome FROM m4)
 SELECT route, count(*) FILTER (WHERE outcome = 'ok') AS messages_processed, count(*) FILTER (WHERE outcome = 'terminal') AS messages_failed,
   count(*) FILTER (WHERE outcome = 'skipped') AS messages_skipped, count(*) FILTER (WHERE outcome = 'ok') AS records_produced,
   count(*) FILTER (WHERE outcome = 'terminal') AS errors_produced, 0 AS errors_retriable, count(*) FILTER (WHERE outcome = 'terminal') AS errors_terminal,
-  0 AS duplicates_skipped FROM o GROUP BY 1""")
+  0 AS duplicates_skipped, count(*) FILTER (WHERE seq % 10 = 0) AS payloads_offloaded, CAST(sum(seq % 1000) AS BIGINT) AS processing_ms FROM o GROUP BY 1""")
 sql("J01_connection_enrich", ["commands", "connections"], MSG + """
 SELECT m.message_id, conn_out AS connection_id,
   coalesce(CASE WHEN as_jsonrpc THEN nullif(msg_snowball_id, '') END, c.snowball_id) AS snowball_id,
@@ -510,6 +510,15 @@ SELECT endpoint, count(*) AS failures, epoch_us(min(ts)) AS started_us, epoch_us
 QUOTA = """, w AS (SELECT connection_id, (epoch_us(ts) // 100000000) * 100 AS window_start, count(*) AS calls FROM calls GROUP BY 1, 2)
 """
 sql("T08_quota", ["calls"], QUOTA + "SELECT connection_id, window_start, calls, round(calls / 1.0::DOUBLE, 6) AS quota_share FROM w WHERE calls > 1")
+sql("T08_project_quota", ["calls"], """, w AS (SELECT (epoch_us(ts) // 100000000) * 100 AS window_start, count(*) AS calls FROM calls GROUP BY 1)
+SELECT window_start, calls, round(calls / 2.0::DOUBLE, 6) AS quota_share FROM w WHERE calls > 1.6""")
+sql("A09_dead_letters", ["commands", "calls"], MSG + """, e AS (
+  SELECT 'VALIDATIONERROR' AS error_code FROM m4 WHERE error_field IS NOT NULL
+  UNION ALL SELECT CASE status_code WHEN 401 THEN 'AUTHENTICATIONERROR' ELSE 'TERMINALERROR' END FROM calls WHERE status_code IN (401, 404))
+SELECT 'drive' AS provider, error_code, count(*) AS dead_letters FROM e GROUP BY ALL HAVING count(*) >= 5""")
+sql("A09_consumer_lag", ["commands"], """, n AS (SELECT seq % 4 AS partition, max(seq // 4) AS newest, min(seq // 4) AS oldest,
+  max(seq // 4) FILTER (WHERE o_orderstatus = 'F' AND seq % 4 < 2) + 1 AS committed FROM commands GROUP BY 1)
+SELECT partition, newest + 1 - coalesce(committed, oldest) AS lag, newest + 1 - coalesce(committed, oldest) >= 1000 AS lag_high FROM n""")
 ORACLES["T10_throughput"] = """
 SELECT event_type, (epoch_us(ts) // 3600000000) * 3600 AS window_start, count(*) AS messages, round(count(*) / 3600.0::DOUBLE, 6) AS per_second, true AS above_target
 FROM events GROUP BY 1, 2"""

@@ -269,13 +269,8 @@ def webhook_changes(webhooks: DataFrame, connections: DataFrame, feed: DataFrame
 
 def valid_lifecycle(messages: DataFrame, cfg: DriveConfig, action: str) -> DataFrame:
     """Valid init or teardown messages; both forms are unified before ids are read."""
-    parsed = MSG.parse_messages(messages)
-    return (
-        parsed.withColumn("route", MSG.route(cfg))
-        .where((F.col("route") == action) & MSG.lifecycle_error(cfg, action).isNull())
-        .withColumn("connection_id", MSG.connection_id_of())
-        .withColumn("message_id", F.coalesce(S.blank_to_null(F.col("msg.message_id")), F.col("msg.id")))
-    )
+    routed = MSG.route_messages(messages, cfg)
+    return routed.where((F.col("route") == action) & F.col("error_field").isNull())
 
 
 def init_connections(

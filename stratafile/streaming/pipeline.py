@@ -15,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from stratafile.config import DriveConfig
 from stratafile.operators import messages as MSG
 from stratafile.operators.joins import resolve_connections
+from stratafile.operators.messages import route_messages
 from stratafile.operators.quality import validation_errors
 
 Handler = Callable[[DataFrame, DriveConfig], DataFrame]
@@ -47,23 +48,6 @@ def run_to_end(
     return query
 
 
-def route_messages(df: DataFrame, cfg: DriveConfig, value: str = "value") -> DataFrame:
-    """Messages with their route, ids and validation error; one pass, no branch per handler."""
-    parsed = MSG.parse_messages(df, value)
-    routed = parsed.withColumn("route", MSG.route(cfg))
-    error = (
-        F.when(F.col("route") == "fetch", MSG.fetch_error(cfg))
-        .when(F.col("route") == "write", MSG.write_error(cfg))
-        .when(F.col("route") == "init", MSG.lifecycle_error(cfg, "init"))
-        .when(F.col("route") == "teardown", MSG.lifecycle_error(cfg, "teardown"))
-    )
-    return (
-        routed.withColumn("connection_id", MSG.connection_id_of())
-        .withColumn("provider", MSG.provider_of())
-        .withColumn("error_field", error)
-    )
-
-
 def handle_messages(
     routed: DataFrame, cfg: DriveConfig, handlers: dict[str, Handler], keep: tuple[str, ...] = ()
 ) -> dict[str, DataFrame]:
