@@ -157,9 +157,15 @@ def tombstones(latest_changes: DataFrame) -> DataFrame:
     )
 
 
-def with_content(files: DataFrame, content: DataFrame) -> DataFrame:
-    """Files with the reference to their stored content; a file without content keeps its metadata."""
-    return files.join(content, "file_id", "left")
+def with_content(files: DataFrame, content: DataFrame, eligible: Column | None = None) -> DataFrame:
+    """Files with the reference to their stored content; a file without content keeps its metadata.
+
+    Files that are not ``eligible`` match nothing. ``content`` carries references, not the bytes.
+    """
+    if eligible is None:
+        return files.join(content, "file_id", "left")
+    refs = content.withColumnRenamed("file_id", "_content_id")
+    return files.join(refs, (F.col("file_id") == F.col("_content_id")) & eligible, "left").drop("_content_id")
 
 
 def children_of(children: DataFrame, files: DataFrame, how: str = "inner") -> DataFrame:

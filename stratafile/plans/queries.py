@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from stratafile.config import DriveConfig
 from stratafile.functions import mime as M
 from stratafile.functions import scalars as S
+from stratafile.functions.presence import compute_once
 from stratafile.operators import blobs as B
 from stratafile.operators import commands as C
 from stratafile.operators import dedup as D
@@ -257,14 +258,11 @@ def predicates(spark: SparkSession, sf: str) -> DataFrame:
 @query("X11_content_eligibility")
 def content_eligibility(spark: SparkSession, sf: str) -> DataFrame:
     files = R.good_files(I.raw_files(spark, sf), CFG).select("customer_id", "id", "mime_type", "size_bytes")
-    declared = files.withColumn("_declared", X.skip_reason(F.col("mime_type"), F.col("size_bytes")))
-    # Only eligible files meet their content.
+    declared = compute_once(
+        files.withColumnRenamed("id", "file_id"), declared=X.skip_reason(F.col("mime_type"), F.col("size_bytes"))
+    )
     refs = B.content_refs(I.content(spark, sf)).select("file_id", F.col("size_bytes").alias("content_bytes"), "sha256")
-    eligible = J.with_content(
-        declared.where(F.col("_declared").isNull()).withColumn("file_id", F.col("id")), refs
-    ).drop("file_id")
-    skipped = declared.where(F.col("_declared").isNotNull())
-    both = E.union_paths(eligible, skipped)
+    both = J.with_content(declared, refs, F.col("declared").isNull()).withColumnRenamed("file_id", "id")
     reason = X.skip_reason(F.col("mime_type"), F.col("size_bytes"), F.col("content_bytes"), 52_428_800)
     return both.select(
         "id", reason.alias("skip_reason"), X.read_mode(F.col("mime_type")).alias("read_mode"), "content_bytes", "sha256"
@@ -689,11 +687,10 @@ def file_content(spark: SparkSession, sf: str) -> DataFrame:
     """Files with the blob their content is stored in; blobs are shared by equal content of a customer."""
     files = R.good_files(I.raw_files(spark, sf), CFG).select("id", "mime_type", "size_bytes")
     eligible = X.skip_reason(F.col("mime_type"), F.col("size_bytes")).isNull()
-    refs = B.content_refs(I.content(spark, sf))
-    wanted = files.select(F.col("id").alias("file_id"), eligible.alias("eligible"))
-    joined = J.with_content(wanted.where("eligible"), refs.select("file_id", "sha256", "storage_path", "size_bytes"))
-    skipped = wanted.where(~F.col("eligible"))
-    return E.union_paths(joined, skipped).select(
+    wanted = compute_once(files.select(F.col("id").alias("file_id"), "mime_type", "size_bytes"), eligible=eligible)
+    refs = B.content_refs(I.content(spark, sf)).select("file_id", "sha256", "storage_path", "size_bytes")
+    joined = J.with_content(wanted.drop("mime_type", "size_bytes"), refs, F.col("eligible"))
+    return joined.select(
         "file_id", F.col("sha256").isNotNull().alias("has_content"), "sha256", "storage_path", "size_bytes"
     )
 

@@ -30,14 +30,8 @@ def write_batch(outputs: dict[str, DataFrame], base: str, batch_id: int) -> None
         df.write.mode("overwrite").parquet(batch_folder(base, name, batch_id))
 
 
-def run_to_end(
-    stream: DataFrame, process: Callable[[DataFrame, int], dict[str, DataFrame]], base: str, checkpoint: str
-) -> StreamingQuery:
-    """Drain what is available, each batch into ``base/<output>/batch_id=<n>``."""
-
-    def on_batch(df: DataFrame, batch_id: int) -> None:
-        write_batch(process(df, batch_id), base, batch_id)
-
+def run_to_end(stream: DataFrame, on_batch: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
+    """Drain what is available, one ``on_batch`` call per micro-batch."""
     query = (
         stream.writeStream.foreachBatch(on_batch)
         .option("checkpointLocation", checkpoint)
@@ -77,14 +71,7 @@ def command_stream(
         finally:
             routed.unpersist()
 
-    query = (
-        stream.writeStream.foreachBatch(on_batch)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    return query
+    return run_to_end(stream, on_batch, checkpoint)
 
 
 def split_retriable(errors: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -105,13 +92,17 @@ def webhook_stream(
     """Notifications to records. The connection dimension is read again for every micro-batch, which takes the place
     of a resolution cache with a short life."""
 
-    def process(df: DataFrame, batch_id: int) -> dict[str, DataFrame]:
-        resolved = resolve_connections(
-            MSG.parse_webhooks(df).where(F.col("error").isNull()), read_connections()
-        )
-        return {
-            "records": to_records(resolved.where(F.col("resolution_error").isNull()), cfg),
-            "errors": resolved.where(F.col("resolution_error").isNotNull()).select("message_id", "resolution_error"),
-        }
+    def on_batch(df: DataFrame, batch_id: int) -> None:
+        valid = MSG.parse_webhooks(df).where(F.col("error").isNull())
+        resolved = resolve_connections(valid, read_connections()).persist()
+        unresolved = F.col("resolution_error").isNotNull()
+        try:
+            outputs = {
+                "records": to_records(resolved.where(~unresolved), cfg),
+                "errors": resolved.where(unresolved).select("message_id", "resolution_error"),
+            }
+            write_batch(outputs, base, batch_id)
+        finally:
+            resolved.unpersist()
 
-    return run_to_end(stream, process, base, checkpoint)
+    return run_to_end(stream, on_batch, checkpoint)

@@ -14,10 +14,21 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from stratafile.operators.metrics import QUOTA_SECONDS, USER_QUOTA
 
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 # State processors travel by value, so that workers need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
+def _with_keyed_state(stream: DataFrame) -> DataFrame:
+    """Keyed state processors need the RocksDB state store; queries started later in the session use it as well."""
+    spark = stream.sparkSession
+    if not spark.conf.get(STATE_STORE, "").endswith("RocksDBStateStoreProvider"):
+        spark.conf.set(STATE_STORE, ROCKSDB)
+    return stream
+
+
 def dedup_within_ttl(stream: DataFrame, nonce: str = "nonce", ts: str = "ts", ttl: str = "24 hours") -> DataFrame:
     """Drop repeats of a nonce that arrive within the TTL; Spark forgets a nonce once the watermark passes it."""
     return stream.withWatermark(ts, ttl).dropDuplicatesWithinWatermark([nonce])
@@ -34,16 +45,19 @@ class TtlMemory(StatefulProcessor):
         self.last = handle.getValueState("last", schema)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        chunks = [chunk[["at", "seq"]] for chunk in rows]
-        ordered = pd.concat(chunks).sort_values(["at", "seq"])
-        last = self.last.get()[0] if self.last.exists() else None
+        # Each Arrow chunk shrinks to one row per instant; a group is bounded by the micro-batch the source admits.
+        chunks = [chunk.groupby("at")["seq"].min() for chunk in rows]
+        ordered = pd.concat(chunks).groupby(level=0).min()
+        times, seqs = ordered.index.to_numpy(), ordered.to_numpy()
+        position = 0
+        if self.last.exists():
+            position = times.searchsorted(self.last.get()[0] + self.ttl_us)
         accepted = []
-        for at, seq in zip(ordered["at"].tolist(), ordered["seq"].tolist()):
-            if last is None or at >= last + self.ttl_us:
-                last = at
-                accepted.append((key[0], at, seq))
+        while position < len(times):
+            accepted.append((key[0], int(times[position]), int(seqs[position])))
+            position = times.searchsorted(times[position] + self.ttl_us)
         if accepted:
-            self.last.update((last,))
+            self.last.update((accepted[-1][1],))
             yield pd.DataFrame(accepted, columns=["key", "at", "seq"])
 
     def close(self) -> None:
@@ -52,7 +66,7 @@ class TtlMemory(StatefulProcessor):
 
 def ttl_dedup_stream(stream: DataFrame, key: str, ts: str, order: str, ttl_seconds: int) -> DataFrame:
     """Accepted records of a stream whose files arrive in time order."""
-    rows = stream.select(
+    rows = _with_keyed_state(stream).select(
         F.col(key).alias("key"), F.unix_micros(ts).alias("at"), F.col(order).cast("bigint").alias("seq")
     )
     schema = StructType(
@@ -97,7 +111,7 @@ def cursor_stream(pages: DataFrame) -> DataFrame:
         ]
     )
     return (
-        pages.select("connection_id", F.col("page_no").cast("bigint").alias("page_no"), "token")
+        _with_keyed_state(pages).select("connection_id", F.col("page_no").cast("bigint").alias("page_no"), "token")
         .groupBy("connection_id")
         .transformWithStateInPandas(
             statefulProcessor=CursorMemory(), outputStructType=schema, outputMode="Update", timeMode="None"
@@ -140,7 +154,7 @@ def renewal_stream(channels: DataFrame, lead_minutes: int = 60, lateness: str =
     """Channels whose renewal is due, driven by event time; input ``connection_id, expiration, ts``."""
     schema = StructType([StructField("connection_id", StringType()), StructField("expiration", LongType())])
     return (
-        channels.withWatermark("ts", lateness)
+        _with_keyed_state(channels).withWatermark("ts", lateness)
         .groupBy("connection_id")
         .transformWithStateInPandas(
             statefulProcessor=RenewalTimer(lead_minutes * 60_000),

@@ -184,3 +184,34 @@ def test_content_read(spark, tmp_path):
     (tmp_path / "f2").write_bytes(b"abcd")
     rows = SL.read_content(spark, str(tmp_path)).orderBy("file_id").collect()
     assert [(r.file_id, r.length) for r in rows] == [("f1", 3), ("f2", 4)]
+
+
+def test_counters_observed_during_another_action(spark):
+    from stratafile.operators.metrics import observed
+
+    df, seen = observed(spark.createDataFrame([("ok",), ("terminal",), ("retriable",)], "outcome string"), "batch")
+    assert len(df.collect()) == 3
+    assert seen.get == {"rows": 3, "failed": 2}
+
+
+def test_offload_and_blobs(spark):
+    from stratafile.operators import blobs as B
+
+    rows = [("c", "conn", "m1", "x" * 10), ("c", "conn", "m2", "x" * 11), ("c", "conn", "m3", "x" * 10), ("d", "conn", "m4", "x" * 10)]
+    df = spark.createDataFrame(rows, "customer_id string, connection_id string, message_id string, payload string")
+    split = {r.message_id: r for r in B.offload_split(df, "payload", "s3://b/", 10).collect()}
+    assert split["m1"].data == "x" * 10 and split["m1"].s3_url is None
+    assert split["m2"].data is None and split["m2"].s3_url == "s3://b/payloads/c/conn/m2.json" and split["m2"].payload_size_bytes == 11
+    content = df.select("customer_id", F.col("message_id").alias("file_id"), F.col("payload").alias("content"))
+    index = B.blob_index(B.content_refs(content))
+    assert sorted((r.customer_id, r.first_file_id, r.ref_count) for r in index.collect()) == [("c", "m1", 2), ("c", "m2", 1), ("d", "m4", 1)]
+    assert B.blobs_to_store(content, index).count() == 3
+
+
+def test_retry_schedule(spark, cfg):
+    from stratafile.operators import retry as RT
+
+    rows = [(1, "RetriableError", None), (2, "RetriableError", None), (2, "RateLimitError", 30), (3, "RetriableError", None), (1, "TerminalError", None)]
+    df = spark.createDataFrame(rows, "attempt int, error_class string, retry_after int").withColumn("failed_at", cfg.now - F.expr("INTERVAL 10 SECONDS"))
+    out = [(r.wait_seconds, r.disposition) for r in RT.schedule(df, cfg).collect()]
+    assert out == [(2.0, "due"), (4.0, "due"), (30.0, "waiting"), (None, "dead_letter"), (None, "dead_letter")]
