@@ -1,7 +1,6 @@
 import json
 import uuid
 
-from pyspark.sql import functions as F
 
 from stratafile.streaming import pipeline as SP
 from stratafile.streaming import stateful as SS
