@@ -12,6 +12,8 @@ from check_oracles import compare, duck  # noqa: E402
 from stratafile.operators import normalize as P  # noqa: E402
 from stratafile.plans import inputs as I  # noqa: E402
 from stratafile.plans import resources as R  # noqa: E402
+from stratafile.plans.oracles import ORACLES  # noqa: E402
+from stratafile.plans.queries import QUERIES  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="test tables are not here")
@@ -22,13 +24,13 @@ def con():
     return duck(SF)
 
 
-@pytest.mark.parametrize("name", sorted(entry_module.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_sql(spark, con, name):
     assert compare(spark, con, SF, name) == ""
 
 
 def test_every_query_has_a_twin():
-    assert set(entry_module.queries()) == set(entry_module.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
 def test_good_plus_bad_is_everything(spark, cfg):
@@ -52,7 +54,7 @@ def test_hot_connections_change_no_result(spark, cfg):
 
 
 def test_no_python_in_batch_plans(spark):
-    names = [n for n in entry_module.queries() if not n.startswith(("stream_", "Q01", "A05", "U01", "T02", "A04"))]
+    names = [n for n in QUERIES if not n.startswith(("stream_", "Q01", "A05", "U01", "T02", "A04"))]
     for name in names:
         text = entry_module.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in text and "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text, name
