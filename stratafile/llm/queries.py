@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from stratafile.llm.mixing import mixing_report
 from stratafile.llm.quality_rules import quality_report
 from stratafile.llm.sql import ORACLES
 from stratafile.llm.tables import table
@@ -17,8 +18,13 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(table(spark, sf_dir, "documents"))
 
 
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op6_quality_rules": op6_quality_rules,
+    "op8_mixing": op8_mixing,
 }
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -43,4 +43,34 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
 FROM f LEFT JOIN bad ON f.source IS NOT DISTINCT FROM bad.source
 """
 
-ORACLES: dict[str, str] = {"op6_quality_rules": OP6}
+OP8 = r"""
+WITH d AS (
+  SELECT doc_id, source, md5('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS k,
+         len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents
+), s AS (
+  SELECT source, sum(size)::BIGINT AS source_size,
+         1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS weight FROM d GROUP BY source
+), o AS (  -- by rising cap per weight: the sources that are capped come first
+  SELECT *, row_number() OVER (ORDER BY source_size::DOUBLE / weight, source NULLS LAST) AS r FROM s
+), l AS (
+  SELECT *, (SELECT sum(source_size) FROM s) - coalesce(sum(3 * source_size) OVER before, 0) AS words,
+         sum(weight) OVER (ORDER BY r ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS share
+  FROM o WINDOW before AS (ORDER BY r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), cut AS (  -- the first source that its level doesn't lift over its cap sets the level
+  SELECT words, share FROM l WHERE weight::DOUBLE * words::DOUBLE / share::DOUBLE <= (3 * source_size)::DOUBLE
+  ORDER BY r LIMIT 1
+), t AS (
+  SELECT source, source_size, least(weight::DOUBLE * words::DOUBLE / share::DOUBLE, (3 * source_size)::DOUBLE) AS target
+  FROM s, cut
+), b AS (
+  SELECT *, CASE WHEN source_size > 0 THEN floor(target)::BIGINT // source_size ELSE 0 END AS whole FROM t
+), x AS (
+  SELECT d.doc_id, d.size, b.source_size, b.target, b.whole, floor(b.target)::BIGINT - b.whole * b.source_size AS rest,
+         coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.k, d.doc_id, d.size
+                                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+  FROM d JOIN b ON d.source IS NOT DISTINCT FROM b.source
+)
+SELECT doc_id, size, source_size, target, (whole * size + greatest(0, least(size, rest - before)))::BIGINT AS taken FROM x
+"""
+
+ORACLES: dict[str, str] = {"op6_quality_rules": OP6, "op8_mixing": OP8}
