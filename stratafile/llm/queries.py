@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from stratafile.llm.mixing import mixing_report
+from stratafile.llm.packing import packing_report
 from stratafile.llm.quality_rules import quality_report
 from stratafile.llm.sql import ORACLES
 from stratafile.llm.tables import table
@@ -14,6 +15,10 @@ from stratafile.llm.tables import table
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing_report(table(spark, sf_dir, "documents"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(table(spark, sf_dir, "documents"))
 
@@ -23,6 +28,7 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op4_packing": op4_packing,
     "op6_quality_rules": op6_quality_rules,
     "op8_mixing": op8_mixing,
 }
