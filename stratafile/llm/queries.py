@@ -10,6 +10,7 @@ from stratafile.llm.mixing import mixing_report
 from stratafile.llm.packing import packing_report
 from stratafile.llm.quality_rules import quality_report
 from stratafile.llm.sql import ORACLES
+from stratafile.llm.substrings import substring_report
 from stratafile.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +20,10 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing_report(table(spark, sf_dir, "documents"))
 
 
+def op5_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_report(table(spark, sf_dir, "documents"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(table(spark, sf_dir, "documents"))
 
@@ -29,6 +34,7 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op4_packing": op4_packing,
+    "op5_substrings": op5_substrings,
     "op6_quality_rules": op6_quality_rules,
     "op8_mixing": op8_mixing,
 }

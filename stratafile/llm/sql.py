@@ -73,4 +73,26 @@ WITH d AS (
 SELECT doc_id, size, source_size, target, (whole * size + greatest(0, least(size, rest - before)))::BIGINT AS taken FROM x
 """
 
-ORACLES: dict[str, str] = {"op6_quality_rules": OP6, "op8_mixing": OP8}
+OP5 = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
+), win AS (
+  SELECT doc_id, i, array_to_string(ws[i:i+19], ' ') AS g
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 18)) AS i FROM d WHERE len(ws) >= 20)
+), later AS (
+  SELECT doc_id, i FROM win QUALIFY row_number() OVER (PARTITION BY g ORDER BY doc_id, i) > 1
+), gone AS (
+  SELECT doc_id, list(DISTINCT p) AS ps FROM (SELECT doc_id, unnest(range(i, i + 20)) AS p FROM later) GROUP BY doc_id
+), kept AS (
+  SELECT d.doc_id, len(ws) AS n_words, coalesce(len(ps), 0) AS n_removed, ws, ps FROM d LEFT JOIN gone USING (doc_id)
+), k AS (
+  SELECT doc_id, string_agg(w, ' ' ORDER BY p) AS t
+  FROM (SELECT doc_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS p FROM d) x
+  WHERE NOT EXISTS (SELECT 1 FROM (SELECT doc_id, unnest(ps) AS p FROM gone) g WHERE g.doc_id = x.doc_id AND g.p = x.p)
+  GROUP BY doc_id
+)
+SELECT doc_id, n_words::BIGINT AS n_words, n_removed::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM kept LEFT JOIN k USING (doc_id)
+"""
+
+ORACLES: dict[str, str] = {"op5_substrings": OP5, "op6_quality_rules": OP6, "op8_mixing": OP8}

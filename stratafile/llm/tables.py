@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from stratafile.session import shared_folder
 
 _STORED: list[str] = []
+_TABLES: list[str] = []
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,14 +31,25 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, tag: str, column: str, buckets: int) -> DataFrame:
+    """``df`` as a table in the warehouse, bucketed by ``column``: groups by it need no shuffle of these rows later."""
+    name = f"llm_{tag}_{uuid.uuid4().hex}"
+    df.write.format("parquet").bucketBy(buckets, column).saveAsTable(name)
+    _TABLES.append(name)
+    return df.sparkSession.table(name)
+
+
 def drop_stored(spark: SparkSession) -> int:
-    """Delete the tables of :func:`stored`; call it when the results that stand on them have been written."""
+    """Delete the tables of :func:`stored` and :func:`bucketed`; call it when the results that stand on them have been written."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     for path in _STORED:
         there = jvm.org.apache.hadoop.fs.Path(path)
         there.getFileSystem(conf).delete(there, True)
-    count = len(_STORED)
+    for name in _TABLES:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    count = len(_STORED) + len(_TABLES)
     _STORED.clear()
+    _TABLES.clear()
     return count
 
 
