@@ -1,10 +1,19 @@
-"""The corpus pipeline: quality rules, near-duplicates, repeated substrings, source mixture, packing."""
+"""The corpus pipeline: quality rules, near-duplicates, repeated substrings, source mixture, packing.
+
+Each stage reads what the one before wrote; all but the last return the columns of documents. No SQL twin is given: the
+near-duplicate and packing stages have none that works on the rows of the stage before; tests hold each stage against
+brute force.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from stratafile.llm.mixing import mixed_documents
+from stratafile.llm.near_dups import one_of_each
+from stratafile.llm.packing import pack_documents
 from stratafile.llm.quality_rules import keep_good
+from stratafile.llm.substrings import without_repeats
 from stratafile.llm.tables import stored, table
 
 
@@ -13,7 +22,35 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return keep_good(docs)
 
 
-STAGES = [("quality rules", quality)]
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates stays."""
+    return one_of_each(docs)
+
+
+def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Words of passages that start earlier elsewhere go; every document stays."""
+    return without_repeats(docs)
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A row for each repetition that the mixture takes."""
+    return mixed_documents(docs)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of token sequences with their ids."""
+    return pack_documents(docs)
+
+
+STAGES = [
+    ("quality rules", quality),
+    ("near duplicates", near_duplicates),
+    ("substring dedup", substrings),
+    ("source mixture", mixture),
+    ("packing", packing),
+]
+
+ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +58,3 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for name, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), f"stage-{name.replace(' ', '-')}")
     return docs
-
-
-ORACLE_SQL = None

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from stratafile.llm.mixing import mixing_report
+from stratafile.llm.near_dups import near_duplicates
 from stratafile.llm.packing import packing_report
 from stratafile.llm.quality_rules import quality_report
 from stratafile.llm.sql import ORACLES
@@ -16,6 +17,10 @@ from stratafile.llm.tables import table
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing_report(table(spark, sf_dir, "documents"))
 
@@ -33,6 +38,7 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_near_dups": op1_near_dups,
     "op4_packing": op4_packing,
     "op5_substrings": op5_substrings,
     "op6_quality_rules": op6_quality_rules,

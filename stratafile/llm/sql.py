@@ -73,6 +73,28 @@ WITH d AS (
 SELECT doc_id, size, source_size, target, (whole * size + greatest(0, least(size, rest - before)))::BIGINT AS taken FROM x
 """
 
+OP1 = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS ws FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, hash(array_to_string(ws[i:i+4], ' ')) AS g
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS i FROM d WHERE len(ws) > 0)
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), common AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+  SELECT x, y FROM common JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE 100 * c >= 75 * (p.n + q.n - c)
+), reach(doc_id, to_id) AS (
+  SELECT doc_id, doc_id FROM d UNION SELECT r.doc_id, l.y FROM reach r JOIN links l ON l.x = r.to_id
+), c AS (
+  SELECT doc_id, min(to_id) AS component_id FROM reach GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
+FROM c LEFT JOIN n USING (doc_id)
+"""
+
 OP5 = r"""
 WITH d AS (
   SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
@@ -95,4 +117,4 @@ SELECT doc_id, n_words::BIGINT AS n_words, n_removed::BIGINT AS n_removed, sha25
 FROM kept LEFT JOIN k USING (doc_id)
 """
 
-ORACLES: dict[str, str] = {"op5_substrings": OP5, "op6_quality_rules": OP6, "op8_mixing": OP8}
+ORACLES: dict[str, str] = {"op1_near_dups": OP1, "op5_substrings": OP5, "op6_quality_rules": OP6, "op8_mixing": OP8}
