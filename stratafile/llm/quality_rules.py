@@ -16,6 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stratafile.functions.presence import compute_once
 from stratafile.llm.tables import stored, text_or_empty
 
 SPACE = r"[ \t\n\x0B\f\r]"
@@ -115,7 +116,8 @@ def measured(docs: DataFrame, text: str = "text", rules: Rules = Rules(), out: s
     fields = [v.alias(k) for k, v in m.items()] + [base.alias("base_failed")] + [soft[k].alias(f"fails_{k}") for k in SOFT]
     points = sum((soft[k].cast("int") for k in SOFT), extreme.cast("int"))
     fields.append(points.alias("soft_failures"))
-    return df.withColumn(out, F.struct(*fields)).drop(body)
+    # a filter on the measures must not be pushed below, where it would repeat them once per use
+    return compute_once(df, **{out: F.struct(*fields)}).drop(body)
 
 
 def host_rates(df: DataFrame, host: str = "source", measures: str = "_quality", rules: Rules = Rules()) -> DataFrame:
