@@ -13,6 +13,7 @@ from stratafile.llm.quality_rules import quality_report
 from stratafile.llm.sql import ORACLES
 from stratafile.llm.substrings import substring_report
 from stratafile.llm.tables import table
+from stratafile.llm.topk import top_k_report
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +22,10 @@ def op1_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k_report(table(spark, sf_dir, "embeddings"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing_report(table(spark, sf_dir, "documents"))
 
@@ -39,6 +44,7 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_near_dups": op1_near_dups,
+    "op3_top_k": op3_top_k,
     "op4_packing": op4_packing,
     "op5_substrings": op5_substrings,
     "op6_quality_rules": op6_quality_rules,

@@ -95,6 +95,19 @@ SELECT doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, component_id, doc_id = co
 FROM c LEFT JOIN n USING (doc_id)
 """
 
+OP3 = r"""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x::DOUBLE))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.e, c.e)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 50 = 0
+)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score
+FROM s QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 5
+"""
+
 OP5 = r"""
 WITH d AS (
   SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
@@ -117,4 +130,4 @@ SELECT doc_id, n_words::BIGINT AS n_words, n_removed::BIGINT AS n_removed, sha25
 FROM kept LEFT JOIN k USING (doc_id)
 """
 
-ORACLES: dict[str, str] = {"op1_near_dups": OP1, "op5_substrings": OP5, "op6_quality_rules": OP6, "op8_mixing": OP8}
+ORACLES: dict[str, str] = {"op1_near_dups": OP1, "op3_top_k": OP3, "op5_substrings": OP5, "op6_quality_rules": OP6, "op8_mixing": OP8}
