@@ -3,15 +3,16 @@
 1. One pass over the texts gives each document the size, a 128-bit fingerprint and the sketch of its set of 5-word
    shingles. Documents with equal sets form a class; its smallest doc_id stands for it from here on, so thousands of
    copies are one member.
-2. Bands of four registers put the classes into buckets. Each member is paired with its bucket's smallest member (the
+2. Bands of five registers put the classes into buckets. Each member is paired with its bucket's smallest member (the
    hub): as many pairs as members, never all pairs of a bucket.
 3. Pairs whose sizes and registers rule the threshold out are dropped; the rest is compared on full sets. Links are
    contracted to components.
-4. Members that are still in another component than their hub's are compared with the bucket's members outside their own
-   component, so no link between different components is lost. Buckets in which many members are apart (a passage that
+4. Members that are still in another component than their hub's get a longer sketch (2048 registers) and are compared
+   with the bucket's members outside their own component, first by the lowest bits of the registers, then on full sets,
+   so no link between different components is lost. Buckets in which many members are apart (a passage that
    many documents share) are first refined: there a pair has to share two bands.
 
-A pair of similarity 0.75 shares no band with probability 3e-7, and fewer than two with 5e-6.
+A pair of similarity 0.75 shares no band with probability 8e-7, and fewer than two with 1.3e-5.
 
 Defined results: words are [^\\x20\\x09-\\x0D]+ with A-Z lower-cased; a text with fewer than 5 words has its whole sequence
 as its one shingle; null or empty text has an empty set, is linked with nothing and is its own component; rows with the
@@ -25,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratafile.llm import setsketch
@@ -35,6 +36,7 @@ from stratafile.llm.words import U64, Words, mixed, rounds, sequence_hash, windo
 SHINGLE, THRESHOLD = 5, 75  # words; percent
 #: Members apart from their hub in one bucket, from which the bucket is refined; and ids that are broadcast at most.
 CROWDED, BROADCAST_IDS = 500, 1 << 20
+BITS = [f"bits{k}" for k in range(setsketch.BIT_WORDS)]
 
 
 def shingle_sets(words: Words) -> tuple[np.ndarray, np.ndarray]:
@@ -58,7 +60,6 @@ def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     for batch in rounds(batches):
         hashes, sizes = shingle_sets(words_of(batch.column("text"), lower=True))
         full = np.flatnonzero(sizes)
-        low = np.zeros((2, len(sizes)), np.int64)
         prints: list = [None] * len(sizes)
         sketches: list = [None] * len(sizes)
         if len(full):
@@ -66,17 +67,16 @@ def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             a = np.add.reduceat(mixed(hashes, 3), starts)
             b = np.add.reduceat(mixed(hashes, 5), starts)
             marks, regs = np.stack([a, b], 1), setsketch.registers(hashes, starts)
-            low[:, full] = setsketch.low_bits(regs)
             for k, i in enumerate(full.tolist()):
                 prints[i], sketches[i] = marks[k].tobytes(), regs[k].tobytes()
-        columns = [batch.column("doc_id"), pa.array(sizes), pa.array(prints, pa.binary()), pa.array(sketches, pa.binary()), pa.array(low[0]), pa.array(low[1])]
-        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "fingerprint", "sketch", "bits0", "bits1"])
+        columns = [batch.column("doc_id"), pa.array(sizes), pa.array(prints, pa.binary()), pa.array(sketches, pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "fingerprint", "sketch"])
 
 
 def sketches(docs: DataFrame) -> DataFrame:
     """doc_id, size, fingerprint and sketch of each row's shingle set; the last two are null for an empty set."""
     rows = docs.selectExpr("cast(doc_id as bigint) as doc_id", "cast(text as string) as text")
-    return rows.mapInArrow(_sketch_batches, "doc_id bigint, n_shingles bigint, fingerprint binary, sketch binary, bits0 bigint, bits1 bigint")
+    return rows.mapInArrow(_sketch_batches, "doc_id bigint, n_shingles bigint, fingerprint binary, sketch binary")
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -139,14 +139,26 @@ def _link_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield batch.select(["a", "b"]).filter(pa.array(good))
 
 
-def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+def _bit_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        parts = [np.frombuffer(b.as_buffer(), U64) for b in batch.column("hashes")]
+        sizes = np.array([len(x) for x in parts])
+        at = 0
+        while at < len(parts):  # in rounds of bounded size
+            to = max(at + 1, at + int(np.searchsorted(np.cumsum(sizes[at:]), 1 << 19)))
+            starts = np.append(0, np.cumsum(sizes[at:to])[:-1])
+            bits = setsketch.low_bits(np.concatenate(parts[at:to]), starts)
+            columns = [batch.column("node").slice(at, to - at), pa.array(sizes[at:to])]
+            columns += [pa.array(np.ascontiguousarray(bits[:, k])) for k in range(setsketch.BIT_WORDS)]
+            yield pa.RecordBatch.from_arrays(columns, ["node", "n_shingles", *BITS])
+            at = to
+
+
+def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Pairs (a, b) whose full sets are alike enough."""
-    pairs = stored(pairs, "pairs")
-    nodes = stored(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "nodes")
-    sets = stored(full_sets(docs, nodes), "sets")
     for side in ("b", "a"):
         pairs = pairs.join(sets.select(F.col("node").alias(side), F.col("hashes").alias(f"hashes_{side}")), side)
-    return stored(pairs.mapInArrow(_link_batches, "a bigint, b bigint").distinct(), "links")
+    return pairs.mapInArrow(_link_batches, "a bigint, b bigint").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -178,18 +190,19 @@ def _follow(pointers: DataFrame, step: DataFrame, node: str, to: str) -> DataFra
     return pointers.join(on, to, "left").select(node, F.coalesce("_next", to).alias(to))
 
 
-def _bits(a: str, b: str) -> Column:
-    return F.bit_count(F.col(f"{a}0").bitwiseXOR(F.col(f"{b}0"))) + F.bit_count(F.col(f"{a}1").bitwiseXOR(F.col(f"{b}1")))
+def _differing(one: str, two: str) -> Column:
+    counts = [F.bit_count(F.col(f"{one}_{b}").bitwiseXOR(F.col(f"{two}_{b}"))) for b in BITS]
+    return sum(counts[1:], counts[0])
 
 
-def cross_pairs(members: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs of one bucket whose components differ and whose low register bits don't rule the threshold out.
+def cross_pairs(members: DataFrame, bits: DataFrame) -> DataFrame:
+    """Pairs of one bucket whose components differ and whose sizes and register bits don't rule the threshold out.
 
-    members: key, node, component, hub_component. Of such a pair at least one is apart from the hub's component; those
-    members are joined with the bucket's others. Pairs inside the hub's component, the mass of a large group of copies,
-    are never looked at.
+    members: key, node, component, hub_component, earlier (the node's keys of other buckets that come first). Of such a
+    pair at least one is apart from the hub's component; those members are joined with the bucket's others. Pairs inside
+    the hub's component, the mass of a large group of copies, are never looked at, and a pair that shares several buckets
+    is taken in the first.
     """
-    bits = classes.select("node", "n_shingles", "bits0", "bits1")
     rows = stored(members.join(bits, "node"), "members")
     one, two = (rows.select("key", *[F.col(c).alias(f"{s}_{c}") for c in rows.columns if c != "key"]) for s in ("x", "y"))
     one = one.where("x_component <> x_hub_component")
@@ -198,36 +211,38 @@ def cross_pairs(members: DataFrame, classes: DataFrame) -> DataFrame:
         (F.col("x_component") != F.col("y_component"))
         & ((F.col("y_component") == F.col("y_hub_component")) | (F.col("x_node") < F.col("y_node")))
         & (100 * small >= THRESHOLD * large)
-        & (_bits("x_bits", "y_bits") <= setsketch.MAX_BITS)
+        & (_differing("x", "y") <= setsketch.MAX_BITS)
+        & ~F.arrays_overlap("x_earlier", "y_earlier")
     )
     pairs = one.join(two, "key").where(test)
     return pairs.select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct()
 
 
-def leftover_pairs(members: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs that share a bucket but not yet a component."""
+def leftover(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """The members of buckets that hold more than one component: key, node, component, hub_component, earlier."""
     for side in ("node", "hub"):
         own = labels.select(F.col("node").alias(side), F.col("component").alias(f"{side}_component"))
         members = members.join(own, side, "left").withColumn(f"{side}_component", F.coalesce(f"{side}_component", side))
     members = members.select("key", "node", F.col("node_component").alias("component"), "hub_component")
     apart = members.groupBy("key").agg(F.sum((F.col("component") != F.col("hub_component")).cast("int")).alias("apart"))
-    mixed_buckets = stored(members.join(apart.where("apart > 0"), "key"), "mixed")
-    plain = mixed_buckets.where(F.col("apart") <= CROWDED).drop("apart")
-    # a member's crowded buckets are at most as many as there are bands
-    crowded = mixed_buckets.where(F.col("apart") > CROWDED).groupBy("node", "component").agg(F.sort_array(F.collect_set("key")).alias("keys"))
+    rows = stored(members.join(apart.where("apart > 0"), "key"), "mixed")
+    # a member's buckets are at most as many as there are bands
+    by_node = Window.partitionBy("node").orderBy("key").rowsBetween(Window.unboundedPreceding, -1)
+    plain = rows.where(F.col("apart") <= CROWDED).withColumn("earlier", F.collect_list("key").over(by_node)).drop("apart")
+    crowded = rows.where(F.col("apart") > CROWDED).groupBy("node", "component").agg(F.sort_array(F.collect_set("key")).alias("keys"))
     first = crowded.select("node", "component", F.posexplode("keys").alias("at", "one"), "keys")
     twice = first.select("node", "component", "one", F.explode(F.slice("keys", F.col("at") + 2, F.size("keys"))).alias("two"))
     twice = stored(twice.select(F.xxhash64("one", "two").alias("key"), "node", "component"), "refined")
     hubs = twice.groupBy("key").agg(F.min(F.struct("node", "component")).alias("hub"), F.min("component").alias("low"), F.max("component").alias("high"))
     hubs = hubs.where("low <> high").select("key", F.col("hub.component").alias("hub_component"))
-    refined = twice.join(hubs, "key").select("key", "node", "component", "hub_component")
-    return cross_pairs(plain.unionByName(refined), classes)
+    refined = twice.join(hubs, "key").withColumn("earlier", F.array().cast("array<bigint>"))
+    return stored(plain.unionByName(refined), "leftover")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id and kept, one row per row of ``docs`` (columns doc_id and text are read)."""
     rows = stored(sketches(docs), "sketches")
-    of_class = ["fingerprint", "n_shingles", "sketch", "bits0", "bits1"]
+    of_class = ["fingerprint", "n_shingles", "sketch"]
     full = rows.where("doc_id is not null and fingerprint is not null")
     classes = stored(full.groupBy(*of_class).agg(F.min("doc_id").alias("node")), "classes")
     node_of = classes.select("fingerprint", "n_shingles", "node")
@@ -236,7 +251,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     hubs = bands.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("last")).where("hub <> last")
     members = stored(bands.join(hubs.drop("last"), "key").distinct(), "bands")
     first = members.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
-    links = verified(plausible_pairs(first, classes), docs)
+    pairs = stored(plausible_pairs(first, classes), "pairs")
+    nodes = stored(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "nodes")
+    links = stored(verified(pairs, stored(full_sets(docs, nodes), "sets")), "links")
 
     # one doc_id with several texts: its classes are one document
     marked = full.select("doc_id", "fingerprint", "n_shingles", F.xxhash64("fingerprint").alias("mark"))
@@ -245,8 +262,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     known = links.union(same)
     labels = components(known)
-    more = verified(plausible_pairs(leftover_pairs(members, labels, classes), classes), docs)
-    labels = components(known.union(more))
+    apart = leftover(members, labels)
+    sets = stored(full_sets(docs, stored(apart.select("node").distinct(), "nodes")), "sets")
+    bits = stored(sets.mapInArrow(_bit_batches, ", ".join(["node bigint, n_shingles bigint", *[f"{b} bigint" for b in BITS]])), "bits")
+    more = verified(stored(cross_pairs(apart, bits), "pairs"), sets)
+    labels = components(stored(known.union(more), "known"))
 
     ids = rows.select("doc_id", "n_shingles", "fingerprint").join(node_of, ["fingerprint", "n_shingles"], "left")
     ids = ids.join(labels, "node", "left")

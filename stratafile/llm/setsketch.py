@@ -13,18 +13,22 @@ from stratafile.llm.words import U64, mixed
 
 #: Base, rate and largest register value: registers fit 16 bits, and at this base unrelated sets rarely share one.
 B, A, Q = 1.001, 20.0, (1 << 16) - 2
-BANDS, ROWS = 40, 4
+BANDS, ROWS = 52, 5
 REGISTERS = BANDS * ROWS
 
-_XORS = mixed(np.arange(1, REGISTERS + 1, dtype=U64), 11)
-_MULTIPLIERS = mixed(np.arange(1, REGISTERS + 1, dtype=U64), 13) | U64(1)
+#: Words of 64 low register bits that tell close pairs of a bucket apart, from a longer sketch of the few documents that
+#: need it; and how many may differ: a pair of similarity 0.75 has 256 that do, with a deviation of 15.
+BIT_WORDS, MAX_BITS = 32, 331
 
+_XORS = mixed(np.arange(1, 64 * BIT_WORDS + 1, dtype=U64), 11)
+_MULTIPLIERS = mixed(np.arange(1, 64 * BIT_WORDS + 1, dtype=U64), 13) | U64(1)
 
-def registers(hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
+
+def registers(hashes: np.ndarray, starts: np.ndarray, count: int = REGISTERS) -> np.ndarray:
     """Sketches of consecutive, non-empty sets of 64-bit hashes; set i begins at starts[i]. Repeats change nothing."""
-    out = np.empty((len(starts), REGISTERS), np.uint16)
+    out = np.empty((len(starts), count), np.uint16)
     scratch = np.empty_like(hashes)
-    for i in range(REGISTERS):
+    for i in range(count):
         np.bitwise_xor(hashes, _XORS[i], out=scratch)
         np.multiply(scratch, _MULTIPLIERS[i], out=scratch)
         least = np.minimum((np.minimum.reduceat(scratch, starts).astype(np.float64) + 0.5) / 2.0**64, 1 - 2.0**-53)
@@ -47,14 +51,9 @@ def band_keys(sketches: np.ndarray) -> np.ndarray:
     return mixed(key ^ mixed(np.arange(BANDS, dtype=U64), 17)[None, :], 19)
 
 
-def low_bits(sketches: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The lowest bits of the first 128 registers as two 64-bit words: they differ in (1 - J) / 2 of the places."""
-    bits = np.packbits((sketches[:, :128] & 1).astype(np.uint8), axis=1).view("<i8")
-    return bits[:, 0], bits[:, 1]
-
-
-#: Differing bits among 128 that a pair of similarity 0.75 exceeds once in 10**6 (mean 16, deviation 3.7).
-MAX_BITS = 36
+def low_bits(hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """The lowest bits of a long sketch, in words: those of two sets differ in (1 - J) / 2 of the places."""
+    return np.packbits((registers(hashes, starts, 64 * BIT_WORDS) & 1).astype(np.uint8), axis=1).view("<i8")
 
 
 def _p(x: np.ndarray) -> np.ndarray:
