@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from stratafile.llm.byte_cnn import quality_scores
 from stratafile.llm.mixing import mixing_report
 from stratafile.llm.near_dups import near_duplicates
 from stratafile.llm.packing import packing_report
@@ -22,6 +23,10 @@ def op1_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k_report(table(spark, sf_dir, "embeddings"))
 
@@ -44,6 +49,7 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_near_dups": op1_near_dups,
+    "op2_quality": op2_quality,
     "op3_top_k": op3_top_k,
     "op4_packing": op4_packing,
     "op5_substrings": op5_substrings,
