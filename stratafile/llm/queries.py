@@ -15,6 +15,7 @@ from stratafile.llm.sql import ORACLES
 from stratafile.llm.substrings import substring_report
 from stratafile.llm.tables import table
 from stratafile.llm.topk import top_k_report
+from stratafile.llm.toxicity import toxicity_report
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -47,6 +48,10 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing_report(table(spark, sf_dir, "documents"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_near_dups": op1_near_dups,
     "op2_quality": op2_quality,
@@ -55,6 +60,7 @@ QUERIES: dict[str, Query] = {
     "op5_substrings": op5_substrings,
     "op6_quality_rules": op6_quality_rules,
     "op8_mixing": op8_mixing,
+    "op9_toxicity": op9_toxicity,
 }
 
 __all__ = ["ORACLES", "QUERIES"]
