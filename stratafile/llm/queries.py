@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from stratafile.llm.byte_cnn import quality_scores
+from stratafile.llm.edit_counts import token_count_report
+from stratafile.llm.licenses import license_report
 from stratafile.llm.mixing import mixing_report
 from stratafile.llm.near_dups import near_duplicates
 from stratafile.llm.packing import packing_report
@@ -44,6 +46,10 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(table(spark, sf_dir, "documents"))
 
 
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_report(table(spark, sf_dir, "documents"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing_report(table(spark, sf_dir, "documents"))
 
@@ -52,6 +58,10 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_count_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_near_dups": op1_near_dups,
     "op2_quality": op2_quality,
@@ -59,8 +69,10 @@ QUERIES: dict[str, Query] = {
     "op4_packing": op4_packing,
     "op5_substrings": op5_substrings,
     "op6_quality_rules": op6_quality_rules,
+    "op7_licenses": op7_licenses,
     "op8_mixing": op8_mixing,
     "op9_toxicity": op9_toxicity,
+    "op10_token_counts": op10_token_counts,
 }
 
 __all__ = ["ORACLES", "QUERIES"]
