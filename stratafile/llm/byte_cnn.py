@@ -54,13 +54,18 @@ def _columns(net: Network, piece: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(windows.transpose(0, 2, 1)).reshape(len(windows), WIDTH * EMBED)
 
 
-def half_maxima(net: Network, buffer: np.ndarray, halves: int, where: bool = False):
-    """Largest response of each filter in each half; with ``where`` also its position in the half."""
+def half_maxima(net: Network, buffer: np.ndarray, first: np.ndarray, where: bool = False):
+    """Largest response of each filter in each half; with ``where`` also its position in the half. Windows that reach
+    from the padding of a text into the next don't count."""
+    halves = int(first[-1])
+    last = np.zeros(halves, bool)
+    last[first[1:] - 1] = True
     top, at = np.empty((halves, FILTERS), np.float32), np.empty((halves, FILTERS), np.int64)
     for a in range(0, halves, PIECE):
         b = min(a + PIECE, halves)
         piece = buffer[a * HALF : b * HALF + WIDTH - STEP]
         response = (_columns(net, piece) @ net["filters"]).reshape(b - a, HALF // STEP, FILTERS)
+        response[last[a:b], 1 - WIDTH // STEP :] = -np.inf
         if where:
             at[a:b] = response.argmax(1)
             top[a:b] = np.take_along_axis(response, at[a:b, None], 1)[:, 0]
@@ -86,14 +91,13 @@ def logits(net: Network, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     if len(offsets) < 2:
         return np.zeros(0)
     buffer, first = padded(data, offsets)
-    return forward(net, half_maxima(net, buffer, int(first[-1])), first)[0]
+    return forward(net, half_maxima(net, buffer, first), first)[0]
 
 
 def gradients(net: Network, data: np.ndarray, offsets: np.ndarray, y: np.ndarray) -> tuple[Network, float]:
     """Of the mean log loss. Max-pooling sends each text's error to few positions, so the way back is cheap."""
     buffer, first = padded(data, offsets)
-    halves = int(first[-1])
-    top, at = half_maxima(net, buffer, halves, where=True)
+    top, at = half_maxima(net, buffer, first, where=True)
     z, (take_next, chunk, hidden, pooled) = forward(net, top, first)
     p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
     error = ((p - y) / len(y)).astype(np.float32)
