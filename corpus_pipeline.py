@@ -1,12 +1,15 @@
 """The corpus pipeline: quality rules, near-duplicates, repeated substrings, source mixture, packing.
 
-Each stage reads what the one before wrote; all but the last return the columns of documents. No SQL twin is given: the
+Each stage reads what the one before wrote; all but the last return the columns of documents. When a stage begins, the
+result of the one before is written, so the tables that stood behind it are dropped. No SQL twin is given: the
 near-duplicate and packing stages have none that works on the rows of the stage before; tests hold each stage against
 brute force.
 """
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 
 from stratafile.llm.mixing import mixed_documents
@@ -14,29 +17,48 @@ from stratafile.llm.near_dups import one_of_each
 from stratafile.llm.packing import pack_documents
 from stratafile.llm.quality_rules import keep_good
 from stratafile.llm.substrings import without_repeats
-from stratafile.llm.tables import stored, table
+from stratafile.llm.tables import drop_stored, scope, stored, table
+
+SCOPE = "pipeline stage"
+
+
+def alone(stage):
+    """A stage that drops what the stage before has left and whose own tables the next one drops."""
+
+    @functools.wraps(stage)
+    def run_alone(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        drop_stored(spark, SCOPE)
+        with scope(SCOPE):
+            return stage(spark, docs, sf_dir)
+
+    return run_alone
 
 
+@alone
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go."""
     return keep_good(docs)
 
 
+@alone
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays."""
     return one_of_each(docs)
 
 
+@alone
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Words of passages that start earlier elsewhere go; every document stays."""
     return without_repeats(docs)
 
 
+@alone
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A row for each repetition that the mixture takes."""
     return mixed_documents(docs)
 
 
+@alone
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of token sequences with their ids."""
     return pack_documents(docs)

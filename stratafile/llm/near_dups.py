@@ -118,9 +118,7 @@ def _set_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def full_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """The full shingle sets of the documents whose ids are in ``nodes``; those are sent around only up to a size."""
     rows = docs.selectExpr("cast(doc_id as bigint) as node", "cast(text as string) as text")
-    if nodes.count() <= BROADCAST_IDS:
-        nodes = F.broadcast(nodes)
-    return rows.join(nodes, "node").mapInArrow(_set_batches, "node bigint, hashes binary").distinct()
+    return rows.join(_sent(nodes), "node").mapInArrow(_set_batches, "node bigint, hashes binary").distinct()
 
 
 def _link_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -278,10 +276,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The documents that stay, one of each component, with their columns. Rows without doc_id all stay."""
     found = stored(near_duplicates(docs), "found").where("doc_id is not null")
-    counts = found.groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n")).where("kept")
-    counts = stored(counts.select(F.col("doc_id").alias("_kept_id"), "n"), "kept")
-    on = docs["doc_id"].cast("bigint") == F.col("_kept_id")
-    once = docs.join(counts.where("n = 1").select("_kept_id"), on, "left_semi")
+    counts = found.groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
+    apart = stored(counts.where("not kept or n > 1").select(F.col("doc_id").alias("_apart_id"), "kept"), "apart")
+    on = docs["doc_id"].cast("bigint") == F.col("_apart_id")
+    once = docs.join(_sent(apart.select("_apart_id")), on, "left_anti")
     # rows that share a doc_id: one of them stays
-    again = docs.join(counts.where("n > 1").select("_kept_id"), on, "left_semi").dropDuplicates(["doc_id"])
-    return once.unionByName(again).unionByName(docs.where("doc_id is null")).select(*docs.columns)
+    again = docs.join(_sent(apart.where("kept").select("_apart_id")), on, "left_semi").dropDuplicates(["doc_id"])
+    return once.unionByName(again)
+
+
+def _sent(ids: DataFrame) -> DataFrame:
+    """Ids of a stored table for a join: broadcast if they are few enough, else left to a shuffle."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids

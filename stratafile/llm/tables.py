@@ -3,14 +3,28 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratafile.session import shared_folder
 
-_STORED: list[str] = []
-_TABLES: list[str] = []
+#: What has been written, by scope: paths of stored tables and names of bucketed ones.
+_WRITTEN: dict[str, list[tuple[str, str]]] = {}
+_scope = "session"
+
+
+@contextmanager
+def scope(name: str) -> Iterator[None]:
+    """Tables written inside belong to this scope, so they can be dropped apart from all others."""
+    global _scope
+    before, _scope = _scope, name
+    try:
+        yield
+    finally:
+        _scope = before
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,12 +36,12 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
     """``df`` written to the shared folder and read again.
 
     This cuts the lineage without a copy on one executor, and later plans know the size of what was written.
-    :func:`drop_stored` removes all such tables of the session.
+    Once the results are written, :func:`drop_stored` removes such tables.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/llm-{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    _STORED.append(path)
+    _WRITTEN.setdefault(_scope, []).append(("path", path))
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -35,22 +49,22 @@ def bucketed(df: DataFrame, tag: str, column: str, buckets: int) -> DataFrame:
     """``df`` as a table in the warehouse, bucketed by ``column``: groups by it need no shuffle of these rows later."""
     name = f"llm_{tag}_{uuid.uuid4().hex}"
     df.write.format("parquet").bucketBy(buckets, column).saveAsTable(name)
-    _TABLES.append(name)
+    _WRITTEN.setdefault(_scope, []).append(("table", name))
     return df.sparkSession.table(name)
 
 
-def drop_stored(spark: SparkSession) -> int:
-    """Delete the tables of :func:`stored` and :func:`bucketed`; call it when the results that stand on them have been written."""
+def drop_stored(spark: SparkSession, name: str = "session") -> int:
+    """Delete what :func:`stored` and :func:`bucketed` wrote in a scope; call it when the results that stand on those
+    tables have been written."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    for path in _STORED:
-        there = jvm.org.apache.hadoop.fs.Path(path)
-        there.getFileSystem(conf).delete(there, True)
-    for name in _TABLES:
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
-    count = len(_STORED) + len(_TABLES)
-    _STORED.clear()
-    _TABLES.clear()
-    return count
+    written = _WRITTEN.pop(name, [])
+    for kind, what in written:
+        if kind == "table":
+            spark.sql(f"DROP TABLE IF EXISTS {what}")
+        else:
+            there = jvm.org.apache.hadoop.fs.Path(what)
+            there.getFileSystem(conf).delete(there, True)
+    return len(written)
 
 
 def text_or_empty(column: str = "text") -> Column:
