@@ -13,7 +13,6 @@ MAX_PAGE_SIZE = 1000
 MAX_REVISION_PAGE = 200
 DEFAULT_RETRY_AFTER = 60
 CHANNEL_HOURS = 23
-ERROR_TEXT_CHARS = 500
 UNTITLED = "(Untitled)"
 # End of fixed values.
 
@@ -184,13 +183,15 @@ def is_retriable(name: Column) -> Column:
     return name.isin(RETRIABLE_CLASSES)
 
 
-def api_error_body(body: Column) -> Column:
-    """The ``error`` object of a JSON body, else the whole JSON body, else the first characters of the text."""
+def api_error_body(body: Column, most: int | None = None) -> Column:
+    """The ``error`` object of a JSON body, else the whole JSON body, else the text (its first ``most`` characters, if
+    that is given)."""
+    text = body if most is None else F.left(body, F.lit(most))
     parsed = F.get_json_object(body, "$")
     return (
         F.when(F.coalesce(body, F.lit("")) == "", F.lit("Unknown error"))
         .when(parsed.isNotNull(), F.coalesce(F.get_json_object(body, "$.error"), body))
-        .otherwise(F.left(body, F.lit(ERROR_TEXT_CHARS)))
+        .otherwise(text)
     )
 
 

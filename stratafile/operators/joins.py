@@ -134,12 +134,17 @@ def resolve_connections(webhooks: DataFrame, connections: DataFrame) -> DataFram
 
 
 def changes_after_cursor(
-    changes: DataFrame, cursors: DataFrame, start: int = 0, hot: list[str] | None = None, spread: str | None = None
+    changes: DataFrame, cursors: DataFrame, starts: DataFrame, hot: list[str] | None = None, spread: str | None = None
 ) -> DataFrame:
-    """Changes at or after the stored cursor of their connection; without a cursor from ``start`` on."""
-    stored = cursors.select("connection_id", F.col("cursor").alias("_cursor"))
+    """Changes at or after the stored cursor of their connection.
+
+    A connection without one starts at its newest token (``starts``: ``connection_id, start_cursor``), so it sees only
+    what changes from then on; one that has neither gets nothing.
+    """
+    first = starts.select("connection_id", F.col("start_cursor").alias("_start"))
+    stored = first.join(cursors.select("connection_id", F.col("cursor").alias("_cursor")), "connection_id", "full")
     joined = lookup_join(changes, stored, "connection_id", hot, spread)
-    return joined.where(F.col("page_no") >= F.coalesce(F.col("_cursor"), F.lit(start))).drop("_cursor")
+    return joined.where(F.col("page_no") >= F.coalesce("_cursor", "_start")).drop("_cursor", "_start")
 
 
 def live_files(catalog: DataFrame, latest_changes: DataFrame, file_id: str = "id") -> DataFrame:

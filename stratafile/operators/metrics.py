@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from stratafile.functions import scalars as S
+
 # Monitoring goals.
 ALERT_LIMITS = {"consumer_lag": 1000, "error_rate": 0.01, "p95_seconds": 5.0, "dead_letters": 100, "quota_share": 0.8}
 USER_QUOTA = 1000
@@ -51,9 +53,10 @@ def change_batch_summary(changes: DataFrame, page: list[str], yielded: Column) -
 
 
 def api_calls_by_code(calls: DataFrame) -> DataFrame:
+    """Calls and errors per endpoint and status; a call without a status is a network error."""
     return calls.groupBy("endpoint", "status_code").agg(
         F.count("*").alias("calls"),
-        F.count_if(F.col("status_code") >= 400).alias("errors"),
+        F.count_if(S.error_class(F.col("status_code")).isNotNull()).alias("errors"),
     )
 
 

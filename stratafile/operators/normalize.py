@@ -344,14 +344,16 @@ def reply_counts(messages: DataFrame) -> DataFrame:
 def assemble_replies(messages: DataFrame, chunk: int = 1000) -> DataFrame:
     """Replies of each comment as arrays in turn order, at most ``chunk`` replies each.
 
-    A thread with more replies gives several rows, numbered by ``chunk``, so no group grows with the thread.
+    A thread with more replies gives several rows, numbered by ``chunk``, so no group grows with the thread. Each row
+    has the comment's whole ``reply_count``.
     """
     replies = messages.where(F.col("turn") > 0)
+    counts = reply_counts(messages).select("comment_id", "reply_count")
     ordered = F.sort_array(F.collect_list(F.struct("turn", "author", "content")))
     return (
         replies.groupBy("comment_id", F.floor((F.col("turn") - 1) / F.lit(chunk)).cast("bigint").alias("chunk"))
         .agg(ordered.alias("replies"))
-        .withColumn("reply_count", F.size("replies"))
+        .join(counts, "comment_id")
     )
 
 

@@ -52,13 +52,13 @@ def api_errors(calls: DataFrame, cfg: DriveConfig, keep: tuple[str, ...] = ()) -
     status = F.col("status_code")
     name = S.error_class(status)
     message = (
-        F.when(status.isNull(), F.lit("Network error calling the API"))
-        .when(status == 429, F.lit("Rate limit exceeded"))
-        .when(status.isin(401, 403), F.concat(F.lit("Authentication failed with status "), status.cast("string")))
-        .when(status >= 500, F.concat(F.lit("API error: "), status.cast("string")))
+        F.when(status.isNull(), F.lit("no answer from the API"))
+        .when(status == 429, F.lit("throttled by the API"))
+        .when(status.isin(401, 403), F.concat(F.lit("credentials refused, status "), status.cast("string")))
+        .when(status >= 500, F.concat(F.lit("server failure, status "), status.cast("string")))
         .otherwise(
             F.concat(
-                F.lit("Client error: "),
+                F.lit("request refused, status "),
                 status.cast("string"),
                 F.lit(" - "),
                 F.coalesce(F.get_json_object(S.api_error_body(F.col("body")), "$.message"), S.api_error_body(F.col("body"))),

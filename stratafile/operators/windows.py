@@ -20,7 +20,7 @@ def running_total(
 
     Rows are range-partitioned by (key, order), so a hot key spans many partitions; each partition sums its own rows
     and adds the sum of the partitions before it. The partitioned rows are checkpointed, because both passes must see
-    the same boundaries. ``order`` must be unique within a key.
+    the same boundaries. Null keys are a key of their own; rows equal in ``order`` follow each other in some order.
     """
     spread = df.withColumn("_value", value).repartitionByRange(*[F.col(c) for c in [*keys, *order]])
     spread = checkpointed(spread.withColumn("_part", F.spark_partition_id()))
@@ -36,10 +36,16 @@ def running_total(
     local = (
         Window.partitionBy(*keys, "_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
+    # keys may be null, so the offsets are matched null-safely
+    matched = offsets.select(*[F.col(k).alias(f"_key_{k}") for k in keys], F.col("_part").alias("_of"), "_offset", "_total")
+    same = F.col("_part") == F.col("_of")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_key_{k}"))
     result = (
         spread.withColumn("_local", F.sum("_value").over(local))
-        .join(offsets, [*keys, "_part"])
+        .join(matched, same)
         .withColumn(out, F.col("_local") + F.col("_offset"))
+        .drop(*[f"_key_{k}" for k in keys], "_of")
     )
     if total:
         result = result.withColumn(total, F.col("_total"))

@@ -12,6 +12,8 @@ from stratafile.plans import facts
 from stratafile.session import shared_folder
 
 
+#: Rows of a landed file at most.
+LANDED_ROWS = 20_000
 _LANDED: dict[tuple[str, str, str], str] = {}
 
 
@@ -20,8 +22,8 @@ def landed(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], Data
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _LANDED:
         path = f"{shared_folder(spark).rstrip('/')}/landed-{uuid.uuid4().hex}/{name}"
-        # A feed lands many files; the small test tables are single files, which only one task could read.
-        build().repartition(spark.sparkContext.defaultParallelism).write.parquet(path)
+        # Files of bounded size, as a feed lands them; the input's partitions decide how many tasks write.
+        build().write.option("maxRecordsPerFile", LANDED_ROWS).parquet(path)
         _LANDED[key] = path
     return spark.read.parquet(_LANDED[key])
 

@@ -259,7 +259,8 @@ SELECT comment_id, count(*) FILTER (WHERE turn > 0) AS reply_count, CAST(sum(CAS
   arg_max(author, turn) FILTER (WHERE turn > 0) AS last_reply_author FROM comments GROUP BY 1""")
 
 sql("A12_assembled_replies", ["comments"], """
-SELECT comment_id, (turn - 1) // 3 AS chunk, string_agg(author || ':' || md5(content), ';' ORDER BY turn) AS replies, count(*) AS reply_count
+SELECT comment_id, (turn - 1) // 3 AS chunk, string_agg(author || ':' || md5(content), ';' ORDER BY turn) AS replies,
+  CAST(sum(count(*)) OVER (PARTITION BY comment_id) AS BIGINT) AS reply_count
 FROM comments WHERE turn > 0 GROUP BY 1, 2""")
 
 sql("P15_reply_rows", ["comments"], """
@@ -281,17 +282,18 @@ CURSORS = """, cur AS (
   SELECT connection_id, TRY_CAST(nullif(value, '') AS BIGINT) AS cursor FROM (
     SELECT *, row_number() OVER (PARTITION BY connection_id ORDER BY updated_at DESC, seq DESC) AS rn FROM state WHERE key = 'drive_page_token')
   WHERE rn = 1 AND value <> '')
+, st AS (SELECT connection_id, max(page_no) + 1 AS start_cursor FROM changes GROUP BY 1)
 """
 sql("Q09_changes", ["changes", "state"], CURSORS + """
 SELECT c.connection_id, page_no, seq, file_id, coalesce(raw_change_type, 'file') AS change_type, shared_drive
-FROM changes c LEFT JOIN cur USING (connection_id) WHERE page_no >= coalesce(cursor, 0) AND NOT removed AND NOT shared_drive""")
+FROM changes c JOIN st USING (connection_id) LEFT JOIN cur USING (connection_id) WHERE page_no >= coalesce(cursor, start_cursor) AND NOT removed AND NOT shared_drive""")
 
 WEBHOOK = """, wh AS (
   SELECT w.*,
-    CASE WHEN concat_ws(', ', CASE WHEN no_customer THEN 'customer_id' END) <> '' THEN 'Missing required fields in webhook message: customer_id'
-         WHEN payload_is_text THEN 'Webhook payload must be a dictionary'
-         WHEN NOT has_channel THEN 'Missing channel ID in webhook payload'
-         WHEN kind <> 'drive#stop' AND NOT has_uri THEN 'Missing resourceUri in webhook payload' END AS error,
+    CASE WHEN concat_ws(', ', CASE WHEN no_customer THEN 'customer_id' END) <> '' THEN 'absent in notification: customer_id'
+         WHEN payload_is_text THEN 'payload is no object'
+         WHEN NOT has_channel THEN 'payload names no channel'
+         WHEN kind <> 'drive#stop' AND NOT has_uri THEN 'payload names no resource' END AS error,
     CASE WHEN payload_is_text THEN NULL ELSE email END AS mail,
     message_connection_id IN ('unknown', 'pending_lookup') AS lookup,
     CASE WHEN payload_is_text OR NOT has_uri OR tokenless THEN NULL ELSE 'p/' || page_no END AS token
@@ -351,9 +353,9 @@ SELECT {SYNC_OUT.replace('customer_id', 'customer_id', 1)}, 'full_sync' AS trigg
 sql("Q12_incremental", ["files", "connections", "changes", "state"], LIGHT + CURSORS + f""", rows AS (
   SELECT l.* EXCLUDE (connection_id, customer_id), ch.connection_id, c.customer_id, ch.page_no, ch.seq, coalesce(raw_change_type, 'file') AS change_type,
     {HAS_EXPORT} AS has_export
-  FROM changes ch JOIN light l ON l.doc_id = ch.doc_id LEFT JOIN cur ON cur.connection_id = ch.connection_id
+  FROM changes ch JOIN light l ON l.doc_id = ch.doc_id LEFT JOIN cur ON cur.connection_id = ch.connection_id JOIN st ON st.connection_id = ch.connection_id
   LEFT JOIN connections c ON c.connection_id = ch.connection_id
-  WHERE ch.page_no >= coalesce(cur.cursor, 0) AND NOT ch.removed AND ch.file_state = 'file' AND light_bad IS NULL
+  WHERE ch.page_no >= coalesce(cur.cursor, st.start_cursor) AND NOT ch.removed AND ch.file_state = 'file' AND light_bad IS NULL
     AND CASE WHEN light_type = 'folder' THEN coalesce(c.sync_folders, true) ELSE coalesce(c.sync_files, true) END)
 SELECT page_no, seq, {SYNC_OUT}, 'incremental' AS trigger_type, change_type, has_export AS has_content,
   CASE WHEN has_export THEN octet_length(encode(text)) ELSE 0 END AS content_size_bytes FROM rows""")
@@ -405,8 +407,8 @@ sql("X13_validate_fetch", ["commands"], MSG + """
 SELECT message_id, fetch_error AS error_field, coalesce(resource_type, 'files') AS resource_type,
   CASE WHEN NOT as_jsonrpc OR max_results IS NULL THEN 100 ELSE least(greatest(max_results, 1), 1000) END AS page_size FROM m4""")
 sql("X14_validate_trigger", ["commands"], MSG + """
-SELECT message_id_out AS message_id, CASE WHEN missing <> '' THEN 'Missing required fields: ' || missing
-  WHEN trigger_type NOT IN ('full_sync', 'incremental', 'poll') THEN 'Invalid trigger_type: ' || trigger_type || '. Must be one of: full_sync, incremental, poll' END AS error
+SELECT message_id_out AS message_id, CASE WHEN missing <> '' THEN 'absent: ' || missing
+  WHEN trigger_type NOT IN ('full_sync', 'incremental', 'poll') THEN 'unknown trigger ' || trigger_type || ' (known: full_sync, incremental, poll)' END AS error
 FROM (SELECT message_id AS message_id_out, concat_ws(', ', CASE WHEN as_jsonrpc THEN 'message_id' END, CASE WHEN as_jsonrpc OR NOT has_customer THEN 'customer_id' END,
   CASE WHEN as_jsonrpc THEN 'integration_id' END, CASE WHEN as_jsonrpc OR connection_state = 'absent' THEN 'integration_connection_id' END,
   CASE WHEN as_jsonrpc OR trigger_type IS NULL THEN 'trigger_type' END) AS missing, trigger_type FROM m4)""")
@@ -437,16 +439,16 @@ sql("K02_api_errors", ["calls"], """
 SELECT event_id, connection_id, CASE WHEN status_code IS NULL OR status_code IN (429, 503) THEN 'retriable' ELSE 'terminal' END AS error_type,
   CASE status_code WHEN 429 THEN 'RATELIMITERROR' WHEN 503 THEN 'RETRIABLEERROR' WHEN 401 THEN 'AUTHENTICATIONERROR' WHEN 404 THEN 'TERMINALERROR' ELSE 'RETRIABLEERROR' END AS error_code,
   CASE status_code WHEN 429 THEN 'rate_limit' WHEN 503 THEN 'transient' WHEN 401 THEN 'authentication' WHEN 404 THEN 'permanent' ELSE 'transient' END AS error_category,
-  CASE status_code WHEN 429 THEN 'Rate limit exceeded' WHEN 503 THEN 'API error: 503' WHEN 401 THEN 'Authentication failed with status 401'
-    WHEN 404 THEN 'Client error: 404 - ' || CASE event_id % 3 WHEN 0 THEN 'File not found' WHEN 1 THEN 'gone' ELSE 'plain failure text' END
-    ELSE 'Network error calling the API' END AS error_message,
+  CASE status_code WHEN 429 THEN 'throttled by the API' WHEN 503 THEN 'server failure, status 503' WHEN 401 THEN 'credentials refused, status 401'
+    WHEN 404 THEN 'request refused, status 404 - ' || CASE event_id % 3 WHEN 0 THEN 'File not found' WHEN 1 THEN 'gone' ELSE 'plain failure text' END
+    ELSE 'no answer from the API' END AS error_message,
   CASE status_code WHEN 503 THEN '{"status_code":503}' END AS details,
   CASE WHEN status_code = 429 THEN CASE event_id % 3 WHEN 0 THEN 30 ELSE 60 END END AS retry_after
 FROM calls WHERE status_code IS NULL OR status_code <> 200""")
 
 NONCE = """, nr AS (SELECT seq, connection_id, CASE WHEN seq % 37 = 0 THEN '' ELSE 'drive:' || connection_id || ':file:' || file_id END AS nonce FROM changes)
 """
-sql("N07_dedup", ["changes"], NONCE + "SELECT nonce, min(seq) AS seq FROM nr GROUP BY 1")
+sql("N07_dedup", ["changes"], NONCE + "SELECT nonce, min(seq) AS seq FROM nr WHERE nonce <> '' GROUP BY 1")
 sql("U03_dedup_blank", ["changes"], NONCE + """
 SELECT nonce, min(seq) AS seq FROM nr WHERE nonce <> '' GROUP BY 1 UNION ALL SELECT nonce, seq FROM nr WHERE nonce = ''""")
 sql("A13_dedup_stats", ["changes"], NONCE + """
@@ -488,14 +490,14 @@ SELECT connection_id, 'backfill' AS path, count(DISTINCT nonce) AS records FROM
 UNION ALL SELECT connection_id, 'webhook', count(DISTINCT nonce) FROM realtime WHERE nonce NOT IN (SELECT nonce FROM back) GROUP BY 1""")
 
 sql("A07_api_errors", ["calls"], """
-SELECT endpoint, status_code, count(*) AS calls, count(*) FILTER (WHERE status_code >= 400) AS errors FROM calls GROUP BY 1, 2""")
+SELECT endpoint, status_code, count(*) AS calls, count(*) FILTER (WHERE status_code IS NULL OR status_code >= 400) AS errors FROM calls GROUP BY 1, 2""")
 sql("A08_latency", ["calls"], """
 SELECT endpoint, count(*) AS calls, round(quantile_cont(round(latency_ms, 2), 0.5), 6) AS p50, round(quantile_cont(round(latency_ms, 2), 0.95), 6) AS p95,
   round(quantile_cont(round(latency_ms, 2), 0.99), 6) AS p99 FROM calls GROUP BY 1""")
 sql("A09_alerts", ["calls"], """
-SELECT * FROM (SELECT endpoint, count(*) AS calls, count(*) FILTER (WHERE status_code >= 400) AS errors,
-  round(count(*) FILTER (WHERE status_code >= 400) / count(*)::DOUBLE, 6) AS error_rate,
-  count(*) FILTER (WHERE status_code >= 400) / count(*)::DOUBLE >= 0.01 AS error_rate_high,
+SELECT * FROM (SELECT endpoint, count(*) AS calls, count(*) FILTER (WHERE status_code IS NULL OR status_code >= 400) AS errors,
+  round(count(*) FILTER (WHERE status_code IS NULL OR status_code >= 400) / count(*)::DOUBLE, 6) AS error_rate,
+  count(*) FILTER (WHERE status_code IS NULL OR status_code >= 400) / count(*)::DOUBLE >= 0.01 AS error_rate_high,
   quantile_cont(round(latency_ms, 2), 0.95) >= 100 AS p95_high FROM calls GROUP BY 1) WHERE error_rate_high OR p95_high""")
 sql("A10_request_cost", ["commands"], """, man(op, cost, ms) AS (VALUES ('initialize', 1, 500), ('files', 1, 300), ('folders', 1, 300), ('changes', 1, 300), ('revisions', 1, 250),
   ('create_file', 5, 500), ('delete_file', 2, 300), ('move_file', 2, 300), ('create_permission', 3, 400), ('update_file', 5, 400))
@@ -534,7 +536,8 @@ STATE = """, cs AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY con
 sql("K05_state_upsert", ["state"], STATE + "SELECT connection_id, key, value, seq, epoch_us(updated_at) AS updated_us FROM cs")
 sql("K06_teardown", ["state", "commands"], MSG + STATE + """
 SELECT connection_id, key, value FROM cs WHERE connection_id NOT IN (SELECT conn_out FROM m4 WHERE route = 'teardown' AND error_field IS NULL)""")
-sql("T12_expired_cursors", ["state", "calls"], CURSORS + """, old AS (SELECT connection_id, min(event_id // 100) AS oldest_page FROM calls WHERE event_id % 7 = 0 GROUP BY 1)
+sql("T12_expired_cursors", ["state", "changes"], CURSORS + """, old AS (
+  SELECT connection_id, min(page_no) AS oldest_page FROM (SELECT *, max(page_no) OVER () AS newest FROM changes) WHERE 8 * page_no >= 7 * newest GROUP BY 1)
 SELECT connection_id, cursor, oldest_page, 'ChangeTokenExpiredError' AS error_class, true AS requires_backfill FROM cur JOIN old USING (connection_id) WHERE cursor < oldest_page""")
 sql("T09_renewal_due", ["state"], STATE + """
 SELECT connection_id, TRY_CAST(value AS BIGINT) AS expiration, TRY_CAST(value AS BIGINT) <= epoch_ms(TIMESTAMP '2024-02-01') AS already_expired

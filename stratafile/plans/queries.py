@@ -438,7 +438,8 @@ def cursors(spark: SparkSession, sf: str) -> DataFrame:
 @query("Q09_changes")
 def changes(spark: SparkSession, sf: str) -> DataFrame:
     rows = R.changes(
-        I.change_rows(spark, sf), _cursors(spark, sf), include_removed=False, restrict_to_my_drive=True
+        I.change_rows(spark, sf), _cursors(spark, sf), SC.start_cursors(I.change_rows(spark, sf)),
+        include_removed=False, restrict_to_my_drive=True,
     )
     return rows.select("connection_id", "page_no", "seq", "file_id", "change_type", "shared_drive")
 
@@ -501,7 +502,8 @@ def _flat_sync(rows: DataFrame, *keep: str) -> DataFrame:
 def incremental(spark: SparkSession, sf: str) -> DataFrame:
     sizes = B.content_refs(I.content(spark, sf)).select("file_id", "size_bytes")
     hot = J.hot_keys(I.change_rows(spark, sf), "connection_id", share=0.2, fraction=0.2)
-    rows = R.incremental_sync(_feed(spark, sf), I.connections(spark, sf), _cursors(spark, sf), CFG, sizes, hot=hot)
+    starts = SC.start_cursors(I.change_rows(spark, sf))
+    rows = R.incremental_sync(_feed(spark, sf), I.connections(spark, sf), _cursors(spark, sf), starts, CFG, sizes, hot=hot)
     return _flat_sync(rows, "page_no", "seq")
 
 
@@ -653,7 +655,9 @@ def _nonce_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("N07_dedup")
 def dedup(spark: SparkSession, sf: str) -> DataFrame:
-    return D.first_by_key(_nonce_rows(spark, sf), ["nonce"], ["seq"]).select("nonce", "seq")
+    """First record of each nonce; a blank nonce is none (U03 lets those rows pass)."""
+    rows = _nonce_rows(spark, sf).where(F.col("nonce") != "")
+    return D.first_by_key(rows, ["nonce"], ["seq"]).select("nonce", "seq")
 
 
 @query("U03_dedup_blank")
@@ -858,11 +862,10 @@ def teardown(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("T12_expired_cursors")
 def expired_cursors(spark: SparkSession, sf: str) -> DataFrame:
-    """Feeds keep only their younger half of pages here, so that some cursors are too old."""
-    feed = I.calls(spark, sf).select(
-        "connection_id", F.floor(F.col("event_id") / 100).cast("bigint").alias("page_no"), "event_id"
-    )
-    kept = feed.where(F.col("event_id") % 7 == 0)
+    """The feed retains the last eighth of its pages here, so that cursors before it have expired."""
+    feed = I.change_rows(spark, sf).select("connection_id", "page_no")
+    newest = feed.agg(F.max("page_no").alias("newest"))
+    kept = feed.join(F.broadcast(newest), 8 * F.col("page_no") >= 7 * F.col("newest"))
     return ST.expired_cursors(_cursors(spark, sf), kept)
 
 

@@ -27,10 +27,12 @@ def good_files(raw_files: DataFrame, cfg: DriveConfig, keep: tuple[str, ...] = (
 
 
 def list_pages(files: DataFrame, page_size: int = S.DEFAULT_PAGE_SIZE) -> DataFrame:
-    """Normalized files with their page. Only the keys are ranked; the wide rows join their page by key."""
+    """Normalized files with their page, by id. The rows themselves are ranked, so files without an id or with the same
+    one keep a place each; a hash of the row spreads them where very many share an id."""
     size = min(max(page_size, 1), S.MAX_PAGE_SIZE)
-    pages = W.assign_pages(files.select("connection_id", "id"), ["connection_id"], ["id"], size)
-    return files.join(pages, ["connection_id", "id"])
+    plain = [f.name for f in files.schema.fields if "map<" not in f.dataType.simpleString()]
+    ranked = files.withColumn("_tie", F.xxhash64(*plain))
+    return W.assign_pages(ranked, ["connection_id"], ["id", "_tie"], size).drop("_tie")
 
 
 def with_spaces(files: DataFrame, connections: DataFrame, hot: list[str] | None = None) -> DataFrame:
@@ -107,11 +109,12 @@ def revisions(raw_revisions: DataFrame, files: DataFrame, cfg: DriveConfig, keep
 
 
 def changes(
-    feed: DataFrame, cursors: DataFrame, include_removed: bool = True, restrict_to_my_drive: bool = False
+    feed: DataFrame, cursors: DataFrame, starts: DataFrame, include_removed: bool = True,
+    restrict_to_my_drive: bool = False,
 ) -> DataFrame:
     """Changes from each connection's page token on, with the advertised filters."""
     return X.apply_filters(
-        J.changes_after_cursor(feed, cursors), X.change_filters(include_removed, restrict_to_my_drive)
+        J.changes_after_cursor(feed, cursors, starts), X.change_filters(include_removed, restrict_to_my_drive)
     )
 
 
@@ -166,13 +169,16 @@ def incremental_sync(
     feed: DataFrame,
     connections: DataFrame,
     cursors: DataFrame,
+    starts: DataFrame,
     cfg: DriveConfig,
     content_sizes: DataFrame | None = None,
     keep: tuple[str, ...] = ("page_no", "seq"),
     hot: list[str] | None = None,
 ) -> DataFrame:
-    """Changed files after each connection's cursor, over all pages; ``hot`` names connections to spread."""
-    live = J.changes_after_cursor(feed.where(X.not_removed()), cursors, hot=hot, spread="seq").where(X.has_file("file"))
+    """Changed files after each connection's cursor (its start token, if it has none), over all pages; ``hot`` names
+    connections to spread."""
+    wanted = J.changes_after_cursor(feed.where(X.not_removed()), cursors, starts, hot=hot, spread="seq")
+    live = wanted.where(X.has_file("file"))
     light, _ = P.split_bad_rows(
         P.light_normalize_files(live, raw_json="file", keep=("connection_id", "change_type", *keep))
     )

@@ -123,7 +123,8 @@ def test_retry_after_and_error_body(spark):
     assert [value(spark, S.retry_after_seconds(F.col("h")), h=h) for h in ["30", "soon", "", None, "1.5"]] == [30, 60, 60, 60, 60]
     assert value(spark, S.api_error_body(F.col("b")), b='{"error":{"message":"m"}}') == '{"message":"m"}'
     assert value(spark, S.api_error_body(F.col("b")), b='{"x":1}') == '{"x":1}'
-    assert value(spark, S.api_error_body(F.col("b")), b="y" * 800) == "y" * 500
+    assert value(spark, S.api_error_body(F.col("b")), b="y" * 800) == "y" * 800
+    assert value(spark, S.api_error_body(F.col("b"), 500), b="y" * 800) == "y" * 500
     assert value(spark, S.api_error_body(F.col("b")), b="") == "Unknown error"
 
 

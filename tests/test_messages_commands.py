@@ -52,8 +52,8 @@ def test_fetch_validation(spark, cfg):
 def test_trigger_validation_lists_all_missing(spark):
     df = parsed(spark, {"message_id": "m", "trigger_type": "poll"}, {**LEGACY, "trigger_type": "weekly"}, {**LEGACY, "trigger_type": "poll"})
     assert values(df, MSG.trigger_error()) == [
-        "Missing required fields: customer_id, integration_id, integration_connection_id",
-        "Invalid trigger_type: weekly. Must be one of: full_sync, incremental, poll", None]
+        "absent: customer_id, integration_id, integration_connection_id",
+        "unknown trigger weekly (known: full_sync, incremental, poll)", None]
 
 
 def test_routes(spark, cfg):
@@ -71,9 +71,9 @@ def test_webhook_rules(spark):
     ]
     rows = spark.createDataFrame([(i, json.dumps(m)) for i, m in enumerate(messages)], "i int, value string")
     assert [r.error for r in MSG.parse_webhooks(rows).orderBy("i").collect()] == [
-        None, None, "Missing resourceUri in webhook payload", "Missing channel ID in webhook payload",
-        "Webhook payload must be a dictionary", "Missing required fields in webhook message: payload",
-        "Missing required fields in webhook message: message_id, customer_id, integration_connection_id, payload"]
+        None, None, "payload names no resource", "payload names no channel",
+        "payload is no object", "absent in notification: payload",
+        "absent in notification: message_id, customer_id, integration_connection_id, payload"]
 
 
 def test_resolution(spark):
@@ -167,7 +167,7 @@ def test_error_split(spark, cfg):
                                   "status_code int, retry_after string, body string").withColumn("connection_id", F.lit("c"))
     errors = Q.api_errors(calls, cfg)
     retriable, terminal = SP.split_retriable(errors)
-    assert retriable.count() == 3 and [r.error_message for r in terminal.collect()] == ["Client error: 404 - gone"]
+    assert retriable.count() == 3 and [r.error_message for r in terminal.collect()] == ["request refused, status 404 - gone"]
     assert sorted(r.retry_after for r in retriable.collect() if r.retry_after) == [7]
 
 
