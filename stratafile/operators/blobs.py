@@ -57,7 +57,8 @@ def blob_savings(refs: DataFrame) -> DataFrame:
 def offload_split(
     df: DataFrame, payload: str, bucket_url: str, threshold: int = S.OFFLOAD_THRESHOLD
 ) -> DataFrame:
-    """Payloads strictly above the threshold leave ``data`` null and name where they are stored.
+    """Payloads strictly above the threshold leave ``data`` null and name where they are stored; what to store there is
+    in :func:`payloads_to_store`.
 
     Input ``customer_id, connection_id, message_id`` and the payload column.
     """
@@ -73,3 +74,14 @@ def offload_split(
         F.octet_length(payload).cast("bigint").alias("payload_size_bytes"),
         large.alias("offloaded"),
     )
+
+
+def payloads_to_store(
+    df: DataFrame, payload: str, bucket_url: str, threshold: int = S.OFFLOAD_THRESHOLD
+) -> DataFrame:
+    """The payloads that :func:`offload_split` takes out of their records: ``storage_path`` and ``content``, as
+    ``sinks.write_blobs`` writes them."""
+    key = S.payload_key(F.col("customer_id"), F.col("connection_id"), F.col("message_id"))
+    return df.where(S.exceeds_threshold(F.col(payload), threshold)).select(
+        F.concat(F.lit(bucket_url.rstrip("/") + "/"), key).alias("storage_path"), F.col(payload).alias("content")
+    )

@@ -1,8 +1,8 @@
 """Write commands applied to a catalog: commands in, the next snapshot and the rejected commands out.
 
-Per file and kind the last command wins. All commands of a file are first reduced to one row (an aggregate that
-combines before the shuffle), so a file with very many commands costs one row per task, and the snapshot needs one
-join with the catalog.
+Per file and field the last command that sets the field wins; moves add up in their order. All commands of a file are
+first reduced to one row (aggregates that combine before the shuffle), so a file with very many commands costs one row
+per task, and the snapshot needs one join with the catalog.
 """
 
 from __future__ import annotations
@@ -79,33 +79,54 @@ def check_commands(commands: DataFrame) -> DataFrame:
 
 
 def _last(kinds: list[str], value: Column) -> Column:
-    """Value of the last command of the given kinds, null if there is none."""
-    return F.max(F.when(F.col("kind").isin(kinds), F.struct(F.col("seq"), value.alias("v"))))["v"]
+    """Last value that a command of the given kinds sets, null if none does."""
+    sets = F.col("kind").isin(kinds) & value.isNotNull()
+    return F.max(F.when(sets, F.struct(F.col("seq"), value.alias("v"))))["v"]
 
 
 def per_file(commands: DataFrame) -> DataFrame:
-    """One row per file with the last command of each kind."""
-    targets = ["update_file", "delete_file", "trash_file", "untrash_file", "move_file"]
-    update = F.struct("payload.name", "payload.description", "payload.mime_type")
-    move = F.struct("payload.new_parent_folder_id", "payload.remove_parents")
+    """One row per file: the last value of each field, and whether the file is trashed or deleted."""
+    targets = ["update_file", "delete_file", "trash_file", "untrash_file"]
+    fields = ["name", "description", "mime_type"]
     return (
         commands.where(F.col("kind").isin(targets))
         .groupBy(F.col("payload.file_id").alias("id"))
         .agg(
-            _last(["update_file"], update).alias("_update"),
-            _last(["move_file"], move).alias("_move"),
+            *[_last(["update_file"], F.col(f"payload.{field}")).alias(f"_{field}") for field in fields],
             _last(["trash_file", "untrash_file"], F.col("kind") == "trash_file").alias("_trashed"),
             F.count_if(F.col("kind") == "delete_file").alias("_deletes"),
         )
     )
 
 
-def moved_parents(parents: Column, remove: Column, new_parent: Column) -> Column:
-    """Parents without the removed ones, plus the new one; without a removal list the old parents stay."""
-    kept = F.array_except(
-        F.coalesce(parents, F.array().cast("array<string>")), F.coalesce(remove, F.array().cast("array<string>"))
+def parent_moves(commands: DataFrame) -> DataFrame:
+    """What all moves of a file do to its parents: ``_gone`` parents leave it, ``_added`` ones come, in their order.
+
+    A parent is judged by the last move that names it; a move removes before it adds. Reduced per (file, parent) first,
+    so the arrays hold each parent once.
+    """
+    moves = commands.where(F.col("kind") == "move_file").select(
+        F.col("payload.file_id").alias("id"), "seq", "payload.new_parent_folder_id", "payload.remove_parents"
+    )
+    empty = F.array().cast("array<string>")
+    removed = moves.select("id", "seq", F.explode(F.coalesce("remove_parents", empty)).alias("parent"), F.lit(0).alias("adds"))
+    added = moves.select("id", "seq", F.col("new_parent_folder_id").alias("parent"), F.lit(1).alias("adds"))
+    per_parent = removed.unionByName(added).groupBy("id", "parent").agg(
+        F.max(F.struct("seq", "adds")).alias("last"), F.max(F.when(F.col("adds") == 0, F.col("seq"))).alias("removed_at"),
+        F.min(F.when(F.col("adds") == 1, F.col("seq"))).alias("first_added"),
     )
-    return F.array_union(kept, F.array(new_parent))
+    at = F.when(F.col("removed_at").isNull(), F.col("first_added")).otherwise(F.col("last.seq"))
+    place = F.when(F.col("last.adds") == 1, F.struct(at.alias("at"), F.col("parent")))
+    return per_parent.groupBy("id").agg(
+        F.collect_list(F.when(F.col("removed_at").isNotNull(), F.col("parent"))).alias("_gone"),
+        F.transform(F.sort_array(F.collect_list(place)), lambda x: x["parent"]).alias("_added"),
+    )
+
+
+def moved_parents(parents: Column, gone: Column, added: Column) -> Column:
+    """Parents without those that were removed at some time, then those that were added."""
+    empty = F.array().cast("array<string>")
+    return F.array_union(F.array_except(F.coalesce(parents, empty), F.coalesce(gone, empty)), F.coalesce(added, empty))
 
 
 def apply_file_commands(catalog: DataFrame, commands: DataFrame) -> DataFrame:
@@ -115,19 +136,18 @@ def apply_file_commands(catalog: DataFrame, commands: DataFrame) -> DataFrame:
     before the batch; deletes win over other changes of the same file.
     """
     valid = check_commands(commands).where(F.col("error").isNull())
-    changes = per_file(valid)
+    changes = per_file(valid).join(parent_moves(valid), "id", "full")
     no_parents = F.array().cast("array<string>")
     current = (
         catalog.join(changes, "id", "left")
         .where(F.coalesce("_deletes", F.lit(0)) == 0)
         .select(
             "id",
-            F.coalesce("_update.name", "name").alias("name"),
-            F.coalesce("_update.description", "description").alias("description"),
-            F.coalesce("_update.mime_type", "mime_type").alias("mime_type"),
+            F.coalesce("_name", "name").alias("name"),
+            F.coalesce("_description", "description").alias("description"),
+            F.coalesce("_mime_type", "mime_type").alias("mime_type"),
             F.when(
-                F.col("_move").isNotNull(),
-                moved_parents(F.col("parent_ids"), F.col("_move.remove_parents"), F.col("_move.new_parent_folder_id")),
+                F.col("_added").isNotNull(), moved_parents(F.col("parent_ids"), F.col("_gone"), F.col("_added"))
             )
             .otherwise(F.col("parent_ids"))
             .alias("parent_ids"),

@@ -238,6 +238,19 @@ SELECT file_id, permission_id AS id, coalesce(kind, '') AS permission_type, role
   CASE WHEN detail_kind = 2 THEN 'permissionDetails is null' END AS bad_row_reason
 FROM permissions""")
 
+sql("Q05_permissions", ["files", "permissions"], NORM + """
+SELECT p.file_id, p.permission_id AS id, g.name AS file_name, coalesce(kind, '') AS permission_type, role
+FROM permissions p JOIN good g ON g.id = p.file_id WHERE detail_kind <> 2""")
+
+sql("Q08_revision", ["files", "revisions"], NORM + """
+SELECT w.file_id, w.id, r.keep_forever, r.file_id IS NOT NULL AS found
+FROM (SELECT DISTINCT id AS file_id, unnest(['1', '2']) AS id FROM good) w
+LEFT JOIN (SELECT * FROM revisions WHERE user_state <> 'null') r ON r.file_id = w.file_id AND CAST(r.revision_no AS VARCHAR) = w.id""")
+
+sql("Q04_folder", ["files"], NORM + """
+SELECT w.id, g.name, g.id IS NOT NULL AS found FROM (SELECT DISTINCT parents AS id FROM good WHERE parents <> '') w
+LEFT JOIN good g ON g.id = w.id AND g.is_folder""")
+
 sql("Q05_permission_counts", ["files", "permissions"], NORM + """
 SELECT p.file_id, count(*) AS permissions, count(*) FILTER (WHERE role IN ('owner', 'writer')) AS editors,
   count(*) FILTER (WHERE kind = 'anyone') AS public_links
@@ -477,6 +490,9 @@ sql("J07_file_content", ["files"], NORM + ELIGIBLE + REFS + """
 SELECT e.id AS file_id, e.reason IS NULL AS has_content, CASE WHEN e.reason IS NULL THEN p.sha256 END AS sha256,
   CASE WHEN e.reason IS NULL THEN p.storage_path END AS storage_path, CASE WHEN e.reason IS NULL THEN p.size_bytes END AS size_bytes
 FROM elig e JOIN paths p ON p.file_id = e.id""")
+sql("K04_offloaded_payloads", ["files"], REFS + f"""
+SELECT 's3://bucket/payloads/' || customer_id || '/' || connection_id || '/' || file_id || '.json' AS storage_path, md5(text) AS content_md5
+FROM refs WHERE size_bytes > {OFFLOAD_BYTES}""")
 sql("K04_offload_split", ["files"], REFS + f"""
 SELECT file_id AS message_id, CASE WHEN size_bytes <= {OFFLOAD_BYTES} THEN md5(text) END AS data_md5,
   CASE WHEN size_bytes > {OFFLOAD_BYTES} THEN 's3://bucket/payloads/' || customer_id || '/' || connection_id || '/' || file_id || '.json' END AS s3_url,
@@ -582,17 +598,28 @@ CMD = """, k AS (
 """
 sql("W01_file_snapshot", ["files", "writes"], NORM + CMD + """
 , catalog AS (SELECT id, name, CASE WHEN doc_id % 5 = 0 THEN lang || ' document' END AS description, mime_type, parents, trashed FROM good)
-, upd AS (SELECT file_id, arg_max(seq, seq) AS s FROM valid WHERE kind = 'update_file' GROUP BY 1)
-, mov AS (SELECT file_id, max(seq) AS s FROM valid WHERE kind = 'move_file' GROUP BY 1)
+, upd AS (
+  SELECT file_id, arg_max(name, seq) FILTER (WHERE name IS NOT NULL) AS name,
+    arg_max(description, seq) FILTER (WHERE description IS NOT NULL) AS description,
+    arg_max(mime_type, seq) FILTER (WHERE mime_type IS NOT NULL) AS mime_type FROM valid WHERE kind = 'update_file' GROUP BY 1)
+, ops AS (
+  SELECT file_id, seq, new_parent_folder_id AS p, 1 AS adds FROM valid WHERE kind = 'move_file'
+  UNION ALL SELECT file_id, seq, remove_parent, 0 FROM valid WHERE kind = 'move_file' AND remove_parent IS NOT NULL)
+, par AS (
+  SELECT file_id, p, arg_max(adds, 2 * seq + adds) = 1 AS there, max(seq) FILTER (WHERE adds = 0) AS removed_at,
+    min(seq) FILTER (WHERE adds = 1) AS first_added, max(seq) AS last FROM ops GROUP BY 1, 2)
+, mov AS (
+  SELECT file_id, coalesce(list(p) FILTER (WHERE removed_at IS NOT NULL), []) AS gone,
+    coalesce(list(p ORDER BY CASE WHEN removed_at IS NULL THEN first_added ELSE last END, p) FILTER (WHERE there), []) AS added FROM par GROUP BY 1)
 , tra AS (SELECT file_id, max(seq) AS s FROM valid WHERE kind IN ('trash_file', 'untrash_file') GROUP BY 1)
+, kept AS (
+  SELECT c.*, list_filter(CASE WHEN coalesce(c.parents, '') = '' THEN [] ELSE string_split(c.parents, ',') END, lambda x: NOT list_contains(m.gone, x)) AS stay, m.added
+  FROM catalog c JOIN mov m ON m.file_id = c.id)
 , cur AS (
   SELECT c.id, coalesce(u.name, c.name) AS name, coalesce(u.description, c.description) AS description, coalesce(u.mime_type, c.mime_type) AS mime_type,
-    CASE WHEN m.file_id IS NULL THEN c.parents
-         WHEN c.parents IS NULL OR c.parents = '' OR c.parents IS NOT DISTINCT FROM m.remove_parent OR c.parents = m.new_parent_folder_id THEN m.new_parent_folder_id
-         ELSE c.parents || ',' || m.new_parent_folder_id END AS parent_ids,
+    CASE WHEN k.id IS NULL THEN c.parents ELSE array_to_string(k.stay || list_filter(k.added, lambda x: NOT list_contains(k.stay, x)), ',') END AS parent_ids,
     CASE WHEN t.kind IS NOT NULL THEN t.kind = 'trash_file' ELSE c.trashed END AS trashed
-  FROM catalog c LEFT JOIN (SELECT v.* FROM valid v JOIN upd ON v.seq = upd.s) u ON u.file_id = c.id
-  LEFT JOIN (SELECT v.* FROM valid v JOIN mov ON v.seq = mov.s) m ON m.file_id = c.id
+  FROM catalog c LEFT JOIN upd u ON u.file_id = c.id LEFT JOIN kept k ON k.id = c.id
   LEFT JOIN (SELECT v.* FROM valid v JOIN tra ON v.seq = tra.s) t ON t.file_id = c.id
   WHERE c.id NOT IN (SELECT file_id FROM valid WHERE kind = 'delete_file'))
 SELECT * FROM cur
@@ -610,6 +637,11 @@ sql("W12_rejected_commands", ["files", "writes"], NORM + CMD + """
 SELECT command_id, operation, error FROM checked WHERE error IS NOT NULL
 UNION ALL SELECT command_id, operation, 'not_found' FROM valid WHERE kind NOT IN ('create_file', 'create_folder') AND file_id NOT IN (SELECT id FROM good)""")
 
+sql("Q06_permission", ["permissions", "writes"], CMD + """
+SELECT w.file_id, w.permission_id AS id, p.role, p.file_id IS NOT NULL AS found
+FROM (SELECT DISTINCT file_id, permission_id FROM writes WHERE file_id IS NOT NULL AND permission_id IS NOT NULL) w
+LEFT JOIN (SELECT * FROM permissions WHERE detail_kind <> 2) p ON p.file_id = w.file_id AND p.permission_id = w.permission_id""")
+
 sql("stream_changes", ["changes"], """
 SELECT connection_id, page_no, row_number() OVER (PARTITION BY connection_id, page_no ORDER BY seq) - 1 AS seq, file_id, removed,
   coalesce(raw_change_type, 'file') AS change_type, 's/' || page_no AS new_start_page_token FROM changes""")

@@ -30,6 +30,7 @@ from stratafile.plans import resources as R
 from stratafile.session import shared_folder
 from stratafile.sources import changes as SC
 from stratafile.sources import listing as SL
+from stratafile.sources import sinks as SK
 from stratafile.sources.manifest import capability_manifest
 from stratafile.streaming import pipeline as SP
 from stratafile.streaming import stateful as SS
@@ -333,6 +334,39 @@ def permissions(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query("Q05_permissions")
+def file_permissions(spark: SparkSession, sf: str) -> DataFrame:
+    """Permission rows of existing files."""
+    files = R.good_files(I.raw_files(spark, sf), CFG).select(F.col("id").alias("file_id"), F.col("name").alias("file_name"))
+    return R.permissions(I.raw_permissions(spark, sf), files, CFG).select("file_id", "id", "file_name", "permission_type", "role")
+
+
+@query("Q06_permission")
+def permission_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    """Single permissions by file and id, for every key that the write commands name."""
+    good, _ = P.split_bad_rows(P.normalize_permissions(I.raw_permissions(spark, sf), CFG))
+    wanted = I.write_commands(spark, sf).select(F.col("payload.file_id").alias("file_id"), F.col("payload.permission_id").alias("id"))
+    wanted = wanted.where("file_id is not null and id is not null")
+    return R.lookup(good.select("file_id", "id", "role"), wanted, ["file_id", "id"])
+
+
+@query("Q08_revision")
+def revision_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    """Single revisions by file and id: the first two of every file in the catalog."""
+    good, _ = P.split_bad_rows(P.normalize_revisions(I.raw_revisions(spark, sf), CFG))
+    files = R.good_files(I.raw_files(spark, sf), CFG).select(F.col("id").alias("file_id"))
+    wanted = files.select("file_id", F.explode(F.array(F.lit("1"), F.lit("2"))).alias("id"))
+    return R.lookup(good.select("file_id", "id", "keep_forever"), wanted, ["file_id", "id"])
+
+
+@query("Q04_folder")
+def folder_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    """Single folders by id, for every parent that a file names."""
+    files = R.good_files(I.raw_files(spark, sf), CFG)
+    wanted = files.select(F.explode("parent_ids").alias("id"))
+    return R.lookup(R.folders(files, include_trashed=True).select("id", "name"), wanted, ["id"])
+
+
 @query("Q05_permission_counts")
 def permission_counts(spark: SparkSession, sf: str) -> DataFrame:
     files = R.good_files(I.raw_files(spark, sf), CFG).select(F.col("id").alias("file_id"))
@@ -710,6 +744,18 @@ def offload_split(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query("K04_offloaded_payloads")
+def offloaded_payloads(spark: SparkSession, sf: str) -> DataFrame:
+    """What the offload writes to storage: written by the sink and read back."""
+    rows = I.content(spark, sf).select(
+        "customer_id", "connection_id", F.col("file_id").alias("message_id"), F.col("content").alias("payload")
+    )
+    path = f"{shared_folder(spark).rstrip('/')}/payloads-{uuid.uuid4().hex}"
+    SK.write_blobs(B.payloads_to_store(rows, "payload", "s3://bucket", OFFLOAD_BYTES), path)
+    stored = spark.read.schema("storage_path string, content string").parquet(path)
+    return stored.select("storage_path", F.md5("content").alias("content_md5"))
+
+
 @query("K01_outbound_records")
 def outbound_records(spark: SparkSession, sf: str) -> DataFrame:
     rows = _nonce_rows(spark, sf).select(
