@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratafile.session import checkpointed
-
 
 def first_by_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """First row per key in arrival order; each map task keeps one row per key before the shuffle."""
@@ -33,66 +32,47 @@ def dedup_stats(df: DataFrame, keys: list[str], nonce: str = "nonce") -> DataFra
     )
 
 
-def ttl_dedup(
-    df: DataFrame, key: str, ts: str, order: str, ttl_seconds: int, max_group: int = 100_000
-) -> DataFrame:
+def ttl_dedup(df: DataFrame, key: str, ts: str, order: str, ttl_seconds: int) -> DataFrame:
     """Records accepted by a TTL memory: a key is remembered for ``ttl_seconds`` from its last *accepted* record.
 
-    Returns ``key, ts, order`` of the accepted records. Three exact routes by size of the key's group: keys that span
-    less than the TTL keep their first record (a plain aggregate); keys with at most ``max_group`` records fold their
-    ordered records; larger keys are walked TTL slice by TTL slice, each slice one aggregate.
+    Returns ``key, ts, order`` of the accepted records. One route for all sizes: the records of a key are reduced to one
+    per instant in each map task, sorted inside their partition (which spills) and read once, with one number of memory
+    per task. Records with a null key all pass; those without a time can't be judged and are in :func:`untimed`.
     """
-    ttl = F.lit(ttl_seconds * 1_000_000)
-    rows = df.select(F.col(key).alias("_key"), F.unix_micros(ts).alias("_at"), F.col(order).alias("_seq"))
-    # One row per key, read by all three routes.
-    groups = checkpointed(
-        rows.groupBy("_key").agg(
-            F.count("*").alias("_n"), F.min(F.struct("_at", "_seq")).alias("_first"), F.max("_at").alias("_last")
-        )
+    ttl = ttl_seconds * 1_000_000
+    timed = df.where(F.col(ts).isNotNull())
+    rows = timed.where(F.col(key).isNotNull()).select(
+        F.col(key).alias("_key"), F.unix_micros(ts).alias("_at"), F.col(order).alias("_seq")
     )
-    spans = (F.col("_last") - F.col("_first._at")) >= ttl
-    single = groups.where(~spans).select("_key", "_first.*")
-    foldable = groups.where(spans & (F.col("_n") <= max_group)).select("_key")
-    large = groups.where(spans & (F.col("_n") > max_group)).select("_key")
-
-    folded = _fold(rows.join(foldable, "_key", "left_semi"), ttl)
-    result = single.unionByName(folded)
-    if not large.isEmpty():
-        result = result.unionByName(_walk_slices(rows.join(large, "_key", "left_semi"), ttl_seconds * 1_000_000))
-    return result.select(
+    instants = rows.groupBy("_key", "_at").agg(F.min("_seq").alias("_seq"))
+
+    def accept(batches):
+        last_key, free_at = None, None
+        for batch in batches:
+            times = batch.column("_at").to_numpy()
+            keys = batch.column("_key").to_pylist()
+            keep, i, n = [], 0, len(keys)
+            while i < n:
+                j = i + 1
+                while j < n and keys[j] == keys[i]:
+                    j += 1
+                if keys[i] != last_key:
+                    last_key, free_at = keys[i], times[i]
+                at = i + int(times[i:j].searchsorted(free_at))
+                while at < j:
+                    keep.append(at)
+                    free_at = times[at] + ttl
+                    at = i + int(times[i:j].searchsorted(free_at))
+                i = j
+            yield batch.take(pa.array(keep, pa.int64()))
+
+    ordered = instants.repartition("_key").sortWithinPartitions("_key", "_at")
+    accepted = ordered.mapInArrow(accept, ordered.schema).select(
         F.col("_key").alias(key), F.timestamp_micros("_at").alias(ts), F.col("_seq").alias(order)
     )
+    return accepted.unionByName(timed.where(F.col(key).isNull()).select(key, ts, order))
 
 
-def _fold(rows: DataFrame, ttl) -> DataFrame:
-    ordered = F.sort_array(F.collect_list(F.struct("_at", "_seq")))
-    grouped = rows.groupBy("_key").agg(ordered.alias("_rows"))
-    start = F.slice("_rows", 1, 1)
-    accepted = F.aggregate(
-        "_rows",
-        start,
-        lambda kept, row: F.when(row["_at"] >= F.element_at(kept, -1)["_at"] + ttl, F.concat(kept, F.array(row))).otherwise(
-            kept
-        ),
-    )
-    return grouped.select("_key", F.inline(accepted))
-
-
-def _walk_slices(rows: DataFrame, ttl_us: int) -> DataFrame:
-    """A slice of TTL length holds at most one accepted record per key, and only the one accepted in the slice before
-    can still block it."""
-    low, high = rows.agg(F.min("_at"), F.max("_at")).first()
-    accepted = None
-    result = None
-    for start in range(low, high + 1, ttl_us):
-        current = rows.where((F.col("_at") >= start) & (F.col("_at") < start + ttl_us))
-        if accepted is not None:
-            blocked_until = accepted.select("_key", (F.col("_at") + F.lit(ttl_us)).alias("_until"))
-            current = current.join(blocked_until, "_key", "left").where(
-                F.col("_at") >= F.coalesce(F.col("_until"), F.lit(low))
-            )
-        accepted = checkpointed(
-            current.groupBy("_key").agg(F.min(F.struct("_at", "_seq")).alias("_row")).select("_key", "_row.*")
-        )
-        result = accepted if result is None else result.unionByName(accepted)
-    return result
+def untimed(df: DataFrame, ts: str) -> DataFrame:
+    """Records without a time, for the quarantine."""
+    return df.where(F.col(ts).isNull()).withColumn("bad_row_reason", F.lit(f"{ts} is null"))

@@ -83,12 +83,11 @@ def resolve_connections(webhooks: DataFrame, connections: DataFrame) -> DataFram
 
     Adds ``connection_id, customer_id, snowball_id, settings`` and ``resolution_error``
     (``EXTERNAL_ID_EXTRACTION_FAILED`` without an email, ``CONNECTION_NOT_FOUND`` without a match). Resolved values
-    override the message's. Rows that need no lookup get a key of their own that matches nothing, so that they spread
-    over all partitions instead of meeting under one null key.
+    override the message's. In either join, rows that it doesn't concern get a key of their own that matches nothing, so
+    that they spread over all partitions instead of meeting under one null or "unknown" key.
     """
     unresolved = F.col("message_connection_id").isin(UNRESOLVED_IDS)
     by_id = connections.select(
-        F.col("connection_id").alias("message_connection_id"),
         F.col("connection_id").alias("_id_connection"),
         F.col("snowball_id").alias("_id_snowball"),
         F.col("settings").alias("_id_settings"),
@@ -109,7 +108,11 @@ def resolve_connections(webhooks: DataFrame, connections: DataFrame) -> DataFram
                 F.when(F.col("_unresolved"), F.col("email")), F.concat(F.lit("\u0000"), F.col("message_id"))
             ),
         )
-        .join(by_id, "message_connection_id", "left")
+        .withColumn(
+            "_by_id",
+            F.when(F.col("_unresolved"), F.concat(F.lit("\u0000"), F.col("message_id"))).otherwise(F.col("message_connection_id")),
+        )
+        .join(by_id, F.col("_by_id") == F.col("_id_connection"), "left")
         .join(by_email, F.col("_lookup") == F.col("_email"), "left")
     )
     resolved = F.col("_by_email")
@@ -129,7 +132,7 @@ def resolve_connections(webhooks: DataFrame, connections: DataFrame) -> DataFram
                 F.col("_unresolved") & resolved.isNull(), F.lit("CONNECTION_NOT_FOUND")
             ),
         )
-        .drop("_unresolved", "_lookup", "_email", "_by_email", "_id_connection", "_id_snowball", "_id_settings")
+        .drop("_unresolved", "_lookup", "_by_id", "_email", "_by_email", "_id_connection", "_id_snowball", "_id_settings")
     )
 
 

@@ -650,7 +650,8 @@ sql("stream_commands", ["commands"], MSG + """
 SELECT route, count(*) AS n FROM m4 WHERE error_field IS NULL AND route IN ('init', 'fetch', 'write', 'teardown', 'capability') GROUP BY 1
 UNION ALL SELECT 'validationerror', count(*) FROM m4 WHERE error_field IS NOT NULL HAVING count(*) > 0""")
 sql("stream_webhooks", ["webhooks", "connections"], WEBHOOK + """
-SELECT message_id, connection_id, customer_id, token AS page_token FROM outc WHERE outcome = 'fetch'""")
+SELECT message_id, connection_id, customer_id, token AS page_token, NULL AS reason FROM outc WHERE outcome = 'fetch'
+UNION ALL SELECT message_id, NULL, NULL, NULL, coalesce(error, resolution_error) FROM outc WHERE outcome IN ('invalid', 'unresolved')""")
 sql("stream_quota", ["calls"], QUOTA + """
 SELECT connection_id, window_start, calls AS n FROM w
 WHERE calls > 1 AND (window_start + 100) * 1000000 <= (SELECT max(epoch_us(ts)) - 600000000 FROM calls)""")

@@ -486,7 +486,7 @@ def _cursors(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("X15_webhook_outcomes")
 def webhook_outcomes(spark: SparkSession, sf: str) -> DataFrame:
-    rows = R.webhook_outcomes(I.webhook_messages(spark, sf), I.connections(spark, sf))
+    rows = R.webhook_outcomes(I.webhook_messages(spark, sf), I.connections(spark, sf), CFG)
     return rows.select(
         "message_id", "outcome", "error", "resolution_error", "page_token", "email", "message_connection_id",
         F.when(F.col("error").isNull(), F.col("connection_id")).alias("connection_id"),
@@ -509,7 +509,7 @@ def webhook_changes(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("A03_change_summary")
 def change_summary(spark: SparkSession, sf: str) -> DataFrame:
-    outcomes = R.webhook_outcomes(I.webhook_messages(spark, sf), I.connections(spark, sf))
+    outcomes = R.webhook_outcomes(I.webhook_messages(spark, sf), I.connections(spark, sf), CFG)
     rows = R.webhook_page_rows(R.page_requests(outcomes), _feed(spark, sf), CFG)
     return A.change_batch_summary(rows, ["connection_id", "page_token", "notifications"], F.col("yielded"))
 
@@ -1037,7 +1037,7 @@ def stream_ttl_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """Exact TTL memory as keyed state; must equal T02_ttl_dedup."""
     landing, root = _landing(spark, I.change_rows(spark, sf).select("file_id", "ts", "seq"), "seq", 2)
     stream = _json_stream(spark, landing, "file_id string, ts timestamp, seq bigint")
-    rows = SS.ttl_dedup_stream(stream, "file_id", "ts", "seq", TTL_SECONDS)
+    rows = SS.ttl_dedup_stream(stream, "file_id", "ts", "seq", TTL_SECONDS, expires=False)
     return _drain_to_parquet(rows, root).select(
         F.col("key").alias("file_id"), "seq", F.col("at").alias("at_us")
     )
@@ -1067,7 +1067,7 @@ def stream_commands(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("stream_webhooks")
 def stream_webhooks(spark: SparkSession, sf: str) -> DataFrame:
-    """Notifications as a stream joined with the connection table of each micro-batch."""
+    """Notifications as a stream joined with the connection table of each micro-batch: records and errors."""
     landing, root = _landing(spark, I.webhook_messages(spark, sf), "seq", 2)
     stream = _json_stream(spark, landing, "seq bigint, ts timestamp, value string")
 
@@ -1079,7 +1079,9 @@ def stream_webhooks(spark: SparkSession, sf: str) -> DataFrame:
         stream, CFG, lambda: I.connections(spark, sf), records, root + "/out", root + "/checkpoint"
     )
     schema = "message_id string, connection_id string, customer_id string, page_token string"
-    return spark.read.schema(schema).parquet(root + "/out/records").select(*[c.split()[0] for c in schema.split(", ")])
+    served = spark.read.schema(schema).parquet(root + "/out/records").select(*[c.split()[0] for c in schema.split(", ")])
+    failed = spark.read.schema("message_id string, reason string").parquet(root + "/out/errors").select("message_id", "reason")
+    return E.union_paths(served.withColumn("reason", F.lit(None).cast("string")), failed)
 
 
 @query("stream_quota")

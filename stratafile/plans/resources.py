@@ -208,12 +208,13 @@ def sync_progress(feed: DataFrame) -> DataFrame:
 # --- webhooks --------------------------------------------------------------------------------------------------
 
 
-def webhook_outcomes(webhooks: DataFrame, connections: DataFrame) -> DataFrame:
-    """Parsed notifications with their connection and what becomes of them."""
+def webhook_outcomes(webhooks: DataFrame, connections: DataFrame, cfg: DriveConfig) -> DataFrame:
+    """Parsed notifications with their connection and what becomes of them; another provider's are skipped."""
     resolved = J.resolve_connections(MSG.parse_webhooks(webhooks), connections)
     return resolved.withColumn(
         "outcome",
-        F.when(F.col("error").isNotNull(), F.lit("invalid"))
+        F.when(~X.for_provider(MSG.provider_of(), cfg.provider), F.lit("skipped"))
+        .when(F.col("error").isNotNull(), F.lit("invalid"))
         .when(F.col("resolution_error").isNotNull(), F.lit("unresolved"))
         .when(~X.not_stop(F.col("kind")), F.lit("stop"))
         .when(F.col("page_token").isNull(), F.lit("no_token"))
@@ -265,7 +266,7 @@ def webhook_records(page_rows: DataFrame, cfg: DriveConfig, keep: tuple[str, ...
 
 
 def webhook_changes(webhooks: DataFrame, connections: DataFrame, feed: DataFrame, cfg: DriveConfig) -> DataFrame:
-    requests = page_requests(webhook_outcomes(webhooks, connections))
+    requests = page_requests(webhook_outcomes(webhooks, connections, cfg))
     carried = feed.where(X.not_removed() & F.col("file").isNotNull())
     return webhook_records(webhook_page_rows(requests, carried, cfg), cfg)
 

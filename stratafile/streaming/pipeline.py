@@ -14,6 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from stratafile.config import DriveConfig
 from stratafile.operators import messages as MSG
+from stratafile.operators.filters import for_provider
 from stratafile.operators.joins import resolve_connections
 from stratafile.operators.messages import route_messages
 from stratafile.operators.quality import validation_errors
@@ -89,17 +90,18 @@ def webhook_stream(
     base: str,
     checkpoint: str,
 ) -> StreamingQuery:
-    """Notifications to records. The connection dimension is read again for every micro-batch, which takes the place
-    of a resolution cache with a short life."""
+    """Notifications to records; invalid and unresolved ones to errors with their reason, those of another provider to
+    neither. The connection dimension is read again for every micro-batch, which takes the place of a resolution cache
+    with a short life."""
 
     def on_batch(df: DataFrame, batch_id: int) -> None:
-        valid = MSG.parse_webhooks(df).where(F.col("error").isNull())
-        resolved = resolve_connections(valid, read_connections()).persist()
-        unresolved = F.col("resolution_error").isNotNull()
+        own = MSG.parse_webhooks(df).where(for_provider(MSG.provider_of(), cfg.provider))
+        resolved = resolve_connections(own, read_connections()).persist()
+        reason = F.coalesce("error", "resolution_error")
         try:
             outputs = {
-                "records": to_records(resolved.where(~unresolved), cfg),
-                "errors": resolved.where(unresolved).select("message_id", "resolution_error"),
+                "records": to_records(resolved.where(reason.isNull()), cfg),
+                "errors": resolved.where(reason.isNotNull()).select("message_id", reason.alias("reason")),
             }
             write_batch(outputs, base, batch_id)
         finally:

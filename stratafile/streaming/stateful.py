@@ -5,6 +5,7 @@ from __future__ import annotations
 import sys
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
@@ -30,42 +31,67 @@ def _with_keyed_state(stream: DataFrame) -> DataFrame:
 
 
 def dedup_within_ttl(stream: DataFrame, nonce: str = "nonce", ts: str = "ts", ttl: str = "24 hours") -> DataFrame:
-    """Drop repeats of a nonce that arrive within the TTL; Spark forgets a nonce once the watermark passes it."""
-    return stream.withWatermark(ts, ttl).dropDuplicatesWithinWatermark([nonce])
+    """Drop repeats of a nonce that arrive within the TTL; Spark forgets a nonce once the watermark passes it.
+
+    Records with a blank nonce all pass. Records later than the TTL are dropped by the watermark; where late records
+    must not be lost, use :func:`ttl_dedup_stream`, which judges them by their own time.
+    """
+    blank = F.coalesce(F.col(nonce), F.lit("")) == ""
+    timed = stream.withWatermark(ts, ttl)
+    return timed.where(~blank).dropDuplicatesWithinWatermark([nonce]).unionByName(timed.where(blank))
 
 
 class TtlMemory(StatefulProcessor):
-    """Exact TTL memory: a key is blocked for ``ttl_us`` from its last accepted record."""
+    """Exact TTL memory: a key is blocked for ``ttl_us`` from its last accepted record.
+
+    A record older than the last accepted one is accepted as well if it lies a TTL or more before it. With ``expires``
+    the state of a key goes when it has not been touched for twice the TTL.
+    """
 
-    def __init__(self, ttl_us: int):
+    def __init__(self, ttl_us: int, expires: bool):
         self.ttl_us = ttl_us
+        self.expires = expires
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         schema = StructType([StructField("at", LongType())])
-        self.last = handle.getValueState("last", schema)
+        self.last = handle.getValueState("last", schema, 2 * self.ttl_us // 1000 if self.expires else None)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        # Each Arrow chunk shrinks to one row per instant; a group is bounded by the micro-batch the source admits.
-        chunks = [chunk.groupby("at")["seq"].min() for chunk in rows]
-        ordered = pd.concat(chunks).groupby(level=0).min()
-        times, seqs = ordered.index.to_numpy(), ordered.to_numpy()
-        position = 0
+        # Each Arrow chunk shrinks to one row per instant as it comes; a group is bounded by the micro-batch.
+        first: dict[int, int] = {}
+        for chunk in rows:
+            for at, seq in chunk.groupby("at")["seq"].min().items():
+                first[at] = min(seq, first.get(at, seq))
+        times = np.array(sorted(first), dtype="int64")
+        seqs = [first[at] for at in times.tolist()]
+        position, accepted = 0, []
         if self.last.exists():
-            position = times.searchsorted(self.last.get()[0] + self.ttl_us)
-        accepted = []
+            last = self.last.get()[0]
+            late = times.searchsorted(last - self.ttl_us, side="right")
+            while position < late:
+                accepted.append((key[0], int(times[position]), int(seqs[position])))
+                position = times.searchsorted(times[position] + self.ttl_us)
+            position = times.searchsorted(last + self.ttl_us)
         while position < len(times):
             accepted.append((key[0], int(times[position]), int(seqs[position])))
             position = times.searchsorted(times[position] + self.ttl_us)
         if accepted:
-            self.last.update((accepted[-1][1],))
+            newest = accepted[-1][1]
+            self.last.update((max(newest, self.last.get()[0]) if self.last.exists() else newest,))
             yield pd.DataFrame(accepted, columns=["key", "at", "seq"])
 
     def close(self) -> None:
         pass
 
 
-def ttl_dedup_stream(stream: DataFrame, key: str, ts: str, order: str, ttl_seconds: int) -> DataFrame:
-    """Accepted records of a stream whose files arrive in time order."""
+def ttl_dedup_stream(
+    stream: DataFrame, key: str, ts: str, order: str, ttl_seconds: int, expires: bool = True
+) -> DataFrame:
+    """Accepted records of a stream whose files arrive in time order.
+
+    ``expires`` bounds the state by processing time, for streams that run on; a query that only drains what is there
+    must turn it off, since Spark goes on with empty batches while state can expire.
+    """
     rows = _with_keyed_state(stream).select(
         F.col(key).alias("key"), F.unix_micros(ts).alias("at"), F.col(order).cast("bigint").alias("seq")
     )
@@ -73,10 +99,10 @@ def ttl_dedup_stream(stream: DataFrame, key: str, ts: str, order: str, ttl_secon
         [StructField("key", StringType()), StructField("at", LongType()), StructField("seq", LongType())]
     )
     return rows.groupBy("key").transformWithStateInPandas(
-        statefulProcessor=TtlMemory(ttl_seconds * 1_000_000),
+        statefulProcessor=TtlMemory(ttl_seconds * 1_000_000, expires),
         outputStructType=schema,
         outputMode="Append",
-        timeMode="None",
+        timeMode="ProcessingTime" if expires else "None",
     )
 
 
