@@ -17,7 +17,7 @@ from stratafile.llm.near_dups import one_of_each
 from stratafile.llm.packing import pack_documents
 from stratafile.llm.quality_rules import keep_good
 from stratafile.llm.substrings import without_repeats
-from stratafile.llm.tables import drop_stored, scope, stored, table
+from stratafile.llm.tables import drop_stored, scope, small_batches, stored, table
 
 SCOPE = "pipeline stage"
 
@@ -28,6 +28,7 @@ def alone(stage):
     @functools.wraps(stage)
     def run_alone(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         drop_stored(spark, SCOPE)
+        small_batches(spark)
         with scope(SCOPE):
             return stage(spark, docs, sf_dir)
 

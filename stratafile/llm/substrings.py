@@ -35,7 +35,7 @@ from stratafile.llm.tables import bucketed, stored, total_bytes
 from stratafile.llm.words import U64, Words, rounds, windows, words_of
 
 WINDOW, BLOCK = 20, 10  # 2 * BLOCK - 1 <= WINDOW: a window holds a whole block
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 RANGE_WORDS, LEAST_RANGES = 1 << 20, 256
 NO_ID = -(1 << 63)
 

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from stratafile.session import shared_folder
 
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 #: What has been written, by scope: paths of stored tables and names of bucketed ones.
 _WRITTEN: dict[str, list[tuple[str, str]]] = {}
 _scope = "session"
@@ -27,8 +29,16 @@ def scope(name: str) -> Iterator[None]:
         _scope = before
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Texts go to Python in batches of 8 MB, where the session hasn't chosen a size: long texts would otherwise make
+    batches of 64 MB, which the executor and each of its Python workers hold at once."""
+    if spark.conf.get(BATCH_BYTES) in ("67108864b", "64MB"):
+        spark.conf.set(BATCH_BYTES, "8m")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given table, through Spark's reader alone, so that any file system works."""
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

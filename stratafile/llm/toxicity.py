@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratafile.llm.labelled import fold, sample
-from stratafile.llm.words import BYTE_BASE, LOWER, U64, mixed, powers, rounds, spans, text_bytes
+from stratafile.llm.words import LOWER, U64, mixed, rounds, span_hashes, spans, text_bytes
 
 SLOT_BITS, FACTORS = 19, 8
 FIT_ROWS, FIT_BYTES = {1: 4000, 0: 8000}, 64 << 10
@@ -45,9 +45,6 @@ def terms(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     data = LOWER[data]
     starts, ends, first = spans(data, offsets, NOT_WORD)
     docs = np.repeat(np.arange(len(offsets) - 1, dtype=U64), np.diff(first))
-    sums = np.zeros(len(data) + 1, U64)
-    np.cumsum((data.astype(U64) + U64(1)) * powers(BYTE_BASE, len(data)), out=sums[1:])
-    back = powers(pow(BYTE_BASE, -1, 1 << 64), len(data) + 1)
     keys = []
     for length in (None, *PREFIXES):
         if length is None:
@@ -56,7 +53,7 @@ def terms(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
             long = ends - starts > length
             a, d, seed = starts[long], docs[long], length
             b = a + length
-        slot = mixed((sums[b] - sums[a]) * back[a], seed) >> U64(64 - SLOT_BITS)
+        slot = mixed(span_hashes(data, a, b), seed) >> U64(64 - SLOT_BITS)
         keys.append((d << U64(SLOT_BITS)) | slot)
     keys = np.sort(np.concatenate(keys))
     if len(keys):
@@ -99,6 +96,7 @@ def fit(slots: np.ndarray, cuts: np.ndarray, y: np.ndarray, counts: dict[int, in
     if not len(y) or y.min() == y.max():
         return Machine(float(np.log((share + 1e-9) / (1 - share + 1e-9))), linear, factors)
     vocabulary, local, seen = np.unique(slots, return_inverse=True, return_counts=True)
+    local = local.astype(np.int32)
     rng = np.random.default_rng(seed)
     batch = min(batch, max(32, len(y) // 24))
     n = len(vocabulary)
@@ -146,7 +144,9 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Machine:
     parts = [np.frombuffer(r["slots"], np.int32) for r in rows]
     cuts = np.append(0, np.cumsum([len(p) for p in parts])).astype(np.int64)
     slots = np.concatenate(parts) if parts else np.zeros(0, np.int32)
-    return fit(slots, cuts, np.array([r["y"] for r in rows], float), counts)
+    y = np.array([r["y"] for r in rows], float)
+    del rows, parts
+    return fit(slots, cuts, y, counts)
 
 
 def scored(docs: DataFrame, machine: Machine) -> DataFrame:

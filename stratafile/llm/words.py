@@ -16,7 +16,9 @@ U64 = np.uint64
 #: Odd multipliers of the two polynomial hashes (over the bytes of a word, over the words of a window).
 BYTE_BASE, WORD_BASE = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
 #: Bytes that one round of the vector code takes, unless a single text is longer.
-ROUND_BYTES = 4 << 20
+ROUND_BYTES = 2 << 20
+#: Bytes that the running sum of the hashes takes at a time.
+SEGMENT_BYTES = 1 << 20
 
 SPACES = np.zeros(256, bool)
 SPACES[[0x20, *range(0x09, 0x0E)]] = True
@@ -57,7 +59,8 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def rounds(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = ROUND_BYTES) -> Iterator[pa.RecordBatch]:
-    """The batches in slices of about ``limit`` bytes of text; a longer text is a slice of its own."""
+    """The batches in slices of about ``limit`` bytes of text; a longer text is a slice of its own. In the end the memory
+    that Arrow has kept for reuse goes back, since workers wait for their next task with what they hold."""
     for batch in batches:
         lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
         ends = np.cumsum(lengths)
@@ -67,6 +70,7 @@ def rounds(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
             to = max(at + 1, int(np.searchsorted(ends, base + limit, side="right")))
             yield batch.slice(at, to - at)
             at = to
+    pa.default_memory_pool().release_unused()
 
 
 @dataclass
@@ -103,13 +107,24 @@ def spans(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray) -> tupl
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of byte spans, from one running sum."""
-    if not len(starts):
-        return np.zeros(0, U64)
-    sums = np.zeros(len(data) + 1, U64)
-    np.cumsum((data.astype(U64) + U64(1)) * powers(BYTE_BASE, len(data)), out=sums[1:])
+    """64-bit hashes of byte spans in the order of their starts, from a running sum over one segment after the other, so
+    that a text of any length takes arrays of bounded size (a longer span is a segment of its own)."""
+    out = np.zeros(len(starts), U64)
     inverse = pow(BYTE_BASE, -1, 1 << 64)
-    return mixed((sums[ends] - sums[starts]) * powers(inverse, len(data) + 1)[starts] + (ends - starts).astype(U64))
+    i = 0
+    while i < len(starts):
+        base = starts[i]
+        j = max(i + 1, int(np.searchsorted(starts, base + SEGMENT_BYTES)))
+        segment = data[base : ends[i:j].max()]
+        sums = segment.astype(U64)
+        sums += U64(1)
+        sums *= powers(BYTE_BASE, len(sums))
+        np.cumsum(sums, out=sums)
+        a, b = starts[i:j] - base, ends[i:j] - base
+        before = np.where(a > 0, sums[a - 1], U64(0))
+        out[i:j] = (sums[b - 1] - before) * powers(inverse, len(sums))[a]
+        i = j
+    return mixed(out + (ends - starts).astype(U64))
 
 
 def words_of(column: pa.Array, lower: bool = False, separators: np.ndarray = SPACES) -> Words:
