@@ -9,17 +9,16 @@ from pyspark.sql import functions as F
 
 # The MIME tables below must equal the data model's for right results.
 NATIVE_PREFIX = "application/vnd.google-apps."
-DOCUMENT = NATIVE_PREFIX + "document"
-SPREADSHEET = NATIVE_PREFIX + "spreadsheet"
-PRESENTATION = NATIVE_PREFIX + "presentation"
-FOLDER = NATIVE_PREFIX + "folder"
-FORM = NATIVE_PREFIX + "form"
-DRAWING = NATIVE_PREFIX + "drawing"
-SITE = NATIVE_PREFIX + "site"
-SCRIPT = NATIVE_PREFIX + "script"
-WHITEBOARD = NATIVE_PREFIX + "jam"
+DOCUMENT = "application/vnd.google-apps.document"
+SPREADSHEET = "application/vnd.google-apps.spreadsheet"
+PRESENTATION = "application/vnd.google-apps.presentation"
+FOLDER = "application/vnd.google-apps.folder"
+FORM = "application/vnd.google-apps.form"
+DRAWING = "application/vnd.google-apps.drawing"
+SITE = "application/vnd.google-apps.site"
+SCRIPT = "application/vnd.google-apps.script"
+WHITEBOARD = "application/vnd.google-apps.jam"
 DEFAULT_MIME = "application/octet-stream"
-OOXML = "application/vnd.openxmlformats-officedocument."
 
 NATIVE_TYPES = [DOCUMENT, SPREADSHEET, PRESENTATION, FOLDER, FORM, DRAWING, SITE, SCRIPT, WHITEBOARD]
 
@@ -28,37 +27,66 @@ NOT_EXPORTABLE_TYPES = [FORM, SITE, WHITEBOARD]
 EXPORT_FORMATS = {
     DOCUMENT: "text/plain",
     SPREADSHEET: "text/csv",
-    PRESENTATION: OOXML + "presentationml.presentation",
+    PRESENTATION: "application/vnd.openxmlformats-officedocument.presentationml.presentation",
     DRAWING: "image/png",
-    SCRIPT: NATIVE_PREFIX + "script+json",
+    SCRIPT: "application/vnd.google-apps.script+json",
 }
 
-CATEGORY_TYPES = {
-    "document": [
-        DOCUMENT, OOXML + "wordprocessingml.document", "application/msword", "application/pdf", "text/plain",
-        "text/html", "application/rtf",
-    ],
-    "spreadsheet": [SPREADSHEET, OOXML + "spreadsheetml.sheet", "application/vnd.ms-excel", "text/csv"],
-    "presentation": [PRESENTATION, OOXML + "presentationml.presentation", "application/vnd.ms-powerpoint"],
-    "folder": [FOLDER],
-    "form": [FORM],
-    "drawing": [DRAWING],
-    "site": [SITE],
-    "whiteboard": [WHITEBOARD],
-    "image": [
-        "image/jpeg", "image/png", "image/gif", "image/svg+xml", "image/webp", "image/bmp", "image/tiff",
-    ],
-    "video": ["video/mp4", "video/mpeg", "video/quicktime", "video/x-msvideo", "video/webm"],
-    "audio": ["audio/mpeg", "audio/mp3", "audio/wav", "audio/ogg", "audio/webm"],
-    "archive": [
-        "application/zip", "application/x-rar-compressed", "application/x-tar", "application/gzip",
-        "application/x-7z-compressed",
-    ],
-    "code": [
-        SCRIPT, "text/javascript", "application/javascript", "application/json", "text/x-python",
-        "application/x-python-code", "text/x-java-source", "text/x-c", "text/x-c++", "text/markdown", "text/x-yaml",
-        "application/xml", "text/xml",
-    ],
+CATEGORIES = {
+    DOCUMENT: "document",
+    "application/vnd.openxmlformats-officedocument.wordprocessingml.document": "document",
+    "application/msword": "document",
+    "application/pdf": "document",
+    "text/plain": "document",
+    "text/html": "document",
+    "application/rtf": "document",
+    SPREADSHEET: "spreadsheet",
+    "application/vnd.openxmlformats-officedocument.spreadsheetml.sheet": "spreadsheet",
+    "application/vnd.ms-excel": "spreadsheet",
+    "text/csv": "spreadsheet",
+    PRESENTATION: "presentation",
+    "application/vnd.openxmlformats-officedocument.presentationml.presentation": "presentation",
+    "application/vnd.ms-powerpoint": "presentation",
+    FOLDER: "folder",
+    FORM: "form",
+    DRAWING: "drawing",
+    SITE: "site",
+    WHITEBOARD: "whiteboard",
+    "image/jpeg": "image",
+    "image/png": "image",
+    "image/gif": "image",
+    "image/svg+xml": "image",
+    "image/webp": "image",
+    "image/bmp": "image",
+    "image/tiff": "image",
+    "video/mp4": "video",
+    "video/mpeg": "video",
+    "video/quicktime": "video",
+    "video/x-msvideo": "video",
+    "video/webm": "video",
+    "audio/mpeg": "audio",
+    "audio/mp3": "audio",
+    "audio/wav": "audio",
+    "audio/ogg": "audio",
+    "audio/webm": "audio",
+    "application/zip": "archive",
+    "application/x-rar-compressed": "archive",
+    "application/x-tar": "archive",
+    "application/gzip": "archive",
+    "application/x-7z-compressed": "archive",
+    SCRIPT: "code",
+    "text/javascript": "code",
+    "application/javascript": "code",
+    "application/json": "code",
+    "text/x-python": "code",
+    "application/x-python-code": "code",
+    "text/x-java-source": "code",
+    "text/x-c": "code",
+    "text/x-c++": "code",
+    "text/markdown": "code",
+    "text/x-yaml": "code",
+    "application/xml": "code",
+    "text/xml": "code",
 }
 
 CATEGORY_PREFIXES = [
@@ -80,9 +108,9 @@ EXTENSIONS = {
     "text/html": ".html",
     "text/csv": ".csv",
     "application/rtf": ".rtf",
-    OOXML + "wordprocessingml.document": ".docx",
-    OOXML + "spreadsheetml.sheet": ".xlsx",
-    OOXML + "presentationml.presentation": ".pptx",
+    "application/vnd.openxmlformats-officedocument.wordprocessingml.document": ".docx",
+    "application/vnd.openxmlformats-officedocument.spreadsheetml.sheet": ".xlsx",
+    "application/vnd.openxmlformats-officedocument.presentationml.presentation": ".pptx",
     "application/msword": ".doc",
     "application/vnd.ms-excel": ".xls",
     "application/vnd.ms-powerpoint": ".ppt",
@@ -126,7 +154,7 @@ NATIVE_NAMES = {
     DRAWING: "Google Drawings",
     SITE: "Google Sites",
     SCRIPT: "Google Apps Script",
-    NATIVE_PREFIX + "map": "Google My Maps",
+    "application/vnd.google-apps.map": "Google My Maps",
     WHITEBOARD: "Google Jamboard",
 }
 DEFAULT_NATIVE_NAME = "Google Workspace file"
@@ -157,7 +185,8 @@ def needs_export(mime: Column) -> Column:
 def category(mime: Column) -> Column:
     """Exact type first, then the type's prefix, else ``other``."""
     branch = None
-    for name, types in CATEGORY_TYPES.items():
+    for name in dict.fromkeys(CATEGORIES.values()):
+        types = [m for m, of in CATEGORIES.items() if of == name]
         branch = (F if branch is None else branch).when(mime.isin(types), F.lit(name))
     for prefix, name in CATEGORY_PREFIXES:
         branch = branch.when(mime.startswith(prefix), F.lit(name))
@@ -174,8 +203,7 @@ def native_name(mime: Column) -> Column:
 
 def mime_dimension(spark: SparkSession) -> DataFrame:
     """The exact MIME table as a dimension for joins; its size is the fixed number of known types."""
-    by_type = {mime: name for name, types in CATEGORY_TYPES.items() for mime in types}
-    rows = [(m, by_type[m], EXTENSIONS.get(m), EXPORT_FORMATS.get(m), m in NATIVE_TYPES) for m in by_type]
+    rows = [(m, name, EXTENSIONS.get(m), EXPORT_FORMATS.get(m), m in NATIVE_TYPES) for m, name in CATEGORIES.items()]
     return spark.createDataFrame(
         rows, "mime_type string, category string, file_extension string, export_format string, is_native boolean"
     )

@@ -208,7 +208,3 @@ def present_or(present: Column, value: Column, default) -> Column:
     """A default only where the key is absent; an explicit null stays null."""
     default = default if isinstance(default, Column) else F.lit(default)
     return F.when(present, value).otherwise(default)
-
-
-def json_or_null(mapping: Column) -> Column:
-    return F.to_json(mapping)

@@ -78,12 +78,6 @@ def latency_percentiles(calls: DataFrame, percentages: list[float], digits: int
     )
 
 
-def latency_percentiles_approx(calls: DataFrame, percentages: list[float], accuracy: int = 10_000) -> DataFrame:
-    return calls.groupBy("endpoint").agg(
-        *[F.percentile_approx("latency_ms", p, accuracy).alias(f"p{round(p * 100)}") for p in percentages]
-    )
-
-
 def alerts(calls: DataFrame, error_rate: float | None = None, p95_ms: float | None = None) -> DataFrame:
     """Endpoints that miss a monitoring goal."""
     error_rate = ALERT_LIMITS["error_rate"] if error_rate is None else error_rate
