@@ -553,7 +553,7 @@ sql("K05_state_upsert", ["state"], STATE + "SELECT connection_id, key, value, se
 sql("K06_teardown", ["state", "commands"], MSG + STATE + """
 SELECT connection_id, key, value FROM cs WHERE connection_id NOT IN (SELECT conn_out FROM m4 WHERE route = 'teardown' AND error_field IS NULL)""")
 sql("T12_expired_cursors", ["state", "changes"], CURSORS + """, old AS (
-  SELECT connection_id, min(page_no) AS oldest_page FROM (SELECT *, max(page_no) OVER () AS newest FROM changes) WHERE 8 * page_no >= 7 * newest GROUP BY 1)
+  SELECT connection_id, min(page_no) AS oldest_page FROM (SELECT *, max(page_no) OVER () AS newest FROM changes) WHERE 16 * page_no >= 15 * newest GROUP BY 1)
 SELECT connection_id, cursor, oldest_page, 'ChangeTokenExpiredError' AS error_class, true AS requires_backfill FROM cur JOIN old USING (connection_id) WHERE cursor < oldest_page""")
 sql("T09_renewal_due", ["state"], STATE + """
 SELECT connection_id, TRY_CAST(value AS BIGINT) AS expiration, TRY_CAST(value AS BIGINT) <= epoch_ms(TIMESTAMP '2024-02-01') AS already_expired

@@ -908,11 +908,10 @@ def teardown(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("T12_expired_cursors")
 def expired_cursors(spark: SparkSession, sf: str) -> DataFrame:
-    """The feed retains the last eighth of its pages here, so that cursors before it have expired."""
+    """The feed retains the last sixteenth of its pages here, so that cursors before it have expired."""
     feed = I.change_rows(spark, sf).select("connection_id", "page_no")
-    newest = feed.agg(F.max("page_no").alias("newest"))
-    kept = feed.join(F.broadcast(newest), 8 * F.col("page_no") >= 7 * F.col("newest"))
-    return ST.expired_cursors(_cursors(spark, sf), kept)
+    newest = feed.agg(F.max("page_no")).first()[0]
+    return ST.expired_cursors(_cursors(spark, sf), feed.where(16 * F.col("page_no") >= F.lit(newest) * 15))
 
 
 @query("T09_renewal_due")
