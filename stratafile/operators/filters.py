@@ -34,6 +34,11 @@ def wanted_type(is_folder: Column, sync_files: Column, sync_folders: Column) ->
     return (is_folder & folders) | (~is_folder & files)
 
 
+def wanted_drive(shared_drive: Column, sync_shared_drives: Column) -> Column:
+    """Items of shared drives by settings; an absent setting counts as on, an absent mark as an own item."""
+    return ~F.coalesce(shared_drive, F.lit(False)) | F.coalesce(sync_shared_drives, F.lit(True))
+
+
 def not_removed(removed: str = "removed") -> Column:
     return ~F.coalesce(F.col(removed), F.lit(False))
 

@@ -71,6 +71,7 @@ SELECT c_custkey,
   'c' || c_custkey || '@example.com' AS external_id,
   CASE WHEN c_custkey % 4 = 3 THEN NULL ELSE c_nationkey % 5 <> 0 END AS sync_files,
   CASE WHEN c_custkey % 4 = 2 THEN NULL ELSE c_nationkey % 3 <> 0 END AS sync_folders,
+  CASE WHEN c_custkey % 4 = 1 THEN NULL ELSE c_custkey % 2 <> 0 END AS sync_shared_drives,
   c_name AS display_name, c_acctbal, c_mktsegment
 FROM {customer}
 """

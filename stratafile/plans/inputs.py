@@ -174,7 +174,7 @@ def connections(spark: SparkSession, sf_dir: str) -> DataFrame:
         "external_id",
         F.col("external_id").alias("user_id"),
         F.concat(F.lit("stored-"), "connection_id").alias("access_token"),
-        F.struct("sync_files", "sync_folders").alias("settings"),
+        F.struct("sync_files", "sync_folders", "sync_shared_drives").alias("settings"),
         "display_name",
     )
 

@@ -369,7 +369,8 @@ sql("Q12_incremental", ["files", "connections", "changes", "state"], LIGHT + CUR
   FROM changes ch JOIN light l ON l.doc_id = ch.doc_id LEFT JOIN cur ON cur.connection_id = ch.connection_id JOIN st ON st.connection_id = ch.connection_id
   LEFT JOIN connections c ON c.connection_id = ch.connection_id
   WHERE ch.page_no >= coalesce(cur.cursor, st.start_cursor) AND NOT ch.removed AND ch.file_state = 'file' AND light_bad IS NULL
-    AND CASE WHEN light_type = 'folder' THEN coalesce(c.sync_folders, true) ELSE coalesce(c.sync_files, true) END)
+    AND CASE WHEN light_type = 'folder' THEN coalesce(c.sync_folders, true) ELSE coalesce(c.sync_files, true) END
+    AND (NOT ch.shared_drive OR coalesce(c.sync_shared_drives, true)))
 SELECT page_no, seq, {SYNC_OUT}, 'incremental' AS trigger_type, change_type, has_export AS has_content,
   CASE WHEN has_export THEN octet_length(encode(text)) ELSE 0 END AS content_size_bytes FROM rows""")
 

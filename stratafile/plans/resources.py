@@ -131,13 +131,18 @@ def capabilities(spark: SparkSession) -> DataFrame:
 
 
 def _selected(rows: DataFrame, connections: DataFrame, hot: list[str] | None, *carry: str) -> DataFrame:
-    """Rows the connection's settings want, with further columns of the connection."""
+    """Rows the connection's settings want, with further columns of the connection. Rows that say whether they lie in a
+    shared drive (``shared_drive``) are held against that setting too."""
+    has_drives = "sync_shared_drives" in connections.schema["settings"].dataType.fieldNames()
     settings = connections.select(
-        "connection_id", *carry, F.col("settings.sync_files").alias("_files"), F.col("settings.sync_folders").alias("_folders")
+        "connection_id", *carry, F.col("settings.sync_files").alias("_files"), F.col("settings.sync_folders").alias("_folders"),
+        (F.col("settings.sync_shared_drives") if has_drives else F.lit(None).cast("boolean")).alias("_drives"),
     )
     wanted = X.wanted_type(F.col("type") == "folder", F.col("_files"), F.col("_folders"))
+    if "shared_drive" in rows.columns:
+        wanted = wanted & X.wanted_drive(F.col("shared_drive"), F.col("_drives"))
     joined = J.with_connection(rows, settings, hot=hot, spread="id")
-    return joined.where(wanted).drop("_files", "_folders")
+    return joined.where(wanted).drop("_files", "_folders", "_drives")
 
 
 def _with_export_size(rows: DataFrame, content_sizes: DataFrame | None) -> DataFrame:
@@ -179,8 +184,9 @@ def incremental_sync(
     connections to spread."""
     wanted = J.changes_after_cursor(feed.where(X.not_removed()), cursors, starts, hot=hot, spread="seq")
     live = wanted.where(X.has_file("file"))
+    drive = ("shared_drive",) if "shared_drive" in live.columns else ()
     light, _ = P.split_bad_rows(
-        P.light_normalize_files(live, raw_json="file", keep=("connection_id", "change_type", *keep))
+        P.light_normalize_files(live, raw_json="file", keep=("connection_id", "change_type", *drive, *keep))
     )
     rows = _selected(light, connections, hot, "customer_id")
     return E.sync_envelopes(_with_export_size(rows, content_sizes), cfg, "incremental", "change_type", keep=keep)

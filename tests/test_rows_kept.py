@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from stratafile.operators import blobs as B
 from stratafile.operators import commands as C
 from stratafile.operators import dedup as D
+from stratafile.operators import filters as X
 from stratafile.operators import joins as J
 from stratafile.operators import messages as MSG
 from stratafile.operators import metrics as A
@@ -83,6 +84,13 @@ def test_connections_without_a_cursor_start_at_the_newest_token(spark):
     assert sorted((r.connection_id, r.page_no) for r in got) == [("a", 1), ("a", 2), ("b", 2)]
 
 
+def test_shared_drives_follow_the_setting(spark):
+    rows = [(s, w) for s in (None, False, True) for w in (None, False, True)]
+    df = spark.createDataFrame(rows, "shared boolean, setting boolean")
+    kept = {(r.shared, r.setting) for r in df.where(X.wanted_drive(F.col("shared"), F.col("setting"))).collect()}
+    assert kept == {r for r in rows if r != (True, False)}
+
+
 def test_network_errors_count(spark):
     calls = spark.createDataFrame([("e", None), ("e", 200), ("e", 404)], "endpoint string, status_code int")
     assert {r.status_code: r.errors for r in A.api_calls_by_code(calls).collect()} == {None: 1, 200: 0, 404: 1}
