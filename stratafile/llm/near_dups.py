@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratafile.llm import setsketch
+from stratafile.llm.quality_rules import free_name
 from stratafile.llm.tables import stored
 from stratafile.llm.words import U64, Words, mixed, rounds, sequence_hash, windows, words_of
 
@@ -112,7 +113,8 @@ def _set_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, sizes = shingle_sets(words_of(batch.column("text"), lower=True))
         ends = np.cumsum(sizes)
         blobs = [hashes[e - n : e].tobytes() for e, n in zip(ends.tolist(), sizes.tolist(), strict=True)]
-        yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(blobs, pa.binary())], ["node", "hashes"])
+        full = pa.array(sizes > 0)  # a doc_id with several texts may have an empty one among them
+        yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(blobs, pa.binary())], ["node", "hashes"]).filter(full)
 
 
 def full_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -253,8 +255,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     nodes = stored(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "nodes")
     links = stored(verified(pairs, stored(full_sets(docs, nodes), "sets")), "links")
 
-    # one doc_id with several texts: its classes are one document
-    marked = full.select("doc_id", "fingerprint", "n_shingles", F.xxhash64("fingerprint").alias("mark"))
+    # one doc_id with several texts: its classes, and its empty texts, are one document
+    mark = F.when(F.col("fingerprint").isNotNull(), F.xxhash64("fingerprint")).otherwise(F.lit(0))
+    marked = rows.where("doc_id is not null").select("doc_id", "fingerprint", "n_shingles", mark.alias("mark"))
     several = marked.groupBy("doc_id").agg(F.min("mark").alias("low"), F.max("mark").alias("high")).where("low <> high")
     same = stored(marked.join(several.select("doc_id"), "doc_id").join(node_of, ["fingerprint", "n_shingles"]).select(F.col("doc_id").alias("a"), F.col("node").alias("b")).distinct(), "same")
 
@@ -267,8 +270,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     labels = components(stored(known.union(more), "known"))
 
     ids = rows.select("doc_id", "n_shingles", "fingerprint").join(node_of, ["fingerprint", "n_shingles"], "left")
-    ids = ids.join(labels, "node", "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "node", "doc_id"))
+    ids = ids.withColumn("node", F.coalesce("node", "doc_id")).join(labels, "node", "left")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "node"))
     ids = ids.select("doc_id", "n_shingles", component.alias("component_id"))
     return ids.withColumn("kept", F.col("doc_id").isNull() | (F.col("doc_id") == F.col("component_id")))
 
@@ -280,8 +283,10 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     apart = stored(counts.where("not kept or n > 1").select(F.col("doc_id").alias("_apart_id"), "kept"), "apart")
     on = docs["doc_id"].cast("bigint") == F.col("_apart_id")
     once = docs.join(_sent(apart.select("_apart_id")), on, "left_anti")
-    # rows that share a doc_id: one of them stays
-    again = docs.join(_sent(apart.where("kept").select("_apart_id")), on, "left_semi").dropDuplicates(["doc_id"])
+    # of rows that share a doc_id the longest text stays
+    again = docs.join(_sent(apart.where("kept").select("_apart_id")), on, "left_semi")
+    place, longest = free_name(docs, "_place"), Window.partitionBy("doc_id").orderBy(F.octet_length("text").desc_nulls_last(), "text")
+    again = again.withColumn(place, F.row_number().over(longest)).where(F.col(place) == 1).drop(place)
     return once.unionByName(again)
 
 

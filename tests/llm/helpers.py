@@ -66,7 +66,7 @@ def awkward(rng: random.Random) -> list[tuple]:
         (7, "one two three", "en", "c", 13), (8, "one  two\nthree", "de", "c", 14), (9, "one two four", "de", "c", 1),
         (10, prose(rng, 30_000, 9999), "en", "d", 1), (11, prose(rng, 60, 9999) + " " + passage, "en", "a", 1),
         (12, passage + " " + prose(rng, 60, 9999), "en", "a", 1), (12, passage + " " + prose(rng, 50, 9999), "en", "a", 1),
-        (13, base, "en", "a", 5), (13, base, "en", "a", 5), (14, "the same few words " * 60, "en", "a", 1),
+        (13, base, "en", "a", 5), (13, base, "en", "a", 5), (1, "", "en", "a", 0), (21, None, "en", "a", 0), (14, "the same few words " * 60, "en", "a", 1),
         (15, "été café au lait \U0001f600 naïve", "fr", "e", 1),
     ]
     w = base.split()

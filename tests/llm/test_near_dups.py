@@ -53,6 +53,7 @@ def test_one_of_each_keeps_rows_without_id_and_other_columns(docs, rows):
     of = H.components([(r[0], r[1]) for r in rows])
     assert sorted(r.doc_id for r in kept.where("doc_id is not null").collect()) == sorted(set(of.values()))
     assert kept.where("doc_id is null").count() == 2
+    assert kept.where("doc_id = 1").first().text.startswith("w")  # not the empty text of the same id
 
 
 def test_components_of_a_long_chain(spark):
