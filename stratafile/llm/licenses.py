@@ -1,9 +1,10 @@
 """License scans: ordered signature rules with a keyword prefilter, priorities and containment suppression.
 
 Rules are regular expressions over the text with A-Z lower-cased; a blank in a rule stands for any run of characters that
-aren't letters or digits. An Aho-Corasick automaton finds which keywords a text holds, and only the rules gated by those
-are run. A detection inside the interval of one of higher priority (or an equal, longer one) is suppressed, so "GNU
-Lesser General Public License" isn't also the GPL. The base phrases are places of whole words; their labels always stay.
+aren't letters or digits. An Aho-Corasick automaton finds which keywords a text holds, and only rules whose pattern can
+match with those are run: the gate of a rule is read from its own pattern, so it holds back no match. A detection inside
+the interval of one of higher priority (or an equal, longer one) is suppressed, so "GNU Lesser General Public License"
+isn't also the GPL. The base phrases are places of whole words; their labels always stay.
 
 One pass over whole texts, without a shuffle. Defined results: null or empty text has no words, no places and score 0;
 repeated rows are scanned alike; an empty table gives none; a text of any length is scanned as a whole.
@@ -12,9 +13,12 @@ repeated rows are scanned alike; an empty table gives none; a text of any length
 from __future__ import annotations
 
 import functools
+import itertools
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from re import _constants as sre
+from re import _parser as sre_parser
 
 import numpy as np
 import pyarrow as pa
@@ -26,104 +30,104 @@ from stratafile.llm.words import LOWER, rounds, spans, text_bytes
 #: Base phrases: consecutive words, and the label of each.
 BASE = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
 
-#: label; keyword that each of its rules needs; name as a pattern; identifiers as patterns.
+#: label; name as a pattern; identifiers as patterns.
 LICENSES = [
-    ("mit", "mit", "mit|expat", "mit"),
-    ("mit-0", "mit", "mit no attribution", "mit 0"),
-    ("apache-2", "apache", "apache(?: software)? licen[cs]e v(?:ersion )?2(?: 0)?|apache 2(?: 0)?", "apache 2(?: 0)?"),
-    ("apache-1.1", "apache", "apache(?: software)? licen[cs]e v(?:ersion )?1 1", "apache 1 1"),
-    ("apache-1", "apache", "apache(?: software)? licen[cs]e v(?:ersion )?1(?: 0)?", "apache 1 0"),
-    ("bsd-2-clause", "bsd", "(?:simplified|2 clause|two clause|freebsd) bsd|bsd (?:2|two) clause", "bsd 2 clause"),
-    ("bsd-3-clause", "bsd", "(?:new|modified|revised|3 clause|three clause) bsd|bsd (?:3|three) clause", "bsd 3 clause"),
-    ("bsd-4-clause", "bsd", "(?:original|4 clause|four clause) bsd|bsd (?:4|four) clause", "bsd 4 clause"),
-    ("0bsd", "bsd", "(?:zero clause|0 clause) bsd", "0bsd"),
-    ("bsd", "bsd", "bsd(?: style)?", "bsd"),
-    ("isc", "isc", "isc", "isc"),
-    ("gpl-1", "gnu", "gnu general public licen[cs]e v(?:ersion )?1|gnu gpl ?v?1", "gpl 1 0"),
-    ("gpl-2", "gnu", "gnu general public licen[cs]e v(?:ersion )?2|gnu gpl ?v?2", "gpl 2 0"),
-    ("gpl-3", "gnu", "gnu general public licen[cs]e v(?:ersion )?3|gnu gpl ?v?3", "gpl 3 0"),
-    ("gpl", "gnu", "gnu general public|gnu gpl", "gpl"),
-    ("lgpl-2", "gnu", "gnu (?:library|lesser) general public licen[cs]e v(?:ersion )?2(?: 0)?", "lgpl 2 0"),
-    ("lgpl-2.1", "gnu", "gnu lesser general public licen[cs]e v(?:ersion )?2 1", "lgpl 2 1"),
-    ("lgpl-3", "gnu", "gnu lesser general public licen[cs]e v(?:ersion )?3", "lgpl 3 0"),
-    ("lgpl", "gnu", "gnu (?:library|lesser) general public", "lgpl"),
-    ("agpl-3", "affero", "(?:gnu )?affero general public licen[cs]e v(?:ersion )?3", "agpl 3 0"),
-    ("agpl", "affero", "(?:gnu )?affero general public", "agpl"),
-    ("gfdl", "gnu", "gnu free documentation", "gfdl 1 [123]"),
-    ("mpl-1", "mozilla", "mozilla public licen[cs]e v(?:ersion )?1(?: 0)?", "mpl 1 0"),
-    ("mpl-1.1", "mozilla", "mozilla public licen[cs]e v(?:ersion )?1 1", "mpl 1 1"),
-    ("mpl-2", "mozilla", "mozilla public licen[cs]e v(?:ersion )?2(?: 0)?", "mpl 2 0"),
-    ("mpl", "mozilla", "mozilla public", "mpl"),
-    ("epl-1", "eclipse", "eclipse public licen[cs]e v(?:ersion )?1(?: 0)?", "epl 1 0"),
-    ("epl-2", "eclipse", "eclipse public licen[cs]e v(?:ersion )?2(?: 0)?", "epl 2 0"),
-    ("epl", "eclipse", "eclipse public", "epl"),
-    ("cddl-1", "cddl", "common development and distribution|cddl", "cddl 1 [01]"),
-    ("cpl-1", "common public", "common public", "cpl 1 0"),
-    ("ibm-public", "ibm public", "ibm public", "ipl 1 0"),
-    ("artistic-1", "artistic", "artistic licen[cs]e v?(?:ersion )?1(?: 0)?", "artistic 1 0"),
-    ("artistic-2", "artistic", "artistic licen[cs]e v?(?:ersion )?2(?: 0)?", "artistic 2 0"),
-    ("artistic", "artistic", "artistic", "artistic"),
-    ("boost-1", "boost", "boost software", "bsl 1 0"),
-    ("zlib", "zlib", "zlib|zlib libpng", "zlib"),
-    ("libpng", "libpng", "libpng", "libpng"),
-    ("openssl", "openssl", "openssl", "openssl"),
-    ("python-2", "python", "python(?: software foundation)?", "(?:psf|python) 2 0"),
-    ("php-3", "php", "php", "php 3 01"),
-    ("ruby", "ruby", "ruby", "ruby"),
-    ("postgresql", "postgresql", "postgresql", "postgresql"),
-    ("unlicense", "unlicense", "unlicense", "unlicense"),
-    ("wtfpl", "wtfpl", "wtfpl", "wtfpl"),
-    ("x11", "x11", "x11|mit x11", "x11"),
-    ("ncsa", "ncsa", "(?:university of illinois )?ncsa", "ncsa"),
-    ("afl-3", "academic free", "academic free", "afl 3 0"),
-    ("osl-3", "open software", "open software", "osl 3 0"),
-    ("ecl-2", "educational community", "educational community", "ecl 2 0"),
-    ("ms-pl", "microsoft", "microsoft public", "ms pl"),
-    ("ms-rl", "microsoft", "microsoft reciprocal", "ms rl"),
-    ("eupl-1.2", "european union", "european union public", "eupl 1 2"),
-    ("cecill", "cecill", "cecill", "cecill 2 1"),
-    ("apsl-2", "apple", "apple public source", "apsl 2 0"),
-    ("sleepycat", "sleepycat", "sleepycat", "sleepycat"),
-    ("vim", "vim", "vim", "vim"),
-    ("ofl-1.1", "open font", "sil open font", "ofl 1 1"),
-    ("odbl", "open database", "open database", "odbl 1 0"),
-    ("odc-by", "open data commons", "open data commons attribution", "odc by 1 0"),
-    ("pddl", "open data commons", "open data commons public domain dedication", "pddl 1 0"),
-    ("cc0", "cc0", "cc0(?: 1 0)?(?: universal)?", "cc0 1 0"),
-    ("cc-by", "cc", "cc by(?! (?:nc|nd|sa))", "cc by [1-4] [05]"),
-    ("cc-by-sa", "cc", "cc by sa", "cc by sa [1-4] [05]"),
-    ("cc-by-nd", "cc", "cc by nd", "cc by nd [1-4] [05]"),
-    ("cc-by-nc", "cc", "cc by nc(?! (?:nd|sa))", "cc by nc [1-4] [05]"),
-    ("cc-by-nc-sa", "cc", "cc by nc sa", "cc by nc sa [1-4] [05]"),
-    ("cc-by-nc-nd", "cc", "cc by nc nd", "cc by nc nd [1-4] [05]"),
-    ("cc-by", "creative commons", "creative commons attribution(?! (?:non|no|share))", "creativecommons org licenses by"),
-    ("cc-by-sa", "creative commons", "creative commons attribution share ?alike", "creativecommons org licenses by sa"),
-    ("cc-by-nd", "creative commons", "creative commons attribution no ?deriv\\w*", "creativecommons org licenses by nd"),
-    ("cc-by-nc", "creative commons", "creative commons attribution non ?commercial(?! (?:no|share))", "creativecommons org licenses by nc"),
-    ("cc-by-nc-sa", "creative commons", "creative commons attribution non ?commercial share ?alike", "creativecommons org licenses by nc sa"),
-    ("cc-by-nc-nd", "creative commons", "creative commons attribution non ?commercial no ?deriv\\w*", "creativecommons org licenses by nc nd"),
-    ("ogl", "open government", "open government", "ogl uk 3 0"),
-    ("bsl-1.1", "business source", "business source", "busl 1 1"),
-    ("sspl-1", "server side", "server side public", "sspl 1 0"),
-    ("elastic-2", "elastic", "elastic", "elastic 2 0"),
+    ("mit", "mit|expat", "mit"),
+    ("mit-0", "mit no attribution", "mit 0"),
+    ("apache-2", "apache(?: software)? licen[cs]e v(?:ersion )?2(?: 0)?|apache 2(?: 0)?", "apache 2(?: 0)?"),
+    ("apache-1.1", "apache(?: software)? licen[cs]e v(?:ersion )?1 1", "apache 1 1"),
+    ("apache-1", "apache(?: software)? licen[cs]e v(?:ersion )?1(?: 0)?", "apache 1 0"),
+    ("bsd-2-clause", "(?:simplified|2 clause|two clause|freebsd) bsd|bsd (?:2|two) clause", "bsd 2 clause"),
+    ("bsd-3-clause", "(?:new|modified|revised|3 clause|three clause) bsd|bsd (?:3|three) clause", "bsd 3 clause"),
+    ("bsd-4-clause", "(?:original|4 clause|four clause) bsd|bsd (?:4|four) clause", "bsd 4 clause"),
+    ("0bsd", "(?:zero clause|0 clause) bsd", "0bsd"),
+    ("bsd", "bsd(?: style)?", "bsd"),
+    ("isc", "isc", "isc"),
+    ("gpl-1", "gnu general public licen[cs]e v(?:ersion )?1|gnu gpl ?v?1", "gpl 1 0"),
+    ("gpl-2", "gnu general public licen[cs]e v(?:ersion )?2|gnu gpl ?v?2", "gpl 2 0"),
+    ("gpl-3", "gnu general public licen[cs]e v(?:ersion )?3|gnu gpl ?v?3", "gpl 3 0"),
+    ("gpl", "gnu general public|gnu gpl", "gpl"),
+    ("lgpl-2", "gnu (?:library|lesser) general public licen[cs]e v(?:ersion )?2(?: 0)?", "lgpl 2 0"),
+    ("lgpl-2.1", "gnu lesser general public licen[cs]e v(?:ersion )?2 1", "lgpl 2 1"),
+    ("lgpl-3", "gnu lesser general public licen[cs]e v(?:ersion )?3", "lgpl 3 0"),
+    ("lgpl", "gnu (?:library|lesser) general public", "lgpl"),
+    ("agpl-3", "(?:gnu )?affero general public licen[cs]e v(?:ersion )?3", "agpl 3 0"),
+    ("agpl", "(?:gnu )?affero general public", "agpl"),
+    ("gfdl", "gnu free documentation", "gfdl 1 [123]"),
+    ("mpl-1", "mozilla public licen[cs]e v(?:ersion )?1(?: 0)?", "mpl 1 0"),
+    ("mpl-1.1", "mozilla public licen[cs]e v(?:ersion )?1 1", "mpl 1 1"),
+    ("mpl-2", "mozilla public licen[cs]e v(?:ersion )?2(?: 0)?", "mpl 2 0"),
+    ("mpl", "mozilla public", "mpl"),
+    ("epl-1", "eclipse public licen[cs]e v(?:ersion )?1(?: 0)?", "epl 1 0"),
+    ("epl-2", "eclipse public licen[cs]e v(?:ersion )?2(?: 0)?", "epl 2 0"),
+    ("epl", "eclipse public", "epl"),
+    ("cddl-1", "common development and distribution|cddl", "cddl 1 [01]"),
+    ("cpl-1", "common public", "cpl 1 0"),
+    ("ibm-public", "ibm public", "ipl 1 0"),
+    ("artistic-1", "artistic licen[cs]e v?(?:ersion )?1(?: 0)?", "artistic 1 0"),
+    ("artistic-2", "artistic licen[cs]e v?(?:ersion )?2(?: 0)?", "artistic 2 0"),
+    ("artistic", "artistic", "artistic"),
+    ("boost-1", "boost software", "bsl 1 0"),
+    ("zlib", "zlib|zlib libpng", "zlib"),
+    ("libpng", "libpng", "libpng"),
+    ("openssl", "openssl", "openssl"),
+    ("python-2", "python(?: software foundation)?", "(?:psf|python) 2 0"),
+    ("php-3", "php", "php 3 01"),
+    ("ruby", "ruby", "ruby"),
+    ("postgresql", "postgresql", "postgresql"),
+    ("unlicense", "unlicense", "unlicense"),
+    ("wtfpl", "wtfpl", "wtfpl"),
+    ("x11", "x11|mit x11", "x11"),
+    ("ncsa", "(?:university of illinois )?ncsa", "ncsa"),
+    ("afl-3", "academic free", "afl 3 0"),
+    ("osl-3", "open software", "osl 3 0"),
+    ("ecl-2", "educational community", "ecl 2 0"),
+    ("ms-pl", "microsoft public", "ms pl"),
+    ("ms-rl", "microsoft reciprocal", "ms rl"),
+    ("eupl-1.2", "european union public", "eupl 1 2"),
+    ("cecill", "cecill", "cecill 2 1"),
+    ("apsl-2", "apple public source", "apsl 2 0"),
+    ("sleepycat", "sleepycat", "sleepycat"),
+    ("vim", "vim", "vim"),
+    ("ofl-1.1", "sil open font", "ofl 1 1"),
+    ("odbl", "open database", "odbl 1 0"),
+    ("odc-by", "open data commons attribution", "odc by 1 0"),
+    ("pddl", "open data commons public domain dedication", "pddl 1 0"),
+    ("cc0", "cc0(?: 1 0)?(?: universal)?", "cc0 1 0"),
+    ("cc-by", "cc by(?! (?:nc|nd|sa))", "cc by [1-4] [05]"),
+    ("cc-by-sa", "cc by sa", "cc by sa [1-4] [05]"),
+    ("cc-by-nd", "cc by nd", "cc by nd [1-4] [05]"),
+    ("cc-by-nc", "cc by nc(?! (?:nd|sa))", "cc by nc [1-4] [05]"),
+    ("cc-by-nc-sa", "cc by nc sa", "cc by nc sa [1-4] [05]"),
+    ("cc-by-nc-nd", "cc by nc nd", "cc by nc nd [1-4] [05]"),
+    ("cc-by", "creative commons attribution(?! (?:non|no|share))", "creativecommons org licenses by"),
+    ("cc-by-sa", "creative commons attribution share ?alike", "creativecommons org licenses by sa"),
+    ("cc-by-nd", "creative commons attribution no ?deriv\\w*", "creativecommons org licenses by nd"),
+    ("cc-by-nc", "creative commons attribution non ?commercial(?! (?:no|share))", "creativecommons org licenses by nc"),
+    ("cc-by-nc-sa", "creative commons attribution non ?commercial share ?alike", "creativecommons org licenses by nc sa"),
+    ("cc-by-nc-nd", "creative commons attribution non ?commercial no ?deriv\\w*", "creativecommons org licenses by nc nd"),
+    ("ogl", "open government", "ogl uk 3 0"),
+    ("bsl-1.1", "business source", "busl 1 1"),
+    ("sspl-1", "server side public", "sspl 1 0"),
+    ("elastic-2", "elastic", "elastic 2 0"),
 ]
 
-#: What makes a rule of a name or identifier: priority (1 is highest), confidence, field, pattern, further keyword.
+#: What makes a rule of a name or identifier: priority (1 is highest), confidence, field, pattern.
 TEMPLATES = [
-    (1, 0.99, "id", "spdx licen[cs]e identifier {}", "spdx"),
-    (2, 0.95, "name", "(?:licen[cs]ed|released|distributed|published|available|provided)(?: \\w+)? under(?: the)?(?: terms of)?(?: the)? (?:{})(?: licen[cs]e)?", "under"),
-    (2, 0.95, "name", "(?:subject to|governed by|covered by|according to) the(?: terms of the)? (?:{})(?: licen[cs]e)?", ""),
-    (3, 0.8, "name", "(?:{}) licen[cs]e", "licen"),
-    (3, 0.8, "id", "licen[cs]e (?:is )?{}", "licen"),
+    (1, 0.99, "id", "spdx licen[cs]e identifier {}"),
+    (2, 0.95, "name", "(?:licen[cs]ed|released|distributed|published|available|provided)(?: \\w+)? under(?: the)?(?: terms of)?(?: the)? (?:{})(?: licen[cs]e)?"),
+    (2, 0.95, "name", "(?:subject to|governed by|covered by|according to) the(?: terms of the)? (?:{})(?: licen[cs]e)?"),
+    (3, 0.8, "name", "(?:{}) licen[cs]e"),
+    (3, 0.8, "id", "licen[cs]e (?:is )?{}"),
 ]
 
-#: Rules that belong to no single license: label, priority, confidence, keyword, pattern.
+#: Rules that belong to no single license: label, priority, confidence, pattern.
 OTHERS = [
-    ("all-rights-reserved", 3, 0.7, "rights reserved", "all rights reserved"),
-    ("public-domain", 3, 0.7, "public domain", "(?:released|dedicated|placed)(?: in)?to? the public domain"),
-    ("public-domain", 4, 0.5, "public domain", "public domain"),
-    ("copyright", 4, 0.3, "copyright", "copyright (?:c )?(?:19|20)\\d\\d"),
-    ("proprietary", 3, 0.7, "proprietary", "proprietary and confidential"),
+    ("all-rights-reserved", 3, 0.7, "all rights reserved"),
+    ("public-domain", 3, 0.7, "(?:released|dedicated|placed)(?: in)?to? the public domain"),
+    ("public-domain", 4, 0.5, "public domain"),
+    ("copyright", 4, 0.3, "copyright (?:c )?(?:19|20)\\d\\d"),
+    ("proprietary", 3, 0.7, "proprietary and confidential"),
 ]
 
 WORD, BETWEEN = "0-9a-z\x80-\xff", "[^0-9a-z\x80-\xff]+"
@@ -134,7 +138,7 @@ class Rule:
     label: str
     priority: int
     confidence: float
-    keywords: tuple[str, ...]
+    gate: tuple[frozenset[str], ...]
     pattern: re.Pattern
 
 
@@ -143,20 +147,46 @@ def _compiled(pattern: str) -> re.Pattern:
     return re.compile(f"(?<![{WORD}])(?:{pattern})(?![{WORD}])")
 
 
+def _needed(parsed) -> list[frozenset[str]]:
+    """What every match of a parsed pattern holds: of each set at least one literal."""
+    sets, run = [], ""
+    for kind, value in [*parsed, (None, None)]:
+        if kind is sre.LITERAL and value != ord(" "):
+            run += chr(value)
+            continue
+        sets, run = [*sets, *([frozenset([run])] if run else [])], ""
+        if kind is sre.SUBPATTERN:
+            sets += _needed(value[-1])
+        elif kind is sre.MAX_REPEAT and value[0]:
+            sets += _needed(value[2])
+        elif kind is sre.BRANCH:  # a match holds all sets of one branch, so of any choice of a set per branch at least one
+            sets += [frozenset().union(*chosen) for chosen in itertools.product(*map(_needed, value[1]))]
+    return sets
+
+
+def _gate(pattern: str) -> tuple[frozenset[str], ...]:
+    """The sets of :func:`_needed` that tell most: none of single characters, none that another one implies."""
+    sets = {s for s in _needed(sre_parser.parse(pattern)) if min(map(len, s)) > 1}
+    gate = [s for s in sets if not any(other < s for other in sets)]
+    return tuple(sorted(gate, key=lambda s: (-min(map(len, s)), len(s), sorted(s))))
+
+
+def _rule(label: str, priority: int, confidence: float, pattern: str) -> Rule:
+    return Rule(label, priority, confidence, _gate(pattern), _compiled(pattern))
+
+
 def rules() -> list[Rule]:
     """The signature rules in order: each license by each template, then the others."""
     made = []
-    for label, keyword, name, own_id in LICENSES:
-        for priority, confidence, field, template, further in TEMPLATES:
+    for label, name, own_id in LICENSES:
+        for priority, confidence, field, template in TEMPLATES:
             pattern = template.replace("{}", name if field == "name" else own_id)
-            keywords = (further,) if field == "id" and further == "spdx" else tuple(k for k in (keyword, further) if k)
             if field == "id" and template.startswith("licen") and " " not in own_id and not own_id[-1].isdigit():
                 continue  # a bare word after "license" is no identifier
-            made.append(Rule(label, priority, confidence, keywords, _compiled(pattern)))
+            made.append(_rule(label, priority, confidence, pattern))
         if name.count(" ") and "licen" in name or label.startswith("cc"):
-            made.append(Rule(label, 3, 0.8, (keyword,), _compiled(f"(?:{name})")))
-    made += [Rule(label, p, c, (keyword,), _compiled(pattern)) for label, p, c, keyword, pattern in OTHERS]
-    return made
+            made.append(_rule(label, 3, 0.8, f"(?:{name})"))
+    return made + [_rule(*other) for other in OTHERS]
 
 
 class Scanner:
@@ -166,12 +196,11 @@ class Scanner:
         self.rules = rules()
         self.base = [(label, _compiled(phrase)) for phrase, label in BASE.items()]
         self.base_keywords = [max(phrase.split(), key=len) for phrase in BASE]
-        # a keyword of several words is looked for by its longest word, since any characters may stand between
-        self.gates = [frozenset(max(k.split(), key=len) for k in rule.keywords) for rule in self.rules]
-        wanted = sorted(set().union(*self.gates))
+        wanted = sorted(set().union(*(s for rule in self.rules for s in rule.gate)))
         self.by_word: dict[str, list[int]] = {}
-        for i, gate in enumerate(self.gates):
-            self.by_word.setdefault(min(gate, key=lambda w: (-len(w), w)), []).append(i)
+        for i, rule in enumerate(self.rules):
+            for w in rule.gate[0]:
+                self.by_word.setdefault(w, []).append(i)
         self.automaton = ahocorasick.Automaton()
         for w in wanted:
             self.automaton.add_word(w, w)
@@ -191,11 +220,10 @@ class Scanner:
         if not held:
             return []
         found = []
-        for w in held:
-            for i in self.by_word.get(w, ()):
-                if self.gates[i] <= held:
-                    r = self.rules[i]
-                    found += [(m.start(), m.end(), r.priority, r.confidence, r.label) for m in r.pattern.finditer(text)]
+        for i in {i for w in held for i in self.by_word.get(w, ())}:
+            r = self.rules[i]
+            if not any(s.isdisjoint(held) for s in r.gate):
+                found += [(m.start(), m.end(), r.priority, r.confidence, r.label) for m in r.pattern.finditer(text)]
         return unsuppressed(found)
 
 

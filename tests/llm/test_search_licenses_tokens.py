@@ -109,6 +109,50 @@ def test_prefilter_loses_no_detection():
         assert scan.detections(text) == licenses.unsuppressed(everything)
 
 
+@pytest.mark.parametrize(
+    "text, label",
+    [
+        ("License: GPL-2.0", "gpl-2"), ("license: LGPL 2.1", "lgpl-2.1"), ("License: GFDL 1.3", "gfdl"), ("license is MPL-2.0", "mpl-2"),
+        ("License: EPL-2.0", "epl-2"), ("License: AGPL-3.0", "agpl-3"), ("License: PSF-2.0", "python-2"), ("License: MS-PL", "ms-pl"),
+        ("License: EUPL-1.2", "eupl-1.2"), ("License: BUSL-1.1", "bsl-1.1"), ("License: SSPL-1.0", "sspl-1"), ("under the Expat license", "mit"),
+        ("Common Development and Distribution License", "cddl-1"), ("http://creativecommons.org/licenses/by/4.0", None),
+    ],
+)
+def test_a_notice_alone_is_found(text, label):
+    assert {d[4] for d in licenses.scanner().detections(text.lower())} == ({label} if label else set())
+
+
+def sample(rng, parsed):
+    """A text that a parsed pattern matches, but for what its assertions refuse."""
+    out = ""
+    for kind, value in parsed:
+        if str(kind) == "LITERAL":
+            out += chr(value)
+        elif str(kind) == "IN":
+            first, what = value[0]
+            out += {"NEGATE": " ", "CATEGORY": "7"}.get(str(first)) or chr(what if str(first) == "LITERAL" else what[0])
+        elif str(kind) == "BRANCH":
+            out += sample(rng, rng.choice(value[1]))
+        elif str(kind) == "SUBPATTERN":
+            out += sample(rng, value[-1])
+        elif str(kind) == "MAX_REPEAT":
+            out += "".join(sample(rng, value[2]) for _ in range(value[0] + rng.randrange(2 if value[1] > value[0] else 1)))
+        else:
+            assert str(kind) == "ASSERT_NOT"
+    return out
+
+
+def test_each_rule_finds_its_own_match_alone():
+    scan, rng = licenses.scanner(), random.Random(5)
+    for r in scan.rules:
+        texts = {sample(rng, re._parser.parse(r.pattern.pattern)) for _ in range(6)}
+        texts = {t for t in texts if r.pattern.search(t)}
+        assert texts
+        for text in texts:
+            everything = [(m.start(), m.end(), x.priority, x.confidence, x.label) for x in scan.rules for m in x.pattern.finditer(text)]
+            assert scan.detections(text) == licenses.unsuppressed(everything), text
+
+
 def test_licenses_of_an_empty_table(no_docs):
     assert licenses.license_report(no_docs).count() == 0
 
