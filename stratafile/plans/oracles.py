@@ -650,6 +650,10 @@ sql("stream_dedup", ["changes"], NONCE + "SELECT DISTINCT nonce FROM nr WHERE no
 sql("stream_commands", ["commands"], MSG + """
 SELECT route, count(*) AS n FROM m4 WHERE error_field IS NULL AND route IN ('init', 'fetch', 'write', 'teardown', 'capability') GROUP BY 1
 UNION ALL SELECT 'validationerror', count(*) FROM m4 WHERE error_field IS NOT NULL HAVING count(*) > 0""")
+sql("stream_message_loop", ["commands"], MSG + """
+SELECT message_id, route, conn_out AS connection_id,
+  CASE WHEN error_field IS NOT NULL THEN 'dead_letter' WHEN route IS NULL THEN 'unhandled' ELSE 'record' END AS output
+FROM m4 WHERE route IS DISTINCT FROM 'skipped'""")
 sql("stream_webhooks", ["webhooks", "connections"], WEBHOOK + """
 SELECT message_id, connection_id, customer_id, token AS page_token, NULL AS reason FROM outc WHERE outcome = 'fetch'
 UNION ALL SELECT message_id, NULL, NULL, NULL, coalesce(error, resolution_error) FROM outc WHERE outcome IN ('invalid', 'unresolved')""")

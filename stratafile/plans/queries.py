@@ -1064,6 +1064,29 @@ def stream_commands(spark: SparkSession, sf: str) -> DataFrame:
     return E.union_paths(*parts)
 
 
+@query("stream_message_loop")
+def stream_message_loop(spark: SparkSession, sf: str) -> DataFrame:
+    """The message loop with a handler for each route, row by row: where each message that isn't skipped went."""
+    landing, root = _landing(spark, I.command_messages(spark, sf), "seq", 2)
+    stream = _json_stream(spark, landing, "seq bigint, ts timestamp, value string")
+
+    def handled(df: DataFrame, cfg: DriveConfig) -> DataFrame:
+        return df.select("message_id", "route", "connection_id")
+
+    names = ["init", "fetch", "write", "teardown", "capability", "webhook"]
+    SP.command_stream(
+        stream, CFG, {name: handled for name in names}, root + "/out", root + "/checkpoint", keep=("message_id", "route")
+    )
+    schema = "message_id string, route string, connection_id string"
+    outputs = {**{name: "record" for name in names}, "unhandled": "unhandled", "retry": "retry", "dead_letters": "dead_letter"}
+    return E.union_paths(*[
+        spark.read.schema(schema).parquet(f"{root}/out/{name}").select(
+            "message_id", "route", "connection_id", F.lit(output).alias("output")
+        )
+        for name, output in outputs.items()
+    ])
+
+
 @query("stream_webhooks")
 def stream_webhooks(spark: SparkSession, sf: str) -> DataFrame:
     """Notifications as a stream joined with the connection table of each micro-batch: records and errors."""

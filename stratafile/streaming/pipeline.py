@@ -19,7 +19,8 @@ from stratafile.operators.joins import resolve_connections
 from stratafile.operators.messages import route_messages
 from stratafile.operators.quality import validation_errors
 
-Handler = Callable[[DataFrame, DriveConfig], DataFrame]
+#: Records of a route's messages; or records and error rows (columns of ``quality.error_records``).
+Handler = Callable[[DataFrame, DriveConfig], DataFrame | tuple[DataFrame, DataFrame]]
 
 
 def batch_folder(base: str, name: str, batch_id: int) -> str:
@@ -46,30 +47,42 @@ def run_to_end(stream: DataFrame, on_batch: Callable[[DataFrame, int], None], ch
 def handle_messages(
     routed: DataFrame, cfg: DriveConfig, handlers: dict[str, Handler], keep: tuple[str, ...] = ()
 ) -> dict[str, DataFrame]:
-    """Run the registered handler (DataFrame to DataFrame) of each route on its valid messages.
+    """Run the registered handler of each route on its valid messages.
 
-    ``routed`` comes from ``route_messages``. Returns one output per route plus ``errors`` (validation failures).
+    ``routed`` comes from ``route_messages``. Returns one output per route plus ``errors`` (validation failures and the
+    handlers' errors) and ``unhandled`` (ids of valid messages without a route or with a route that has no handler).
+    Only messages of another provider (route ``skipped``) are in no output.
     """
     valid = routed.where(F.col("error_field").isNull())
-    outputs = {name: handler(valid.where(F.col("route") == name), cfg) for name, handler in handlers.items()}
-    outputs["errors"] = validation_errors(routed, cfg, "error_field", keep=keep)
-    return outputs
+    outputs, errors = {}, validation_errors(routed, cfg, "error_field", keep=keep)
+    for name, handler in handlers.items():
+        made = handler(valid.where(F.col("route") == name), cfg)
+        outputs[name], failed = made if isinstance(made, tuple) else (made, None)
+        errors = errors if failed is None else errors.unionByName(failed, allowMissingColumns=True)
+    taken = F.coalesce(F.col("route").isin("skipped", *handlers), F.lit(False))
+    ids = dict.fromkeys(("message_id", "route", "connection_id", "provider", *keep))
+    return {**outputs, "errors": errors, "unhandled": valid.where(~taken).select(*ids)}
 
 
 def command_stream(
     stream: DataFrame, cfg: DriveConfig, handlers: dict[str, Handler], base: str, checkpoint: str,
     keep: tuple[str, ...] = (),
 ) -> StreamingQuery:
-    """Message loop: route, validate, handle and write records and errors of each micro-batch.
+    """Message loop: route, validate, handle and write records, errors and unhandled messages of each micro-batch, and
+    the errors once more as ``retry`` (retriable ones) and ``dead_letters`` (terminal ones).
 
     The routed batch is persisted while its branches run, so parsing and routing happen once per message.
     """
 
     def on_batch(df: DataFrame, batch_id: int) -> None:
         routed = route_messages(df, cfg).persist()
+        outputs = handle_messages(routed, cfg, handlers, keep)
+        errors = outputs["errors"].persist()
+        retry, dead_letters = split_retriable(errors)
         try:
-            write_batch(handle_messages(routed, cfg, handlers, keep), base, batch_id)
+            write_batch({**outputs, "errors": errors, "retry": retry, "dead_letters": dead_letters}, base, batch_id)
         finally:
+            errors.unpersist()
             routed.unpersist()
 
     return run_to_end(stream, on_batch, checkpoint)

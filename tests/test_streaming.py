@@ -1,7 +1,9 @@
 import json
 import uuid
 
+from pyspark.sql import functions as F
 
+from stratafile.operators.quality import error_records
 from stratafile.streaming import pipeline as SP
 from stratafile.streaming import stateful as SS
 
@@ -45,6 +47,31 @@ def test_foreach_batch_replay_replaces_its_output(spark, cfg, tmp_path):
     assert run(fresh(tmp_path)) == first  # a lost checkpoint replays batch 0 over its own output
 
 
+def test_message_loop_loses_no_message(spark, cfg, tmp_path):
+    source, out = fresh(tmp_path), fresh(tmp_path)
+    message = {"customer_id": "c", "integration_id": "drive", "integration_connection_id": "k"}
+    sent = [("f", "fetch", {}), ("w", "webhook", {}), ("n", "noise", {}), ("bad", "fetch", {"resource_type": "songs"}),
+            ("t", "teardown", {}), ("s", "fetch", {"integration_id": "mail"})]
+    land(source, "a", [{"seq": k, "value": json.dumps({**message, "message_id": i, "action": a, **more})} for k, (i, a, more) in enumerate(sent)])
+
+    def fails(df, c):
+        rows = df.select("message_id", F.lit("RateLimitError").alias("name"), "connection_id")
+        return df.select("connection_id").where("false"), error_records(
+            rows, c, F.col("name"), F.lit("slow down"), F.col("connection_id"), source_message_id=F.col("message_id")
+        )
+
+    stream = spark.readStream.schema("seq bigint, value string").json(source)
+    handlers = {"fetch": lambda df, c: df.select("message_id"), "teardown": fails}
+    SP.command_stream(stream, cfg, handlers, out, fresh(tmp_path))
+
+    def ids(name, column="source_message_id"):
+        return sorted(r[0] for r in spark.read.parquet(f"{out}/{name}").select(column).collect())
+
+    assert ids("fetch", "message_id") == ["f"]
+    assert ids("unhandled", "message_id") == ["n", "w"]
+    assert (ids("errors"), ids("retry"), ids("dead_letters")) == (["bad", "t"], ["t"], ["bad"])
+
+
 def test_cursor_state(spark, tmp_path):
     source = fresh(tmp_path)
     land(source, "a", [{"connection_id": "c", "page_no": 2, "token": "t2"}, {"connection_id": "c", "page_no": 1, "token": "t1"}])
