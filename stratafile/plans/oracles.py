@@ -660,3 +660,6 @@ UNION ALL SELECT message_id, NULL, NULL, NULL, coalesce(error, resolution_error)
 sql("stream_quota", ["calls"], QUOTA + """
 SELECT connection_id, window_start, calls AS n FROM w
 WHERE calls > 1 AND (window_start + 100) * 1000000 <= (SELECT max(epoch_us(ts)) - 600000000 FROM calls)""")
+sql("stream_quota_all", ["calls"], QUOTA + """
+SELECT connection_id, window_start, calls AS n, (window_start + 100) * 1000000 > (SELECT max(epoch_us(ts)) - 600000000 FROM calls) AS open
+FROM w WHERE calls > 1""")

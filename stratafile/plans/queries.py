@@ -1106,9 +1106,20 @@ def stream_webhooks(spark: SparkSession, sf: str) -> DataFrame:
     return E.union_paths(served.withColumn("reason", F.lit(None).cast("string")), failed)
 
 
-@query("stream_quota")
-def stream_quota(spark: SparkSession, sf: str) -> DataFrame:
-    """Closed quota windows of the call stream."""
+def _quota_report(spark: SparkSession, sf: str) -> DataFrame:
     landing, root = _landing(spark, I.calls(spark, sf).select("ts", "connection_id", "event_id"), "event_id", 2)
     stream = _json_stream(spark, landing, "ts timestamp, connection_id string, event_id bigint")
-    return _drain_to_parquet(SS.quota_stream(stream, "connection_id", QUOTA_LIMIT), root)
+    SP.quota_counts_stream(stream, "connection_id", root + "/out", root + "/checkpoint")
+    return SP.quota_report(spark, root + "/out", "connection_id", QUOTA_LIMIT)
+
+
+@query("stream_quota")
+def stream_quota(spark: SparkSession, sf: str) -> DataFrame:
+    """Closed quota windows of the call stream, with calls that came late."""
+    return _quota_report(spark, sf).where(~F.col("open")).select("connection_id", "window_start", "n")
+
+
+@query("stream_quota_all")
+def stream_quota_all(spark: SparkSession, sf: str) -> DataFrame:
+    """All quota windows of the call stream, those still open included; must equal T08_quota."""
+    return _quota_report(spark, sf).select("connection_id", "window_start", "n", "open")

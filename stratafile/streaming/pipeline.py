@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -17,6 +17,7 @@ from stratafile.operators import messages as MSG
 from stratafile.operators.filters import for_provider
 from stratafile.operators.joins import resolve_connections
 from stratafile.operators.messages import route_messages
+from stratafile.operators.metrics import QUOTA_SECONDS, USER_QUOTA
 from stratafile.operators.quality import validation_errors
 
 #: Records of a route's messages; or records and error rows (columns of ``quality.error_records``).
@@ -121,3 +122,43 @@ def webhook_stream(
             resolved.unpersist()
 
     return run_to_end(stream, on_batch, checkpoint)
+
+
+def quota_counts_stream(
+    stream: DataFrame, by: str, base: str, checkpoint: str, seconds: int = QUOTA_SECONDS, ts: str = "ts"
+) -> StreamingQuery:
+    """Counts per key and tumbling window of each micro-batch. No state and no watermark, so that calls of any age and of
+    windows still open are counted; :func:`quota_report` adds the batches up."""
+
+    def on_batch(df: DataFrame, batch_id: int) -> None:
+        counts = df.groupBy(by, F.window(ts, f"{seconds} seconds")).agg(F.count("*").alias("n"), F.max(ts).alias("last_ts"))
+        counts = counts.select(by, F.unix_seconds("window.start").alias("window_start"), "n", "last_ts")
+        write_batch({"counts": counts}, base, batch_id)
+
+    return run_to_end(stream, on_batch, checkpoint)
+
+
+def quota_report(
+    spark: SparkSession, base: str, by: str, limit: int = USER_QUOTA, seconds: int = QUOTA_SECONDS,
+    lateness_seconds: int = 600,
+) -> DataFrame:
+    """Windows over the limit, as of the last batch of :func:`quota_counts_stream`: ``n`` calls, of which ``n_late`` came
+    in a batch that began when the newest call was ``lateness_seconds`` past the window's end; ``open`` while it isn't."""
+    schema = f"{by} string, window_start bigint, n bigint, last_ts timestamp, batch_id bigint"
+    counts = spark.read.schema(schema).parquet(f"{base}/counts")
+    in_order = Window.orderBy("batch_id")  # of one row per batch
+    newest = F.max(F.unix_micros("last_ts"))
+    marks = counts.groupBy("batch_id").agg(newest.alias("newest")).select(
+        "batch_id",
+        F.max("newest").over(in_order.rowsBetween(Window.unboundedPreceding, -1)).alias("before"),
+        F.max("newest").over(in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("newest"),
+    )
+    passed = (F.col("window_start") + seconds + lateness_seconds) * 1_000_000
+    late = F.when(passed <= F.col("before"), F.col("n")).otherwise(F.lit(0))
+    windows = (
+        counts.join(marks, "batch_id")
+        .groupBy(by, "window_start")
+        .agg(F.sum("n").alias("n"), F.sum(late).alias("n_late"), F.max("newest").alias("newest"))
+        .where(F.col("n") > limit)
+    )
+    return windows.select(by, "window_start", "n", "n_late", (passed > F.col("newest")).alias("open"))

@@ -192,7 +192,8 @@ def renewal_stream(channels: DataFrame, lead_minutes: int = 60, lateness: str =
 
 
 def window_counts(stream: DataFrame, by: str, seconds: int, lateness: str = "10 minutes", ts: str = "ts") -> DataFrame:
-    """Tumbling counts; a window is emitted once, after the watermark has passed it."""
+    """Tumbling counts; a window is emitted once, after the watermark has passed it. Windows open at the end and later
+    rows give nothing; where they must not be lost, use ``pipeline.quota_counts_stream``."""
     return (
         stream.withWatermark(ts, lateness)
         .groupBy(F.window(ts, f"{seconds} seconds"), by)

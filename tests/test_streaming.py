@@ -101,6 +101,18 @@ def test_quota_windows_close_after_the_watermark(spark, tmp_path):
     assert drain(SS.quota_stream(stream, "user", limit=1), fresh(tmp_path)) == [("u", 1704067200, 2)]
 
 
+def test_quota_counts_open_windows_and_late_calls(spark, tmp_path):
+    source, out = fresh(tmp_path), fresh(tmp_path)
+    land(source, "a", [{"ts": "2024-01-01T01:00:05Z", "user": "u"}, {"ts": "2024-01-01T01:00:07Z", "user": "u"}])
+    land(source, "b", [{"ts": "2024-01-01T00:00:05Z", "user": "v"}, {"ts": "2024-01-01T00:00:50Z", "user": "v"}])
+    land(source, "c", [{"ts": "2024-01-01T01:00:08Z", "user": "u"}, {"ts": "2024-01-01T01:00:50Z", "user": "w"}])
+    stream = spark.readStream.schema("ts timestamp, user string").option("maxFilesPerTrigger", 1).json(source)
+    SP.quota_counts_stream(stream, "user", out, fresh(tmp_path))
+    got = [tuple(r) for r in SP.quota_report(spark, out, "user", limit=1).collect()]
+    assert sorted(got) == [("u", 1704070800, 3, 0, True), ("v", 1704067200, 2, 2, False)]
+    assert "u" not in [r[0] for r in drain(SS.quota_stream(stream, "user", limit=1), fresh(tmp_path))]  # closed windows only
+
+
 def test_dedup_within_ttl(spark, tmp_path):
     source = fresh(tmp_path)
     land(source, "a", [{"nonce": "n", "ts": "2024-01-01T00:00:00Z"}, {"nonce": "m", "ts": "2024-01-01T00:00:01Z"}])
