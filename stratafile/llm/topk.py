@@ -12,8 +12,9 @@ for a query, and those are ranked over all shards.
 
 Defined results: components are floor(256 * x) as integers; vectors that are null or hold null or non-finite components,
 and rows without vec_id, take no part; only vectors of one length are compared; a row is no candidate of a query with its
-own vec_id; a repeated vec_id is one query but as many candidates; ties go to the smaller vec_id; an empty table gives an
-empty result.
+own vec_id; each row of a repeated vec_id is a query and a candidate, and all its queries' rows are ranked together, so a
+vector that is there m times counts m times; vectors without components score 0 with each other; ties go to the smaller
+vec_id; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -149,8 +150,8 @@ def _search_batches(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.Re
             length = r["length"]
             i8 = {c: np.frombuffer(r[c], np.int64) for c in ("ids", "vectors", "segments", "starts", "query_ids", "queries")}
             found = search(
-                i8["ids"], i8["vectors"].reshape(-1, length), r["width"], i8["segments"].reshape(-1, 3), i8["starts"],
-                np.frombuffer(r["postings"], np.int32), i8["query_ids"], i8["queries"].reshape(-1, length), k,
+                i8["ids"], i8["vectors"].reshape(len(i8["ids"]), length), r["width"], i8["segments"].reshape(-1, 3), i8["starts"],
+                np.frombuffer(r["postings"], np.int32), i8["query_ids"], i8["queries"].reshape(len(i8["query_ids"]), length), k,
             )
             columns = list(zip(*found, strict=True)) if found else [[], [], []]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["query_id", "vec_id", "score"])
@@ -164,7 +165,10 @@ def build_index(vectors: DataFrame) -> DataFrame:
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     """query_id, rank, vec_id and score of the k best vectors for each query."""
     index = build_index(vectors)
-    blocks = stored(queries.dropDuplicates(["vec_id"]).mapInArrow(_query_batches, BLOCKS), "queries")
+    # rows of one vec_id and vector are equal queries; of those, k are enough for the k best rows
+    equal = queries.groupBy("vec_id", "vector").agg(F.least(F.count(F.lit(1)), F.lit(k)).alias("_times"))
+    each = equal.select("vec_id", "vector", F.explode(F.sequence(F.lit(1), F.col("_times").cast("int")))).drop("col")
+    blocks = stored(each.mapInArrow(_query_batches, BLOCKS), "queries")
     # every block is sent to every shard of its length; the salt spreads the one length that most vectors have
     shards = index.select("length", "shard", F.pmod(F.xxhash64("shard"), F.lit(SALTS)).alias("salt"))
     salted = blocks.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).withColumn("salt", F.col("salt").cast("bigint"))

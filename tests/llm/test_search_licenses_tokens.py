@@ -3,12 +3,14 @@
 import random
 import re
 
+import duckdb
 import helpers as H
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from stratafile.llm import edit_counts, licenses, topk
+from stratafile.llm.sql import ORACLES
 from stratafile.llm.tokens import vocabulary
 
 VECTORS = "vec_id long, embedding array<float>, label int"
@@ -41,6 +43,24 @@ def test_top_k_equals_brute_force(spark, monkeypatch, case):
     assert H.counted(topk.top_k_report(df).collect()) == best([(i, v) for i, v, _ in rows])
 
 
+def test_each_row_of_a_repeated_id_is_a_query(spark):
+    """Equal and other vectors under one query id, and vectors without components: what the SQL twin gives."""
+    rng = np.random.default_rng(3)
+    rows = [(k, v.tolist(), 0) for k, v in enumerate(rng.normal(0, 0.2, (60, 4)).astype(np.float32))]
+    rows += [(50, [0.5, -0.25, 0.0, 1.0], 0), (0, rows[0][1], 0), (0, rows[0][1], 0), (100, [], 0), (7, [], 0), (8, [], 0), (150, [], 0)]
+    df = spark.createDataFrame(rows, VECTORS).repartition(3)
+    want = []
+    for query in {i for i, _, _ in rows if i % 50 == 0}:
+        pairs = [(-sum(np.floor(256 * a) * np.floor(256 * b) for a, b in zip(map(float, q), map(float, v), strict=True)), j)
+                 for i, q, _ in rows if i == query for j, v, _ in rows if j != query and len(v) == len(q)]
+        want += [(query, r + 1, j, int(-s)) for r, (s, j) in enumerate(sorted(pairs)[:5])]
+    assert H.counted(topk.top_k_report(df).collect()) == H.counted(want)
+    con = duckdb.connect()
+    con.execute("CREATE TABLE embeddings (vec_id BIGINT, embedding FLOAT[], label INT)")
+    con.executemany("INSERT INTO embeddings VALUES (?, ?, ?)", rows)
+    assert H.counted(con.execute(ORACLES["op3_top_k"]).fetchall()) == H.counted(want)
+
+
 def test_reading_stops_early_on_proof():
     """Vectors with one large component each: the answer is proven long before the last segment."""
     rng = np.random.default_rng(0)
