@@ -27,7 +27,7 @@ BUCKET_DIGITS = 3  # hex digits of the order key: 4096 buckets per source
 
 
 def word_count(text: str) -> Column:
-    trimmed = F.regexp_replace(text_or_empty(text), rf"^{SPACE}+|{SPACE}+$", "")
+    trimmed = F.regexp_replace(text_or_empty(text), rf"^{SPACE}+|{SPACE}+\z", "")
     return F.when(F.length(trimmed) > 0, F.size(F.split(trimmed, f"{SPACE}+"))).otherwise(F.lit(0)).cast("bigint")
 
 

@@ -77,7 +77,7 @@ def measured(docs: DataFrame, text: str = "text", rules: Rules = Rules(), out: s
     """Adds a struct of measures and rule failures. The steps are separate projections, so each array is made once."""
     body, words, win, dup = (free_name(docs, x) for x in ("_body", "_words", "_win", "_dup"))
     df = docs.withColumn(body, text_or_empty(text))
-    trimmed = F.regexp_replace(F.col(body), rf"^{SPACE}+|{SPACE}+$", "")
+    trimmed = F.regexp_replace(F.col(body), rf"^{SPACE}+|{SPACE}+\z", "")
     df = df.withColumn(
         words, F.when(F.length(trimmed) > 0, F.split(trimmed, f"{SPACE}+")).otherwise(F.array().cast("array<string>"))
     )

@@ -271,6 +271,6 @@ def substring_report(docs: DataFrame) -> DataFrame:
     """The query's columns."""
     df, before, gone = dedup_substrings(docs.select("doc_id", "text"))
     space = r"[ \t\n\x0B\f\r]+"
-    plain = F.regexp_replace(F.regexp_replace(F.coalesce("text", F.lit("")), f"^{space}|{space}$", ""), space, " ")
+    plain = F.regexp_replace(F.regexp_replace(F.coalesce("text", F.lit("")), rf"^{space}|{space}\z", ""), space, " ")
     kept = F.when(F.col(gone) > 0, F.col("text")).otherwise(plain)
     return df.select("doc_id", F.col(before).alias("n_words"), F.col(gone).alias("n_removed"), F.sha2(kept, 256).alias("kept_sha256"))

@@ -1,5 +1,6 @@
 """Quality rules, mixing and packing."""
 
+import hashlib
 import random
 import zlib
 
@@ -9,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from stratafile.llm import mixing, packing, quality_rules
+from stratafile.llm import mixing, packing, quality_rules, substrings
 from stratafile.llm.tokens import encoder, vocabulary
 
 
@@ -26,6 +27,17 @@ def test_measures_of_awkward_rows(docs, rows):
     assert got == H.counted((r[0], *rule_measures(r[1])) for r in rows)
 
 
+@pytest.mark.parametrize("end", ["\x85", "\u2028", "\u2029"])
+def test_a_line_end_of_unicode_is_a_last_word(spark, end):
+    texts = [f"foo {end}", f"one two  {end}", f" {end}", f"foo{end}", f"foo {end} \n", f"{end} foo"]
+    df = spark.createDataFrame([(k, t, "en", "a", len(t)) for k, t in enumerate(texts)], H.DOCS)
+    want = {k: len(H.words(t)) for k, t in enumerate(texts)}
+    assert {r.doc_id: r.n_words for r in quality_rules.quality_report(df).collect()} == want
+    assert {r.doc_id: r.size for r in mixing.mixing_report(df).collect()} == want
+    kept = {k: hashlib.sha256(" ".join(H.words(t)).encode()).hexdigest() for k, t in enumerate(texts)}
+    assert {r.doc_id: r.kept_sha256 for r in substrings.substring_report(df).collect()} == kept
+
+
 def test_base_rule_and_host_strictness(spark):
     clean, symbols = H.prose(random.Random(1), 50, 9999), " ".join(f"w{k}" + "#" * (k % 4 == 0) for k in range(50))
     rows = [(k, "few words", None, "bad", None) for k in range(60)] + [(100, clean, None, "bad", None), (101, symbols, None, "bad", None)]
