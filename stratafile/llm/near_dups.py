@@ -10,7 +10,8 @@
 4. Members that are still in another component than their hub's get a longer sketch (2048 registers) and are compared
    with the bucket's members outside their own component, first by the lowest bits of the registers, then on full sets,
    so no link between different components is lost. Buckets in which many members are apart (a passage that
-   many documents share) are first refined: there a pair has to share two bands.
+   many documents share) are first refined: there a pair has to share two bands, so a link whose only shared band is such
+   a bucket is lost, and the larger figure below holds.
 
 A pair of similarity 0.75 shares no band with probability 8e-7, and fewer than two with 1.3e-5.
 
