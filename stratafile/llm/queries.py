@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from stratafile.llm.byte_bpe import byte_bpe_report
 from stratafile.llm.byte_cnn import quality_scores
 from stratafile.llm.edit_counts import token_count_report
 from stratafile.llm.licenses import license_report
@@ -62,6 +63,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count_report(table(spark, sf_dir, "documents"))
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_near_dups": op1_near_dups,
     "op2_quality": op2_quality,
@@ -73,6 +78,7 @@ QUERIES: dict[str, Query] = {
     "op8_mixing": op8_mixing,
     "op9_toxicity": op9_toxicity,
     "op10_token_counts": op10_token_counts,
+    "op11_byte_bpe": op11_byte_bpe,
 }
 
 __all__ = ["ORACLES", "QUERIES"]
