@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from stratafile.llm.byte_bpe import byte_bpe_report
 from stratafile.llm.byte_cnn import quality_scores
+from stratafile.llm.conversations import damage_report
+from stratafile.llm.divergence import audit
 from stratafile.llm.edit_counts import token_count_report
 from stratafile.llm.licenses import license_report
 from stratafile.llm.mixing import mixing_report
@@ -67,6 +69,14 @@ def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe_report(table(spark, sf_dir, "documents"))
 
 
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit(table(spark, sf_dir, "documents"))
+
+
+def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return damage_report(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_near_dups": op1_near_dups,
     "op2_quality": op2_quality,
@@ -79,6 +89,8 @@ QUERIES: dict[str, Query] = {
     "op9_toxicity": op9_toxicity,
     "op10_token_counts": op10_token_counts,
     "op11_byte_bpe": op11_byte_bpe,
+    "op12_divergence": op12_divergence,
+    "op13_conversations": op13_conversations,
 }
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -130,4 +130,105 @@ SELECT doc_id, n_words::BIGINT AS n_words, n_removed::BIGINT AS n_removed, sha25
 FROM kept LEFT JOIN k USING (doc_id)
 """
 
-ORACLES: dict[str, str] = {"op1_near_dups": OP1, "op3_top_k": OP3, "op5_substrings": OP5, "op6_quality_rules": OP6, "op8_mixing": OP8}
+OP12 = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ws FROM documents
+), c AS (
+  SELECT lang, source, term, count(*) AS n, count(DISTINCT rid) AS docs
+  FROM (SELECT rid, lang, source, unnest(ws) AS term FROM d) GROUP BY ALL
+), kept AS (
+  SELECT lang, term, sum(n) AS n FROM c GROUP BY ALL HAVING sum(docs) >= 3
+), langs AS (
+  SELECT lang, sum(n) AS size, count(*) AS v FROM kept GROUP BY lang
+), g AS (
+  SELECT x.lang, x.source, coalesce(sum(c.n) FILTER (k.term IS NOT NULL), 0) AS size
+  FROM (SELECT DISTINCT lang, source FROM d) x LEFT JOIN c ON c.lang = x.lang AND c.source = x.source
+  LEFT JOIN kept k ON k.lang = c.lang AND k.term = c.term GROUP BY ALL
+), f AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+         (1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 1)) // (g.size + l.v)::HUGEINT)::BIGINT AS p,
+         (1 + (1000000000::HUGEINT * (k.n + 1)) // (l.size + l.v)::HUGEINT)::BIGINT AS q
+  FROM g JOIN kept k ON k.lang = g.lang JOIN langs l ON l.lang = g.lang
+  LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+), apart AS (
+  SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) AS value
+  FROM f a JOIN f b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), r AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(x.value, 0)::BIGINT AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN apart x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, ((p - q) * (p - q)) // q FROM f WHERE n > 0 AND p > q
+)
+SELECT lang, source, part, item, value,
+       row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank
+FROM r QUALIFY part = 'pair' OR rank <= 200
+"""
+
+OP13 = r"""
+WITH RECURSIVE c AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''),
+                        lambda x: unicode(x)::BIGINT) AS b FROM conversations
+), k AS (  -- crc32, bit by bit
+  SELECT conv_id, turn, role, text,
+         xor(list_reduce(list_prepend(4294967295::BIGINT, b), lambda x, y: list_reduce(list_prepend(xor(x, y), range(8)),
+             lambda z, i: CASE WHEN z & 1 = 1 THEN xor(z >> 1, 3988292384::BIGINT) ELSE z >> 1 END)), 4294967295::BIGINT) % 20 AS k FROM c
+), r AS (
+  SELECT conv_id, turn, CASE k WHEN 4 THEN 'user' ELSE role END AS role,
+         CASE k WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM (SELECT *, unnest(range(CASE k WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM k)
+), o AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS i, left(role, 1) AS h FROM r
+), f AS (
+  SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'b'
+                 WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'd'
+                 WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 't' ELSE 'f' END AS fault,
+         h || lead(h) OVER (PARTITION BY conv_id ORDER BY i) AS two FROM o
+), n AS (
+  SELECT conv_id, max(i) AS n FROM f GROUP BY conv_id
+), w AS (  -- cost and letters from before row i to the end, for each state
+  SELECT conv_id, n + 1 AS i, {'c': 0, 'a': ''} AS v0, {'c': 10, 'a': 'II'} AS v1, {'c': 5, 'a': 'I'} AS v2, {'c': 0, 'a': ''} AS v3 FROM n
+  UNION ALL
+  SELECT conv_id, i, list_sort([x0, {'c': y2.c + 5, 'a': 'I' || y2.a}])[1], list_sort([x1, {'c': y2.c + 5, 'a': 'I' || y2.a}])[1], y2, y3
+  FROM (
+    SELECT *, list_sort([x2, {'c': x3.c + 5, 'a': 'I' || x3.a}])[1] AS y2, list_sort([x3, {'c': x2.c + 5, 'a': 'I' || x2.a}])[1] AS y3
+    FROM (
+      SELECT f.conv_id, f.i,
+        list_sort([{'c': v0.c + 2, 'a': 'D' || v0.a}, {'c': v2.c + 1 + e, 'a': 'R' || v2.a}, {'c': CASE h WHEN 's' THEN v1.c WHEN 'u' THEN v2.c ELSE 1000000 END + e, 'a': 'K' || CASE h WHEN 's' THEN v1.a ELSE v2.a END}])[1] AS x0,
+        list_sort([{'c': v1.c + 2, 'a': 'D' || v1.a}, {'c': v2.c + 1 + e, 'a': 'R' || v2.a}, {'c': CASE h WHEN 'u' THEN v2.c ELSE 1000000 END + e, 'a': 'K' || v2.a}])[1] AS x1,
+        list_sort([{'c': v2.c + 2, 'a': 'D' || v2.a}, {'c': v3.c + 1 + e, 'a': 'R' || v3.a}, {'c': CASE h WHEN 'a' THEN v3.c ELSE 1000000 END + e, 'a': 'K' || v3.a}])[1] AS x2,
+        list_sort([{'c': v3.c + 2, 'a': 'D' || v3.a}, {'c': v2.c + 1 + e, 'a': 'R' || v2.a}, {'c': CASE h WHEN 'u' THEN v2.c ELSE 1000000 END + e, 'a': 'K' || v2.a}])[1] AS x3
+      FROM w JOIN (SELECT *, CASE fault WHEN 'b' THEN 1000000 WHEN 'd' THEN 1000000 WHEN 't' THEN 5 ELSE 0 END AS e FROM f) f
+        ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.i = w.i - 1
+    )
+  )
+), best AS (
+  SELECT conv_id, v0.c AS cost, v0.a AS audit FROM w WHERE i = 1
+), l AS (
+  SELECT conv_id, unnest(string_split(audit, '')) AS letter, unnest(range(1, length(audit) + 1)) AS place FROM best WHERE audit <> ''
+), m AS (
+  SELECT *, sum((letter <> 'I')::INT) OVER (PARTITION BY conv_id ORDER BY place) AS i,
+         sum((letter <> 'D')::INT) OVER (PARTITION BY conv_id ORDER BY place) AS out FROM l
+), j AS (
+  SELECT m.conv_id, m.out, letter, CASE WHEN letter = 'I' THEN '' ELSE f.text END AS text, f.role,
+         max((out = 1 AND letter = 'K' AND f.h = 's')::INT) OVER (PARTITION BY m.conv_id) AS s
+  FROM m LEFT JOIN f ON f.conv_id IS NOT DISTINCT FROM m.conv_id AND f.i = m.i WHERE letter <> 'D'
+), t AS (
+  SELECT conv_id, string_agg(CASE WHEN letter = 'K' THEN role WHEN (out - s) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || text, chr(10) ORDER BY out) AS t
+  FROM j GROUP BY conv_id
+), q AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, sum((fault = 'b')::INT) AS blank,
+         sum((fault = 'd')::INT) AS duplicate, sum((fault = 't')::INT) AS truncated,
+         sum((two IS NOT NULL AND two NOT IN ('su', 'ua', 'au'))::INT) AS illegal FROM f GROUP BY conv_id
+)
+SELECT a.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+       coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(cost, 0)::BIGINT AS cost,
+       coalesce(audit, '') AS audit, sha256(coalesce(t, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) a LEFT JOIN q ON q.conv_id IS NOT DISTINCT FROM a.conv_id
+LEFT JOIN best ON best.conv_id IS NOT DISTINCT FROM a.conv_id LEFT JOIN t ON t.conv_id IS NOT DISTINCT FROM a.conv_id
+"""
+
+ORACLES: dict[str, str] = {"op1_near_dups": OP1, "op3_top_k": OP3, "op5_substrings": OP5, "op6_quality_rules": OP6, "op8_mixing": OP8, "op12_divergence": OP12, "op13_conversations": OP13}
