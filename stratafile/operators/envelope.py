@@ -198,10 +198,11 @@ def ingest_envelopes(
     )
 
 
-def to_record(df: DataFrame) -> DataFrame:
+def to_record(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Render envelopes as ``key, nonce, value``; ``value`` is the JSON text of the record."""
     params = F.struct("header", "contents", "metadata", "nonce")
     return df.select(
+        *keep,
         F.col("connection_id").alias("key"),
         "nonce",
         "jsonrpc",

@@ -104,13 +104,14 @@ def _capability_struct() -> Column:
     )
 
 
-def ready_events(inits: DataFrame, cfg: DriveConfig) -> DataFrame:
+def ready_events(inits: DataFrame, cfg: DriveConfig, keep: tuple[str, ...] = ()) -> DataFrame:
     """One ready event per successful init; profile and state are null when there is nothing to report.
 
     Input ``connection_id, customer_id, message_id, email, display_name, page_token, webhook_enabled``.
     """
     enabled = F.col("webhook_enabled")
     return inits.select(
+        *keep,
         "connection_id",
         "customer_id",
         F.lit(cfg.provider).alias("integration_provider_name"),

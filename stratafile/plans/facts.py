@@ -101,6 +101,13 @@ SELECT event_id, ts, 'conn_' || user_id AS connection_id,
 FROM {events}
 """
 
+#: The API's answer to each attempt of each message: some call of the log.
+ATTEMPTS = 3
+RESPONSES = """
+SELECT event_id, event_id - (SELECT min(event_id) FROM {events}) AS response_key, status_code, retry_after, body
+FROM (""" + CALLS + """) c
+"""
+
 WEBHOOKS = """
 SELECT e.event_id, e.event_id AS seq, e.ts, 'm' || e.event_id AS message_id,
   CASE WHEN e.event_id % 3 = 0 THEN 1 ELSE e.user_id % 10 END AS conn_key,
@@ -226,6 +233,7 @@ TABLES = {
     "connections": CONNECTIONS,
     "changes": CHANGES,
     "calls": CALLS,
+    "responses": RESPONSES,
     "webhooks": WEBHOOKS,
     "commands": COMMANDS,
     "revisions": REVISIONS,

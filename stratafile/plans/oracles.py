@@ -51,6 +51,7 @@ NORM = """, norm0 AS (
 
 # Fixed values of the checks.
 OFFLOAD_BYTES = 8192
+RECORD_BYTES = 1500
 TTL_SECONDS = 864000
 
 sql("P01_normalize_files", ["files"], NORM + """
@@ -498,9 +499,29 @@ sql("K04_offload_split", ["files"], REFS + f"""
 SELECT file_id AS message_id, CASE WHEN size_bytes <= {OFFLOAD_BYTES} THEN md5(text) END AS data_md5,
   CASE WHEN size_bytes > {OFFLOAD_BYTES} THEN 's3://bucket/payloads/' || customer_id || '/' || connection_id || '/' || file_id || '.json' END AS s3_url,
   CASE WHEN size_bytes > {OFFLOAD_BYTES} THEN sha256 END AS sha256, size_bytes AS payload_size_bytes, size_bytes > {OFFLOAD_BYTES} AS offloaded FROM refs""")
-sql("K01_outbound_records", ["changes"], NONCE + """
-SELECT connection_id AS key, '{"seq":' || seq || '}' AS value, CASE WHEN seq % 19 = 0 OR seq % 23 = 0 THEN 'terminal' ELSE 'record' END AS output,
-  CASE WHEN seq % 19 = 0 OR seq % 23 = 0 THEN NULL ELSE 'drive-worker' END AS source, CASE WHEN seq % 19 = 0 OR seq % 23 = 0 THEN NULL ELSE nonce END AS nonce FROM nr""")
+JSON_OWNER = """concat('{', concat_ws(',', '"name":' || to_json(owner1), '"email":' || to_json(owner_email),
+  CASE WHEN owner_key % 2 = 0 THEN '"photo_link":"https://img.example/p"' END), '}')"""
+sql("K01_outbound_records", ["files", "connections"], NORM + READY + TEXT.replace("FROM good)", "FROM ranked)") + f""", env AS (
+  SELECT *, 'drive:' || connection_id || ':' || type || ':' || id AS nonce, sha256('fetch|' || connection_id || '|' || (pos // 100)) AS batch_id FROM texts)
+, rec AS (
+  SELECT *, concat('{{"id":"', sha256(batch_id || '|' || id), '","jsonrpc":"2.0","method":"metadata.integration.content.ingest","params":{{"header":',
+    '{{"to_addresses":[{{"topics":["integrations-incoming-records"],"topic_key":"', connection_id, '"}}],"return_addresses":[],"message_call_stack":[],"parameters":{{',
+    concat_ws(',', '"customer_id":"' || customer_id || '"', '"integration_provider_name":"drive"', '"integration_connection_id":"' || connection_id || '"',
+      '"space_path":"/' || customer_id || '/graph/snowball/' || snowball_id || '"', '"correlation_id":"' || nonce || '"', '"energy":5', '"batch_id":"' || batch_id || '"',
+      '"batch_sequence":' || (pos % 100), '"batch_is_last":' || (pos = total - 1),
+      CASE WHEN pos // 100 < (total - 1) // 100 THEN '"batch_page_token":"' || (pos // 100 + 1) || '"' END),
+    '}}}},"contents":[{{"type":"text","text":', to_json(text_out), '}}],"metadata":{{',
+    concat_ws(',', '"resource_type":"' || type || '"', '"resource_id":"' || id || '"', '"drive_id":"' || id || '"', '"name":' || to_json(name), '"mime_type":"' || mime_type || '"',
+      '"category":"' || category || '"', '"is_folder":' || is_folder, '"is_google_workspace":' || is_native, '"trashed":' || trashed, '"starred":' || starred,
+      '"source_document_url":"' || link || '"', '"source_document_title":' || to_json(coalesce(nullif(name, ''), '(Untitled)')), '"export_format":"' || export_format || '"',
+      '"size_bytes":' || size_bytes, '"web_view_link":"' || link || '"', CASE WHEN has_thumbnail THEN '"thumbnail_link":"https://img.example/' || id || '"' END,
+      CASE WHEN parents <> '' THEN '"parent_ids":["' || parents || '"]' END,
+      CASE owners_state WHEN 'one' THEN '"owners":[' || {JSON_OWNER} || ']' WHEN 'two' THEN '"owners":[' || {JSON_OWNER} || ',{{"name":"Second Owner","email":"' || second_email || '"}}]' END,
+      '"shared":' || shared, '"created_at":"' || created_at || '"', '"modified_at":"' || modified_at || '"', '"has_content":false'),
+    '}},"nonce":"', nonce, '"}}}}') AS value, doc_id % 19 = 0 OR doc_id % 23 = 0 AS rejected FROM env)
+SELECT connection_id AS key, md5(value) AS value_md5, octet_length(encode(value)) AS record_bytes, octet_length(encode(value)) > {RECORD_BYTES} AS offloaded,
+  CASE WHEN rejected THEN 'terminal' ELSE 'record' END AS output, CASE WHEN NOT rejected THEN 'drive-worker' END AS source, CASE WHEN NOT rejected THEN nonce END AS nonce
+FROM rec""")
 sql("U01_union_paths", ["webhooks", "connections", "changes", "files"], NORM + WEBHOOK + PAGES + REAL + READY + """
 , back AS (SELECT connection_id, 'drive:' || connection_id || ':' || type || ':' || id AS nonce FROM ready)
 SELECT connection_id, 'backfill' AS path, count(DISTINCT nonce) AS records FROM back GROUP BY 1
@@ -551,6 +572,9 @@ SELECT event_id, attempt, w AS wait_seconds, epoch_us(ts) + CAST(w * 1000000 AS
 STATE = """, cs AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY connection_id, key ORDER BY updated_at DESC, seq DESC) AS rn FROM state) WHERE rn = 1)
 """
 sql("K05_state_upsert", ["state"], STATE + "SELECT connection_id, key, value, seq, epoch_us(updated_at) AS updated_us FROM cs")
+sql("K05_state_table", ["state", "commands"], MSG + STATE + """
+SELECT connection_id, key, value, seq, epoch_us(updated_at) AS updated_us FROM cs
+WHERE connection_id NOT IN (SELECT conn_out FROM m4 WHERE route = 'teardown' AND error_field IS NULL)""")
 sql("K06_teardown", ["state", "commands"], MSG + STATE + """
 SELECT connection_id, key, value FROM cs WHERE connection_id NOT IN (SELECT conn_out FROM m4 WHERE route = 'teardown' AND error_field IS NULL)""")
 sql("T12_expired_cursors", ["state", "changes"], CURSORS + """, old AS (
@@ -646,7 +670,28 @@ LEFT JOIN (SELECT * FROM permissions WHERE detail_kind <> 2) p ON p.file_id = w.
 sql("stream_changes", ["changes"], """
 SELECT connection_id, page_no, row_number() OVER (PARTITION BY connection_id, page_no ORDER BY seq) - 1 AS seq, file_id, removed,
   coalesce(raw_change_type, 'file') AS change_type, 's/' || page_no AS new_start_page_token FROM changes""")
-sql("stream_dedup", ["changes"], NONCE + "SELECT DISTINCT nonce FROM nr WHERE nonce <> ''")
+sql("stream_dedup", ["changes"], NONCE.rstrip() + f""", nt AS (
+  SELECT nr.*, c.ts FROM nr JOIN changes c USING (seq))
+, acc AS (
+  SELECT nonce, min(ts) AS ts FROM nt WHERE nonce <> '' GROUP BY 1
+  UNION ALL
+  SELECT nonce, nxt FROM (SELECT a.nonce, (SELECT min(c.ts) FROM nt c WHERE c.nonce = a.nonce AND c.ts >= a.ts + INTERVAL {TTL_SECONDS} SECOND) AS nxt FROM acc a)
+  WHERE nxt IS NOT NULL)
+SELECT acc.nonce, min(c.seq) AS seq, epoch_us(acc.ts) AS at_us FROM acc JOIN nt c ON c.nonce = acc.nonce AND c.ts = acc.ts GROUP BY acc.nonce, acc.ts
+UNION ALL SELECT nonce, seq, epoch_us(ts) FROM nt WHERE nonce = ''""")
+sql("stream_cursors", ["changes", "state"], CURSORS + """, pg AS (
+  SELECT connection_id, page_no, 's/' || max(seq) AS token FROM changes GROUP BY 1, 2)
+, half AS (SELECT (min(page_no) + max(page_no)) // 2 AS cut FROM pg)
+, known AS (
+  SELECT coalesce(c.connection_id, s.connection_id) AS connection_id, coalesce(c.cursor, s.start_cursor) AS page_no
+  FROM cur c FULL JOIN (SELECT connection_id, max(page_no) + 1 AS start_cursor FROM pg, half WHERE page_no < cut GROUP BY 1) s ON s.connection_id = c.connection_id)
+, moved AS (
+  SELECT p.connection_id, max(p.page_no) AS page_no, arg_max(p.token, p.page_no) AS token
+  FROM pg p LEFT JOIN known k ON k.connection_id = p.connection_id WHERE k.page_no IS NULL OR p.page_no >= k.page_no GROUP BY 1)
+SELECT coalesce(k.connection_id, m.connection_id) AS connection_id, coalesce(m.page_no, k.page_no) AS page_no, m.token
+FROM known k FULL JOIN moved m ON m.connection_id = k.connection_id""")
+sql("stream_numbered", ["changes"], """
+SELECT connection_id, seq, file_id, row_number() OVER (PARTITION BY connection_id ORDER BY seq) AS number FROM changes""")
 sql("stream_commands", ["commands"], MSG + """
 SELECT route, count(*) AS n FROM m4 WHERE error_field IS NULL AND route IN ('init', 'fetch', 'write', 'teardown', 'capability') GROUP BY 1
 UNION ALL SELECT 'validationerror', count(*) FROM m4 WHERE error_field IS NOT NULL HAVING count(*) > 0""")
@@ -654,6 +699,52 @@ sql("stream_message_loop", ["commands"], MSG + """
 SELECT message_id, route, conn_out AS connection_id,
   CASE WHEN error_field IS NOT NULL THEN 'dead_letter' WHEN route IS NULL THEN 'unhandled' ELSE 'record' END AS output
 FROM m4 WHERE route IS DISTINCT FROM 'skipped'""")
+sql("stream_retry_loop", ["commands", "webhooks", "connections", "changes", "files", "responses"], NORM + WEBHOOK + MSG + """
+, msgs AS (
+  SELECT seq, ts, message_id, route, error_field, conn_out, CASE WHEN as_jsonrpc THEN coalesce(least(greatest(max_results, 1), 1000), 100) ELSE 100 END AS page_size,
+    coalesce(resource_type, 'files') AS resource_type, operation, seq % 43 <> 0 AS has_payload FROM m4 WHERE route IS DISTINCT FROM 'skipped'
+  UNION ALL SELECT seq + 1000000000000, ts, message_id, 'webhook', NULL, NULL, NULL, NULL, NULL, NULL FROM webhooks)
+, tries AS (
+  SELECT m.seq, a, r.status_code, r.status_code IS NULL OR r.status_code IN (429, 503) AS retriable,
+    CASE WHEN r.status_code = 429 THEN CASE WHEN r.retry_after = '30' THEN 30 ELSE 60 END ELSE 2 * 2 ** (a - 1) END AS wait
+  FROM msgs m CROSS JOIN (SELECT unnest([1, 2, 3]) AS a) JOIN responses r ON r.response_key = (m.seq * 7 + a) % (SELECT count(*) FROM responses)
+  WHERE m.error_field IS NULL AND m.route IN ('init', 'fetch', 'write', 'teardown', 'webhook'))
+, ends AS (
+  SELECT seq, coalesce(min(a) FILTER (WHERE NOT retriable), 3) AS attempt FROM tries GROUP BY seq)
+, asked AS (
+  SELECT e.seq, e.attempt, arg_max(t.status_code, t.a) FILTER (WHERE t.status_code IS NOT NULL AND t.a = e.attempt) AS status_code,
+    coalesce(sum(t.wait) FILTER (WHERE t.a < e.attempt), 0) AS waited
+  FROM ends e JOIN tries t ON t.seq = e.seq AND t.a <= e.attempt GROUP BY ALL)
+, live AS (SELECT g.*, c.snowball_id FROM good g JOIN connections c USING (connection_id) WHERE NOT is_trashed AND c.snowball_id IS NOT NULL)
+, listed AS (
+  SELECT connection_id, 'files' AS resource_type, count(*) AS n FROM live GROUP BY 1
+  UNION ALL SELECT connection_id, 'folders', count(*) FROM live WHERE is_folder GROUP BY 1)
+, served AS (
+  SELECT o.seq + 1000000000000 AS seq, count(*) AS n
+  FROM outc o JOIN changes c ON c.connection_id = o.connection_id AND o.token = 'p/' || c.page_no JOIN norm n ON n.doc_id = c.doc_id
+  WHERE o.outcome = 'fetch' AND NOT c.removed AND c.file_state = 'file' AND n.bad IS NULL AND o.snowball_id IS NOT NULL
+    AND CASE WHEN n.is_folder THEN coalesce(o.sync_folders, true) ELSE coalesce(o.sync_files, true) END GROUP BY 1)
+, handled AS (
+  SELECT m.*, a.attempt, a.status_code, a.waited, CASE
+      WHEN m.error_field IS NOT NULL THEN 'VALIDATIONERROR'
+      WHEN m.route IS NULL OR m.route = 'capability' THEN NULL
+      WHEN a.status_code = 429 THEN 'RATELIMITERROR' WHEN a.status_code = 401 THEN 'AUTHENTICATIONERROR' WHEN a.status_code = 404 THEN 'TERMINALERROR'
+      WHEN a.status_code IS NULL OR a.status_code = 503 THEN 'RETRIABLEERROR'
+      WHEN m.route = 'fetch' AND m.resource_type IN ('files', 'folders') AND k.snowball_id IS NULL THEN 'VALIDATIONERROR'
+      WHEN m.route = 'write' AND (m.operation IN ('upload_file', 'move_file', 'share_file') OR NOT m.has_payload) THEN 'VALIDATIONERROR'
+      WHEN m.route = 'write' AND NOT EXISTS (SELECT 1 FROM good WHERE id = 'f1') THEN 'RESOURCENOTFOUNDERROR'
+      WHEN m.route = 'webhook' AND (o.outcome = 'invalid' OR m.seq < 1000000000000) THEN 'VALIDATIONERROR'
+      WHEN m.route = 'webhook' AND o.outcome = 'unresolved' THEN 'CONFIGURATIONERROR' END AS error_code,
+    coalesce(l.n, 0) AS listed, coalesce(s.n, 0) AS served
+  FROM msgs m LEFT JOIN asked a ON a.seq = m.seq LEFT JOIN connections k ON k.connection_id = m.conn_out
+  LEFT JOIN listed l ON l.connection_id = m.conn_out AND l.resource_type = m.resource_type
+  LEFT JOIN outc o ON o.seq + 1000000000000 = m.seq LEFT JOIN served s ON s.seq = m.seq)
+SELECT message_id, route, CASE WHEN error_code IS NOT NULL THEN 'dead_letter' WHEN route IS NULL THEN 'unhandled' ELSE 'done' END AS outcome,
+  coalesce(attempt, 1) AS attempt, error_code, epoch_us(ts) + CAST(coalesce(waited, 0) * 1000000 AS BIGINT) AS settled_us,
+  CASE WHEN error_code IS NOT NULL OR route IS NULL THEN 0 ELSE CASE route WHEN 'init' THEN 1 WHEN 'capability' THEN 1
+    WHEN 'fetch' THEN CASE WHEN resource_type IN ('files', 'folders') THEN greatest(1, least(page_size, listed)) ELSE 0 END
+    WHEN 'webhook' THEN served ELSE 0 END END AS records
+FROM handled""")
 sql("stream_webhooks", ["webhooks", "connections"], WEBHOOK + """
 SELECT message_id, connection_id, customer_id, token AS page_token, NULL AS reason FROM outc WHERE outcome = 'fetch'
 UNION ALL SELECT message_id, NULL, NULL, NULL, coalesce(error, resolution_error) FROM outc WHERE outcome IN ('invalid', 'unresolved')""")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from collections.abc import Callable
 
@@ -25,6 +26,7 @@ from stratafile.operators import quality as Q
 from stratafile.operators import retry as RT
 from stratafile.operators import state as ST
 from stratafile.operators import windows as W
+from stratafile.plans import handlers as H
 from stratafile.plans import inputs as I
 from stratafile.plans import resources as R
 from stratafile.session import shared_folder
@@ -32,6 +34,10 @@ from stratafile.sources import changes as SC
 from stratafile.sources import listing as SL
 from stratafile.sources import sinks as SK
 from stratafile.sources.manifest import capability_manifest
+from stratafile.sources.state_table import StateTable
+from stratafile.streaming import commits as SCM
+from stratafile.streaming import loop as SL_
+from stratafile.streaming import ordered as SO
 from stratafile.streaming import pipeline as SP
 from stratafile.streaming import stateful as SS
 
@@ -41,6 +47,7 @@ QUERIES: dict[str, Query] = {}
 
 # Thresholds lowered so that the small test tables reach them.
 OFFLOAD_BYTES = 8192
+RECORD_BYTES = 1500
 QUOTA_LIMIT = 1
 TTL_SECONDS = 864_000
 MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
@@ -758,22 +765,20 @@ def offloaded_payloads(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("K01_outbound_records")
 def outbound_records(spark: SparkSession, sf: str) -> DataFrame:
-    rows = _nonce_rows(spark, sf).select(
-        F.col("connection_id").alias("key"),
-        "nonce",
-        F.when(F.col("seq") % 19 == 0, F.lit(None).cast("string"))
-        .when(F.col("seq") % 23 == 0, F.lit("1.0"))
-        .otherwise(F.lit("2.0"))
-        .alias("jsonrpc"),
-        F.to_json(F.struct("seq")).alias("value"),
-    )
+    """The records of the fetch path as they go on the wire, with their size; every nineteenth file's record lacks the
+    protocol's version, every twenty-third has another one, and both are rejected."""
+    envelopes = R.fetch_files(I.raw_files(spark, sf), I.connections(spark, sf), CFG)
+    rendered = E.to_record(envelopes.withColumn("file_id", F.col("metadata.drive_id")), keep=("file_id",))
+    number = F.substring("file_id", 2, 20).cast("bigint")
+    rows = rendered.withColumn("jsonrpc", F.when(number % 19 == 0, None).when(number % 23 == 0, "1.0").otherwise(F.col("jsonrpc")))
     accepted, rejected = E.outbound_records(rows, CFG)
+    large = S.exceeds_threshold(F.col("value"), RECORD_BYTES).alias("offloaded")
+    what = ["key", F.md5("value").alias("value_md5"), F.octet_length("value").cast("bigint").alias("record_bytes"), large]
     return E.union_paths(
         accepted.select(
-            "key", "value", F.lit("record").alias("output"), F.col("headers")["source"].alias("source"),
-            F.col("headers")["nonce"].alias("nonce"),
+            *what, F.lit("record").alias("output"), F.col("headers")["source"].alias("source"), F.col("headers")["nonce"].alias("nonce")
         ),
-        rejected.select("key", "value", F.col("error_type").alias("output")),
+        rejected.select(*what, F.col("error_type").alias("output")),
     )
 
 
@@ -901,6 +906,19 @@ def state_upsert(spark: SparkSession, sf: str) -> DataFrame:
     return _state(spark, sf).select("connection_id", "key", "value", "seq", micros("updated_at").alias("updated_us"))
 
 
+@query("K05_state_table")
+def state_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The state table after two writes, a compaction between them and the teardowns: as K05 and K06 say, but each step
+    writes the buckets of its connections only."""
+    table = StateTable(spark, f"{shared_folder(spark).rstrip('/')}/state-{uuid.uuid4().hex}")
+    rows = I.state_rows(spark, sf)
+    table.upsert(rows.where(F.col("seq") % 2 == 0))
+    table.compact()
+    table.upsert(rows.where(F.col("seq") % 2 == 1))
+    table.teardown(R.valid_lifecycle(I.command_messages(spark, sf), CFG, "teardown"))
+    return table.read().select("connection_id", "key", "value", "seq", micros("updated_at").alias("updated_us"))
+
+
 @query("K06_teardown")
 def teardown(spark: SparkSession, sf: str) -> DataFrame:
     return R.teardown(I.command_messages(spark, sf), _state(spark, sf), CFG).select("connection_id", "key", "value")
@@ -982,20 +1000,38 @@ def rejected_commands(spark: SparkSession, sf: str) -> DataFrame:
 # --- streaming -------------------------------------------------------------------------------------------------
 
 
-def _landing(spark: SparkSession, df: DataFrame, order: str, files: int = 4) -> tuple[str, str]:
-    """Land ``df`` as JSON files that arrive one after the other in ``order``; returns landing and work paths."""
+class Landing(str):
+    """A folder of landed files, and how many of them arrive at a time."""
+
+    per_batch: int
+
+
+def _landing(spark: SparkSession, df: DataFrame, order: str, batches: int = 4) -> tuple[Landing, str]:
+    """Land ``df`` as JSON files that arrive in ``order``, in about so many batches; returns landing and work paths.
+
+    One partitioned write: each file holds a range of ``order``, and the files' times are set in that sequence, since a
+    stream takes files by their times.
+    """
     root = f"{shared_folder(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
-    low, high = df.agg(F.min(order), F.max(order)).first()
-    step = (high - low) // files + 1
-    for start in range(low, high + 1, step):
-        arrived = df.where((F.col(order) >= start) & (F.col(order) < start + step))
-        arrived.coalesce(1).write.mode("append").option("timestampFormat", MICROS).json(root + "/landing")
-    return root + "/landing", root
+    files = max(batches, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    df.repartitionByRange(files, order).write.option("timestampFormat", MICROS).json(root + "/landing")
+    return _arriving(spark, root + "/landing", batches), root
 
 
-def _json_stream(spark: SparkSession, path: str, schema: str) -> DataFrame:
+def _arriving(spark: SparkSession, path: str, batches: int) -> Landing:
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = sorted(f.getPath().toString() for f in system.listStatus(hadoop) if f.getPath().getName().startswith("part-"))
+    for k, name in enumerate(names):
+        system.setTimes(spark._jvm.org.apache.hadoop.fs.Path(name), 1_700_000_000_000 + 1000 * k, -1)
+    landing = Landing(path)
+    landing.per_batch = max(1, -(-len(names) // batches))
+    return landing
+
+
+def _json_stream(spark: SparkSession, path: Landing, schema: str) -> DataFrame:
     reader = spark.readStream.schema(schema).option("timestampFormat", MICROS)
-    return reader.option("maxFilesPerTrigger", 1).json(path)
+    return reader.option("maxFilesPerTrigger", path.per_batch).json(path)
 
 
 def _drain_to_parquet(df: DataFrame, root: str, mode: str = "append") -> DataFrame:
@@ -1024,11 +1060,50 @@ def stream_changes(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("stream_dedup")
 def stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    """Nonces accepted by the watermark dedup over the whole feed (TTL longer than the feed)."""
-    rows = _nonce_rows(spark, sf).where(F.col("nonce") != "")
-    landing, root = _landing(spark, rows, "seq", 1)
+    """Records accepted by the TTL memory over several micro-batches, late ones judged by their own time; blank nonces
+    all pass."""
+    rows = _nonce_rows(spark, sf)
+    landing, root = _landing(spark, rows, "seq", 3)
     stream = _json_stream(spark, landing, "seq bigint, ts timestamp, connection_id string, nonce string")
-    return _drain_to_parquet(SS.dedup_within_ttl(stream, ttl="60 days").select("nonce"), root)
+    blank = F.col("nonce") == ""
+    known = SS.ttl_dedup_stream(stream.where(~blank), "nonce", "ts", "seq", TTL_SECONDS, expires=False)
+    passed = stream.where(blank).select(F.col("nonce").alias("key"), F.unix_micros("ts").alias("at"), "seq")
+    return _drain_to_parquet(known.unionByName(passed), root).select(F.col("key").alias("nonce"), "seq", F.col("at").alias("at_us"))
+
+
+@query("stream_cursors")
+def stream_cursors(spark: SparkSession, sf: str) -> DataFrame:
+    """Cursors of the change feed as a stream that starts from the state table, stops halfway and goes on from its
+    checkpoint; a connection without a cursor starts at the feed's end as it was then."""
+    pages = I.change_rows(spark, sf).groupBy("connection_id", "page_no").agg(F.concat(F.lit("s/"), F.max("seq").cast("string")).alias("token"))
+    low, high = pages.agg(F.min("page_no"), F.max("page_no")).first()
+    half = F.col("page_no") < (low + high) // 2
+    known = SS.stored_cursors(_cursors(spark, sf), SC.start_cursors(I.change_rows(spark, sf).where(half)))
+    _, root = _landing(spark, pages.where(half), "page_no", 2)
+    known = _stored(known, root + "/known")
+    for part in (None, pages.where(~half)):
+        if part is not None:
+            part.write.mode("append").json(root + "/landing")
+        stream = _json_stream(spark, _arriving(spark, root + "/landing", 2), SS.CURSOR)
+        moved = SS.cursor_stream(stream, known).writeStream.foreachBatch(
+            lambda df, n: SCM.write_together(spark, root + "/out", n, {"cursors": df}, "cursors")
+        )
+        moved.option("checkpointLocation", root + "/checkpoint").outputMode("update").trigger(availableNow=True).start().awaitTermination()
+    moves = SCM.committed(spark, root + "/out", "cursors", SS.CURSOR)
+    newest = W.latest_by(moves, ["connection_id"], ["batch_id"], ["page_no", "token"])
+    return known.select("connection_id", F.col("page_no").alias("_start")).join(newest, "connection_id", "full").select(
+        "connection_id", F.coalesce("page_no", "_start").alias("page_no"), "token"
+    )
+
+
+@query("stream_numbered")
+def stream_numbered(spark: SparkSession, sf: str) -> DataFrame:
+    """The feed's records numbered per connection, over several micro-batches."""
+    landing, root = _landing(spark, I.change_rows(spark, sf).select("connection_id", "seq", "file_id"), "seq", 2)
+    stream = _json_stream(spark, landing, "connection_id string, seq bigint, file_id string")
+    SO.numbered_stream(stream, "connection_id", ["seq"], root + "/out", root + "/checkpoint")
+    rows = SCM.committed(spark, root + "/out", "records", "connection_id string, seq bigint, file_id string, number bigint")
+    return rows.select("connection_id", "seq", "file_id", "number")
 
 
 @query("stream_ttl_dedup")
@@ -1087,6 +1162,56 @@ def stream_message_loop(spark: SparkSession, sf: str) -> DataFrame:
     ])
 
 
+#: Added to the numbers of notifications, which share the loop with the commands.
+WEBHOOK_SEQ = 1_000_000_000_000
+
+
+def _stored(df: DataFrame, path: str) -> DataFrame:
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def _loop_tables(spark: SparkSession, sf: str, root: str) -> H.Tables:
+    files = R.good_files(I.raw_files(spark, sf), CFG)
+    starts = SC.start_cursors(I.change_rows(spark, sf))
+    return H.Tables(
+        I.connections(spark, sf), SL.parse_about(I.about(spark, sf)), starts, _stored(H.first_pages(files, CFG), root + "/pages"),
+        _stored(_feed(spark, sf), root + "/feed"), files.select("id"), capability_manifest(spark),
+    )
+
+
+def _answers(spark: SparkSession, sf: str, root: str) -> Callable[[DataFrame], DataFrame]:
+    """The API's answer to an attempt is a call of the log, by the message's number and the attempt's."""
+    log = _stored(I.fact(spark, sf, "responses").select("response_key", "status_code", "retry_after", "body"), root + "/responses")
+    n = log.count()
+
+    def answer(asked: DataFrame) -> DataFrame:
+        needs = F.when(F.col("route") != "capability", F.pmod(F.col("seq") * 7 + F.col("attempt"), F.lit(n)))
+        answered = asked.withColumn("response_key", needs).join(log, "response_key", "left")
+        return answered.withColumn("status_code", F.when(F.col("route") == "capability", 200).otherwise(F.col("status_code"))).drop("response_key")
+
+    return answer
+
+
+@query("stream_retry_loop")
+def stream_retry_loop(spark: SparkSession, sf: str) -> DataFrame:
+    """Commands and notifications through the handlers, failed ones again when they are due: what became of each message,
+    after which attempt and when, and how many records it gave."""
+    notifications = I.webhook_messages(spark, sf).withColumn("seq", F.col("seq") + WEBHOOK_SEQ)
+    messages = I.command_messages(spark, sf).unionByName(notifications)
+    landing, root = _landing(spark, messages, "seq", 1)
+    stream = _json_stream(spark, landing, "seq bigint, ts timestamp, value string")
+    handlers = H.all_handlers(_loop_tables(spark, sf, root))
+    base = root + "/out"
+    query_ = SL_.start_loop(stream, CFG, handlers, base, root + "/checkpoint", _answers(spark, sf, root))
+    SL_.drain(spark, query_, base, dt.datetime.fromisoformat(CFG.run_ts))
+    settled = SCM.committed(spark, base, "settled", SL_.SETTLED)
+    records = SCM.committed(spark, base, "records", SL_.RECORDS).groupBy("seq").agg(F.count("*").alias("records"))
+    return settled.join(records, "seq", "left").select(
+        "message_id", "route", "outcome", "attempt", "error_code", F.unix_micros("settled_at").alias("settled_us"), F.coalesce("records", F.lit(0)).alias("records")
+    )
+
+
 @query("stream_webhooks")
 def stream_webhooks(spark: SparkSession, sf: str) -> DataFrame:
     """Notifications as a stream joined with the connection table of each micro-batch: records and errors."""

@@ -241,7 +241,7 @@ def page_requests(outcomes: DataFrame) -> DataFrame:
     )
 
 
-def webhook_page_rows(requests: DataFrame, feed: DataFrame, cfg: DriveConfig) -> DataFrame:
+def webhook_page_rows(requests: DataFrame, feed: DataFrame, cfg: DriveConfig, keep: tuple[str, ...] = ()) -> DataFrame:
     """Changes of the requested pages (only the page named by the notification), normalized, with ``yielded``."""
     rows = feed.join(requests, ["connection_id", "page_token"])
     normalized = P.normalize_files(
@@ -250,7 +250,7 @@ def webhook_page_rows(requests: DataFrame, feed: DataFrame, cfg: DriveConfig) ->
         raw_json="file",
         keep=(
             "connection_id", "customer_id", "snowball_id", "settings", "page_token", "message_id", "notifications", "seq",
-            "change_type", "removed", "file",
+            "change_type", "removed", "file", *keep,
         ),
     )
     wanted = X.wanted_type(F.col("is_folder"), F.col("settings.sync_files"), F.col("settings.sync_folders"))
@@ -260,9 +260,12 @@ def webhook_page_rows(requests: DataFrame, feed: DataFrame, cfg: DriveConfig) ->
     return normalized.withColumn("yielded", F.coalesce(yielded, F.lit(False)))
 
 
-def webhook_records(page_rows: DataFrame, cfg: DriveConfig, keep: tuple[str, ...] = ("seq",)) -> DataFrame:
-    """Envelopes of the yielded changes; positions count yielded rows only, and each row has a batch of its own."""
-    positioned = W.position_in_page(page_rows.where("yielded"), ["connection_id", "page_token"], ["seq"])
+def webhook_records(
+    page_rows: DataFrame, cfg: DriveConfig, keep: tuple[str, ...] = ("seq",), page: tuple[str, ...] = ("connection_id", "page_token")
+) -> DataFrame:
+    """Envelopes of the yielded changes; positions count yielded rows of a ``page`` only, and each row has a batch of its
+    own."""
+    positioned = W.position_in_page(page_rows.where("yielded"), list(page), ["seq"])
     batches = (
         positioned.withColumn("batch_id", S.deterministic_id(F.col("message_id"), F.col("page_token"), F.col("seq")))
         .withColumn("batch_page_token", F.col("page_token"))
@@ -290,9 +293,14 @@ def init_connections(
     messages: DataFrame, connections: DataFrame, accounts: DataFrame, start_cursors: DataFrame, cfg: DriveConfig
 ) -> DataFrame:
     """Successful inits with account, start token and whether a channel is opened (asked for, and with a URL)."""
+    return enriched_inits(valid_lifecycle(messages, cfg, "init"), connections, accounts, start_cursors)
+
+
+def enriched_inits(inits: DataFrame, connections: DataFrame, accounts: DataFrame, start_cursors: DataFrame) -> DataFrame:
+    """Valid routed init messages with what :func:`init_connections` says."""
     setup = F.coalesce(F.col("msg.params.config.setup_webhook"), F.lit(True))
     url = F.coalesce(F.col("msg.params.config.webhook_url"), F.lit(""))
-    inits = valid_lifecycle(messages, cfg, "init").select(
+    inits = inits.select(
         "seq",
         "message_id",
         "connection_id",

@@ -19,15 +19,12 @@ from stratafile.operators.joins import resolve_connections
 from stratafile.operators.messages import route_messages
 from stratafile.operators.metrics import QUOTA_SECONDS, USER_QUOTA
 from stratafile.operators.quality import validation_errors
+from stratafile.streaming.commits import batch_folder
 
 #: Records of a route's messages; or records and error rows (columns of ``quality.error_records``).
 Handler = Callable[[DataFrame, DriveConfig], DataFrame | tuple[DataFrame, DataFrame]]
 
 
-def batch_folder(base: str, name: str, batch_id: int) -> str:
-    return f"{base}/{name}/batch_id={batch_id}"
-
-
 def write_batch(outputs: dict[str, DataFrame], base: str, batch_id: int) -> None:
     for name, df in outputs.items():
         df.write.mode("overwrite").parquet(batch_folder(base, name, batch_id))

@@ -107,18 +107,22 @@ def ttl_dedup_stream(
 
 
 class CursorMemory(StatefulProcessor):
-    """Largest page seen and the token of that page, per connection."""
+    """Largest page read and the token of that page, per connection. Pages before the stored cursor were read earlier."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.cursor = handle.getValueState(
             "cursor", StructType([StructField("page_no", LongType()), StructField("token", StringType())])
         )
 
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        for page_no, token in initialState[["page_no", "token"]].itertuples(index=False):
+            self.cursor.update((int(page_no), token))
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         best = self.cursor.get() if self.cursor.exists() else None
         for chunk in rows:
             top = chunk.loc[chunk["page_no"].idxmax()]
-            if best is None or int(top["page_no"]) > best[0]:
+            if best is None or int(top["page_no"]) >= best[0]:
                 best = (int(top["page_no"]), top["token"])
         self.cursor.update(best)
         yield pd.DataFrame([(key[0], best[0], best[1])], columns=["connection_id", "page_no", "token"])
@@ -127,21 +131,27 @@ class CursorMemory(StatefulProcessor):
         pass
 
 
-def cursor_stream(pages: DataFrame) -> DataFrame:
-    """Cursor per connection after each micro-batch; input ``connection_id, page_no, token``, one row per page."""
-    schema = StructType(
-        [
-            StructField("connection_id", StringType()),
-            StructField("page_no", LongType()),
-            StructField("token", StringType()),
-        ]
-    )
-    return (
-        _with_keyed_state(pages).select("connection_id", F.col("page_no").cast("bigint").alias("page_no"), "token")
-        .groupBy("connection_id")
-        .transformWithStateInPandas(
-            statefulProcessor=CursorMemory(), outputStructType=schema, outputMode="Update", timeMode="None"
-        )
+CURSOR = "connection_id string, page_no bigint, token string"
+
+
+def stored_cursors(cursors: DataFrame, starts: DataFrame) -> DataFrame:
+    """Where each connection goes on: its stored cursor, else its start token. ``cursors``: ``connection_id, cursor``;
+    ``starts``: ``connection_id, start_cursor``."""
+    both = cursors.select("connection_id", "cursor").join(starts.select("connection_id", "start_cursor"), "connection_id", "full")
+    page_no = F.coalesce("cursor", "start_cursor").cast("bigint")
+    return both.where(page_no.isNotNull()).select("connection_id", page_no.alias("page_no"), F.lit(None).cast("string").alias("token"))
+
+
+def cursor_stream(pages: DataFrame, stored: DataFrame | None = None) -> DataFrame:
+    """Cursor per connection after each micro-batch; input ``connection_id, page_no, token``, one row per page.
+
+    ``stored`` (the columns of ``CURSOR``, one row per connection) is where a query without a checkpoint starts; one that
+    goes on from its checkpoint has its own memory and doesn't read it again.
+    """
+    keyed = _with_keyed_state(pages).select("connection_id", F.col("page_no").cast("bigint").alias("page_no"), "token")
+    return keyed.groupBy("connection_id").transformWithStateInPandas(
+        statefulProcessor=CursorMemory(), outputStructType=CURSOR, outputMode="Update", timeMode="None",
+        initialState=stored.groupBy("connection_id") if stored is not None else None,
     )
 
 
@@ -191,6 +201,55 @@ def renewal_stream(channels: DataFrame, lead_minutes: int = 60, lateness: str =
     )
 
 
+class HeldMessages(StatefulProcessor):
+    """Failed messages with the number of their next attempt; each is given back when it is due."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        fields = [StructField("due_us", LongType()), StructField("value", StringType()), StructField("attempt", LongType())]
+        self.message = handle.getValueState("message", StructType(fields))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        for chunk in rows:
+            if key[0] < 0:  # a clock row: the watermark has it
+                continue
+            for due_us, value, attempt in chunk[["due_us", "value", "attempt"]].itertuples(index=False):
+                if self.message.exists():
+                    self.handle.deleteTimer(-(-self.message.get()[0] // 1000))
+                self.message.update((int(due_us), value, int(attempt)))
+                self.handle.registerTimer(-(-int(due_us) // 1000))
+        return
+        yield  # a generator without rows
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        due_us, value, attempt = self.message.get()
+        self.message.clear()
+        yield pd.DataFrame([(key[0], due_us, value, attempt)], columns=["seq", "due_us", "value", "attempt"])
+
+    def close(self) -> None:
+        pass
+
+
+def held_messages(failures: DataFrame) -> DataFrame:
+    """``seq, due_us, value, attempt`` of failed messages, each once its time has come.
+
+    Input ``seq, due_us, value, attempt, clock``. The clock of the failures is the time: a message is due when a clock
+    beyond its ``due_us`` has been seen. Clocks must rise from batch to batch, since rows behind the watermark are dropped;
+    rows with a negative ``seq`` carry nothing but a clock.
+    """
+    schema = StructType([
+        StructField("seq", LongType()), StructField("due_us", LongType()), StructField("value", StringType()),
+        StructField("attempt", LongType()),
+    ])
+    return (
+        _with_keyed_state(failures).withWatermark("clock", "0 seconds")
+        .groupBy("seq")
+        .transformWithStateInPandas(
+            statefulProcessor=HeldMessages(), outputStructType=schema, outputMode="Append", timeMode="EventTime"
+        )
+    )
+
+
 def window_counts(stream: DataFrame, by: str, seconds: int, lateness: str = "10 minutes", ts: str = "ts") -> DataFrame:
     """Tumbling counts; a window is emitted once, after the watermark has passed it. Windows open at the end and later
     rows give nothing; where they must not be lost, use ``pipeline.quota_counts_stream``."""
