@@ -35,8 +35,8 @@ from stratafile.llm.tables import bucketed, stored, total_bytes
 from stratafile.llm.words import U64, Words, rounds, windows, words_of
 
 WINDOW, BLOCK = 20, 10  # 2 * BLOCK - 1 <= WINDOW: a window holds a whole block
-CHUNK_BYTES = 4 << 20
-RANGE_WORDS, LEAST_RANGES = 1 << 20, 256
+#: A word and its blank, about; bytes of a chunk at least and at most; hashes that a chunk sends to a range at least.
+WORD_BYTES, CHUNK_BYTES, MOST_CHUNK_BYTES, ROW_HASHES, LEAST_RANGES = 6, 4 << 20, 256 << 20, 1000, 256
 NO_ID = -(1 << 63)
 
 HASHES = T.StructType([T.StructField("range", T.LongType()), T.StructField("chunk", T.LongType()), T.StructField("hashes", T.BinaryType()), T.StructField("extra", T.BinaryType())])
@@ -202,26 +202,38 @@ def _wanted(reply: pa.Table) -> np.ndarray:
     return np.unique(np.concatenate(lists)) if lists else np.zeros(0, U64)
 
 
+def plan_numbers(size: int) -> tuple[int, int, int]:
+    """Bytes of a chunk, ranges, and bits of a hash, for so many bytes of text."""
+    words = size // WORD_BYTES
+    ranges = max(LEAST_RANGES, math.isqrt(words // ROW_HASHES))
+    chunk_bytes = min(MOST_CHUNK_BYTES, max(CHUNK_BYTES, ranges * ROW_HASHES * WORD_BYTES))
+    return chunk_bytes, ranges, min(62, max(24, math.ceil(math.log2(size + 2)) + 10))
+
+
 def chunked(docs: DataFrame, text: str, chunk: str, chunk_bytes: int, buckets: int) -> DataFrame:
     """The rows with the number of their chunk, as a table bucketed by it. Chunks follow the input's partitions."""
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        base = TaskContext.get().partitionId() << 32
-        for k, batch in enumerate(rounds(batches, text, chunk_bytes)):
-            yield batch.append_column(chunk, pa.array(np.full(len(batch), base + k, np.int64)))
+        now, held = TaskContext.get().partitionId() << 32, 0
+        for batch in rounds(batches, text, chunk_bytes):
+            own = pc.sum(pc.binary_length(batch.column(text))).as_py() or 0
+            if held and held + own > chunk_bytes:
+                now, held = now + 1, 0
+            held += own
+            yield batch.append_column(chunk, pa.array(np.full(len(batch), now, np.int64)))
 
     schema = T.StructType([*docs.schema.fields, T.StructField(chunk, T.LongType())])
     return bucketed(docs.mapInArrow(number, schema), "chunks", chunk, buckets)
 
 
 def dedup_substrings(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", chunk_bytes: int = CHUNK_BYTES
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", chunk_bytes: int | None = None
 ) -> tuple[DataFrame, str, str]:
     """The documents without their repeated words, and the names of two added columns: words before, words removed."""
     spark = docs.sparkSession
     size = total_bytes(docs, text)
-    bits = min(62, max(24, math.ceil(math.log2(size + 2)) + 10))  # bytes / 4 stands for words
-    ranges = max(LEAST_RANGES, size // (4 * RANGE_WORDS))
+    planned, ranges, bits = plan_numbers(size)
+    chunk_bytes = chunk_bytes or planned
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // chunk_bytes + 1)
     chunk, before, gone = free_name(docs, "_chunk"), free_name(docs, "_n_words"), free_name(docs, "_n_removed")
     texts = chunked(docs, text, chunk, chunk_bytes, buckets)

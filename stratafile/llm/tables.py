@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from stratafile.session import shared_folder
 
+#: Spark refuses tables of more than 100,000 buckets; a bucket may hold any number of groups.
+MOST_BUCKETS = 50_000
 BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 #: What has been written, by scope: paths of stored tables and names of bucketed ones.
@@ -56,10 +58,12 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
 
 
 def bucketed(df: DataFrame, tag: str, column: str, buckets: int) -> DataFrame:
-    """``df`` as a table in the warehouse, bucketed by ``column``: groups by it need no shuffle of these rows later."""
+    """``df`` as a table bucketed by ``column``: groups by it need no shuffle of these rows later. Its files are in the
+    shared folder, wherever the warehouse is."""
     name = f"llm_{tag}_{uuid.uuid4().hex}"
-    df.write.format("parquet").bucketBy(buckets, column).saveAsTable(name)
-    _WRITTEN.setdefault(_scope, []).append(("table", name))
+    path = f"{shared_folder(df.sparkSession).rstrip('/')}/{name}"
+    df.write.format("parquet").bucketBy(min(buckets, MOST_BUCKETS), column).option("path", path).saveAsTable(name)
+    _WRITTEN.setdefault(_scope, []).extend([("table", name), ("path", path)])
     return df.sparkSession.table(name)
 
 

@@ -2,13 +2,14 @@
 
 A document's terms are its lower-cased words and the first four, five and six bytes of each, hashed into a fixed number
 of slots; a term counts once. The score is sigmoid(w0 + sum of w_i + pairwise part), where the pairwise part sums the
-products of the terms' factor vectors over all pairs (as half of squared sum less sum of squares, divided by the number
-of terms): what two terms say together and neither says alone.
+products of the terms' factor vectors over all pairs (as half of squared sum less sum of squares, divided by the root of
+the number of terms): what two terms say together and neither says alone.
 
 It is fitted on a bounded sample (at most FIT_ROWS documents of each class, of at most FIT_BYTES bytes; both
-documented parameters). Scores are those of the sample's mix of classes, in which toxic rows weigh more than in the
-table: strong decay, which keeps chance terms small, pulls scores down by about as much. The model's size is fixed by its slots, so
-broadcasting it is bounded. Scoring is one pass over whole texts, without a shuffle.
+documented parameters), which is less than 200 MB of slots. Weights and factors have a decay of their own: the weights'
+keeps chance terms small, the factors' is weak, since their steps begin small and end at zero if decay outweighs them.
+Scores are those of the sample's mix of classes, in which toxic rows weigh more than in the table. The model's size is
+fixed by its slots, so broadcasting it is bounded. Scoring is one pass over whole texts, without a shuffle.
 
 Defined results: a null or empty text has no terms and scores what the intercept says; without labelled rows of both
 classes every score is the share of label 1 (0 if there are none); repeated rows score alike; an empty table gives none.
@@ -28,11 +29,11 @@ from stratafile.llm.labelled import fold, sample
 from stratafile.llm.words import LOWER, U64, mixed, rounds, span_hashes, spans, text_bytes
 
 SLOT_BITS, FACTORS = 19, 8
-FIT_ROWS, FIT_BYTES = {1: 4000, 0: 8000}, 64 << 10
+FIT_ROWS, FIT_BYTES = {1: 4000, 0: 8000}, 8 << 10
 FOLDS, HELD_OUT, CUT = 4, 2, 0.3
 PREFIXES = (4, 5, 6)
 LEAST_SHARE, LEAST_DOCS = 1e-3, 3  # a term of fewer documents of the sample has no weight
-LEAST_STEPS = 240
+LEAST_EPOCHS, STEPS, FIT_VISITS = 6, 2000, 120_000  # the last one bounds the documents gone through
 
 #: ASCII letters, digits and all bytes of other characters make words.
 NOT_WORD = np.ones(256, bool)
@@ -81,49 +82,50 @@ def _sums(values: np.ndarray, cuts: np.ndarray) -> np.ndarray:
     return total[cuts[1:]] - total[cuts[:-1]]
 
 
-def _parts(linear: np.ndarray, factors: np.ndarray, slots: np.ndarray, cuts: np.ndarray):
+def _parts(linear: np.ndarray, factors: np.ndarray, slots: np.ndarray, cuts: np.ndarray, sizes: np.ndarray | None = None):
     v = factors[slots]
-    scale = 1.0 / np.maximum(np.diff(cuts), 1)
+    scale = 1.0 / np.sqrt(np.maximum(np.diff(cuts) if sizes is None else sizes, 1))
     sums = _sums(v, cuts)
     pairs = 0.5 * ((sums * sums).sum(1) - _sums((v * v).sum(1), cuts)) * scale
     return _sums(linear[slots], cuts) + pairs, sums, v, scale
 
 
-def fit(slots: np.ndarray, cuts: np.ndarray, y: np.ndarray, counts: dict[int, int], epochs: int = 6, batch: int = 256, rate: float = 0.1, decay: float = 1.0, seed: int = 7) -> Machine:
-    """Adagrad on the log loss, over the sample's terms in slots 0 .. 2**SLOT_BITS - 1."""
+def fit(
+    slots: np.ndarray, cuts: np.ndarray, y: np.ndarray, counts: dict[int, int], batch: int = 256, rate: float = 0.1, factor_rate: float = 0.2,
+    decay: float = 0.5, factor_decay: float = 0.25, seed: int = 7,
+) -> Machine:
+    """Adagrad on the log loss, over the sample's terms in slots 0 .. 2**SLOT_BITS - 1. Small samples are gone through
+    more often; terms of few documents are counted, but have neither weight nor factors."""
     linear, factors = np.zeros(1 << SLOT_BITS, np.float32), np.zeros((1 << SLOT_BITS, FACTORS), np.float32)
     share = counts.get(1, 0) / max(1, sum(counts.values()))
-    if not len(y) or y.min() == y.max():
+    n = len(y)
+    if not n or y.min() == y.max():
         return Machine(float(np.log((share + 1e-9) / (1 - share + 1e-9))), linear, factors)
     vocabulary, local, seen = np.unique(slots, return_inverse=True, return_counts=True)
-    local = local.astype(np.int32)
+    often = seen >= max(LEAST_DOCS, LEAST_SHARE * n)
+    keep = often[local]
+    own_of, cuts_of = (np.cumsum(often) - 1)[local[keep]].astype(np.int32), np.append(0, np.cumsum(keep))[cuts]
+    vocabulary, terms_of, size = vocabulary[often], np.diff(cuts), int(often.sum())
     rng = np.random.default_rng(seed)
-    batch = min(batch, max(32, len(y) // 24))
-    n = len(vocabulary)
-    w, v = np.zeros(n), rng.normal(0, 0.05, (n, FACTORS))
-    rare = seen < max(LEAST_DOCS, LEAST_SHARE * len(y))
-    v[rare] = 0
-    b, gw, gv, gb = float(np.log(y.mean() / (1 - y.mean()))), np.full(n, 1e-6), np.full((n, FACTORS), 1e-6), 1e-6
-    for _ in range(max(epochs, -(-LEAST_STEPS * batch // len(y)))):
-        order = rng.permutation(len(y))
-        for at in range(0, len(order), batch):
+    batch = min(batch, max(32, n // 24))
+    w, v = np.zeros(size), rng.normal(0, 0.02, (size, FACTORS))
+    b, gw, gv, gb = float(np.log(y.mean() / (1 - y.mean()))), np.full(size, 1e-6), np.full((size, FACTORS), 1e-6), 1e-6
+    for _ in range(max(LEAST_EPOCHS, min(-(-STEPS * batch // n), FIT_VISITS // n))):
+        order = rng.permutation(n)
+        for at in range(0, n, batch):
             rows = order[at : at + batch]
-            sizes = cuts[rows + 1] - cuts[rows]
-            own = np.concatenate([local[cuts[r] : cuts[r + 1]] for r in rows.tolist()])
-            edges = np.append(0, np.cumsum(sizes))
-            z, sums, vi, scale = _parts(w, v, own, edges)
+            sizes = cuts_of[rows + 1] - cuts_of[rows]
+            own = np.concatenate([own_of[cuts_of[r] : cuts_of[r + 1]] for r in rows.tolist()])
+            z, sums, vi, scale = _parts(w, v, own, np.append(0, np.cumsum(sizes)), terms_of[rows])
             error = (1 / (1 + np.exp(-np.clip(z + b, -40, 40))) - y[rows]) / len(rows)
-            each = np.repeat(error, sizes)
-            dw = np.bincount(own, each, n) + decay * w / len(rows)
+            dw = np.bincount(own, np.repeat(error, sizes), size) + decay * w / len(rows)
             pull = np.repeat(error * scale, sizes)[:, None] * (np.repeat(sums, sizes, axis=0) - vi)
-            dv = np.stack([np.bincount(own, pull[:, f], n) for f in range(FACTORS)], 1) + decay * v / len(rows)
-            dw[rare] = 0
-            dv[rare] = 0
+            dv = np.stack([np.bincount(own, pull[:, f], size) for f in range(FACTORS)], 1) + factor_decay * v / len(rows)
             gw += dw * dw
             gv += dv * dv
             gb += error.sum() ** 2
             w -= rate * dw / np.sqrt(gw)
-            v -= rate * dv / np.sqrt(gv)
+            v -= factor_rate * dv / np.sqrt(gv)
             b -= rate * error.sum() / np.sqrt(gb)
     linear[vocabulary], factors[vocabulary] = w, v
     return Machine(float(b), linear, factors)

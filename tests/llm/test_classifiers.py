@@ -5,10 +5,11 @@ import zlib
 
 import helpers as H
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from stratafile.llm import byte_cnn, toxicity
+from stratafile.llm import byte_cnn, labelled, toxicity
 
 LABELS = "doc_id long, quality int, toxic int"
 
@@ -45,13 +46,68 @@ def test_quality_held_out(data):
     assert agreement(got, truth, 1) > 0.95
 
 
+def better(scores, y):
+    """Share of pairs of a toxic and a calm row that are ranked right."""
+    toxic, calm = scores[y == 1], scores[y == 0]
+    return float(np.mean((toxic[:, None] > calm[None, :]) + 0.5 * (toxic[:, None] == calm[None, :])))
+
+
+def ablation(rows, y):
+    """Held-out ranking of the whole machine, of its linear part alone, and its factors."""
+    slots, cuts = toxicity.terms(pa.array(rows))
+    cut = len(rows) * 3 // 4
+    machine = toxicity.fit(slots[: cuts[cut]], cuts[: cut + 1], y[:cut], {1: int(y[:cut].sum()), 0: int(cut - y[:cut].sum())})
+    own, at = slots[cuts[cut] :], cuts[cut:] - cuts[cut]
+    linear = toxicity.Machine(machine.intercept, machine.linear, np.zeros_like(machine.factors))
+    return better(machine.logits(own, at), y[cut:]), better(linear.logits(own, at), y[cut:]), machine.factors
+
+
+@pytest.mark.parametrize("length", [40, 80])
+def test_toxicity_learns_what_only_the_pair_tells(length):
+    """Insult and group are each in half of the toxic and of the calm rows; together or apart decides. Weights alone are
+    chance there, the machine is not, and without its factors it is chance again."""
+    rng = random.Random(length)
+    rows, y = [], np.array([k % 2 for k in range(2000)], float)
+    for label in y:
+        insult = rng.random() < 0.5
+        group = insult == bool(label)
+        w = H.prose(rng, length, 400).split()
+        for word, there in (("dolt", insult), ("folk", group)):
+            if there:
+                w.insert(rng.randrange(len(w)), word)
+        rows.append(" ".join(w))
+    whole, linear, factors = ablation(rows, y)
+    assert whole > 0.9 and abs(linear - 0.5) < 0.1 and np.abs(factors).max() > 0.1
+
+
 def test_toxicity_held_out_needs_pairs(data):
     docs, labels, truth = data
     got = toxicity.toxicity_report(docs, labels).collect()
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) and 0 <= r.score <= 1 for r in got)
     held = [(r.score, truth[r.doc_id][2]) for r in got if r.held_out]
-    toxic, calm = ([s for s, y in held if y == k] for k in (1, 0))
-    assert np.mean([a > b for a in toxic for b in calm]) > 0.85
+    assert better(np.array([s for s, _ in held]), np.array([y for _, y in held])) > 0.85
+    rows, y = corpus(2, 1600)
+    whole, linear, _ = ablation([t for _, t in rows], np.array([r[2] for r in y], float))
+    assert whole > 0.9 and whole > linear + 0.02
+
+
+def test_factors_are_not_zero_on_the_given_tables(spark):
+    from stratafile.llm.tables import table
+
+    machine = toxicity.train(*(table(spark, "/root/testdata/sf0.01", t) for t in ("documents", "labels")))
+    assert np.abs(machine.factors).max() > 0.05 and np.abs(machine.linear).max() > 0.05
+
+
+def test_sample_takes_short_texts_first(spark):
+    """Texts over the limit don't use up the sample; a class with long texts only is an error; of an id's texts the
+    smallest is taken."""
+    docs = spark.createDataFrame([(k, "x" * (500 if k < 90 else 5)) for k in range(100)] + [(95, "a"), (95, "b")], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2, int(k < 50)) for k in range(100)], LABELS)
+    rows, counts = labelled.sample(docs, labels, "quality", 1000, 999, {1: 10, 0: 10}, 100)
+    got = {r.doc_id: r.text for r in rows.collect()}
+    assert sorted(got) == list(range(90, 100)) and got[95] == "a" and counts == {0: 50, 1: 50}
+    with pytest.raises(ValueError):
+        labelled.sample(docs, labels, "toxic", 1000, 999, {1: 10, 0: 10}, 100)
 
 
 def test_held_out_labels_are_never_read(spark, data):
@@ -102,5 +158,5 @@ def test_machine_pairwise_part_is_the_sum_over_pairs():
     linear, factors = rng.normal(0, 1, 50), rng.normal(0, 1, (50, toxicity.FACTORS))
     slots, cuts = np.array([3, 7, 9, 20, 7]), np.array([0, 4, 4, 5])
     got = toxicity.Machine(0.5, linear, factors).logits(slots, cuts)
-    first = sum(linear[[3, 7, 9, 20]]) + sum(factors[a] @ factors[b] for i, a in enumerate([3, 7, 9, 20]) for b in [3, 7, 9, 20][:i]) / 4
+    first = sum(linear[[3, 7, 9, 20]]) + sum(factors[a] @ factors[b] for i, a in enumerate([3, 7, 9, 20]) for b in [3, 7, 9, 20][:i]) / 2
     assert got == pytest.approx([0.5 + first, 0.5, 0.5 + linear[7]])

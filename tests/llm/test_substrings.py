@@ -7,7 +7,7 @@ import helpers as H
 import numpy as np
 from pyspark.sql import functions as F
 
-from stratafile.llm import substrings
+from stratafile.llm import substrings, tables
 
 
 def expected(rows):
@@ -66,3 +66,27 @@ def test_packed_hashes_come_back():
     for n in (1, 2, 1000):
         values = np.unique(rng.integers(0, 2**63, n).astype(np.uint64) * np.uint64(2))
         assert (substrings.unpack_sorted(substrings.pack_sorted(values)) == values).all()
+
+
+def test_plan_numbers_up_to_100_terabytes():
+    """What a chunk sends to a range stays worth a row, tasks grow with the root, and Spark accepts the buckets."""
+    for size in (0, 10**6, 10**9, 50 * 10**9, 10**12, 10**13, 10**14):
+        chunk, ranges, bits = substrings.plan_numbers(size)
+        words, chunks = size // substrings.WORD_BYTES, size // chunk + 1
+        per_row = min(chunk, size) / substrings.WORD_BYTES / ranges
+        assert per_row >= (300 if size > 10**13 else 900) or size < 2 * 10**9
+        assert words / ranges <= 1.4e8 and chunk <= 256 << 20 and 24 <= bits <= 62
+        assert min(chunks, tables.MOST_BUCKETS) <= 100_000
+    assert substrings.plan_numbers(10**14)[1] < 2 * 10 * substrings.plan_numbers(10**12)[1]
+
+
+def test_many_chunks_a_bucket(spark, monkeypatch):
+    """With fewer buckets than chunks the result is the same, and dropping the stored tables leaves no file behind."""
+    monkeypatch.setattr(tables, "MOST_BUCKETS", 2)
+    rng = random.Random(3)
+    passage = H.prose(rng, 40, 9999)
+    rows = [(k, H.prose(rng, 30, 9999) + " " + passage) for k in range(40)]
+    with tables.scope("test"):
+        got, _, gone = substrings.dedup_substrings(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), chunk_bytes=300)
+        assert sorted((r.doc_id, r[gone]) for r in got.collect()) == [(0, 0)] + [(k, 40) for k in range(1, 40)]
+        assert tables.drop_stored(spark, "test") > 1
