@@ -135,9 +135,10 @@ def mixture(
     part = F.when(bucket < end, F.col(size)).otherwise(F.lit(0))
     plain = plain.withColumn(size, F.struct(F.col(size).alias("n"), part.cast("bigint").alias("part")))
     order = Window.partitionBy(src).orderBy(key, doc_id, size).rowsBetween(Window.unboundedPreceding, -1)
-    edge = rows.where(inside).withColumn("_sum", F.coalesce(F.sum(size).over(order), F.lit(0)) + F.col(mix)["_before"])
-    part = F.greatest(F.lit(0), F.least(F.col(size), rest - F.col("_sum"))).cast("bigint")
-    edge = edge.withColumn(size, F.struct(F.col(size).alias("n"), part.alias("part"))).drop("_sum")
+    so_far = free_name(docs, "_sum")
+    edge = rows.where(inside).withColumn(so_far, F.coalesce(F.sum(size).over(order), F.lit(0)) + F.col(mix)["_before"])
+    part = F.greatest(F.lit(0), F.least(F.col(size), rest - F.col(so_far))).cast("bigint")
+    edge = edge.withColumn(size, F.struct(F.col(size).alias("n"), part.alias("part"))).drop(so_far)
     both = plain.unionByName(edge)
     m, s = F.col(mix), F.col(size)
     return both.withColumn(
