@@ -181,6 +181,7 @@ sql("S04_file_lookup", ["files"], NORM + """
 SELECT w.id, g.name, g.type, g.id IS NOT NULL AS found
 FROM (SELECT DISTINCT 'f' || o_custkey AS id FROM orders) w LEFT JOIN good g ON g.id = w.id""")
 
+ORACLES["S04_catalog_lookup"] = ORACLES["S04_file_lookup"]
 sql("Q03_folders", ["files"], NORM + """, kids AS (
   SELECT parents AS id, count(*) AS children, count(*) FILTER (WHERE is_folder) AS subfolders, CAST(sum(coalesce(size_bytes, 0)) AS BIGINT) AS bytes
   FROM good WHERE NOT is_trashed AND parents <> '' GROUP BY 1)
@@ -485,6 +486,9 @@ REFS = """, refs AS (SELECT customer_id, connection_id, id AS file_id, sha256(te
 sql("K03_blob_index", ["files"], REFS + """
 SELECT customer_id, sha256, min(storage_path) AS storage_path, max(size_bytes) AS size_bytes, min(file_id) AS first_file_id, count(*) AS ref_count
 FROM paths GROUP BY 1, 2""")
+sql("K03_blob_runs", ["files"], REFS + """
+SELECT customer_id, sha256, min(storage_path) AS storage_path, max(size_bytes) AS size_bytes, min(file_id) AS first_file_id, count(*) AS ref_count, 1 AS copies
+FROM paths GROUP BY 1, 2""")
 sql("A14_blob_savings", ["files"], REFS + """, b AS (SELECT customer_id, sha256, max(size_bytes) AS s, count(*) AS n FROM refs GROUP BY 1, 2)
 SELECT customer_id, CAST(sum(n) AS BIGINT) AS files, count(*) AS blobs, CAST(sum(s * n) AS BIGINT) AS bytes_before, CAST(sum(s) AS BIGINT) AS bytes_after,
   CAST(sum(s * n) - sum(s) AS BIGINT) AS bytes_saved FROM b GROUP BY 1""")

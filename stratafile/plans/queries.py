@@ -30,9 +30,11 @@ from stratafile.plans import handlers as H
 from stratafile.plans import inputs as I
 from stratafile.plans import resources as R
 from stratafile.session import shared_folder
+from stratafile.sources import catalog as CAT
 from stratafile.sources import changes as SC
 from stratafile.sources import listing as SL
 from stratafile.sources import sinks as SK
+from stratafile.sources.blob_store import BlobStore
 from stratafile.sources.manifest import capability_manifest
 from stratafile.sources.state_table import StateTable
 from stratafile.streaming import commits as SCM
@@ -232,6 +234,15 @@ def file_lookup(spark: SparkSession, sf: str) -> DataFrame:
     return R.lookup(files, wanted, ["id"])
 
 
+@query("S04_catalog_lookup")
+def catalog_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    """The same lookup in a catalog laid out for it."""
+    files = R.good_files(I.raw_files(spark, sf), CFG).select("id", "name", "type")
+    path = f"{shared_folder(spark).rstrip('/')}/catalog-{uuid.uuid4().hex}"
+    CAT.write_catalog(files, path)
+    return CAT.lookup(spark, path, I.base(spark, sf, "orders").select(F.concat(F.lit("f"), "o_custkey").alias("id")))
+
+
 @query("Q03_folders")
 def folders(spark: SparkSession, sf: str) -> DataFrame:
     files = R.good_files(I.raw_files(spark, sf), CFG)
@@ -722,6 +733,18 @@ def blob_index(spark: SparkSession, sf: str) -> DataFrame:
     return B.blob_index(B.content_refs(I.content(spark, sf)))
 
 
+@query("K03_blob_runs")
+def blob_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """The blob index after two runs that share a third of the files, with how often each blob's bytes are stored."""
+    store = BlobStore(spark, f"{shared_folder(spark).rstrip('/')}/blobs-{uuid.uuid4().hex}")
+    content = I.content(spark, sf).select("customer_id", "file_id", "content")
+    part = F.pmod(F.xxhash64("file_id"), F.lit(3))
+    store.store(content.where(part < 2))
+    store.store(content.where(part > 0))
+    copies = store.blobs().groupBy("storage_path").agg(F.count("*").alias("copies"))
+    return store.index().join(copies, "storage_path", "left")
+
+
 @query("A14_blob_savings")
 def blob_savings(spark: SparkSession, sf: str) -> DataFrame:
     return B.blob_savings(B.content_refs(I.content(spark, sf)))

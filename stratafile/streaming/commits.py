@@ -57,5 +57,8 @@ def committed(spark: SparkSession, base: str, name: str, schema: str) -> DataFra
     """Rows of one output over all committed batches, with ``batch_id``; folders of other batches are not read."""
     if not path_exists(spark, f"{base}/{name}"):
         return spark.createDataFrame([], f"{schema}, batch_id bigint")
-    rows = spark.read.schema(f"{schema}, batch_id bigint").parquet(f"{base}/{name}")
-    return rows.join(commits(spark, base).select("batch_id"), "batch_id", "left_semi")
+    done = commits(spark, base).select("batch_id")
+    last = done.agg(F.max("batch_id")).first()[0]
+    # what a failed batch left lies behind the last committed one; its files may go while the batch runs again
+    rows = spark.read.schema(f"{schema}, batch_id bigint").parquet(f"{base}/{name}").where(F.col("batch_id") <= F.lit(last))
+    return rows.join(done, "batch_id", "left_semi")

@@ -167,3 +167,32 @@ def test_cursor_stream_starts_from_the_table_and_goes_on(spark, tmp_path):
     assert seen == {"a": (6, "t6"), "b": (9, None), "c": (4, None), "d": (0, "t0")}
     run([("a", 5, "t5"), ("b", 10, "t10"), ("c", 4, "t4")])
     assert seen == {"a": (6, "t6"), "b": (10, "t10"), "c": (4, "t4"), "d": (0, "t0")}
+
+
+def test_a_failed_batch_of_numbers_runs_again(spark, tmp_path, monkeypatch):
+    """The counters of a batch that failed before its commit are neither read nor in the way of the second try."""
+    source, base = f"{tmp_path}/in", f"{tmp_path}/out"
+    schema = "c string, o long"
+    write = C.batch_folder
+    left = {"n": 1}
+
+    def breaks(base, name, batch_id):
+        if name == C.COMMITS and batch_id == 1 and left["n"]:
+            left["n"] = 0
+            raise RuntimeError("no commit")
+        return write(base, name, batch_id)
+
+    monkeypatch.setattr(C, "batch_folder", breaks)
+
+    def run():
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).json(source)
+        O.numbered_stream(stream, "c", ["o"], base, f"{tmp_path}/check")
+
+    for part in range(3):
+        spark.createDataFrame([("a", 10 * part + k) for k in range(5)], schema).coalesce(1).write.mode("append").json(source)
+    with pytest.raises(Exception, match="(?s).*"):
+        run()
+    assert spark.read.parquet(f"{base}/counters").count() == 2 and O.counters(spark, base, "c").first()["last"] == 5
+    run()
+    got = C.committed(spark, base, "records", f"{schema}, number long").orderBy("o").collect()
+    assert [r.number for r in got] == list(range(1, 16))
