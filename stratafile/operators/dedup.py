@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import sys
 import uuid
 from collections.abc import Iterator
 from math import isqrt
@@ -9,12 +10,15 @@ from math import isqrt
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import TaskContext
+from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratafile.session import shared_folder
 
+# What tasks run travels by value, so that workers need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def first_by_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """First row per key in arrival order; each map task keeps one row per key before the shuffle."""
