@@ -130,6 +130,92 @@ OTHERS = [
     ("proprietary", 3, 0.7, "proprietary and confidential"),
 ]
 
+#: Signatures of the licenses' own wording, written by hand: label, priority, confidence, pattern. ``{gap}`` spans what stands
+#: between two sentences of one notice, so that a longer signature holds a shorter one, which is then suppressed.
+HELD_BY = "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files"
+BSD_START = "redistribution and use in source and binary forms with or without modification are permitted"
+ANY_USE = "permission to use copy modify(?: and| and or| or)? distribute this software"
+CC_BOUND = "you accept and agree to be bound by the terms and conditions of this creative commons"
+WORDINGS = [
+    ("mit", 3, 0.97, HELD_BY + " the software to deal in the software without restriction"),
+    ("mit", 3, 0.9, "the above copyright notice and this permission notice(?: including the next paragraph)? shall be included in all copies or substantial portions of the software"),
+    ("mit-0", 2, 0.98, HELD_BY + " the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so the software is provided as is"),
+    ("x11", 2, 0.97, HELD_BY + "{gap}except as contained in this notice the names? of"),
+    ("json", 2, 0.98, HELD_BY + "{gap}the software shall be used for good not evil"),
+    ("ncsa", 2, 0.97, HELD_BY + " the software to deal with the software without restriction"),
+    ("boost-1", 2, 0.98, "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license"),
+    ("bsd", 4, 0.9, BSD_START),
+    ("bsd-2-clause", 2, 0.97, BSD_START + " provided that the following conditions are met{gap}the following disclaimer in the documentation and or other materials provided with the distribution this software is provided by"),
+    ("bsd-3-clause", 3, 0.97, BSD_START + "{gap}(?:neither the names? of|the names? of the author may not be used to endorse)"),
+    ("bsd-4-clause", 2, 0.97, BSD_START + "{gap}all advertising materials mentioning features or use of this software must display the following acknowledge?ment{gap}(?:neither the names? of|the names? of the author may not be used to endorse)"),
+    ("apache-1.1", 2, 0.97, BSD_START + "{gap}this product includes software developed by the apache software foundation"),
+    ("openssl", 1, 0.97, BSD_START + "{gap}this product includes software developed by the openssl project for use in the openssl toolkit"),
+    ("isc", 3, 0.95, ANY_USE + " for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies"),
+    ("curl", 2, 0.97, "permission to use copy modify and distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies the software is provided as is without warranty of any kind"),
+    ("0bsd", 2, 0.97, ANY_USE + " for any purpose with or without fee is hereby granted the software is provided as is"),
+    ("hpnd", 2, 0.95, "permission to use copy modify(?: sell)? and distribute this software and its documentation for any purpose(?: and)? without fee is hereby granted provided that the above copyright notice appears? in all copies"),
+    ("postgresql", 2, 0.97, "permission to use copy modify and distribute this software and its documentation for any purpose without fee and without a written agreement is hereby granted"),
+    ("apache-2", 2, 0.97, "you may not use this file except in compliance with the license you may obtain a copy of the license at https? www apache org licenses license 2 0"),
+    ("apache-2", 3, 0.8, "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis"),
+    ("apache-2", 2, 0.97, "apache license version 2 0 january 2004"),
+    ("gpl-1", 2, 0.97, "(?:program|software) is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 1 "),
+    ("gpl-2", 2, 0.98, "(?:program|software) is free software you can redistribute it and or modify it under the terms of the gnu general public license(?: version 2)? as published by the free software foundation either version 2 "),
+    ("gpl-3", 2, 0.98, "(?:program|software) is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 "),
+    ("gpl-1", 2, 0.97, "the license agreements of most software companies try to keep users at the mercy of those companies"),
+    ("gpl-2", 2, 0.97, "gnu general public license version 2 june 1991"),
+    ("gpl-3", 2, 0.97, "gnu general public license version 3 29 june 2007"),
+    ("gpl-3", 2, 0.97, "the gnu general public license is a free copyleft license for software and other kinds of works"),
+    ("lgpl-2", 2, 0.98, "under the terms of the gnu library general public license as published by the free software foundation either version 2 "),
+    ("lgpl-2.1", 2, 0.98, "under the terms of the gnu lesser general public license as published by the free software foundation either version 2 1"),
+    ("lgpl-3", 2, 0.98, "under the terms of the gnu lesser general public license as published by the free software foundation either version 3 "),
+    ("lgpl-2", 2, 0.97, "this is the first released version of the library gpl"),
+    ("lgpl-2.1", 2, 0.97, "this is the first released version of the lesser gpl"),
+    ("lgpl-3", 2, 0.97, "this version of the gnu lesser general public license incorporates the terms and conditions of version 3 of the gnu general public license"),
+    ("agpl-3", 2, 0.98, "under the terms of the gnu affero general public license as published by the free software foundation either version 3 "),
+    ("agpl-3", 2, 0.97, "the gnu affero general public license is a free copyleft license for software and other kinds of works"),
+    ("gfdl", 2, 0.98, "permission is granted to copy distribute and or modify this document under the terms of the gnu free documentation license"),
+    ("gfdl", 2, 0.95, "make a manual textbook or other functional and useful document free in the sense of freedom"),
+    ("mpl-1", 2, 0.98, "the contents of this file are subject to the mozilla public license version 1 0"),
+    ("mpl-1.1", 2, 0.98, "the contents of this file are subject to the mozilla public license version 1 1"),
+    ("mpl-2", 2, 0.98, "this source code form is subject to the terms of the mozilla public license v(?:ersion)? ?2 0"),
+    ("epl-1", 2, 0.98, "made available under the terms of the eclipse public license v(?:ersion)? ?1 0"),
+    ("epl-2", 2, 0.98, "made available under the terms of the eclipse public license v(?:ersion)? ?2 0"),
+    ("epl", 2, 0.9, "the accompanying program is provided under the terms of this eclipse public license"),
+    ("cpl-1", 2, 0.97, "the accompanying program is provided under the terms of this common public license"),
+    ("ibm-public", 2, 0.97, "the accompanying program is provided under the terms of this ibm public license"),
+    ("cddl-1", 2, 0.98, "the contents of this file are subject to the terms of the common development and distribution license"),
+    ("artistic-1", 2, 0.97, "the conditions under which a package may be copied such that the copyright holder maintains some semblance of artistic control"),
+    ("artistic-2", 2, 0.97, "this license establishes the terms under which a given free software package may be copied modified distributed and or redistributed"),
+    ("zlib", 2, 0.97, "the origin of this software must not be misrepresented you must not claim that you wrote the original software"),
+    ("libpng", 2, 0.95, "the origin of this source code must not be misrepresented"),
+    ("python-2", 2, 0.97, "psf hereby grants licensee a nonexclusive royalty free world wide license to reproduce analyze test perform and or display publicly"),
+    ("php-3", 2, 0.97, "this product includes php software freely available from"),
+    ("unlicense", 2, 0.98, "this is free and unencumbered software released into the public domain"),
+    ("wtfpl", 2, 0.97, "do what the fuck you want to public license"),
+    ("beerware", 2, 0.97, "if we meet some day and you think this stuff is worth it you can buy me a beer"),
+    ("vim", 2, 0.95, "there are no restrictions on distributing unmodified copies of vim"),
+    ("sleepycat", 2, 0.9, "redistributions in any form must be accompanied by information on how to obtain complete source code for the"),
+    ("ms-rl", 2, 0.95, "for any file you distribute that contains code from the software in source code or binary format you must provide recipients the source code"),
+    ("eupl-1.2", 2, 0.9, "this european union public licence the eupl applies to the work"),
+    ("cecill", 2, 0.97, "this software is governed by the cecill(?: [bc])? license under french law and abiding by the rules of distribution of free software"),
+    ("ofl-1.1", 2, 0.98, "this font software is licensed under the sil open font license version 1 1"),
+    ("ofl-1.1", 2, 0.97, "the goals of the open font license ofl are to stimulate worldwide development of collaborative font projects"),
+    ("odbl", 2, 0.97, "this [0-9a-z]+(?: [0-9a-z]+)? is made available under the open database license"),
+    ("cc0", 2, 0.97, "affirmer hereby overtly fully permanently irrevocably and unconditionally waives abandons and surrenders"),
+    ("cc0", 2, 0.95, "dedicated the work to the public domain by waiving all of his or her rights to the work worldwide"),
+    ("cc-by", 2, 0.97, CC_BOUND + " attribution [1-4] [05]"),
+    ("cc-by-sa", 2, 0.97, CC_BOUND + " attribution share ?alike [1-4] [05]"),
+    ("cc-by-nd", 2, 0.97, CC_BOUND + " attribution no ?derivatives [1-4] [05]"),
+    ("cc-by-nc", 2, 0.97, CC_BOUND + " attribution non ?commercial [1-4] [05]"),
+    ("cc-by-nc-sa", 2, 0.97, CC_BOUND + " attribution non ?commercial share ?alike [1-4] [05]"),
+    ("cc-by-nc-nd", 2, 0.97, CC_BOUND + " attribution non ?commercial no ?derivatives [1-4] [05]"),
+    ("bsl-1.1", 2, 0.97, "the licensor hereby grants you the right to copy modify create derivative works redistribute and make non production use of the licensed work"),
+    ("sspl-1", 2, 0.97, "if you make the functionality of the program or a modified version available to third parties as a service you must make the service source code available"),
+    ("elastic-2", 2, 0.97, "you may not provide the software to third parties as a hosted or managed service"),
+]
+#: Characters that a ``{gap}`` spans at most: longer than any clause that stands between two signatures of one notice.
+GAP = " [\\s\\S]{0,1500}? "
+
 WORD, BETWEEN = "0-9a-z\x80-\xff", "[^0-9a-z\x80-\xff]+"
 
 
@@ -171,12 +257,13 @@ def _gate(pattern: str) -> tuple[frozenset[str], ...]:
     return tuple(sorted(gate, key=lambda s: (-min(map(len, s)), len(s), sorted(s))))
 
 
-def _rule(label: str, priority: int, confidence: float, pattern: str) -> Rule:
-    return Rule(label, priority, confidence, _gate(pattern), _compiled(pattern))
+def _rule(label: str, priority: int, confidence: float, pattern: str, words: int | None = None) -> Rule:
+    """``words`` bounds the gate to the words that tell most; a match holds those as well."""
+    return Rule(label, priority, confidence, _gate(pattern)[:words], _compiled(pattern))
 
 
 def rules() -> list[Rule]:
-    """The signature rules in order: each license by each template, then the others."""
+    """The signature rules in order: each license by each template, those of no single license, and the licenses' wording."""
     made = []
     for label, name, own_id in LICENSES:
         for priority, confidence, field, template in TEMPLATES:
@@ -186,7 +273,8 @@ def rules() -> list[Rule]:
             made.append(_rule(label, priority, confidence, pattern))
         if name.count(" ") and "licen" in name or label.startswith("cc"):
             made.append(_rule(label, 3, 0.8, f"(?:{name})"))
-    return made + [_rule(*other) for other in OTHERS]
+    wordings = [_rule(label, p, c, pattern.replace("{gap}", GAP).strip(), 4) for label, p, c, pattern in WORDINGS]
+    return made + [_rule(*other) for other in OTHERS] + wordings
 
 
 class Scanner:

@@ -155,7 +155,7 @@ def sample(rng, parsed):
             out += sample(rng, rng.choice(value[1]))
         elif str(kind) == "SUBPATTERN":
             out += sample(rng, value[-1])
-        elif str(kind) == "MAX_REPEAT":
+        elif str(kind) in ("MAX_REPEAT", "MIN_REPEAT"):
             out += "".join(sample(rng, value[2]) for _ in range(value[0] + rng.randrange(2 if value[1] > value[0] else 1)))
         else:
             assert str(kind) == "ASSERT_NOT"
@@ -173,6 +173,54 @@ def test_each_rule_finds_its_own_match_alone():
             assert scan.detections(text) == licenses.unsuppressed(everything), text
 
 
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation
+files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify,
+merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished
+to do so"""
+MIT_KEEP = ", subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."
+AS_IS = 'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND'
+BSD = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following
+ * conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the
+ * following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and
+ * the following disclaimer in the documentation and/or other materials provided with the distribution."""
+BSD_ADS = " 3. All advertising materials mentioning features or use of this software must display the following acknowledgement: This product includes software developed by X."
+BSD_NAME = " Neither the name of X nor the names of its contributors may be used to endorse or promote products."
+BSD_END = " THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS"
+FEE = "Permission to use, copy, modify, and{} distribute this software for any purpose with or without fee is hereby granted"
+GNU = "is free software; you can redistribute it and/or modify\n# it under the terms of the GNU {} General Public License as published by the Free Software Foundation; either version {} of the License"
+
+
+@pytest.mark.parametrize(
+    "text, labels",
+    [
+        (MIT + MIT_KEEP + AS_IS, {"mit"}),
+        (MIT + ". " + AS_IS, {"mit-0"}),
+        (MIT + MIT_KEEP + " Except as contained in this notice, the name of X shall not be used", {"x11"}),
+        (MIT.replace("deal in", "deal with"), {"ncsa"}),
+        (BSD + BSD_END, {"bsd-2-clause"}),
+        (BSD + BSD_NAME + BSD_END, {"bsd-3-clause"}),
+        (BSD + BSD_ADS + BSD_NAME + BSD_END, {"bsd-4-clause"}),
+        (BSD[:120], {"bsd"}),
+        (FEE.format("/or") + ", provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR", {"isc"}),
+        (FEE.format("") + ", provided that the above copyright notice and this permission notice appear in all copies. " + AS_IS, {"curl"}),
+        (FEE.format("/or") + ". " + AS_IS, {"0bsd"}),
+        ("you may not use this file except in compliance with the License.\n// You may obtain a copy of the License at\n//\n// http://www.apache.org/licenses/LICENSE-2.0\n", {"apache-2"}),
+        ("This program " + GNU.format("", 2), {"gpl-2"}),
+        ("This program " + GNU.format("", 3), {"gpl-3"}),
+        ("This library " + GNU.format("Lesser", "2.1"), {"lgpl-2.1"}),
+        ("This program " + GNU.format("Affero", 3), {"agpl-3"}),
+        ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", {"mpl-2"}),
+        ("are made available under the terms of the Eclipse Public License v2.0 which", {"epl-2"}),
+        ("The origin of this software must not be misrepresented; you must not claim that you wrote the original software.", {"zlib"}),
+        ("This is free and unencumbered software released into the public domain.", {"unlicense"}),
+        ("By exercising the rights, You accept and agree to be bound by the terms and conditions of this Creative Commons Attribution-ShareAlike 4.0 International Public License", {"cc-by-sa"}),
+        ("Permission is hereby granted to enter. Redistribution of wealth and use of sources, free of charge to any person.", set()),
+    ],
+)
+def test_wording_alone_is_found(text, labels):
+    assert {d[4] for d in licenses.scanner().detections(text.lower())} == labels
+
+
 def test_licenses_of_an_empty_table(no_docs):
     assert licenses.license_report(no_docs).count() == 0
 
