@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratafile.functions.scalars import blank_to_null
+from stratafile.operators import windows as W
 from stratafile.operators.messages import UNRESOLVED_IDS
 
 
@@ -136,6 +137,76 @@ def resolve_connections(webhooks: DataFrame, connections: DataFrame) -> DataFram
     )
 
 
+def as_of_join(
+    facts: DataFrame, versions: DataFrame, fact_key: str, fact_time: str, version_key: str, version_order: list[str], out: str
+) -> DataFrame:
+    """Left join of each fact with the version of its key that is valid at the fact's time, as the struct ``out``.
+
+    ``version_order`` is the start of a version, then what decides among equal starts. A version holds from its start
+    (inclusive; null: from the beginning) until the next one of its key. A fact without a key, or before the first version,
+    gets null; a fact without a time sees only versions without a start. Versions without a key match nothing. Every fact
+    gives one row. Facts and versions are sorted together by range (:func:`windows.last_so_far`), so neither a key with a
+    third of all facts nor one with a third of all versions meets in one task, and no fact is paired with more than one
+    version.
+    """
+    start, *ties = version_order
+    kinds = {f.name: f.dataType for f in versions.schema.fields}
+    version = F.struct(*versions.columns)
+    held = versions.where(F.col(version_key).isNotNull()).select(
+        F.col(version_key).alias("_key"), F.col(start).alias("_time"), F.lit(0).alias("_kind"),
+        *[F.col(t).alias(f"_tie{i}") for i, t in enumerate(ties)],
+        version.alias(out),
+    )
+    row = F.struct(*facts.columns)
+    asked = facts.select(
+        F.col(fact_key).alias("_key"), F.col(fact_time).alias("_time"), F.lit(1).alias("_kind"),
+        *[F.lit(None).cast(kinds[t]).alias(f"_tie{i}") for i, t in enumerate(ties)],
+        row.alias("_fact"),
+    )
+    # A hash of the fact (maps have none) spreads facts of one key and instant; versions are told apart by their ties.
+    hashed = [f"_fact.{f.name}" for f in facts.schema.fields if "map<" not in f.dataType.simpleString()]
+    both = held.withColumn("_spread", F.lit(0).cast("bigint")).unionByName(
+        asked.withColumn("_spread", F.xxhash64(*hashed)), allowMissingColumns=True
+    )
+    order = ["_time", "_kind", *[f"_tie{i}" for i in range(len(ties))], "_spread"]
+    return W.last_so_far(both, ["_key"], order, out, "_valid").where(F.col("_kind") == 1).select(
+        "_fact.*", F.col("_valid").alias(out)
+    )
+
+
+def resolve_connections_as_of(webhooks: DataFrame, versions: DataFrame, time: str = "ts") -> DataFrame:
+    """:func:`resolve_connections` by the connections as they were when each notification came.
+
+    ``versions``: ``connection_id, valid_from, version_seq, active, customer_id, snowball_id, external_id, settings``; the
+    first one of a connection may have no ``valid_from``. An account email belongs to the connection whose version named it
+    last, as long as that connection is active and still names it. A known id keeps its connection and takes ``snowball_id``
+    and ``settings`` of the version valid then, none if that one is inactive. A replayed batch resolves as it did at first.
+    Adds the columns of ``resolve_connections`` and ``version_seq``, the version used.
+    """
+    order = ["valid_from", "version_seq"]
+    unresolved = F.coalesce(F.col("message_connection_id").isin(UNRESOLVED_IDS), F.lit(False))
+    claims = versions.where("active").select("external_id", *order, "connection_id")
+    asked = webhooks.withColumn("_unresolved", unresolved).withColumn("_email", F.when(unresolved, F.col("email")))
+    claimed = as_of_join(asked, claims, "_email", time, "external_id", order, "_claim")
+    target = F.when(F.col("_unresolved"), F.col("_claim.connection_id")).otherwise(F.col("message_connection_id"))
+    held = as_of_join(claimed.withColumn("_target", target), versions, "_target", time, "connection_id", order, "_version")
+    valid = F.when(
+        F.col("_version.active") & (~F.col("_unresolved") | (F.col("_version.external_id") == F.col("_email"))), F.col("_version")
+    )
+    found = held.withColumn("_valid", valid)
+    return found.select(
+        *webhooks.columns,
+        F.when(F.col("_unresolved"), F.col("_valid.connection_id")).otherwise(F.col("message_connection_id")).alias("connection_id"),
+        F.when(F.col("_unresolved"), F.col("_valid.customer_id")).otherwise(F.col("message_customer_id")).alias("customer_id"),
+        F.col("_valid.snowball_id").alias("snowball_id"),
+        F.col("_valid.settings").alias("settings"),
+        F.when(F.col("_unresolved") & F.col("email").isNull(), F.lit("EXTERNAL_ID_EXTRACTION_FAILED"))
+        .when(F.col("_unresolved") & F.col("_valid").isNull(), F.lit("CONNECTION_NOT_FOUND"))
+        .alias("resolution_error"),
+        F.col("_valid.version_seq").alias("version_seq"),
+    )
+
+
 def changes_after_cursor(
     changes: DataFrame, cursors: DataFrame, starts: DataFrame, hot: list[str] | None = None, spread: str | None = None
 ) -> DataFrame:

@@ -52,6 +52,32 @@ def running_total(
     return result.drop("_value", "_part", "_local", "_offset", "_total")
 
 
+def last_so_far(df: DataFrame, keys: list[str], order: list[str], value: str, out: str) -> DataFrame:
+    """Last non-null ``value`` of a key among its rows up to and including each row, for keys of any size.
+
+    Like :func:`running_total`: rows are range-partitioned by (key, order), each partition takes the last value of its own
+    rows, and only where there is none the last one of the partitions before it. Rows with a null key, which are no group,
+    get a value of their own row only; they are spread by ``order`` like all others. Nulls in ``order`` come first.
+    """
+    spread = df.repartitionByRange(*[F.col(c) for c in [*keys, *order]])
+    spread = checkpointed(spread.withColumn("_part", F.spark_partition_id()))
+    local = Window.partitionBy(*keys, "_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # One row per (key, partition): at most the partition count plus the number of keys.
+    place = F.when(F.col(value).isNotNull(), F.struct(*order))
+    parts = spread.groupBy(*keys, "_part").agg(F.max_by(value, place).alias("_last"))
+    before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    carried = parts.select(*keys, "_part", F.last("_last", ignorenulls=True).over(before).alias("_carried"))
+    grouped = F.lit(True)
+    for k in keys:
+        grouped = grouped & F.col(k).isNotNull()
+    return (
+        spread.withColumn("_local", F.last(value, ignorenulls=True).over(local))
+        .join(carried, [*keys, "_part"], "left")
+        .withColumn(out, F.when(grouped, F.coalesce("_local", "_carried")).otherwise(F.col(value)))
+        .drop("_part", "_local", "_carried")
+    )
+
+
 def assign_pages(df: DataFrame, keys: list[str], order: list[str], page_size: int) -> DataFrame:
     """Cut an ordered listing into pages; adds ``page_no`` (from 0), ``batch_sequence``, ``batch_is_last`` and
     ``next_page_token`` (null on the last page)."""

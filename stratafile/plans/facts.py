@@ -76,6 +76,20 @@ SELECT c_custkey,
 FROM {customer}
 """
 
+#: Versions of the connections: the stored one from the beginning, later ones with other spaces, emails taken from a
+#: neighbour, and teardowns. A third of them belong to one connection.
+CONNECTION_VERSIONS = """
+SELECT connection_id, customer_id, snowball_id, external_id, sync_files, sync_folders, sync_shared_drives,
+  CAST(NULL AS TIMESTAMP) AS valid_from, CAST(-1 AS BIGINT) AS version_seq, true AS active
+FROM (""" + CONNECTIONS + """) c
+UNION ALL
+SELECT 'conn_' || k, 'cust' || lpad(CAST(k AS STRING), 8, '0'),
+  CASE WHEN event_id % 11 = 0 THEN NULL ELSE 'space_v' || (event_id % 20) END,
+  CASE WHEN event_id % 4 = 0 THEN 'c' || ((k + 1) % 10) || '@example.com' WHEN event_id % 13 = 0 THEN NULL ELSE 'c' || k || '@example.com' END,
+  event_id % 2 = 0, event_id % 3 = 0, CAST(NULL AS BOOLEAN), ts, CAST(event_id AS BIGINT), event_id % 5 <> 0
+FROM (SELECT *, CASE WHEN event_id % 3 = 0 THEN 1 ELSE user_id % 10 END AS k FROM {events} WHERE event_id % 7 = 3) e
+"""
+
 CHANGES = """
 SELECT e.event_id, e.event_id AS seq, e.ts,
   'conn_' || CASE WHEN e.event_id % 3 = 0 THEN 1 ELSE e.user_id % 10 END AS connection_id,
@@ -231,6 +245,7 @@ FROM (SELECT *, (SELECT count(*) FROM {documents}) AS docs, (SELECT count(*) FRO
 TABLES = {
     "files": FILES,
     "connections": CONNECTIONS,
+    "connection_versions": CONNECTION_VERSIONS,
     "changes": CHANGES,
     "calls": CALLS,
     "responses": RESPONSES,

@@ -179,6 +179,14 @@ def connections(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def connection_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The connections over time, one row per version."""
+    return landed(spark, sf_dir, "connection_versions", lambda: fact(spark, sf_dir, "connection_versions")).select(
+        "connection_id", "valid_from", "version_seq", "active", "customer_id", "snowball_id", "external_id",
+        F.struct("sync_files", "sync_folders", "sync_shared_drives").alias("settings"),
+    )
+
+
 def about(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Account rows as JSON text; every fifth account has no email."""
     key = F.col("c_custkey")

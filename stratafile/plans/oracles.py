@@ -329,6 +329,24 @@ sql("X15_webhook_outcomes", ["webhooks", "connections"], WEBHOOK + """
 SELECT message_id, outcome, error, resolution_error, token AS page_token, mail AS email, message_connection_id,
   CASE WHEN error IS NULL THEN connection_id END AS connection_id, CASE WHEN error IS NULL THEN customer_id END AS customer_id FROM outc""")
 
+sql("T11_resolution_as_of", ["webhooks", "connections", "connection_versions"], WEBHOOK + """, ver AS (
+  SELECT *, coalesce(valid_from, TIMESTAMP '1000-01-01') AS since FROM connection_versions
+), claim AS (
+  SELECT w.seq, v.connection_id AS claimed FROM wh w JOIN ver v ON w.lookup AND v.active AND v.external_id = w.mail AND v.since <= w.ts
+  QUALIFY row_number() OVER (PARTITION BY w.seq ORDER BY v.since DESC, v.version_seq DESC) = 1
+), asked AS (
+  SELECT w.*, CASE WHEN lookup THEN claimed ELSE message_connection_id END AS target FROM wh w LEFT JOIN claim USING (seq) WHERE error IS NULL
+), then_valid AS (
+  SELECT a.seq, v.* FROM asked a JOIN ver v ON v.connection_id = a.target AND v.since <= a.ts
+  QUALIFY row_number() OVER (PARTITION BY a.seq ORDER BY v.since DESC, v.version_seq DESC) = 1
+)
+SELECT a.seq, message_id, message_connection_id, mail AS email,
+  CASE WHEN lookup THEN v.connection_id ELSE message_connection_id END AS connection_id,
+  CASE WHEN lookup THEN v.customer_id WHEN no_customer THEN NULL ELSE 'cust_message' END AS customer_id,
+  v.snowball_id, v.sync_files, v.version_seq,
+  CASE WHEN lookup AND mail IS NULL THEN 'EXTERNAL_ID_EXTRACTION_FAILED' WHEN lookup AND v.seq IS NULL THEN 'CONNECTION_NOT_FOUND' END AS resolution_error
+FROM asked a LEFT JOIN then_valid v ON v.seq = a.seq AND v.active AND (NOT a.lookup OR v.external_id = a.mail)""")
+
 PAGES = """, req AS (
   SELECT connection_id, token, count(*) AS notifications, arg_min(message_id, seq) AS message_id, arg_min(customer_id, seq) AS customer_id,
     any_value(snowball_id) AS snowball_id, any_value(sync_files) AS sync_files, any_value(sync_folders) AS sync_folders

@@ -512,6 +512,18 @@ def webhook_outcomes(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query("T11_resolution_as_of")
+def resolution_as_of(spark: SparkSession, sf: str) -> DataFrame:
+    """Notifications resolved by the connections as they were when each one came."""
+    parsed = MSG.parse_webhooks(I.webhook_messages(spark, sf)).where("error IS NULL")
+    asked = parsed.select("seq", "ts", "message_id", "message_connection_id", "message_customer_id", "email")
+    rows = J.resolve_connections_as_of(asked, I.connection_versions(spark, sf))
+    return rows.select(
+        "seq", "message_id", "message_connection_id", "email", "connection_id", "customer_id", "snowball_id",
+        F.col("settings.sync_files").alias("sync_files"), "resolution_error", "version_seq",
+    )
+
+
 @query("Q13_webhook_changes")
 def webhook_changes(spark: SparkSession, sf: str) -> DataFrame:
     rows = R.webhook_changes(I.webhook_messages(spark, sf), I.connections(spark, sf), _feed(spark, sf), CFG)
