@@ -187,6 +187,15 @@ def connection_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def start_token_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Answers to the question for a start token; some hold none, an empty one, or no JSON."""
+    key = F.col("c_custkey")
+    answer = F.when(key % 13 == 0, F.lit("{}")).when(key % 17 == 0, F.lit('{"startPageToken":""}')).when(key % 19 == 0, F.lit("gone"))
+    return fact(spark, sf_dir, "connections").select(
+        "connection_id", F.coalesce(answer, _object(_pair("startPageToken", _text(key.cast("string"))))).alias("token_json")
+    )
+
+
 def about(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Account rows as JSON text; every fifth account has no email."""
     key = F.col("c_custkey")

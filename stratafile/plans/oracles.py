@@ -53,6 +53,7 @@ NORM = """, norm0 AS (
 OFFLOAD_BYTES = 8192
 RECORD_BYTES = 1500
 TTL_SECONDS = 864000
+PAGE_TTL_SECONDS = 3600
 
 sql("P01_normalize_files", ["files"], NORM + """
 SELECT id, type, name, mime_type, category, is_folder, is_native AS is_google_workspace,
@@ -290,6 +291,12 @@ FROM changes""")
 sql("S03_start_cursors", ["changes"], """
 SELECT connection_id, max(page_no) + 1 AS start_cursor FROM changes GROUP BY 1""")
 
+sql("S03_start_tokens", ["connections"], """
+SELECT connection_id, CASE WHEN ok THEN CAST(c_custkey AS VARCHAR) END AS start_token, CASE WHEN NOT ok THEN 'terminal' END AS error_type,
+  CASE WHEN NOT ok THEN 'TERMINALERROR' END AS error_code, CASE WHEN NOT ok THEN 'permanent' END AS error_category,
+  CASE WHEN NOT ok THEN 'the API gave no start token' END AS error_message
+FROM (SELECT *, c_custkey % 13 <> 0 AND c_custkey % 17 <> 0 AND c_custkey % 19 <> 0 AS ok FROM connections)""")
+
 sql("N05_cursors", ["changes"], """
 SELECT connection_id, 'drive_page_token' AS key, arg_max('s/' || seq, seq) AS value, max(page_no) AS last_page FROM changes GROUP BY 1""")
 
@@ -379,7 +386,8 @@ HAS_EXPORT = "coalesce(light_mime IN ('application/vnd.google-apps.document', 'a
 sql("Q11_full_sync", ["files", "connections"], LIGHT + f""", rows AS (
   SELECT l.*, {HAS_EXPORT} AS has_export FROM light l JOIN connections c USING (connection_id)
   WHERE light_bad IS NULL AND coalesce(light_trashed, false) = false
-    AND CASE WHEN light_type = 'folder' THEN coalesce(c.sync_folders, true) ELSE coalesce(c.sync_files, true) END)
+    AND CASE WHEN light_type = 'folder' THEN coalesce(c.sync_folders, true) ELSE coalesce(c.sync_files, true) END
+    AND (doc_id % 6 <> 1 OR coalesce(c.sync_shared_drives, true)))
 SELECT {SYNC_OUT.replace('customer_id', 'customer_id', 1)}, 'full_sync' AS trigger_type, CAST(NULL AS VARCHAR) AS change_type, has_export AS has_content,
   CASE WHEN has_export THEN octet_length(encode(text)) ELSE 0 END AS content_size_bytes FROM rows""")
 
@@ -497,6 +505,19 @@ TTL = f""", acc AS (
 SELECT acc.file_id, min(c.seq) AS seq, epoch_us(acc.ts) AS at_us FROM acc JOIN changes c ON c.file_id = acc.file_id AND c.ts = acc.ts GROUP BY acc.file_id, acc.ts"""
 sql("T02_ttl_dedup", ["changes"], TTL)
 sql("stream_ttl_dedup", ["changes"], TTL)
+sql("T02_page_requests", ["webhooks", "connections"], WEBHOOK + f""", ask AS (SELECT * FROM outc WHERE outcome = 'fetch'), acc AS (
+  SELECT connection_id, token, min(ts) AS ts FROM ask GROUP BY 1, 2
+  UNION ALL
+  SELECT connection_id, token, nxt FROM (SELECT a.connection_id, a.token, (SELECT min(c.ts) FROM ask c WHERE c.connection_id = a.connection_id
+    AND c.token = a.token AND c.ts >= a.ts + INTERVAL {PAGE_TTL_SECONDS} SECOND) AS nxt FROM acc a)
+  WHERE nxt IS NOT NULL
+), span AS (
+  SELECT *, lead(ts) OVER (PARTITION BY connection_id, token ORDER BY ts) AS until FROM acc)
+SELECT s.connection_id, s.token AS page_token, count(*) AS notifications, epoch_us(s.ts) AS at_us, min(a.seq) FILTER (WHERE a.ts = s.ts) AS request_seq,
+  arg_min(a.message_id, a.seq) FILTER (WHERE a.ts = s.ts) AS message_id, arg_min(a.customer_id, a.seq) FILTER (WHERE a.ts = s.ts) AS customer_id,
+  arg_min(a.snowball_id, a.seq) FILTER (WHERE a.ts = s.ts) AS snowball_id
+FROM span s JOIN ask a ON a.connection_id = s.connection_id AND a.token = s.token AND a.ts >= s.ts AND (s.until IS NULL OR a.ts < s.until)
+GROUP BY s.connection_id, s.token, s.ts""")
 
 REFS = """, refs AS (SELECT customer_id, connection_id, id AS file_id, sha256(text) AS sha256, octet_length(encode(text)) AS size_bytes, text FROM files)
 , paths AS (SELECT *, concat_ws('/', substr(customer_id, 1, 2), substr(customer_id, 3, 2), customer_id, substr(sha256, 1, 2), substr(sha256, 3, 2), sha256) AS storage_path FROM refs)

@@ -52,6 +52,7 @@ OFFLOAD_BYTES = 8192
 RECORD_BYTES = 1500
 QUOTA_LIMIT = 1
 TTL_SECONDS = 864_000
+PAGE_TTL_SECONDS = 3600
 MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
 
@@ -477,6 +478,14 @@ def start_cursors(spark: SparkSession, sf: str) -> DataFrame:
     return SC.start_cursors(I.change_rows(spark, sf))
 
 
+@query("S03_start_tokens")
+def start_tokens(spark: SparkSession, sf: str) -> DataFrame:
+    """Start tokens, and the terminal errors of connections that got none."""
+    tokens = SC.start_tokens(I.start_token_responses(spark, sf))
+    errors = SC.missing_start_tokens(tokens, CFG).select("connection_id", "error_type", "error_code", "error_category", "error_message")
+    return tokens.where("start_token IS NOT NULL").unionByName(errors, allowMissingColumns=True)
+
+
 @query("N05_cursors")
 def cursors(spark: SparkSession, sf: str) -> DataFrame:
     pages = (
@@ -547,8 +556,8 @@ def change_summary(spark: SparkSession, sf: str) -> DataFrame:
 @query("Q11_full_sync")
 def full_sync(spark: SparkSession, sf: str) -> DataFrame:
     sizes = B.content_refs(I.content(spark, sf)).select("file_id", "size_bytes")
-    rows = R.full_sync(I.raw_files(spark, sf), I.connections(spark, sf), CFG, sizes)
-    return _flat_sync(rows)
+    files = I.raw_files(spark, sf).withColumn("shared_drive", F.col("doc_id") % 6 == 1)
+    return _flat_sync(R.full_sync(files, I.connections(spark, sf), CFG, sizes))
 
 
 def _flat_sync(rows: DataFrame, *keep: str) -> DataFrame:
@@ -740,6 +749,16 @@ def ttl_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return D.ttl_dedup(rows, "file_id", "ts", "seq", TTL_SECONDS).select("file_id", "seq", micros("ts").alias("at_us"))
 
 
+@query("T02_page_requests")
+def page_requests(spark: SparkSession, sf: str) -> DataFrame:
+    """The pages that notifications have fetched, again after each TTL."""
+    outcomes = R.webhook_outcomes(I.webhook_messages(spark, sf), I.connections(spark, sf), CFG)
+    return R.page_requests_within(outcomes, PAGE_TTL_SECONDS).select(
+        "connection_id", "page_token", "notifications", micros("requested_at").alias("at_us"), "request_seq", "message_id",
+        "customer_id", "snowball_id",
+    )
+
+
 @query("K03_blob_index")
 def blob_index(spark: SparkSession, sf: str) -> DataFrame:
     return B.blob_index(B.content_refs(I.content(spark, sf)))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from stratafile.config import DriveConfig
 from stratafile.functions import mime as M
 from stratafile.functions import scalars as S
+from stratafile.operators import dedup as D
 from stratafile.operators import envelope as E
 from stratafile.operators import filters as X
 from stratafile.operators import joins as J
@@ -164,8 +165,10 @@ def full_sync(
     content_sizes: DataFrame | None = None,
     hot: list[str] | None = None,
 ) -> DataFrame:
-    """All wanted files that are not trashed."""
-    light, _ = P.split_bad_rows(P.light_normalize_files(raw_files, keep=("connection_id", "customer_id")))
+    """All wanted files that are not trashed; where the listing says which ones lie in a shared drive (``shared_drive``),
+    those come only if the connection syncs shared drives."""
+    drive = ("shared_drive",) if "shared_drive" in raw_files.columns else ()
+    light, _ = P.split_bad_rows(P.light_normalize_files(raw_files, keep=("connection_id", "customer_id", *drive)))
     live = X.apply_filters(light, X.not_trashed())
     return E.sync_envelopes(_with_export_size(_selected(live, connections, hot), content_sizes), cfg, "full_sync")
 
@@ -241,6 +244,31 @@ def page_requests(outcomes: DataFrame) -> DataFrame:
     )
 
 
+def page_requests_within(outcomes: DataFrame, ttl_seconds: int, ts: str = "ts") -> DataFrame:
+    """Notifications to serve, one row per page and TTL: a repeat is served again once the TTL has passed since the page was
+    last served.
+
+    ``notifications`` counts those that a fetch stands for, itself included. Notifications of a page that have no time can't
+    be judged and are served together, once. The accepted instants come from the TTL memory, and each notification finds its
+    own by an as-of join; neither gathers a page with many notifications in one task.
+    """
+    fetch = outcomes.where(F.col("outcome") == "fetch").select(
+        "connection_id", "page_token", "seq", "message_id", "customer_id", "snowball_id", "settings", F.col(ts).alias("_ts"),
+        F.to_json(F.array("connection_id", "page_token")).alias("_page"),
+    )
+    accepted = D.ttl_dedup(fetch, "_page", "_ts", "seq", ttl_seconds).select("_page", F.col("_ts").alias("_since"), "seq")
+    served = J.as_of_join(fetch, accepted, "_page", "_ts", "_page", ["_since", "seq"], "_served")
+    first = F.min(F.struct("_ts", "seq", "message_id", "customer_id", "snowball_id", "settings"))
+    return (
+        served.groupBy("connection_id", "page_token", F.col("_served._since").alias("requested_at"))
+        .agg(first.alias("_first"), F.count("*").alias("notifications"))
+        .select(
+            "connection_id", "page_token", "notifications", "requested_at", F.col("_first.seq").alias("request_seq"),
+            *[f"_first.{c}" for c in ("message_id", "customer_id", "snowball_id", "settings")],
+        )
+    )
+
+
 def webhook_page_rows(requests: DataFrame, feed: DataFrame, cfg: DriveConfig, keep: tuple[str, ...] = ()) -> DataFrame:
     """Changes of the requested pages (only the page named by the notification), normalized, with ``yielded``."""
     rows = feed.join(requests, ["connection_id", "page_token"])

@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratafile import schemas
+from stratafile.config import DriveConfig
+from stratafile.functions.scalars import blank_to_null
+from stratafile.operators import quality as Q
 
 
 def read_change_pages(spark: SparkSession, path: str) -> DataFrame:
@@ -43,6 +46,21 @@ def explode_change_pages(pages: DataFrame, keep: tuple[str, ...] = ("connection_
     )
 
 
+def start_tokens(responses: DataFrame) -> DataFrame:
+    """Answers to the question for a start token (``connection_id, token_json``) as ``connection_id, start_token``; the token
+    is null where the answer has none, an empty one or is no object."""
+    token = F.get_json_object("token_json", "$.startPageToken")
+    return responses.select("connection_id", blank_to_null(token).alias("start_token"))
+
+
+def missing_start_tokens(tokens: DataFrame, cfg: DriveConfig) -> DataFrame:
+    """Terminal errors of the connections that got no start token: asking again would not help, so they can't begin."""
+    return Q.error_records(
+        tokens.where(F.col("start_token").isNull()), cfg, F.lit("TerminalError"), F.lit("the API gave no start token"),
+        F.col("connection_id"),
+    )
+
+
 def start_cursors(changes: DataFrame) -> DataFrame:
     """Start of feed per connection: only changes after the newest page are new."""
     return changes.groupBy("connection_id").agg((F.max("page_no") + 1).alias("start_cursor"))

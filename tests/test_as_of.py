@@ -1,4 +1,4 @@
-"""As-of joins: the version valid at a fact's time, against a plain search, with hot keys, ties and nulls."""
+"""As-of joins against a plain search, with hot keys, ties and nulls, and what is built on them; start tokens, shared drives."""
 
 import datetime as dt
 import random
@@ -7,6 +7,8 @@ import pytest
 
 from stratafile.operators import joins as J
 from stratafile.operators import windows as W
+from stratafile.plans import resources as R
+from stratafile.sources import changes as SC
 
 START = dt.datetime(2024, 1, 1)
 FACTS = "k string, ts timestamp, n int, v string"
@@ -89,3 +91,35 @@ def test_resolution_follows_the_connection(spark):
         (None, None, "CONNECTION_NOT_FOUND"), (None, None, "EXTERNAL_ID_EXTRACTION_FAILED"), ("c2", None, None), ("c2", "s2", None),
         (None, None, None), ("c1", "s1", None),
     ]
+
+
+def test_pages_are_served_again_after_the_ttl(spark):
+    at_minute = [("p1", 0), ("p1", 1), ("p1", 9), ("p1", 10), ("p1", 10), ("p1", 19), ("p1", 25), ("p1", None), ("p1", None), ("p2", 3)]
+    outcomes = spark.createDataFrame(
+        [("c", p, i, f"m{i}", "fetch", at(t)) for i, (p, t) in enumerate(at_minute)] + [("c", "p1", 99, "m99", "stop", at(50))],
+        "connection_id string, page_token string, seq int, message_id string, outcome string, ts timestamp",
+    ).selectExpr("*", "'u' as customer_id", "'s' as snowball_id", "named_struct('sync_files', true) as settings")
+    rows = R.page_requests_within(outcomes, 600).collect()
+    assert sorted((r.page_token, r.request_seq, r.message_id, r.notifications) for r in rows) == [
+        ("p1", 0, "m0", 3), ("p1", 3, "m3", 3), ("p1", 6, "m6", 1), ("p1", 7, "m7", 2), ("p2", 9, "m9", 1),
+    ]
+
+
+def test_full_sync_leaves_shared_drives_to_the_setting(spark, cfg):
+    raw = spark.createDataFrame(
+        [(c, "u", '{"id":"%s%s","name":"n","mimeType":"text/plain"}' % (c, s), s == "in") for c in ("yes", "no", "unset") for s in ("in", "out")],
+        "connection_id string, customer_id string, raw_json string, shared_drive boolean",
+    )
+    connections = spark.createDataFrame([("yes", True), ("no", False), ("unset", None)], "connection_id string, drives boolean").selectExpr(
+        "connection_id", "named_struct('sync_files', true, 'sync_folders', true, 'sync_shared_drives', drives) as settings"
+    )
+    got = R.full_sync(raw, connections, cfg).select("resource_id")
+    assert sorted(r.resource_id for r in got.collect()) == ["noout", "unsetin", "unsetout", "yesin", "yesout"]
+
+
+def test_a_missing_start_token_is_a_terminal_error(spark, cfg):
+    answers = ['{"startPageToken":"7"}', "{}", '{"startPageToken":""}', '{"startPageToken":null}', "text", None]
+    tokens = SC.start_tokens(spark.createDataFrame(list(enumerate(answers)), "connection_id int, token_json string"))
+    errors = SC.missing_start_tokens(tokens, cfg).collect()
+    assert [r.connection_id for r in tokens.where("start_token = '7'").collect()] == [0]
+    assert sorted(r.connection_id for r in errors) == [1, 2, 3, 4, 5] and {r.error_type for r in errors} == {"terminal"}
