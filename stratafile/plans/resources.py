@@ -256,6 +256,7 @@ def page_requests_within(outcomes: DataFrame, ttl_seconds: int, ts: str = "ts")
         "connection_id", "page_token", "seq", "message_id", "customer_id", "snowball_id", "settings", F.col(ts).alias("_ts"),
         F.to_json(F.array("connection_id", "page_token")).alias("_page"),
     )
+    fetch = D.stored_once(fetch)  # read by both, parsed once
     accepted = D.ttl_dedup(fetch, "_page", "_ts", "seq", ttl_seconds).select("_page", F.col("_ts").alias("_since"), "seq")
     served = J.as_of_join(fetch, accepted, "_page", "_ts", "_page", ["_since", "seq"], "_served")
     first = F.min(F.struct("_ts", "seq", "message_id", "customer_id", "snowball_id", "settings"))
