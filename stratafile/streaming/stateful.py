@@ -5,13 +5,13 @@ from __future__ import annotations
 import sys
 from collections.abc import Iterator
 
-import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
 from stratafile.operators.metrics import QUOTA_SECONDS, USER_QUOTA
 
@@ -41,11 +41,34 @@ def dedup_within_ttl(stream: DataFrame, nonce: str = "nonce", ts: str = "ts", tt
     return timed.where(~blank).dropDuplicatesWithinWatermark([nonce]).unionByName(timed.where(blank))
 
 
+#: Groups that share a stored state. A call to the state store costs about a millisecond, so keys are stored together: calls
+#: grow with the groups and not with the keys. The number holds for the life of a checkpoint.
+BUCKETS = 4096
+
+
+def _bucket(key: str) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int").alias("bucket")
+
+
+def _packed(table: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as writer:
+        writer.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpacked(state) -> pa.Table | None:
+    """The rows of a bucket's value state, None before the first ones."""
+    if not state.exists():
+        return None
+    return pa.ipc.open_stream(state.get()[0]).read_all()
+
+
 class TtlMemory(StatefulProcessor):
     """Exact TTL memory: a key is blocked for ``ttl_us`` from its last accepted record.
 
     A record older than the last accepted one is accepted as well if it lies a TTL or more before it. With ``expires``
-    the state of a key goes when it has not been touched for twice the TTL.
+    a key is forgotten when nothing of it has been accepted for twice the TTL. The keys of a bucket share one state.
     """
 
     def __init__(self, ttl_us: int, expires: bool):
@@ -53,32 +76,53 @@ class TtlMemory(StatefulProcessor):
         self.expires = expires
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        schema = StructType([StructField("at", LongType())])
-        self.last = handle.getValueState("last", schema, 2 * self.ttl_us // 1000 if self.expires else None)
+        schema = StructType([StructField("rows", BinaryType())])
+        self.memory = handle.getValueState("memory", schema, 2 * self.ttl_us // 1000 if self.expires else None)
+
+    def _known(self, now: int) -> dict:
+        """Last accepted instant of each key, and when it was accepted."""
+        rows = _unpacked(self.memory)
+        if rows is None:
+            return {}
+        held = zip(*(rows.column(c).to_pylist() for c in ("key", "last", "touched")), strict=True)
+        return {key: (last, touched) for key, last, touched in held if not self.expires or touched + 2 * self.ttl_us // 1000 > now}
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        # Each Arrow chunk shrinks to one row per instant as it comes; a group is bounded by the micro-batch.
-        first: dict[int, int] = {}
-        for chunk in rows:
-            for at, seq in chunk.groupby("at")["seq"].min().items():
-                first[at] = min(seq, first.get(at, seq))
-        times = np.array(sorted(first), dtype="int64")
-        seqs = [first[at] for at in times.tolist()]
-        position, accepted = 0, []
-        if self.last.exists():
-            last = self.last.get()[0]
-            late = times.searchsorted(last - self.ttl_us, side="right")
-            while position < late:
-                accepted.append((key[0], int(times[position]), int(seqs[position])))
-                position = times.searchsorted(times[position] + self.ttl_us)
-            position = times.searchsorted(last + self.ttl_us)
-        while position < len(times):
-            accepted.append((key[0], int(times[position]), int(seqs[position])))
-            position = times.searchsorted(times[position] + self.ttl_us)
+        # Each Arrow chunk shrinks to one row per key and instant as it comes; a group is bounded by the micro-batch.
+        def instants(chunk: pd.DataFrame) -> pd.DataFrame:
+            return chunk.groupby(["key", "at"], dropna=False, as_index=False)["seq"].min()
+
+        parts = [instants(chunk.loc[chunk["at"].notna(), ["key", "at", "seq"]].astype({"at": "int64"})) for chunk in rows]
+        parts = [part for part in parts if len(part)]
+        if not parts:
+            return
+        first = instants(pd.concat(parts)) if len(parts) > 1 else parts[0]  # sorted by key and instant
+        keys = first["key"].astype(object).where(first["key"].notna(), None).tolist()
+
+        now = timerValues.getCurrentProcessingTimeInMs() if self.expires else 0
+        known, ttl = self._known(now), self.ttl_us
+        accepted: list[int] = []
+        newest: dict = {}
+        current, last, late, free = object(), None, None, None
+        for place, (name, at) in enumerate(zip(keys, first["at"].tolist(), strict=True)):
+            if name != current:
+                current = name
+                last = known[name][0] if name in known else None
+                late, free = None, None if last is None else last + ttl
+            if last is not None and at <= last - ttl:
+                if late is None or at >= late:
+                    accepted.append(place)
+                    late = at + ttl
+                    newest[name] = last
+            elif free is None or at >= free:
+                accepted.append(place)
+                free = at + ttl
+                newest[name] = at
         if accepted:
-            newest = accepted[-1][1]
-            self.last.update((max(newest, self.last.get()[0]) if self.last.exists() else newest,))
-            yield pd.DataFrame(accepted, columns=["key", "at", "seq"])
+            known.update((name, (at, now)) for name, at in newest.items())
+            held = {"key": pa.array(known, pa.string()), "last": pa.array([v[0] for v in known.values()], pa.int64()), "touched": pa.array([v[1] for v in known.values()], pa.int64())}
+            self.memory.update((_packed(pa.table(held)),))
+            yield first.iloc[accepted].assign(key=[keys[place] for place in accepted])[["key", "at", "seq"]]
 
     def close(self) -> None:
         pass
@@ -93,12 +137,12 @@ def ttl_dedup_stream(
     must turn it off, since Spark goes on with empty batches while state can expire.
     """
     rows = _with_keyed_state(stream).select(
-        F.col(key).alias("key"), F.unix_micros(ts).alias("at"), F.col(order).cast("bigint").alias("seq")
+        F.col(key).cast("string").alias("key"), F.unix_micros(ts).alias("at"), F.col(order).cast("bigint").alias("seq")
     )
     schema = StructType(
         [StructField("key", StringType()), StructField("at", LongType()), StructField("seq", LongType())]
     )
-    return rows.groupBy("key").transformWithStateInPandas(
+    return rows.select("*", _bucket("key")).groupBy("bucket").transformWithStateInPandas(
         statefulProcessor=TtlMemory(ttl_seconds * 1_000_000, expires),
         outputStructType=schema,
         outputMode="Append",
