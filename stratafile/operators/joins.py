@@ -28,15 +28,15 @@ def hot_keys(df: DataFrame, key: str, share: float = 0.02, fraction: float = 0.0
 
 def lookup_join(
     facts: DataFrame, dimension: DataFrame, key: str, hot: list[str] | None = None, spread: str | None = None,
-    salts: int = 64,
+    salts: int = 64, how: str = "left", also: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Left join with a dimension of one row per key.
+    """Left join with a dimension of one row per key; or, by ``how`` and with ``also`` as further keys, with some rows per key.
 
     Rows of the ``hot`` keys get a salt from a hash of their ``spread`` column; the dimension rows of those few keys are
     repeated once per salt. Every other key joins as usual.
     """
     if not hot or spread is None:
-        return facts.join(dimension, key, "left")
+        return facts.join(dimension, [key, *also], how)
     is_hot = F.col(key).isin(hot)
     zero = F.lit(0)
     salted = facts.withColumn(
@@ -45,7 +45,7 @@ def lookup_join(
     repeated = dimension.withColumn(
         "_salt", F.explode(F.when(is_hot, F.sequence(zero, F.lit(salts - 1))).otherwise(F.array(zero)))
     )
-    return salted.join(repeated, [key, "_salt"], "left").drop("_salt")
+    return salted.join(repeated, [key, *also, "_salt"], how).drop("_salt")
 
 
 def with_connection(
@@ -79,30 +79,45 @@ def teardown_credentials(message_token: Column, stored_token: Column) -> Column:
     return F.coalesce(blank_to_null(message_token), stored_token)
 
 
-def resolve_connections(webhooks: DataFrame, connections: DataFrame) -> DataFrame:
+def _is_unresolved() -> Column:
+    return F.coalesce(F.col("message_connection_id").isin(UNRESOLVED_IDS), F.lit(False))
+
+
+def hot_lookups(webhooks: DataFrame) -> tuple[list[str], list[str]]:
+    """Connection ids and account emails that many of some sampled notifications look up; see :func:`hot_keys`."""
+    unresolved = _is_unresolved()
+    looked = F.when(unresolved, F.concat(F.lit("e"), "email")).otherwise(F.concat(F.lit("i"), "message_connection_id"))
+    hot = hot_keys(webhooks.select(looked.alias("_looked")), "_looked", fraction=1.0)
+    return [key[1:] for key in hot if key[0] == "i"], [key[1:] for key in hot if key[0] == "e"]
+
+
+def resolve_connections(
+    webhooks: DataFrame, connections: DataFrame, hot: tuple[list[str], list[str]] | None = None
+) -> DataFrame:
     """Find the connection of notifications whose id is not known yet by account email; others keep theirs.
 
     Adds ``connection_id, customer_id, snowball_id, settings`` and ``resolution_error``
     (``EXTERNAL_ID_EXTRACTION_FAILED`` without an email, ``CONNECTION_NOT_FOUND`` without a match). Resolved values
     override the message's. In either join, rows that it doesn't concern get a key of their own that matches nothing, so
-    that they spread over all partitions instead of meeting under one null or "unknown" key.
+    that they spread over all partitions instead of meeting under one null or "unknown" key. ``hot`` (:func:`hot_lookups`)
+    names ids and emails whose notifications are spread as well.
     """
-    unresolved = F.col("message_connection_id").isin(UNRESOLVED_IDS)
+    hot_ids, hot_emails = hot or ([], [])
     by_id = connections.select(
-        F.col("connection_id").alias("_id_connection"),
+        F.col("connection_id").alias("_by_id"),
         F.col("snowball_id").alias("_id_snowball"),
         F.col("settings").alias("_id_settings"),
     )
     # One connection per account; the smallest id stands for an account that has several.
     by_email = (
         connections.where(F.col("external_id").isNotNull())
-        .groupBy(F.col("external_id").alias("_email"))
+        .groupBy(F.col("external_id").alias("_lookup"))
         .agg(
             F.min(F.struct("connection_id", "customer_id", "snowball_id", "settings")).alias("_by_email")
         )
     )
-    joined = (
-        webhooks.withColumn("_unresolved", F.coalesce(unresolved, F.lit(False)))
+    keyed = (
+        webhooks.withColumn("_unresolved", _is_unresolved())
         .withColumn(
             "_lookup",
             F.coalesce(
@@ -113,9 +128,8 @@ def resolve_connections(webhooks: DataFrame, connections: DataFrame) -> DataFram
             "_by_id",
             F.when(F.col("_unresolved"), F.concat(F.lit("\u0000"), F.col("message_id"))).otherwise(F.col("message_connection_id")),
         )
-        .join(by_id, F.col("_by_id") == F.col("_id_connection"), "left")
-        .join(by_email, F.col("_lookup") == F.col("_email"), "left")
     )
+    joined = lookup_join(lookup_join(keyed, by_id, "_by_id", hot_ids, "message_id"), by_email, "_lookup", hot_emails, "message_id")
     resolved = F.col("_by_email")
     return (
         joined.withColumn(
@@ -133,7 +147,7 @@ def resolve_connections(webhooks: DataFrame, connections: DataFrame) -> DataFram
                 F.col("_unresolved") & resolved.isNull(), F.lit("CONNECTION_NOT_FOUND")
             ),
         )
-        .drop("_unresolved", "_lookup", "_by_id", "_email", "_by_email", "_id_connection", "_id_snowball", "_id_settings")
+        .drop("_unresolved", "_lookup", "_by_id", "_by_email", "_id_snowball", "_id_settings")
     )
 
 

@@ -217,9 +217,12 @@ def sync_progress(feed: DataFrame) -> DataFrame:
 # --- webhooks --------------------------------------------------------------------------------------------------
 
 
-def webhook_outcomes(webhooks: DataFrame, connections: DataFrame, cfg: DriveConfig) -> DataFrame:
-    """Parsed notifications with their connection and what becomes of them; another provider's are skipped."""
-    resolved = J.resolve_connections(MSG.parse_webhooks(webhooks), connections)
+def webhook_outcomes(
+    webhooks: DataFrame, connections: DataFrame, cfg: DriveConfig, hot: tuple[list[str], list[str]] | None = None
+) -> DataFrame:
+    """Parsed notifications with their connection and what becomes of them; another provider's are skipped. ``hot``: see
+    ``joins.hot_lookups``."""
+    resolved = J.resolve_connections(MSG.parse_webhooks(webhooks), connections, hot)
     return resolved.withColumn(
         "outcome",
         F.when(~X.for_provider(MSG.provider_of(), cfg.provider), F.lit("skipped"))

@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from stratafile.config import DriveConfig
 from stratafile.operators import messages as MSG
 from stratafile.operators.filters import for_provider
-from stratafile.operators.joins import resolve_connections
+from stratafile.operators.joins import hot_lookups, resolve_connections
 from stratafile.operators.messages import route_messages
 from stratafile.operators.metrics import QUOTA_SECONDS, USER_QUOTA
 from stratafile.operators.quality import validation_errors
@@ -103,11 +103,16 @@ def webhook_stream(
 ) -> StreamingQuery:
     """Notifications to records; invalid and unresolved ones to errors with their reason, those of another provider to
     neither. The connection dimension is read again for every micro-batch, which takes the place of a resolution cache
-    with a short life."""
+    with a short life. Connections that many notifications name are found in a sample of the batch and spread.
+
+    The parsed message, several times as large as its text, does not go through the joins: a handler finds the text in
+    ``value``.
+    """
 
     def on_batch(df: DataFrame, batch_id: int) -> None:
-        own = MSG.parse_webhooks(df).where(for_provider(MSG.provider_of(), cfg.provider))
-        resolved = resolve_connections(own, read_connections()).persist()
+        own = MSG.parse_webhooks(df).where(for_provider(MSG.provider_of(), cfg.provider)).drop(*MSG.PARSED)
+        hot = hot_lookups(MSG.parse_webhooks(df.sample(0.01, seed=7)))
+        resolved = resolve_connections(own, read_connections(), hot).persist()
         reason = F.coalesce("error", "resolution_error")
         try:
             outputs = {
