@@ -88,18 +88,22 @@ def fetch_handler(tables: Tables) -> Handler:
     """The first page of the listing that a request asks for, a record per file; an empty page gives one marker record.
 
     A connection without a space is a validation error. Requests for other resources name no file here and give no record.
+    Each request gives a whole page, so the requests of connections that many of them name are spread over tasks.
     """
 
     def handle(rows: DataFrame, cfg: DriveConfig) -> dict[str, DataFrame]:
         kind = F.coalesce(S.blank_to_null(MSG.param("resource_type")), F.lit("files"))
         size = F.when(F.col("is_jsonrpc"), F.col("msg.params.pagination.max_results"))
         asked = rows.select(*CARRY, "connection_id", MSG.customer_id_of().alias("customer_id"), kind.alias("listing"), S.clamp_page_size(size).alias("page_size"))
-        asked = J.with_connection(asked.where(F.col("listing").isin(list(LISTINGS))), tables.connections.select("connection_id", "snowball_id"))
+        asked = asked.where(F.col("listing").isin(list(LISTINGS)))
+        hot = J.hot_keys(asked, "connection_id")
+        asked = J.with_connection(asked, tables.connections.select("connection_id", "snowball_id"), hot=hot, spread="seq")
         errors = _validation(asked, cfg, F.when(~X.has_space(), F.lit("snowball_id")))
         ready = asked.where(X.has_space())
 
         requests = ready.select(*CARRY, "connection_id", "listing", "snowball_id", F.col("page_size").cast("bigint").alias("page_size"))
-        page = requests.join(tables.pages, ["connection_id", "listing"]).where(F.col("position") <= F.col("page_size"))
+        pages = J.lookup_join(requests, tables.pages, "connection_id", hot, "seq", how="inner", also=("listing",))
+        page = pages.where(F.col("position") <= F.col("page_size"))
         more = F.col("listed") > F.col("page_size")
         envelopes = E.ingest_envelopes(
             page.withColumns({
@@ -178,7 +182,8 @@ def webhook_handler(tables: Tables) -> Handler:
     """The changes of the page that a notification names, for the connection it resolves to."""
 
     def handle(rows: DataFrame, cfg: DriveConfig) -> dict[str, DataFrame]:
-        outcomes = R.webhook_outcomes(rows.select("seq", "ts", "value", "attempt", "route"), tables.connections, cfg)
+        hot = J.hot_lookups(MSG.parse_webhooks(rows.select("value").sample(0.01, seed=7)))
+        outcomes = R.webhook_outcomes(rows.select("seq", "ts", "value", "attempt", "route"), tables.connections, cfg, hot)
         invalid = _validation(outcomes.where(F.col("outcome") == "invalid"), cfg, F.col("error"))
         unresolved = Q.error_records(
             outcomes.where(F.col("outcome") == "unresolved"), cfg, F.lit("ConfigurationError"), F.col("resolution_error"),

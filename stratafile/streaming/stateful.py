@@ -246,29 +246,59 @@ def renewal_stream(channels: DataFrame, lead_minutes: int = 60, lateness: str =
 
 
 class HeldMessages(StatefulProcessor):
-    """Failed messages with the number of their next attempt; each is given back when it is due."""
+    """Failed messages with the number of their next attempt; each is given back when it is due.
+
+    The messages of a bucket share one state and one timer, that of the message due first. A newer attempt of a message
+    replaces the older one.
+    """
+
+    COLUMNS = {"seq": pa.int64(), "due_us": pa.int64(), "value": pa.string(), "attempt": pa.int64()}
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        fields = [StructField("due_us", LongType()), StructField("value", StringType()), StructField("attempt", LongType())]
-        self.message = handle.getValueState("message", StructType(fields))
+        self.messages = handle.getValueState("messages", StructType([StructField("rows", BinaryType())]))
+
+    def _held(self) -> dict:
+        rows = _unpacked(self.messages)
+        return {} if rows is None else {m[0]: m for m in zip(*(rows.column(c).to_pylist() for c in self.COLUMNS), strict=True)}
+
+    def _hold(self, messages: dict) -> None:
+        if not messages:
+            self.messages.clear()
+            return
+        columns = zip(*messages.values(), strict=True)
+        self.messages.update((_packed(pa.table({name: pa.array(values, kind) for (name, kind), values in zip(self.COLUMNS.items(), columns, strict=True)})),))
+
+    @staticmethod
+    def _due_ms(message: tuple) -> int:
+        return -(-message[1] // 1000)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        failed = {}
         for chunk in rows:
-            if key[0] < 0:  # a clock row: the watermark has it
-                continue
-            for due_us, value, attempt in chunk[["due_us", "value", "attempt"]].itertuples(index=False):
-                if self.message.exists():
-                    self.handle.deleteTimer(-(-self.message.get()[0] // 1000))
-                self.message.update((int(due_us), value, int(attempt)))
-                self.handle.registerTimer(-(-int(due_us) // 1000))
+            chunk = chunk[chunk["seq"] >= 0]  # the others are clock rows: the watermark has them
+            for seq, due_us, value, attempt in chunk[list(self.COLUMNS)].itertuples(index=False):
+                failed[int(seq)] = (int(seq), int(due_us), value, int(attempt))
+        if failed:
+            held = self._held()
+            if held:
+                self.handle.deleteTimer(min(map(self._due_ms, held.values())))
+            held.update(failed)
+            self._hold(held)
+            self.handle.registerTimer(min(map(self._due_ms, held.values())))
         return
         yield  # a generator without rows
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        due_us, value, attempt = self.message.get()
-        self.message.clear()
-        yield pd.DataFrame([(key[0], due_us, value, attempt)], columns=["seq", "due_us", "value", "attempt"])
+        now = max(timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs())
+        held = self._held()
+        due = [message for message in held.values() if self._due_ms(message) <= now]
+        left = {seq: message for seq, message in held.items() if self._due_ms(message) > now}
+        self._hold(left)
+        if left:
+            self.handle.registerTimer(min(map(self._due_ms, left.values())))
+        if due:
+            yield pd.DataFrame(due, columns=list(self.COLUMNS))
 
     def close(self) -> None:
         pass
@@ -286,8 +316,8 @@ def held_messages(failures: DataFrame) -> DataFrame:
         StructField("attempt", LongType()),
     ])
     return (
-        _with_keyed_state(failures).withWatermark("clock", "0 seconds")
-        .groupBy("seq")
+        _with_keyed_state(failures).withWatermark("clock", "0 seconds").select("*", _bucket("seq"))
+        .groupBy("bucket")
         .transformWithStateInPandas(
             statefulProcessor=HeldMessages(), outputStructType=schema, outputMode="Append", timeMode="EventTime"
         )

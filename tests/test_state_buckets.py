@@ -93,3 +93,29 @@ def test_ttl_memory_forgets_single_keys():
     assert taken(memory, [("b", 2_000_005, 3)], now=11_000) == {("b", 2_000_005, 3)}
     assert taken(memory, [("a", 6, 4), ("b", 2_000_006, 5)], now=12_500) == {("a", 6, 4)}
 
+
+def test_held_messages_share_a_state_and_a_timer():
+    held, store = started(SS.HeldMessages())
+
+    def fail(rows):
+        table = pd.DataFrame(rows, columns=["seq", "due_us", "value", "attempt"])
+        assert not list(held.handleInputRows((3,), iter([table]), clock()))
+
+    def fire(now):
+        at = min(store.timers)
+        store.timers.discard(at)
+        info = SimpleNamespace(getExpiryTimeInMs=lambda: at)
+        return sorted(row for out in held.handleExpiredTimer((3,), clock(now), info) for row in out.itertuples(index=False, name=None))
+
+    fail([(-1, None, None, None)])
+    assert store.calls == 0 and not store.timers
+    store.calls = 0
+    fail([(k, 1_000_001 + 1000 * k, f"v{k}", 2.0) for k in range(500)])
+    assert store.calls <= 3 and store.timers == {1001}
+    fail([(3, 9_000_000, "again", 3), (900, 500_000, "early", 2)])
+    assert store.timers == {500}
+    store.calls = 0
+    assert [m[0] for m in fire(1010)] == [*[k for k in range(10) if k != 3], 900]  # due by then, the newer attempt not yet
+    assert store.calls <= 4 and store.timers == {1011}
+    assert len(fire(8_999)) == 490 and store.timers == {9000}
+    assert fire(9_000) == [(3, 9_000_000, "again", 3)] and not store.timers and store.value is None
