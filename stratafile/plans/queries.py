@@ -164,7 +164,7 @@ def metadata(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("Q01_fetch_files")
 def fetch_files(spark: SparkSession, sf: str) -> DataFrame:
-    rows = R.fetch_files(I.raw_files(spark, sf), I.connections(spark, sf), CFG)
+    rows = _fetched(spark, sf)
     p = "header.parameters."
     return rows.select(
         "connection_id",
@@ -181,6 +181,12 @@ def fetch_files(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _fetched(spark: SparkSession, sf: str) -> DataFrame:
+    """Envelopes of the fetch path; connections that own many files are spread."""
+    raw = I.raw_files(spark, sf)
+    return R.fetch_files(raw, I.connections(spark, sf), CFG, hot=J.hot_keys(raw, "connection_id"))
+
+
 def _requests(spark: SparkSession, sf: str) -> DataFrame:
     """One fetch request per connection."""
     return I.fact(spark, sf, "connections").select(
@@ -372,8 +378,10 @@ def permission_lookup(spark: SparkSession, sf: str) -> DataFrame:
 @query("Q08_revision")
 def revision_lookup(spark: SparkSession, sf: str) -> DataFrame:
     """Single revisions by file and id: the first two of every file in the catalog."""
-    good, _ = P.split_bad_rows(P.normalize_revisions(I.raw_revisions(spark, sf), CFG))
-    files = R.good_files(I.raw_files(spark, sf), CFG).select(F.col("id").alias("file_id"))
+    files = D.stored_once(R.good_files(I.raw_files(spark, sf), CFG).select(F.col("id").alias("file_id")))
+    # revisions of other files are not parsed
+    asked = I.raw_revisions(spark, sf).join(files, "file_id", "left_semi")
+    good, _ = P.split_bad_rows(P.normalize_revisions(asked, CFG))
     wanted = files.select("file_id", F.explode(F.array(F.lit("1"), F.lit("2"))).alias("id"))
     return R.lookup(good.select("file_id", "id", "keep_forever"), wanted, ["file_id", "id"])
 
@@ -821,7 +829,7 @@ def offloaded_payloads(spark: SparkSession, sf: str) -> DataFrame:
 def outbound_records(spark: SparkSession, sf: str) -> DataFrame:
     """The records of the fetch path as they go on the wire, with their size; every nineteenth file's record lacks the
     protocol's version, every twenty-third has another one, and both are rejected."""
-    envelopes = R.fetch_files(I.raw_files(spark, sf), I.connections(spark, sf), CFG)
+    envelopes = _fetched(spark, sf)
     rendered = E.to_record(envelopes.withColumn("file_id", F.col("metadata.drive_id")), keep=("file_id",))
     number = F.substring("file_id", 2, 20).cast("bigint")
     rows = rendered.withColumn("jsonrpc", F.when(number % 19 == 0, None).when(number % 23 == 0, "1.0").otherwise(F.col("jsonrpc")))
@@ -839,7 +847,7 @@ def outbound_records(spark: SparkSession, sf: str) -> DataFrame:
 @query("U01_union_paths")
 def union_paths(spark: SparkSession, sf: str) -> DataFrame:
     """Backfill and real-time records of one shape, deduplicated together: a file seen by both counts once."""
-    backfill = R.fetch_files(I.raw_files(spark, sf), I.connections(spark, sf), CFG).select(
+    backfill = _fetched(spark, sf).select(
         "connection_id", "nonce", F.lit("backfill").alias("path"), F.lit(0).alias("path_order")
     )
     realtime = R.webhook_changes(
