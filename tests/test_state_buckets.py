@@ -1,10 +1,13 @@
 """Keys that share a stored state: results of the plain rules, and calls to the state store that don't grow with the keys."""
 
 import random
+from datetime import UTC, datetime
 from types import SimpleNamespace
 
 import pandas as pd
+from pyspark.sql import functions as F
 
+from stratafile.operators import dedup as D
 from stratafile.streaming import stateful as SS
 
 
@@ -119,3 +122,23 @@ def test_held_messages_share_a_state_and_a_timer():
     assert store.calls <= 4 and store.timers == {1011}
     assert len(fire(8_999)) == 490 and store.timers == {9000}
     assert fire(9_000) == [(3, 9_000_000, "again", 3)] and not store.timers and store.value is None
+
+
+def test_ttl_stream_stores_buckets_and_not_keys(spark, tmp_path, monkeypatch):
+    """Stored states, each some calls to the store a micro-batch, are as many as the buckets, with the rows of the batch form."""
+    monkeypatch.setattr(SS, "BUCKETS", 8)
+    rnd, schema = random.Random(5), "k string, ts timestamp, seq long"
+    times = sorted(rnd.randrange(2000) for _ in range(1500))  # seconds, in the order in which the files arrive
+    rows = [(f"k{rnd.randrange(200)}", datetime.fromtimestamp(1_700_000_000 + at, UTC), seq) for seq, at in enumerate(times)]
+    for k in range(2):
+        spark.createDataFrame([r for r in rows if (r[2] >= 750) == bool(k)], schema).coalesce(1).write.json(f"{tmp_path}/in{k}")
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).json(f"{tmp_path}/in[01]")
+    known = SS.ttl_dedup_stream(stream, "k", "ts", "seq", 300, expires=False)
+    query = known.writeStream.format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/at").trigger(availableNow=True).start()
+    query.awaitTermination()
+
+    states = [operator["numRowsTotal"] for batch in query.recentProgress for operator in batch["stateOperators"]]
+    assert len(states) >= 2 and 0 < max(states) <= 8
+    got = sorted((r.key, r.at, r.seq) for r in spark.read.schema(known.schema).parquet(f"{tmp_path}/out").collect())
+    expected = D.ttl_dedup(spark.createDataFrame(rows, schema), "k", "ts", "seq", 300).select("k", F.unix_micros("ts"), "seq").collect()
+    assert got == sorted(map(tuple, expected)) and len(got) > 200
