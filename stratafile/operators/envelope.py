@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -198,6 +200,34 @@ def ingest_envelopes(
     )
 
 
+def file_bodies(df: DataFrame, cfg: DriveConfig, keep: tuple[str, ...] = ()) -> DataFrame:
+    """What all records of a normalized file have in common, rendered once: ``nonce``, and ``body``, the JSON text of contents,
+    metadata and nonce without its opening brace. :func:`body_records` makes the records of the files' requests from it.
+
+    Input: the normalized columns plus ``connection_id``. Output: ``connection_id, id, nonce, body`` with ``keep``.
+    """
+    kind = S.resource_type(F.col("is_folder"))
+    nonce = S.idempotency_key(cfg.provider, F.col("connection_id"), kind, F.col("id")).alias("nonce")
+    contents = F.array(text_item(render_text())).alias("contents")
+    text = F.to_json(F.struct(contents, metadata_struct(F.lit(False), kind).alias("metadata"), nonce))
+    return df.select(*keep, "connection_id", "id", nonce, F.substring(text, 2, 2**31 - 1).alias("body"))
+
+
+def body_records(df: DataFrame, cfg: DriveConfig, extra: dict[str, str] | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``key, nonce, jsonrpc, value`` as :func:`to_record` renders them from :func:`ingest_envelopes`, with a body that
+    :func:`file_bodies` has rendered. Input: its columns plus ``customer_id, snowball_id, batch_id, batch_sequence, batch_is_last,
+    batch_page_token``."""
+    c = F.col
+    header = routing_header(
+        cfg, c("customer_id"), c("connection_id"), S.space_path(c("customer_id"), c("snowball_id")), c("nonce"), c("batch_id"),
+        c("batch_sequence"), c("batch_is_last"), c("batch_page_token"), {name: c(column) for name, column in (extra or {}).items()},
+    )
+    rest = f'","jsonrpc":"2.0","method":{json.dumps(cfg.ingest_method)},"params":{{"header":'
+    record_id = S.deterministic_id(c("batch_id"), c("id"))  # a hash: nothing to escape, never null
+    value = F.concat(F.lit('{"id":"'), record_id, F.lit(rest), F.to_json(header), F.lit(","), c("body"), F.lit("}"))
+    return df.select(*keep, c("connection_id").alias("key"), "nonce", F.lit("2.0").alias("jsonrpc"), value.alias("value"))
+
+
 def to_record(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Render envelopes as ``key, nonce, value``; ``value`` is the JSON text of the record."""
     params = F.struct("header", "contents", "metadata", "nonce")

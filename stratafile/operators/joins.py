@@ -28,12 +28,13 @@ def hot_keys(df: DataFrame, key: str, share: float = 0.02, fraction: float = 0.0
 
 def lookup_join(
     facts: DataFrame, dimension: DataFrame, key: str, hot: list[str] | None = None, spread: str | None = None,
-    salts: int = 64, how: str = "left", also: tuple[str, ...] = (),
+    salts: int = 64, how: str = "left", also: tuple[str, ...] = (), tasks: int | None = None,
 ) -> DataFrame:
     """Left join with a dimension of one row per key; or, by ``how`` and with ``also`` as further keys, with some rows per key.
 
     Rows of the ``hot`` keys get a salt from a hash of their ``spread`` column; the dimension rows of those few keys are
-    repeated once per salt. Every other key joins as usual.
+    repeated once per salt. Every other key joins as usual. Where a key has very many rows, a few bytes of facts give very
+    many rows out; ``tasks`` keeps adaptive execution from putting such facts together in fewer tasks.
     """
     if not hot or spread is None:
         return facts.join(dimension, [key, *also], how)
@@ -45,6 +46,8 @@ def lookup_join(
     repeated = dimension.withColumn(
         "_salt", F.explode(F.when(is_hot, F.sequence(zero, F.lit(salts - 1))).otherwise(F.array(zero)))
     )
+    if tasks:
+        salted = salted.repartition(tasks, key, *also, "_salt")
     return salted.join(repeated, [key, *also, "_salt"], how).drop("_salt")
 
 

@@ -106,6 +106,15 @@ def position_in_page(df: DataFrame, page: list[str], order: list[str], next_toke
     return df.withColumn("batch_is_last", last & F.col(next_token).isNull())
 
 
+def numbered_copies(df: DataFrame, key: str, order: list[str]) -> DataFrame:
+    """How many rows have a key that is to be there once (``_copies``), and which of them a row is (``_copy``, from 0)."""
+    same = Window.partitionBy(key)
+    return df.withColumns({
+        "_copies": F.count(F.lit(1)).over(same),
+        "_copy": (F.row_number().over(same.orderBy(*order)) - 1).cast("bigint"),
+    })
+
+
 def last_n(df: DataFrame, keys: list[str], order: list[Column], n: int, out: str = "rank") -> DataFrame:
     """Top ``n`` rows per key. The rank filter lets Spark cut each map task to ``n`` rows per key before the shuffle,
     so a hot key sends n rows per task."""

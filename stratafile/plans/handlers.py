@@ -18,7 +18,7 @@ from stratafile.operators import quality as Q
 from stratafile.operators import state as ST
 from stratafile.operators import windows as W
 from stratafile.plans import resources as R
-from stratafile.streaming.loop import CARRY, Handler
+from stratafile.streaming.loop import CARRY, Handler, Steps
 
 #: Listings that the fetch handler serves, with the files they hold.
 LISTINGS = {"files": None, "folders": "is_folder"}
@@ -91,21 +91,28 @@ def fetch_handler(tables: Tables) -> Handler:
     Each request gives a whole page, so the requests of connections that many of them name are spread over tasks.
     """
 
-    def handle(rows: DataFrame, cfg: DriveConfig) -> dict[str, DataFrame]:
+    def listings(rows: DataFrame, cfg: DriveConfig) -> DataFrame:
         kind = F.coalesce(S.blank_to_null(MSG.param("resource_type")), F.lit("files"))
         size = F.when(F.col("is_jsonrpc"), F.col("msg.params.pagination.max_results"))
         asked = rows.select(*CARRY, "connection_id", MSG.customer_id_of().alias("customer_id"), kind.alias("listing"), S.clamp_page_size(size).alias("page_size"))
-        asked = asked.where(F.col("listing").isin(list(LISTINGS)))
+        return asked.where(F.col("listing").isin(list(LISTINGS)))
+
+    def handle(asked: DataFrame, cfg: DriveConfig) -> dict[str, DataFrame]:
         hot = J.hot_keys(asked, "connection_id")
         asked = J.with_connection(asked, tables.connections.select("connection_id", "snowball_id"), hot=hot, spread="seq")
         errors = _validation(asked, cfg, F.when(~X.has_space(), F.lit("snowball_id")))
         ready = asked.where(X.has_space())
 
         requests = ready.select(*CARRY, "connection_id", "listing", "snowball_id", F.col("page_size").cast("bigint").alias("page_size"))
-        pages = J.lookup_join(requests, tables.pages, "connection_id", hot, "seq", how="inner", also=("listing",))
+        # bodies are rendered once, of the files that some page of the batch holds
+        longest = requests.groupBy("connection_id", "listing").agg(F.max("page_size").alias("_longest"))
+        held = tables.pages.join(longest, ["connection_id", "listing"]).where(F.col("position") <= F.col("_longest"))
+        bodies = E.file_bodies(held, cfg, keep=("customer_id", "listing", "position", "listed"))
+        tasks = int(asked.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        pages = J.lookup_join(requests, bodies, "connection_id", hot, "seq", how="inner", also=("listing",), tasks=tasks)
         page = pages.where(F.col("position") <= F.col("page_size"))
         more = F.col("listed") > F.col("page_size")
-        envelopes = E.ingest_envelopes(
+        full = E.body_records(
             page.withColumns({
                 "batch_id": S.deterministic_id(F.lit("fetch"), F.col("message_id")),
                 "batch_sequence": F.col("position").cast("bigint") - 1,
@@ -114,7 +121,6 @@ def fetch_handler(tables: Tables) -> Handler:
             }),
             cfg, keep=("seq", "message_id", "route"),
         )
-        full = E.to_record(envelopes, keep=("seq", "message_id", "route"))
 
         empty = ready.join(tables.pages.where("position = 1").select("connection_id", "listing"), ["connection_id", "listing"], "left_anti")
         markers = E.empty_batches(
@@ -122,7 +128,7 @@ def fetch_handler(tables: Tables) -> Handler:
                 F.col("seq").cast("string").alias("request_id"), "connection_id", "customer_id", "snowball_id", F.col("listing").alias("resource_type"),
                 F.lit(None).cast("string").alias("next_page_token"), F.col("ts").alias("started_at"), F.col("ts").alias("ended_at"),
             ),
-            rows.select(F.lit(None).cast("string").alias("request_id")).limit(0), cfg,
+            asked.select(F.lit(None).cast("string").alias("request_id")).limit(0), cfg,
         )
         none = markers.select(
             F.col("request_id").cast("bigint").alias("seq"), F.col("connection_id").alias("key"), F.col("correlation_id").alias("nonce"),
@@ -130,18 +136,20 @@ def fetch_handler(tables: Tables) -> Handler:
         ).join(empty.select("seq", "message_id", "route"), "seq")
         return {"records": E.union_paths(full.drop("jsonrpc"), none), "errors": errors}
 
-    return handle
+    return Steps(listings, handle)
 
 
 def write_handler(tables: Tables) -> Handler:
     """Commands are checked against their payload rules and the catalog; an accepted one is silent."""
 
-    def handle(rows: DataFrame, cfg: DriveConfig) -> dict[str, DataFrame]:
+    def checks(rows: DataFrame, cfg: DriveConfig) -> DataFrame:
         fields = sorted({f for required in C.REQUIRED_PAYLOAD.values() for f in required} | {"file_id"})
         text = F.coalesce(F.get_json_object("value", "$.params.payload"), F.get_json_object("value", "$.payload"), F.lit("{}"))
         payload = F.from_json(text, ", ".join(f"{f} string" for f in fields))
         named = rows.select(*CARRY, "connection_id", MSG.param("operation").alias("operation"), payload.alias("payload"))
-        checked = C.check_commands(named.withColumn("command_id", F.col("message_id")))
+        return C.check_commands(named.withColumn("command_id", F.col("message_id")))
+
+    def handle(checked: DataFrame, cfg: DriveConfig) -> dict[str, DataFrame]:
         invalid = _validation(checked, cfg, F.col("error"))
         targets = checked.where(F.col("error").isNull() & ~F.col("kind").isin("create_file", "create_folder")).withColumn("id", F.col("payload.file_id"))
         gone = targets.join(tables.catalog.select("id"), "id", "left_anti")
@@ -151,7 +159,7 @@ def write_handler(tables: Tables) -> Handler:
         )
         return {"errors": E.union_paths(invalid, missing)}
 
-    return handle
+    return Steps(checks, handle)
 
 
 def teardown_handler(tables: Tables) -> Handler:
@@ -181,27 +189,29 @@ def capability_handler(tables: Tables) -> Handler:
 def webhook_handler(tables: Tables) -> Handler:
     """The changes of the page that a notification names, for the connection it resolves to."""
 
-    def handle(rows: DataFrame, cfg: DriveConfig) -> dict[str, DataFrame]:
-        hot = J.hot_lookups(MSG.parse_webhooks(rows.select("value").sample(0.01, seed=7)))
-        outcomes = R.webhook_outcomes(rows.select("seq", "ts", "value", "attempt", "route"), tables.connections, cfg, hot)
+    def resolved(rows: DataFrame, cfg: DriveConfig) -> DataFrame:
+        hot = J.hot_lookups(MSG.parse_webhooks(rows.select("value", *MSG.PARSE).sample(0.01, seed=7)))
+        outcomes = R.webhook_outcomes(rows.select("seq", "ts", "value", "attempt", "route", *MSG.PARSE), tables.connections, cfg, hot, parsed=False)
+        return outcomes.select(
+            *CARRY, "outcome", "error", "resolution_error", "message_connection_id", "connection_id", "page_token", "customer_id", "snowball_id",
+            "settings",
+        )
+
+    def handle(outcomes: DataFrame, cfg: DriveConfig) -> dict[str, DataFrame]:
         invalid = _validation(outcomes.where(F.col("outcome") == "invalid"), cfg, F.col("error"))
         unresolved = Q.error_records(
             outcomes.where(F.col("outcome") == "unresolved"), cfg, F.lit("ConfigurationError"), F.col("resolution_error"),
             F.col("message_connection_id"), source_message_id=F.col("message_id"), keep=CARRY,
         )
         requests = outcomes.where(F.col("outcome") == "fetch").select(
-            "connection_id", "page_token", "message_id", "customer_id", "snowball_id", "settings", F.lit(1).alias("notifications"),
-            F.col("seq").alias("request_seq"),
+            "connection_id", "page_token", "message_id", "customer_id", "snowball_id", "settings", F.col("seq").alias("request_seq")
         )
-        carried = tables.feed.where(X.not_removed() & F.col("file").isNotNull())
-        page = R.webhook_page_rows(requests, carried, cfg, keep=("request_seq",))
-        envelopes = R.webhook_records(page, cfg, keep=("request_seq", "message_id"), page=("request_seq",))
-        records = E.to_record(envelopes, keep=("request_seq", "message_id")).select(
+        records = R.webhook_page_records(requests, tables.feed, cfg).select(
             F.col("request_seq").alias("seq"), "message_id", F.lit("webhook").alias("route"), "key", "nonce", "value"
         )
         return {"records": records, "errors": E.union_paths(invalid, unresolved)}
 
-    return handle
+    return Steps(resolved, handle)
 
 
 def all_handlers(tables: Tables) -> dict[str, Handler]:

@@ -218,20 +218,22 @@ def sync_progress(feed: DataFrame) -> DataFrame:
 
 
 def webhook_outcomes(
-    webhooks: DataFrame, connections: DataFrame, cfg: DriveConfig, hot: tuple[list[str], list[str]] | None = None
+    webhooks: DataFrame, connections: DataFrame, cfg: DriveConfig, hot: tuple[list[str], list[str]] | None = None,
+    parsed: bool = True,
 ) -> DataFrame:
     """Parsed notifications with their connection and what becomes of them; another provider's are skipped. ``hot``: see
-    ``joins.hot_lookups``."""
-    resolved = J.resolve_connections(MSG.parse_webhooks(webhooks), connections, hot)
+    ``joins.hot_lookups``. Without ``parsed`` the message itself, several times as large as its text, goes through no join."""
+    rows = MSG.parse_webhooks(webhooks).withColumn("_own", X.for_provider(MSG.provider_of(), cfg.provider))
+    resolved = J.resolve_connections(rows if parsed else rows.drop(*MSG.PARSED), connections, hot)
     return resolved.withColumn(
         "outcome",
-        F.when(~X.for_provider(MSG.provider_of(), cfg.provider), F.lit("skipped"))
+        F.when(~F.col("_own"), F.lit("skipped"))
         .when(F.col("error").isNotNull(), F.lit("invalid"))
         .when(F.col("resolution_error").isNotNull(), F.lit("unresolved"))
         .when(~X.not_stop(F.col("kind")), F.lit("stop"))
         .when(F.col("page_token").isNull(), F.lit("no_token"))
         .otherwise(F.lit("fetch")),
-    )
+    ).drop("_own")
 
 
 def page_requests(outcomes: DataFrame) -> DataFrame:
@@ -306,6 +308,39 @@ def webhook_records(
     return E.ingest_envelopes(batches, cfg, extra={"source": "origin", "change_type": "change_type"}, keep=keep)
 
 
+def webhook_page_records(
+    requests: DataFrame, feed: DataFrame, cfg: DriveConfig, keep: tuple[str, ...] = ("request_seq", "message_id")
+) -> DataFrame:
+    """The rendered records (``key, nonce, value`` with ``keep``) of requests of which many may name one page: each with all
+    yielded changes of its page, as :func:`webhook_page_rows` and :func:`webhook_records` have them.
+
+    ``requests``: ``request_seq, message_id, connection_id, page_token, customer_id, snowball_id, settings``. A change is
+    normalized, rendered and given its place once, before the join, however many requests name its page: its place among all
+    changes of the page for who wants them all, and among those of its type for who wants only these. A request that comes
+    several times (by a connection that is there several times) has its rows numbered through, each change's side by side.
+    """
+    page = ["connection_id", "page_token"]
+    named = feed.where(X.not_removed() & X.has_file("file")).join(requests.select(*page).distinct(), page, "left_semi")
+    normalized = P.normalize_files(
+        named.withColumn("customer_id", F.lit(None).cast("string")), cfg, raw_json="file", keep=(*page, "seq", "change_type")
+    )
+    placed = W.position_in_page(P.split_bad_rows(normalized)[0], page, ["seq"]).withColumnRenamed("batch_sequence", "_of_all")
+    placed = W.position_in_page(placed, [*page, "is_folder"], ["seq"]).withColumnRenamed("batch_sequence", "_of_type")
+    bodies = E.file_bodies(placed, cfg, keep=("page_token", "seq", "change_type", "is_folder", "_of_all", "_of_type"))
+    files, folders = F.col("settings.sync_files"), F.col("settings.sync_folders")
+    ready = W.numbered_copies(requests.where(X.has_space()), "request_seq", page)
+    rows = ready.join(bodies, page).where(X.wanted_type(F.col("is_folder"), files, folders))
+    place = F.when(F.coalesce(files, F.lit(True)) & F.coalesce(folders, F.lit(True)), F.col("_of_all")).otherwise(F.col("_of_type"))
+    batches = rows.withColumns({
+        "batch_id": S.deterministic_id(F.col("message_id"), F.col("page_token"), F.col("seq")),
+        "batch_sequence": place * F.col("_copies") + F.col("_copy"),
+        "batch_is_last": F.lit(False),
+        "batch_page_token": F.col("page_token"),
+        "origin": F.lit("webhook"),
+    })
+    return E.body_records(batches, cfg, extra={"source": "origin", "change_type": "change_type"}, keep=keep)
+
+
 def webhook_changes(webhooks: DataFrame, connections: DataFrame, feed: DataFrame, cfg: DriveConfig) -> DataFrame:
     requests = page_requests(webhook_outcomes(webhooks, connections, cfg))
     carried = feed.where(X.not_removed() & F.col("file").isNotNull())

@@ -63,3 +63,9 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or folder is there, on any file system that Spark reads."""
     there = spark._jvm.org.apache.hadoop.fs.Path(path)
     return there.getFileSystem(spark._jsc.hadoopConfiguration()).exists(there)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a file or folder with all it holds, on any file system that Spark writes; nothing happens if it isn't there."""
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    there.getFileSystem(spark._jsc.hadoopConfiguration()).delete(there, True)

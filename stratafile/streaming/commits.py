@@ -27,6 +27,11 @@ def query_id(spark: SparkSession, checkpoint: str) -> str:
     return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
 
 
+def write_parquet(df: DataFrame, path: str) -> None:
+    """Replace a folder; records are texts much like one another, which zstd packs well."""
+    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+
+
 def commits(spark: SparkSession, base: str) -> DataFrame:
     """One row per committed batch."""
     if not path_exists(spark, f"{base}/{COMMITS}"):
@@ -47,7 +52,7 @@ def write_together(
     if not done.isEmpty():
         return False
     for name, df in outputs.items():
-        df.write.mode("overwrite").parquet(batch_folder(base, name, batch_id))
+        write_parquet(df, batch_folder(base, name, batch_id))
     record = spark.createDataFrame([(sorted(outputs), query, clock)], "outputs array<string>, query string, clock bigint")
     record.coalesce(1).write.mode("overwrite").json(batch_folder(base, COMMITS, batch_id))
     return True

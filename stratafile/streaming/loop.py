@@ -8,6 +8,9 @@ of the batch that follows its waiting time, with the number of its attempt.
 All outputs of a batch become visible with its commit record (``commits``); ``settled`` takes the place of an offset commit
 for single messages: one row per message when it is done, dead or unhandled.
 
+What several outputs of a batch read (routed and answered messages, errors) is written to the batch's folder under ``work``
+and read from there, so that each output is planned from files and not once more from the stream; the folder goes with the batch.
+
 Time is that of the messages: the loop's clock is the newest time seen, and rises with every batch. A feed without new
 messages stands still; :func:`advance` moves the clock on.
 """
@@ -16,6 +19,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,7 +31,7 @@ from stratafile.operators import quality as Q
 from stratafile.operators import retry as RT
 from stratafile.operators.envelope import union_paths
 from stratafile.operators.messages import route_messages
-from stratafile.session import path_exists
+from stratafile.session import path_exists, remove_path
 from stratafile.streaming import commits as C
 from stratafile.streaming.stateful import held_messages
 
@@ -36,14 +40,30 @@ from stratafile.streaming.stateful import held_messages
 #: connection's state).
 Handler = Callable[[DataFrame, DriveConfig], dict[str, DataFrame]]
 
+
+
+@dataclass(frozen=True)
+class Steps:
+    """A handler whose outputs share a first step: ``prepare`` runs once a batch and is kept, ``make`` gives the outputs from it."""
+
+    prepare: Callable[[DataFrame, DriveConfig], DataFrame]
+    make: Handler
+
+    def __call__(self, rows: DataFrame, cfg: DriveConfig) -> dict[str, DataFrame]:
+        return self.make(self.prepare(rows, cfg), cfg)
+
+
 #: What is known of a message wherever it goes.
 CARRY = ("seq", "ts", "value", "attempt", "message_id", "route")
 RECORDS = "seq bigint, message_id string, route string, key string, nonce string, value string"
 SETTLED = "seq bigint, message_id string, route string, attempt bigint, outcome string, error_code string, settled_at timestamp"
 STATE = "connection_id string, key string, value string, updated_at timestamp, seq bigint"
 HELD = "seq bigint, due_us bigint, value string, attempt bigint, clock timestamp"
+#: Adds a table of the batch, by a name, to its work folder; gives it back as read from there.
+Keep = Callable[[str, DataFrame], DataFrame]
 #: The retry folder's own batch, so that the folder is there before the first batch.
 FIRST = -1
+WORK = "work"
 
 
 def _names(schema: str) -> list[str]:
@@ -51,9 +71,10 @@ def _names(schema: str) -> list[str]:
 
 
 def settle(
-    routed: DataFrame, cfg: DriveConfig, handlers: dict[str, Handler], answer: Callable[[DataFrame], DataFrame] | None = None
-) -> tuple[dict[str, DataFrame], list[DataFrame]]:
-    """The outputs of routed messages and the tables that were persisted for them.
+    routed: DataFrame, cfg: DriveConfig, handlers: dict[str, Handler], keep: Keep,
+    answer: Callable[[DataFrame], DataFrame] | None = None,
+) -> dict[str, DataFrame]:
+    """The outputs of routed messages.
 
     ``routed``: ``route_messages`` over rows with ``seq`` (unique), ``ts``, ``value`` and ``attempt`` (from 1). ``answer``
     adds ``status_code``, ``retry_after`` and ``body`` of the API's answer to each message; without it all succeed.
@@ -65,9 +86,13 @@ def settle(
         answered = asked.withColumns({"status_code": F.lit(200), "retry_after": F.lit(None).cast("string"), "body": F.lit("")})
     else:
         answered = answer(asked)
-    answered = answered.persist()
+    answered = keep("answered", answered)
     good = answered.where(S.error_class(F.col("status_code")).isNull())
-    made = [handler(good.where(F.col("route") == name), cfg) for name, handler in handlers.items()]
+    made = []
+    for name, handler in handlers.items():
+        rows = good.where(F.col("route") == name)
+        steps = isinstance(handler, Steps)
+        made.append(handler.make(keep(f"prepared-{name}", handler.prepare(rows, cfg)), cfg) if steps else handler(rows, cfg))
 
     errors = union_paths(
         Q.validation_errors(routed, cfg, "error_field", keep=CARRY),
@@ -75,7 +100,7 @@ def settle(
         *[m["errors"] for m in made if "errors" in m],
     )
     named = errors.withColumn("error_class", F.when(F.col("error_type") == "retriable", "RetriableError").otherwise("TerminalError"))
-    errors = RT.schedule(named.withColumn("failed_at", F.col("ts")), cfg).drop("error_class", "failed_at", "wait_seconds").persist()
+    errors = keep("errors", RT.schedule(named.withColumn("failed_at", F.col("ts")), cfg).drop("error_class", "failed_at", "wait_seconds"))
     dead = F.col("disposition") == "dead_letter"
 
     settled = union_paths(
@@ -86,13 +111,12 @@ def settle(
         ),
     )
     spark = routed.sparkSession
-    outputs = {
+    return {
         "records": union_paths(spark.createDataFrame([], RECORDS), *[m["records"].select(*_names(RECORDS)) for m in made if "records" in m]),
         "state": union_paths(spark.createDataFrame([], STATE), *[m["state"].select(*_names(STATE)) for m in made if "state" in m]),
         "errors": errors,
         "settled": settled.select(*_names(SETTLED)),
     }
-    return outputs, [answered, errors]
 
 
 def _retry_rows(errors: DataFrame, clock_ms: int) -> DataFrame:
@@ -122,21 +146,23 @@ def start_loop(
     fresh = messages.select("seq", "ts", "value", F.lit(1).cast("bigint").alias("attempt"))
 
     def on_batch(df: DataFrame, batch_id: int) -> None:
-        kept = [df.persist()]
+        work = f"{base}/{WORK}/batch-{batch_id}"
+
+        def keep(name: str, table: DataFrame) -> DataFrame:
+            C.write_parquet(table, f"{work}/{name}")
+            return spark.read.schema(table.schema).parquet(f"{work}/{name}")
+
         try:
-            if not df.count():  # a clock alone; the count fills the cache, so the state operator runs once
+            routed = keep("routed", route_messages(df, cfg))  # the only pass over the stream: the state operator runs once
+            newest = {r["route"]: r["newest"] for r in routed.groupBy("route").agg(F.max(F.unix_millis("ts")).alias("newest")).collect()}
+            if not newest:  # a clock alone
                 return
-            newest = df.agg(F.max(F.unix_millis("ts"))).first()[0] or 0
-            clock = max(C.last_clock(spark, base) + 1, newest)
-            routed = route_messages(df, cfg).persist()
-            kept.append(routed)
-            outputs, persisted = settle(routed, cfg, handlers, answer)
-            kept += persisted
+            clock = max([C.last_clock(spark, base) + 1, *(at for at in newest.values() if at is not None)])
+            outputs = settle(routed, cfg, {name: handler for name, handler in handlers.items() if name in newest}, keep, answer)
             outputs["retry"] = _retry_rows(outputs["errors"], clock)
             C.write_together(spark, base, batch_id, outputs, C.query_id(spark, checkpoint), clock)
         finally:
-            for table in reversed(kept):
-                table.unpersist()
+            remove_path(spark, work)
 
     return fresh.unionByName(again).writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint).start()
 

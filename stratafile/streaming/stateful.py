@@ -46,8 +46,12 @@ def dedup_within_ttl(stream: DataFrame, nonce: str = "nonce", ts: str = "ts", tt
 BUCKETS = 4096
 
 
-def _bucket(key: str) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int").alias("bucket")
+#: The same for held messages: a batch with many failures reaches all of them, and each is some calls and a timer.
+MESSAGE_BUCKETS = 1024
+
+
+def _bucket(key: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int").alias("bucket")
 
 
 def _packed(table: pa.Table) -> bytes:
@@ -59,9 +63,8 @@ def _packed(table: pa.Table) -> bytes:
 
 def _unpacked(state) -> pa.Table | None:
     """The rows of a bucket's value state, None before the first ones."""
-    if not state.exists():
-        return None
-    return pa.ipc.open_stream(state.get()[0]).read_all()
+    held = state.get()
+    return None if held is None else pa.ipc.open_stream(held[0]).read_all()
 
 
 class TtlMemory(StatefulProcessor):
@@ -142,7 +145,7 @@ def ttl_dedup_stream(
     schema = StructType(
         [StructField("key", StringType()), StructField("at", LongType()), StructField("seq", LongType())]
     )
-    return rows.select("*", _bucket("key")).groupBy("bucket").transformWithStateInPandas(
+    return rows.select("*", _bucket("key", BUCKETS)).groupBy("bucket").transformWithStateInPandas(
         statefulProcessor=TtlMemory(ttl_seconds * 1_000_000, expires),
         outputStructType=schema,
         outputMode="Append",
@@ -316,7 +319,7 @@ def held_messages(failures: DataFrame) -> DataFrame:
         StructField("attempt", LongType()),
     ])
     return (
-        _with_keyed_state(failures).withWatermark("clock", "0 seconds").select("*", _bucket("seq"))
+        _with_keyed_state(failures).withWatermark("clock", "0 seconds").select("*", _bucket("seq", MESSAGE_BUCKETS))
         .groupBy("bucket")
         .transformWithStateInPandas(
             statefulProcessor=HeldMessages(), outputStructType=schema, outputMode="Append", timeMode="EventTime"
