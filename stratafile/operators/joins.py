@@ -26,6 +26,12 @@ def hot_keys(df: DataFrame, key: str, share: float = 0.02, fraction: float = 0.0
     return sorted(row[key] for row in rows)
 
 
+def not_sent(side: DataFrame) -> DataFrame:
+    """A side of a join that grows with the data. Spark takes packed files, and texts made on the way, for much smaller than
+    they are, and would collect such a side in the driver to send it to all tasks."""
+    return side.hint("merge")
+
+
 def lookup_join(
     facts: DataFrame, dimension: DataFrame, key: str, hot: list[str] | None = None, spread: str | None = None,
     salts: int = 64, how: str = "left", also: tuple[str, ...] = (), tasks: int | None = None,

@@ -99,17 +99,17 @@ def fetch_handler(tables: Tables) -> Handler:
 
     def handle(asked: DataFrame, cfg: DriveConfig) -> dict[str, DataFrame]:
         hot = J.hot_keys(asked, "connection_id")
-        asked = J.with_connection(asked, tables.connections.select("connection_id", "snowball_id"), hot=hot, spread="seq")
+        asked = J.with_connection(J.not_sent(asked), tables.connections.select("connection_id", "snowball_id"), hot=hot, spread="seq")
         errors = _validation(asked, cfg, F.when(~X.has_space(), F.lit("snowball_id")))
         ready = asked.where(X.has_space())
 
         requests = ready.select(*CARRY, "connection_id", "listing", "snowball_id", F.col("page_size").cast("bigint").alias("page_size"))
         # bodies are rendered once, of the files that some page of the batch holds
         longest = requests.groupBy("connection_id", "listing").agg(F.max("page_size").alias("_longest"))
-        held = tables.pages.join(longest, ["connection_id", "listing"]).where(F.col("position") <= F.col("_longest"))
+        held = tables.pages.join(J.not_sent(longest), ["connection_id", "listing"]).where(F.col("position") <= F.col("_longest"))
         bodies = E.file_bodies(held, cfg, keep=("customer_id", "listing", "position", "listed"))
         tasks = int(asked.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        pages = J.lookup_join(requests, bodies, "connection_id", hot, "seq", how="inner", also=("listing",), tasks=tasks)
+        pages = J.lookup_join(requests, J.not_sent(bodies), "connection_id", hot, "seq", how="inner", also=("listing",), tasks=tasks)
         page = pages.where(F.col("position") <= F.col("page_size"))
         more = F.col("listed") > F.col("page_size")
         full = E.body_records(
@@ -122,7 +122,8 @@ def fetch_handler(tables: Tables) -> Handler:
             cfg, keep=("seq", "message_id", "route"),
         )
 
-        empty = ready.join(tables.pages.where("position = 1").select("connection_id", "listing"), ["connection_id", "listing"], "left_anti")
+        first = J.not_sent(tables.pages.where("position = 1").select("connection_id", "listing"))
+        empty = ready.join(first, ["connection_id", "listing"], "left_anti")
         markers = E.empty_batches(
             empty.select(
                 F.col("seq").cast("string").alias("request_id"), "connection_id", "customer_id", "snowball_id", F.col("listing").alias("resource_type"),
@@ -133,7 +134,7 @@ def fetch_handler(tables: Tables) -> Handler:
         none = markers.select(
             F.col("request_id").cast("bigint").alias("seq"), F.col("connection_id").alias("key"), F.col("correlation_id").alias("nonce"),
             _rpc(cfg, "content.ingest", F.col("batch_id"), F.struct("batch_id", "correlation_id", "resource_type", "space_path", "text", "has_more", "batch_is_last")).alias("value"),
-        ).join(empty.select("seq", "message_id", "route"), "seq")
+        ).join(J.not_sent(empty.select("seq", "message_id", "route")), "seq")
         return {"records": E.union_paths(full.drop("jsonrpc"), none), "errors": errors}
 
     return Steps(listings, handle)
@@ -152,7 +153,7 @@ def write_handler(tables: Tables) -> Handler:
     def handle(checked: DataFrame, cfg: DriveConfig) -> dict[str, DataFrame]:
         invalid = _validation(checked, cfg, F.col("error"))
         targets = checked.where(F.col("error").isNull() & ~F.col("kind").isin("create_file", "create_folder")).withColumn("id", F.col("payload.file_id"))
-        gone = targets.join(tables.catalog.select("id"), "id", "left_anti")
+        gone = targets.join(J.not_sent(tables.catalog.select("id")), "id", "left_anti")
         missing = Q.error_records(
             gone, cfg, F.lit("ResourceNotFoundError"), F.concat(F.lit("no file "), F.col("id")), F.col("connection_id"),
             source_message_id=F.col("message_id"), keep=CARRY,

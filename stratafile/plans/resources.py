@@ -320,7 +320,7 @@ def webhook_page_records(
     several times (by a connection that is there several times) has its rows numbered through, each change's side by side.
     """
     page = ["connection_id", "page_token"]
-    named = feed.where(X.not_removed() & X.has_file("file")).join(requests.select(*page).distinct(), page, "left_semi")
+    named = feed.where(X.not_removed() & X.has_file("file")).join(J.not_sent(requests.select(*page).distinct()), page, "left_semi")
     normalized = P.normalize_files(
         named.withColumn("customer_id", F.lit(None).cast("string")), cfg, raw_json="file", keep=(*page, "seq", "change_type")
     )
@@ -329,7 +329,7 @@ def webhook_page_records(
     bodies = E.file_bodies(placed, cfg, keep=("page_token", "seq", "change_type", "is_folder", "_of_all", "_of_type"))
     files, folders = F.col("settings.sync_files"), F.col("settings.sync_folders")
     ready = W.numbered_copies(requests.where(X.has_space()), "request_seq", page)
-    rows = ready.join(bodies, page).where(X.wanted_type(F.col("is_folder"), files, folders))
+    rows = ready.join(J.not_sent(bodies), page).where(X.wanted_type(F.col("is_folder"), files, folders))
     place = F.when(F.coalesce(files, F.lit(True)) & F.coalesce(folders, F.lit(True)), F.col("_of_all")).otherwise(F.col("_of_type"))
     batches = rows.withColumns({
         "batch_id": S.deterministic_id(F.col("message_id"), F.col("page_token"), F.col("seq")),

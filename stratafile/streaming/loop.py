@@ -30,6 +30,7 @@ from stratafile.functions import scalars as S
 from stratafile.operators import quality as Q
 from stratafile.operators import retry as RT
 from stratafile.operators.envelope import union_paths
+from stratafile.operators.joins import not_sent
 from stratafile.operators.messages import route_messages
 from stratafile.session import path_exists, remove_path
 from stratafile.streaming import commits as C
@@ -105,7 +106,7 @@ def settle(
 
     settled = union_paths(
         errors.where(dead).select("seq", "message_id", "route", "attempt", F.lit("dead_letter").alias("outcome"), "error_code", F.col("ts").alias("settled_at")),
-        asked.join(errors.select("seq"), "seq", "left_anti").select("seq", "message_id", "route", "attempt", F.lit("done").alias("outcome"), F.col("ts").alias("settled_at")),
+        asked.join(not_sent(errors.select("seq")), "seq", "left_anti").select("seq", "message_id", "route", "attempt", F.lit("done").alias("outcome"), F.col("ts").alias("settled_at")),
         valid.where(~known & ~F.col("route").eqNullSafe(F.lit("skipped"))).select(
             "seq", "message_id", "route", "attempt", F.lit("unhandled").alias("outcome"), F.col("ts").alias("settled_at")
         ),

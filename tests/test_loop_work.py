@@ -131,3 +131,23 @@ def test_the_webhook_handler_parses_a_change_before_the_join(spark, cfg):
     assert records.count() == 50 * 2
     text = plan(records)
     assert text.index("struct(_r_keys") > text.index("Join Inner")  # the parse lies below it: once a change, not once a request
+
+
+def test_no_side_that_grows_is_collected_in_the_driver(spark, cfg, tmp_path):
+    """Requests, pages, bodies and the catalog are merged, however small Spark takes their files for."""
+
+    def stored(df, name):
+        df.write.parquet(f"{tmp_path}/{name}")
+        return spark.read.parquet(f"{tmp_path}/{name}")
+
+    bodies = [json.dumps({**command(1), "action": action, "operation": "delete_file", "payload": {"file_id": "a"}}) for action in ("fetch", "write", "webhook")]
+    messages = spark.createDataFrame([(k, NOW, body, 1) for k, body in enumerate(bodies)], "seq long, ts timestamp, value string, attempt long")
+    routed = stored(R.MSG.route_messages(messages, cfg), "routed")
+    connections = spark.createDataFrame([("k", "cust", "s", "e@x", (True, True))], f"connection_id string, customer_id string, snowball_id string, external_id string, settings {SETTINGS}")
+    raw = spark.createDataFrame([(t, "k", "cust") for t in files(spark)], "raw_json string, connection_id string, customer_id string")
+    pages = stored(H.first_pages(R.good_files(raw, cfg), cfg), "pages")
+    tables = H.Tables(connections, None, None, pages, stored(feed(spark), "feed"), pages.select("id"), None)
+    for handler in (H.fetch_handler, H.write_handler, H.webhook_handler):
+        for name, output in handler(tables)(routed, cfg).items():
+            text = plan(output, "sparkPlan")
+            assert "BroadcastHashJoin" not in text and "Join" in text.replace("BroadcastNestedLoopJoin", ""), (handler, name)
